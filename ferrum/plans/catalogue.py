@@ -104,3 +104,248 @@ def q_ingest_signals(spark, sf_dir):
     raw.write.mode("overwrite").json(path)
     landed = read_json(spark, path, schema="vin string, eventDate string, signalName string, signalValue double")
     return normalize_signals(landed, SIGNALS_AS_OF)
+
+
+@register("ingest_partitions", """
+    SELECT event_type AS signal_name, CAST(year(ts) AS INTEGER) AS observed_year,
+           CAST(month(ts) AS INTEGER) AS observed_month, count(*) AS n_rows
+    FROM events GROUP BY 1, 2, 3
+""")
+def q_ingest_partitions(spark, sf_dir):
+    """Partitioned append (salted clustering), partitions discovered on read."""
+    from ferrum.operators.signals import SIGNAL_PARTITION_COLUMNS, normalize_signals
+    from ferrum.plans.standins import signals_from_events
+    from ferrum.sinks.writers import salted_partition_write
+
+    sig = normalize_signals(signals_from_events(T(spark, sf_dir, "events")), SIGNALS_AS_OF)
+    path = scratch_path(spark, "signals")
+    salted_partition_write(sig, path, SIGNAL_PARTITION_COLUMNS, files_per_partition=4)
+    back = spark.read.parquet(path)
+    return back.groupBy(*SIGNAL_PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --------------------------------------------------------------------------------------
+# 2. Contracts, consent, KPIs
+
+SQL_RAW_CONTRACTS = """
+    SELECT o_orderkey AS contract_id,
+           CAST(o_custkey AS VARCHAR) AS vehicleIdentificationNumber,
+           o_orderpriority AS subscriptionVehicleCategory,
+           o_orderstatus AS product,
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'not-a-date'
+                ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS inceptionDate,
+           strftime(CAST(o_orderdate AS DATE) + INTERVAL 365 DAY, '%Y-%m-%d') AS contractEndDate,
+           CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS duration,
+           strftime(o_orderdate, '%Y%m') || '01_contracts.csv' AS filename,
+           o_orderdate AS event_timestamp
+    FROM orders
+"""
+
+CONTRACTS_AS_OF = "2001-08-02 06:30:15"
+
+
+def _raw_contracts(spark, sf_dir):
+    from ferrum.plans.standins import contracts_from_orders
+    return contracts_from_orders(T(spark, sf_dir, "orders"))
+
+
+def _stored_contracts(spark, sf_dir):
+    """Typed contracts as stored, with their original load time and the contract id."""
+    from ferrum.functions.dates import parse_timestamp
+    raw = _raw_contracts(spark, sf_dir)
+    return raw.select(
+        "contract_id",
+        F.col("vehicleIdentificationNumber").alias("vehicle_identification_number"),
+        parse_timestamp("inceptionDate").alias("inception_date"),
+        "event_timestamp", "filename")
+
+
+def _consent_3way(spark, sf_dir):
+    """Three-way consent join, stand-in form: customer x nation x region, four filters."""
+    from ferrum.operators.joins import filtered_join_chain
+    c, n, r = T(spark, sf_dir, "customer"), T(spark, sf_dir, "nation"), T(spark, sf_dir, "region")
+    j = filtered_join_chain(
+        c, F.col("c_mktsegment") == "BUILDING",
+        [(n, "c_nationkey", "n_nationkey", F.col("n_name").contains("1"), True),
+         (r, "n_regionkey", "r_regionkey", F.col("r_name") == "ASIA", True)])
+    return j.select(F.col("c_custkey").cast("string").alias("vehicle_vin"), "c_name", "n_name", "r_name")
+
+
+@register("consent_three_way", _sql("SELECT * FROM {c} c", c=SQL_CONSENT_3WAY))
+def q_consent_three_way(spark, sf_dir):
+    """Three inner joins with four filters; fixed-size dimensions broadcast."""
+    return _consent_3way(spark, sf_dir)
+
+
+@register("consent_join", _sql("""
+    SELECT c.vehicleIdentificationNumber, c.subscriptionVehicleCategory, c.product,
+           c.inceptionDate, c.contractEndDate, c.duration
+    FROM {raw} c JOIN {con} k ON c.vehicleIdentificationNumber = k.vehicle_vin
+""", raw=SQL_RAW_CONTRACTS, con=SQL_CONSENT_3WAY))
+def q_consent_join(spark, sf_dir):
+    """Contracts of consenting vehicles (inner join, 6 columns)."""
+    from ferrum.operators.consent import filter_by_consent
+    return filter_by_consent(_raw_contracts(spark, sf_dir), _consent_3way(spark, sf_dir))
+
+
+@register("typed_contracts", _sql("""
+    SELECT vehicleIdentificationNumber AS vehicle_identification_number,
+           subscriptionVehicleCategory AS subscription_vehicle_category, product,
+           strftime(TRY_CAST(inceptionDate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS inception_date,
+           strftime(TRY_CAST(contractEndDate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS contract_end_date,
+           TRY_CAST(duration AS DOUBLE) AS duration,
+           '2001-08-02 06:30:15' AS event_timestamp, filename
+    FROM {raw} r
+""", raw=SQL_RAW_CONTRACTS))
+def q_typed_contracts(spark, sf_dir):
+    """All-string contract rows typed with coercing casts."""
+    from ferrum.operators.contracts import typed_contracts
+    out = typed_contracts(_raw_contracts(spark, sf_dir), CONTRACTS_AS_OF)
+    return out.withColumns({c: ts_text(c) for c in ("inception_date", "contract_end_date", "event_timestamp")})
+
+
+@register("not_in_consent", _sql("""
+    SELECT o_orderkey AS contract_id, CAST(o_custkey AS VARCHAR) AS vehicle_identification_number
+    FROM orders
+    WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT vehicle_vin FROM {con} k)
+""", con=SQL_CONSENT_3WAY))
+def q_not_in_consent(spark, sf_dir):
+    """Stored contracts whose vehicle is NOT IN the consent list."""
+    from ferrum.operators.consent import contracts_without_consent
+    stored = _stored_contracts(spark, sf_dir)
+    out = contracts_without_consent(stored, _consent_3way(spark, sf_dir))
+    return out.select("contract_id", "vehicle_identification_number")
+
+
+SQL_CONSENT_WITH_NULLS = """
+    SELECT CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS vehicle_vin
+    FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+
+
+@register("not_in_consent_null", _sql("""
+    SELECT o_orderkey AS contract_id, CAST(o_custkey AS VARCHAR) AS vehicle_identification_number
+    FROM orders
+    WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT vehicle_vin FROM {con} k)
+""", con=SQL_CONSENT_WITH_NULLS))
+def q_not_in_consent_null(spark, sf_dir):
+    """J3 with a NULL inside the NOT IN set: SQL semantics give no row."""
+    from ferrum.operators.consent import contracts_without_consent
+    c = T(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    consent = c.select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey").cast("string")).alias("vehicle_vin"))
+    out = contracts_without_consent(_stored_contracts(spark, sf_dir), consent)
+    return out.select("contract_id", "vehicle_identification_number")
+
+
+@register("vins_without_consent", _sql("""
+    SELECT count(DISTINCT CAST(o_custkey AS VARCHAR)) AS n_vins_without_consent
+    FROM orders
+    WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT vehicle_vin FROM {con} k)
+""", con=SQL_CONSENT_3WAY))
+def q_vins_without_consent(spark, sf_dir):
+    """A5: distinct stored vehicles whose consent is gone."""
+    from ferrum.operators.consent import contracts_without_consent
+    out = contracts_without_consent(_stored_contracts(spark, sf_dir), _consent_3way(spark, sf_dir))
+    return out.agg(F.countDistinct("vehicle_identification_number").alias("n_vins_without_consent"))
+
+
+NEW_VINS_AS_OF = "2001-01-05 09:00:00"
+
+
+@register("newly_added", """
+    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS vehicle_identification_number
+    FROM orders
+    WHERE CAST(o_orderdate AS DATE) = DATE '2001-01-05'
+      AND CAST(o_custkey AS VARCHAR) NOT IN (
+          SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE CAST(o_orderdate AS DATE) <> DATE '2001-01-05')
+""")
+def q_newly_added(spark, sf_dir):
+    """Vehicles first seen on the as-of day (NOT IN over all other days)."""
+    from ferrum.operators.consent import newly_added_vehicles
+    return newly_added_vehicles(_stored_contracts(spark, sf_dir), NEW_VINS_AS_OF)
+
+
+@register("existing_vins", """
+    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS vehicle_identification_number
+    FROM orders
+    WHERE CAST(o_orderdate AS DATE) = DATE '2001-01-05'
+      AND CAST(o_custkey AS VARCHAR) IN (
+          SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE CAST(o_orderdate AS DATE) <> DATE '2001-01-05')
+""")
+def q_existing_vins(spark, sf_dir):
+    """Vehicles seen on the as-of day and on another day (semi join)."""
+    from ferrum.operators.consent import existing_vehicles
+    return existing_vehicles(_stored_contracts(spark, sf_dir), NEW_VINS_AS_OF)
+
+
+SQL_FILE_KPIS = _sql("""
+    WITH cs AS (SELECT DISTINCT vehicle_vin FROM {con} k),
+    per AS (
+        SELECT filename, count(*) AS n_contracts,
+               count(DISTINCT vehicleIdentificationNumber) AS n_unique_vins,
+               count(DISTINCT CASE WHEN cs.vehicle_vin IS NOT NULL THEN vehicleIdentificationNumber END)
+                   AS n_vins_with_consent
+        FROM {raw} c LEFT JOIN cs ON c.vehicleIdentificationNumber = cs.vehicle_vin
+        GROUP BY filename)
+    SELECT filename, n_contracts, n_unique_vins, (SELECT count(*) FROM cs) AS n_consent_total,
+           n_vins_with_consent, n_unique_vins - n_vins_with_consent AS n_vins_without_consent
+    FROM per
+""", con=SQL_CONSENT_3WAY, raw=SQL_RAW_CONTRACTS)
+
+
+@register("kpis", SQL_FILE_KPIS)
+def q_kpis(spark, sf_dir):
+    """A1-A4: per-file contract and consent counts in one pass."""
+    from ferrum.operators.consent import file_kpis
+    return file_kpis(_raw_contracts(spark, sf_dir), _consent_3way(spark, sf_dir))
+
+
+KPI_AS_OF = "2001-08-02 06:30:00"
+
+
+@register("kpi_table", _sql("""
+    WITH k AS {k},
+    w AS (
+        SELECT count(DISTINCT CAST(o_custkey AS VARCHAR)) AS n
+        FROM orders WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT vehicle_vin FROM {con} c)),
+    longf AS (
+        SELECT 'contracts_in_file' AS kpi_name, n_contracts AS v, filename AS context FROM k
+        UNION ALL SELECT 'contracts_in_file_unique_vin', n_unique_vins, filename FROM k
+        UNION ALL SELECT 'customers_with_consent_in_total', n_consent_total, filename FROM k
+        UNION ALL SELECT 'contracts_in_file_with_consent', n_vins_with_consent, filename FROM k
+        UNION ALL SELECT 'contracts_in_file_without_consent', n_vins_without_consent, filename FROM k
+        UNION ALL SELECT 'contracts_stored_without_consent', n, 'n/a' FROM w)
+    SELECT kpi_name, CAST(CAST(ROUND(CAST(v AS DOUBLE), 4) AS DECIMAL(18,4)) AS DOUBLE) AS kpi_value,
+           'Count' AS unit, '2001-08-02 06:30:00' AS kpi_timestamp, 'Interface' AS category,
+           'Pipeline' AS sub_category, context, '1' AS version, 'dev' AS environment
+    FROM longf
+""", k=SQL_FILE_KPIS, con=SQL_CONSENT_3WAY))
+def q_kpi_table(spark, sf_dir):
+    """File metrics unpivoted to the KPI fact table, merged with a
+    stored-data metric set."""
+    from ferrum.operators.consent import file_kpis
+    from ferrum.operators.kpi import FILE_METRIC_NAMES, kpi_table, merge_metric_sets
+    consent = _consent_3way(spark, sf_dir)
+    per_file = kpi_table(file_kpis(_raw_contracts(spark, sf_dir), consent), FILE_METRIC_NAMES,
+                         as_of=KPI_AS_OF, context_col="filename")
+    stored = q_vins_without_consent(spark, sf_dir)
+    stored_set = kpi_table(stored, {"n_vins_without_consent": "contracts_stored_without_consent"},
+                           as_of=KPI_AS_OF)
+    out = merge_metric_sets(per_file, stored_set)
+    return out.withColumns({"kpi_value": F.col("kpi_value").cast("double"),
+                            "kpi_timestamp": ts_text("kpi_timestamp")})
+
+
+@register("kpi_alarm", """
+    SELECT strftime(time_bucket(INTERVAL 15 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES, '%Y-%m-%d %H:%M:%S') AS window_end,
+           event_type, min(value) AS stat,
+           CASE WHEN min(value) <= 5 THEN 'ALARM' ELSE 'OK' END AS state
+    FROM events GROUP BY time_bucket(INTERVAL 15 MINUTES, ts), event_type
+""")
+def q_kpi_alarm(spark, sf_dir):
+    """A15 T4 (batch form): 900 s tumbling min per type, ALARM when <= 5."""
+    from ferrum.operators.kpi import window_alarm
+    ev = T(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    out = window_alarm(ev, "ts", "value", period_seconds=900, threshold=5.0, keys=["event_type"])
+    return out.withColumns({"window_start": ts_text("window_start"), "window_end": ts_text("window_end")})

@@ -40,7 +40,7 @@ def contracts_from_orders(orders: DataFrame) -> DataFrame:
          .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("inceptionDate"),
         F.date_format(F.date_add(F.to_date("o_orderdate"), 365), "yyyy-MM-dd").alias("contractEndDate"),
         F.when(F.col("o_orderstatus") == "P", F.lit("n/a"))
-         .otherwise(F.round(F.col("o_totalprice") / 1000, 2).cast("string")).alias("duration"),
+         .otherwise(F.col("o_totalprice").cast("string")).alias("duration"),
         F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("01_contracts.csv")).alias("filename"),
         F.col("o_orderdate").alias("event_timestamp"),
     )
