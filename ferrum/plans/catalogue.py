@@ -349,3 +349,162 @@ def q_kpi_alarm(spark, sf_dir):
     ev = T(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     out = window_alarm(ev, "ts", "value", period_seconds=900, threshold=5.0, keys=["event_type"])
     return out.withColumns({"window_start": ts_text("window_start"), "window_end": ts_text("window_end")})
+
+
+# --------------------------------------------------------------------------------------
+# 3. Retention and monitoring
+
+RETENTION_AS_OF = "2001-08-01 00:00:00"
+RETENTION_DAYS = 700
+ERASE_RULES = {365: "o_orderpriority", 700: "o_totalprice,o_orderstatus"}
+
+
+def _orders_with_ts(spark, sf_dir):
+    return T(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "event_timestamp")
+
+
+@register("retention_delete", """
+    SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS event_timestamp
+    FROM orders
+    WHERE NOT coalesce(date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false)
+""")
+def q_retention_delete(spark, sf_dir):
+    """Rows at least 700 calendar days old are removed; NULL age kept."""
+    from ferrum.operators.retention import retention_delete
+    kept = retention_delete(_orders_with_ts(spark, sf_dir), "event_timestamp", RETENTION_AS_OF, RETENTION_DAYS)
+    return kept.select("o_orderkey", "o_custkey", ts_text("event_timestamp").alias("event_timestamp"))
+
+
+@register("retention_null", """
+    SELECT o_orderkey,
+           CASE WHEN date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 365
+                THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+           CASE WHEN date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700
+                THEN NULL ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700
+                THEN NULL ELSE o_orderstatus END AS o_orderstatus
+    FROM orders
+""")
+def q_retention_null(spark, sf_dir):
+    """R2: listed columns set to NULL once older than their own limit."""
+    from ferrum.operators.retention import erase_columns
+    out = erase_columns(_orders_with_ts(spark, sf_dir), "event_timestamp", RETENTION_AS_OF, ERASE_RULES)
+    return out.select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+
+
+@register("retention_schema", """
+    SELECT 'contracts' AS table_name, count(*) AS rows_before,
+           count(*) FILTER (WHERE date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700) AS rows_removed,
+           count(*) FILTER (WHERE NOT coalesce(date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false)) AS rows_after,
+           'ok' AS status
+    FROM orders
+    UNION ALL
+    SELECT 'shipments', count(*),
+           count(*) FILTER (WHERE date_diff('day', l_shipdate, TIMESTAMP '2001-08-01 00:00:00') >= 700),
+           count(*) FILTER (WHERE NOT coalesce(date_diff('day', l_shipdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false)),
+           'ok'
+    FROM lineitem
+    UNION ALL
+    SELECT 'customers', NULL, NULL, NULL, 'skipped: no column event_timestamp'
+""")
+def q_retention_schema(spark, sf_dir):
+    """Retention applied to every table of a database, one report row each."""
+    import uuid as _uuid
+
+    from ferrum.operators.retention import apply_retention_to_database
+    root = scratch_path(spark, "retention")
+    db = f"retention_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    sources = {
+        "contracts": _orders_with_ts(spark, sf_dir),
+        "shipments": T(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "event_timestamp"),
+        "customers": T(spark, sf_dir, "customer"),
+    }
+    for name, df in sources.items():
+        path = f"{root}/landed/{name}"
+        df.write.parquet(path)
+        spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+    return apply_retention_to_database(spark, db, "event_timestamp", RETENTION_AS_OF, RETENTION_DAYS,
+                                       ERASE_RULES, f"{root}/versions")
+
+
+MONITOR_COUNTRY = "NATION_1"
+MONITOR_AS_OF = "1998-08-02 00:00:00"
+
+SQL_VEHICLE = """
+    SELECT CAST(o_custkey AS VARCHAR) AS commission_number,
+           CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS ifa_order_key,
+           o_orderdate AS event_timestamp
+    FROM orders
+"""
+SQL_DEALERS = """
+    SELECT CAST(c_custkey AS VARCHAR) AS commission_number, n_name AS dealership_country
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
+
+def _vehicle_and_dealers(spark, sf_dir):
+    from ferrum.plans.standins import dealer_countries, vehicles_from_orders
+    return (vehicles_from_orders(T(spark, sf_dir, "orders")),
+            dealer_countries(T(spark, sf_dir, "customer"), T(spark, sf_dir, "nation")))
+
+
+@register("missing_messages", _sql("""
+    SELECT DISTINCT commission_number, ifa_order_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp
+    FROM {v} v
+    WHERE commission_number IN (SELECT DISTINCT commission_number FROM {d} d WHERE dealership_country = 'NATION_1')
+      AND ifa_order_key IS NULL
+""", v=SQL_VEHICLE, d=SQL_DEALERS))
+def q_missing_messages(spark, sf_dir):
+    """Vehicles of a country that never received a message."""
+    from ferrum.operators.monitor import missing_messages
+    v, d = _vehicle_and_dealers(spark, sf_dir)
+    return missing_messages(v, d, MONITOR_COUNTRY).withColumn("event_timestamp", ts_text("event_timestamp"))
+
+
+@register("stale_updates", _sql("""
+    SELECT DISTINCT commission_number, ifa_order_key, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp
+    FROM {v} v
+    WHERE commission_number IN (SELECT DISTINCT commission_number FROM {d} d WHERE dealership_country = 'NATION_1')
+      AND date_diff('day', event_timestamp, TIMESTAMP '1998-08-02 00:00:00') > 1
+""", v=SQL_VEHICLE, d=SQL_DEALERS))
+def q_stale_updates(spark, sf_dir):
+    """Vehicles of a country not updated for more than one day."""
+    from ferrum.operators.monitor import stale_updates
+    v, d = _vehicle_and_dealers(spark, sf_dir)
+    return stale_updates(v, d, MONITOR_COUNTRY, MONITOR_AS_OF).withColumn("event_timestamp", ts_text("event_timestamp"))
+
+
+@register("freshness_alerts", _sql("""
+    WITH v AS (SELECT DISTINCT * FROM {v} x),
+    d AS (SELECT DISTINCT commission_number, dealership_country FROM {d} y),
+    j AS (SELECT * FROM v JOIN d USING (commission_number)),
+    c AS (
+        SELECT dealership_country, 'missing_messages' AS "check",
+               count(*) FILTER (WHERE ifa_order_key IS NULL) AS n_rows FROM j GROUP BY 1
+        UNION ALL
+        SELECT dealership_country, 'missing_updates',
+               count(*) FILTER (WHERE date_diff('day', event_timestamp, TIMESTAMP '1998-08-02 00:00:00') > 1)
+        FROM j GROUP BY 1)
+    SELECT 'DEV-' || dealership_country || ' - vehicle monitoring - ' || replace("check", '_', ' ') AS subject,
+           "check", dealership_country AS country, n_rows
+    FROM c WHERE n_rows > 0
+""", v=SQL_VEHICLE, d=SQL_DEALERS))
+def q_freshness_alerts(spark, sf_dir):
+    """Alert rows for both checks and every country in one pass."""
+    from ferrum.operators.monitor import freshness_alerts
+    v, d = _vehicle_and_dealers(spark, sf_dir)
+    return freshness_alerts(v, d, MONITOR_AS_OF)
+
+
+@register("missing_days", """
+    SELECT strftime(d, '%Y-%m-%d') AS day, strftime(d, '%d.%m.%Y') AS day_text,
+           'missing input file for ' || strftime(d, '%d.%m.%Y') AS subject
+    FROM (SELECT CAST(generate_series AS DATE) AS d
+          FROM generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) g
+    WHERE d NOT IN (SELECT DISTINCT CAST(ts AS DATE) FROM events)
+""")
+def q_missing_days(spark, sf_dir):
+    """Expected days without any landed event."""
+    from ferrum.operators.monitor import missing_days
+    return missing_days(T(spark, sf_dir, "events"), "ts", "2024-01-01", "2024-01-31")
