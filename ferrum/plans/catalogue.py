@@ -508,3 +508,171 @@ def q_missing_days(spark, sf_dir):
     """Expected days without any landed event."""
     from ferrum.operators.monitor import missing_days
     return missing_days(T(spark, sf_dir, "events"), "ts", "2024-01-01", "2024-01-31")
+
+
+# --------------------------------------------------------------------------------------
+# 4. Messages
+
+MESSAGES_EVENT_TS = "2024-02-01 00:00:00"
+
+
+def _parsed(spark, bodies, sample):
+    from ferrum.sources.files import parse_json_messages, sample_text_schema
+    return parse_json_messages(bodies, "body", sample_text_schema(spark, sample))
+
+
+def _general(spark, sf_dir):
+    from ferrum.operators.messages import SAMPLE_GENERAL_INFORMATION, general_info
+    from ferrum.plans.standins import general_information_messages
+    msgs = _parsed(spark, general_information_messages(T(spark, sf_dir, "orders")), SAMPLE_GENERAL_INFORMATION)
+    return general_info(msgs, MESSAGES_EVENT_TS)
+
+
+def _checkpoint_msgs(spark, sf_dir):
+    from ferrum.operators.messages import SAMPLE_CHECKPOINT
+    from ferrum.plans.standins import checkpoint_messages
+    return _parsed(spark, checkpoint_messages(T(spark, sf_dir, "orders"), T(spark, sf_dir, "lineitem")),
+                   SAMPLE_CHECKPOINT)
+
+
+SQL_CHECKPOINT_ROWS = """
+    SELECT 'CHECKPOINT' AS msg_type, CAST(o_orderkey AS VARCHAR) AS commission_number,
+           lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS ifa_order_key,
+           CAST(l_linenumber AS BIGINT) AS checkpoint_number,
+           strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS checkpoint_timestamp,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS source_timestamp,
+           'checkpoint.json' AS filename, o_orderpriority
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+"""
+
+
+def _checkpoint_out(df):
+    return df.select("msg_type", "commission_number", "ifa_order_key", "checkpoint_number",
+                     ts_text("checkpoint_timestamp").alias("checkpoint_timestamp"),
+                     ts_text("source_timestamp").alias("source_timestamp"), "filename")
+
+
+@register("checkpoint_explode", _sql("""
+    SELECT msg_type, commission_number, ifa_order_key, checkpoint_number, checkpoint_timestamp,
+           source_timestamp, filename FROM {c} c
+""", c=SQL_CHECKPOINT_ROWS))
+def q_checkpoint_explode(spark, sf_dir):
+    """Nested CHECKPOINT messages parsed with a sample-document schema, exploded."""
+    from ferrum.operators.messages import checkpoints
+    return _checkpoint_out(checkpoints(_checkpoint_msgs(spark, sf_dir), MESSAGES_EVENT_TS))
+
+
+@register("parts_explode", """
+    SELECT 'PARTS' AS msg_type, CAST(o_orderkey AS VARCHAR) AS commission_number,
+           lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS ifa_order_key,
+           strftime(o_orderdate, '%Y-%m-%d') AS itemization_date,
+           p_type AS family, CAST(p_partkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS number,
+           p_brand AS origin
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+""")
+def q_parts_explode(spark, sf_dir):
+    """Nested PARTS messages exploded to one row per part."""
+    from ferrum.operators.messages import SAMPLE_PARTS, parts
+    from ferrum.plans.standins import parts_messages
+    msgs = _parsed(spark, parts_messages(T(spark, sf_dir, "orders"), T(spark, sf_dir, "lineitem"),
+                                         T(spark, sf_dir, "part")), SAMPLE_PARTS)
+    out = parts(msgs, MESSAGES_EVENT_TS)
+    return out.select("msg_type", "commission_number", "ifa_order_key",
+                      F.date_format("itemization_date", "yyyy-MM-dd").alias("itemization_date"),
+                      "family", "number", "origin")
+
+
+SQL_GENERAL = """
+    SELECT 'GENERAL_INFORMATION' AS msg_type, CAST(o_orderkey AS VARCHAR) AS commission_number,
+           lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS ifa_order_key,
+           'VIN' || lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS vin,
+           strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+           CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'VW C' WHEN '2' THEN 'Volkswagen'
+                WHEN '3' THEN 'VW N' ELSE 'Other' END AS brand,
+           o_orderstatus AS model, CAST(year(o_orderdate) AS BIGINT) AS model_year,
+           o_orderpriority AS model_group, CAST(o_custkey AS VARCHAR) AS ordering_dealer_id,
+           strftime(o_orderdate, '%Y-%m-%d') AS cp8_date,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS source_timestamp,
+           '2024-02-01 00:00:00' AS event_timestamp, 'general_information.json' AS filename
+    FROM orders
+"""
+
+
+@register("general_info", SQL_GENERAL)
+def q_general_info(spark, sf_dir):
+    """GENERAL_INFORMATION messages flattened one row per message."""
+    g = _general(spark, sf_dir)
+    return g.select("msg_type", "commission_number", "ifa_order_key", "vin",
+                    F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
+                    "brand", "model", "model_year", "model_group", "ordering_dealer_id",
+                    F.date_format("cp8_date", "yyyy-MM-dd").alias("cp8_date"),
+                    ts_text("source_timestamp").alias("source_timestamp"),
+                    ts_text("event_timestamp").alias("event_timestamp"), "filename")
+
+
+@register("brand_filter", _sql("""
+    SELECT msg_type, commission_number, ifa_order_key, checkpoint_number, checkpoint_timestamp,
+           source_timestamp, filename
+    FROM {c} c WHERE substr(o_orderpriority, 1, 1) = '1'
+""", c=SQL_CHECKPOINT_ROWS))
+def q_brand_filter(spark, sf_dir):
+    """Checkpoints restricted to the (commission, order key) pairs of one brand."""
+    from ferrum.operators.messages import brand_keys, checkpoints
+    keys = brand_keys(_general(spark, sf_dir), ["VW C"])
+    return _checkpoint_out(checkpoints(_checkpoint_msgs(spark, sf_dir), MESSAGES_EVENT_TS, keys))
+
+
+@register("subscription", _sql("""
+    SELECT event_timestamp, msg_type, commission_number,
+           CAST(NULL AS VARCHAR) AS start_of_subscription, CAST(NULL AS VARCHAR) AS start_of_unsubscription,
+           ifa_order_key
+    FROM {g} g
+""", g=SQL_GENERAL))
+def q_subscription(spark, sf_dir):
+    """Subscription rows (hash id left out of the compared output)."""
+    from ferrum.operators.messages import subscriptions
+    s = subscriptions(_general(spark, sf_dir), "GENERAL_INFORMATION")
+    return s.select(ts_text("event_timestamp").alias("event_timestamp"), "msg_type", "commission_number",
+                    ts_text("start_of_subscription").alias("start_of_subscription"),
+                    ts_text("start_of_unsubscription").alias("start_of_unsubscription"), "ifa_order_key")
+
+
+@register("msg_header", _sql("""
+    SELECT event_timestamp, msg_type, commission_number, source_timestamp,
+           source_timestamp AS msg_timestamp, ifa_order_key, filename
+    FROM {g} g
+""", g=SQL_GENERAL))
+def q_msg_header(spark, sf_dir):
+    """Header rows; ids are hashes, left out of the compared output."""
+    from ferrum.operators.messages import message_headers
+    h = message_headers(_general(spark, sf_dir), "MSG_HEADER")
+    return h.select(ts_text("event_timestamp").alias("event_timestamp"), "msg_type", "commission_number",
+                    ts_text("source_timestamp").alias("source_timestamp"),
+                    ts_text("msg_timestamp").alias("msg_timestamp"), "ifa_order_key", "filename")
+
+
+@register("union_final_partial", """
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
+""")
+def q_union_final_partial(spark, sf_dir):
+    """Bag union of final and partial rows."""
+    from ferrum.operators.messages import union_final_partial
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return union_final_partial(o.filter(F.col("o_orderstatus") != "F"), o.filter(F.col("o_orderstatus") == "F"))
+
+
+@register("route_messages", """
+    SELECT event_id, msg_type, 'DE' AS country, strftime(ts, '%Y-%m-%d') AS landing_date,
+           'DE/' || strftime(ts, '%Y-%m-%d') || '/' || msg_type || '/' || strftime(ts, '%Y-%m-%d--%H:%M:%S.%f')
+           || '--' || lower(msg_type) || '.json' AS landing_key
+    FROM (SELECT *, CASE WHEN event_type = 'signup' THEN 'unknown' ELSE upper(event_type) END AS msg_type
+          FROM events) e
+""")
+def q_route_messages(spark, sf_dir):
+    """Message type with default and the landing key of every message."""
+    from ferrum.operators.messages import route_messages
+    from ferrum.plans.standins import queue_messages
+    out = route_messages(queue_messages(T(spark, sf_dir, "events")))
+    return out.select("event_id", "msg_type", "country", "landing_date", "landing_key")
