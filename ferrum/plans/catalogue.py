@@ -676,3 +676,180 @@ def q_route_messages(spark, sf_dir):
     from ferrum.plans.standins import queue_messages
     out = route_messages(queue_messages(T(spark, sf_dir, "events")))
     return out.select("event_id", "msg_type", "country", "landing_date", "landing_key")
+
+
+# --------------------------------------------------------------------------------------
+# 5. Job ledger and id ranges
+
+LEDGER_AS_OF = "2024-01-30 12:00:00"
+LEDGER_STALE_AFTER = "1 day"
+LEDGER_TS = "TIMESTAMP '2024-01-30 12:00:00'"
+
+SQL_LEDGER = """
+    WITH b AS (
+        SELECT CAST(user_id AS VARCHAR) AS kpi, CAST(floor(event_id / 100) * 100 AS BIGINT) AS from_id, event_id,
+               CASE WHEN event_type = 'view' AND value < 10 THEN 'RUNNING'
+                    WHEN event_type = 'error' AND value < 50 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               ts AS created_at, event_type AS details
+        FROM events)
+    SELECT kpi, from_id, CASE WHEN status = 'SUCCESS' THEN from_id + 99 END AS to_id, status, created_at,
+           CASE WHEN status <> 'RUNNING' THEN created_at + INTERVAL 5 MINUTE END AS finished_at,
+           CAST(row_number() OVER (PARTITION BY kpi, from_id ORDER BY event_id) - 1 AS INTEGER) AS retries, details
+    FROM b
+"""
+SQL_REGISTRY = """
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS kpi FROM events
+    UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'AUTOMOBILE'
+"""
+SQL_FAILED = f"""
+    SELECT f.kpi, f.from_id, f.retries
+    FROM (SELECT kpi, from_id, max(retries) AS retries FROM L
+          WHERE status = 'FAILED' AND finished_at IS NOT NULL GROUP BY kpi, from_id) f
+    LEFT JOIN (SELECT kpi, from_id, max(retries) AS retries FROM L
+               WHERE (status = 'RUNNING' AND finished_at IS NULL) OR (status = 'SUCCESS' AND finished_at IS NOT NULL)
+               GROUP BY kpi, from_id) r
+      ON f.kpi = r.kpi AND f.from_id = r.from_id AND f.retries = r.retries - 1
+    WHERE r.retries IS NULL
+"""
+SQL_NEXT = f"""
+    n AS (SELECT kpi, count(from_id) AS n_jobs, max(to_id) AS max_to FROM L GROUP BY kpi),
+    run AS (SELECT DISTINCT kpi FROM L WHERE status = 'RUNNING' AND finished_at IS NULL
+            AND created_at + INTERVAL 1 DAY > {LEDGER_TS}),
+    st AS (SELECT kpi, from_id, retries FROM (
+             SELECT kpi, from_id, retries, row_number() OVER (PARTITION BY kpi ORDER BY from_id, retries) AS rn
+             FROM L WHERE status = 'RUNNING' AND finished_at IS NULL AND created_at + INTERVAL 1 DAY < {LEDGER_TS}) x
+           WHERE rn = 1),
+    fl AS (SELECT kpi, from_id, retries FROM (
+             SELECT kpi, from_id, retries, row_number() OVER (PARTITION BY kpi ORDER BY from_id, retries) AS rn
+             FROM ({SQL_FAILED}) y) z WHERE rn = 1),
+    A0 AS (
+        SELECT R.kpi,
+               CASE WHEN coalesce(n.n_jobs, 0) = 0 THEN 'first_run'
+                    WHEN run.kpi IS NOT NULL THEN 'wait'
+                    WHEN st.kpi IS NOT NULL THEN 'retry_stale'
+                    WHEN fl.kpi IS NOT NULL THEN 'retry_failed'
+                    ELSE 'new' END AS action,
+               n.max_to, st.from_id AS st_from, st.retries AS st_r, fl.from_id AS fl_from, fl.retries AS fl_r
+        FROM R LEFT JOIN n ON R.kpi = n.kpi LEFT JOIN run ON R.kpi = run.kpi
+        LEFT JOIN st ON R.kpi = st.kpi LEFT JOIN fl ON R.kpi = fl.kpi),
+    A1 AS (
+        SELECT kpi, action,
+               CAST(CASE action WHEN 'first_run' THEN 0 WHEN 'retry_stale' THEN st_from
+                    WHEN 'retry_failed' THEN fl_from WHEN 'new' THEN coalesce(max_to, 0) + 1 END AS BIGINT) AS from_id,
+               CAST(CASE action WHEN 'first_run' THEN 0 WHEN 'new' THEN 0 WHEN 'retry_stale' THEN st_r + 1
+                    WHEN 'retry_failed' THEN fl_r + 1 END AS INTEGER) AS retries
+        FROM A0),
+    A AS (SELECT *, CASE WHEN retries >= 2 THEN 'bounded' WHEN retries IS NOT NULL THEN 'unbounded' END AS mode
+          FROM A1)
+"""
+LEDGER_WITH = f"WITH L AS ({SQL_LEDGER}), R AS ({SQL_REGISTRY}), {SQL_NEXT}"
+
+
+def _ledger(spark, sf_dir):
+    from ferrum.plans.standins import kpi_registry, ledger_from_events
+    ev = T(spark, sf_dir, "events")
+    return ledger_from_events(ev), kpi_registry(ev, T(spark, sf_dir, "customer"))
+
+
+def _actions(spark, sf_dir):
+    from ferrum.operators.ledger import next_actions
+    ledger, registry = _ledger(spark, sf_dir)
+    return next_actions(registry, ledger, LEDGER_AS_OF, stale_after=LEDGER_STALE_AFTER)
+
+
+def _ledger_text(df):
+    return df.withColumns({"created_at": ts_text("created_at"), "finished_at": ts_text("finished_at")})
+
+
+@register("ledger_running", f"""
+    WITH L AS ({SQL_LEDGER})
+    SELECT kpi, from_id, retries, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+           CASE WHEN created_at + INTERVAL 1 DAY > {LEDGER_TS} THEN 'running' ELSE 'stale' END AS state
+    FROM L WHERE status = 'RUNNING' AND finished_at IS NULL AND created_at + INTERVAL 1 DAY <> {LEDGER_TS}
+""")
+def q_ledger_running(spark, sf_dir):
+    """Open jobs split into running and stale by age."""
+    from ferrum.operators.ledger import running_jobs
+    ledger, _ = _ledger(spark, sf_dir)
+    return running_jobs(ledger, LEDGER_AS_OF, LEDGER_STALE_AFTER).withColumn("created_at", ts_text("created_at"))
+
+
+@register("ledger_failed", f"WITH L AS ({SQL_LEDGER}) {SQL_FAILED}")
+def q_ledger_failed(spark, sf_dir):
+    """Failed ranges without a newer attempt (one aggregate, no self join)."""
+    from ferrum.operators.ledger import failed_jobs
+    ledger, _ = _ledger(spark, sf_dir)
+    return failed_jobs(ledger)
+
+
+@register("ledger_next", f"{LEDGER_WITH} SELECT kpi, action, from_id, retries, mode FROM A")
+def q_ledger_next(spark, sf_dir):
+    """Next action of every KPI by strict priority."""
+    return _actions(spark, sf_dir)
+
+
+@register("ledger_apply", f"""
+    {LEDGER_WITH},
+    C AS (SELECT kpi, from_id, retries - 1 AS retries FROM A WHERE action = 'retry_stale'),
+    U AS (
+        SELECT L.kpi, L.from_id, L.to_id,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN 'FAILED' ELSE L.status END AS status,
+               L.created_at,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN {LEDGER_TS} ELSE L.finished_at END AS finished_at,
+               L.retries,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN 'STALE JOB' ELSE L.details END AS details
+        FROM L LEFT JOIN C ON L.kpi = C.kpi AND L.from_id = C.from_id AND L.retries = C.retries
+        UNION ALL
+        SELECT kpi, from_id, CAST(NULL AS BIGINT), 'RUNNING', {LEDGER_TS}, CAST(NULL AS TIMESTAMP), retries, CAST(NULL AS VARCHAR)
+        FROM A WHERE action <> 'wait')
+    SELECT kpi, from_id, to_id, status, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+           strftime(finished_at, '%Y-%m-%d %H:%M:%S') AS finished_at, retries, details
+    FROM U
+""")
+def q_ledger_apply(spark, sf_dir):
+    """Stale jobs closed as FAILED, one RUNNING row appended per started job."""
+    from ferrum.operators.ledger import apply_actions, next_actions
+    ledger, registry = _ledger(spark, sf_dir)
+    actions = next_actions(registry, ledger, LEDGER_AS_OF, stale_after=LEDGER_STALE_AFTER)
+    return _ledger_text(apply_actions(ledger, actions, LEDGER_AS_OF))
+
+
+def _records(spark, sf_dir):
+    """Source records of the incremental load: events keyed by user, id = event id."""
+    return T(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("kpi"), F.col("event_id").alias("id"), "event_type", "value")
+
+
+SQL_SCAN = """
+    SELECT CAST(e.user_id AS VARCHAR) AS kpi, e.event_id AS id, e.event_type, e.value,
+           A.from_id AS job_from_id, A.retries AS job_retries, A.mode AS job_mode
+    FROM events e JOIN A ON CAST(e.user_id AS VARCHAR) = A.kpi AND e.event_id >= A.from_id
+         AND (A.mode <> 'bounded' OR e.event_id <= A.from_id + 1000)
+    WHERE A.from_id IS NOT NULL
+"""
+
+
+@register("id_range_scan", f"{LEDGER_WITH} {SQL_SCAN}")
+def q_id_range_scan(spark, sf_dir):
+    """Records of every job's id range (unbounded from_id.. or bounded batch)."""
+    from ferrum.operators.ledger import scan_ranges
+    return scan_ranges(_records(spark, sf_dir), _actions(spark, sf_dir))
+
+
+@register("range_validate", f"""
+    {LEDGER_WITH}, S AS ({SQL_SCAN}),
+    G AS (SELECT kpi, job_from_id, count(*) AS n_rows, max(id) AS max_id FROM S GROUP BY kpi, job_from_id),
+    V AS (
+        SELECT A.kpi, A.from_id, A.retries, A.mode, coalesce(G.n_rows, 0) AS n_rows, G.max_id,
+               CASE WHEN coalesce(G.n_rows, 0) = 0 THEN 'empty'
+                    WHEN G.max_id = 0 OR G.max_id < A.from_id THEN 'invalid'
+                    WHEN G.max_id - A.from_id < 100 THEN 'too_small' ELSE 'load' END AS outcome
+        FROM A LEFT JOIN G ON A.kpi = G.kpi AND A.from_id = G.job_from_id
+        WHERE A.from_id IS NOT NULL)
+    SELECT *, outcome = 'load' AS success, CASE WHEN outcome = 'load' THEN max_id END AS to_id FROM V
+""")
+def q_range_validate(spark, sf_dir):
+    """Outcome of every pulled range (empty / invalid / too small / load)."""
+    from ferrum.operators.ledger import scan_ranges, validate_ranges
+    actions = _actions(spark, sf_dir)
+    return validate_ranges(actions, scan_ranges(_records(spark, sf_dir), actions))
