@@ -688,8 +688,8 @@ LEDGER_TS = "TIMESTAMP '2024-01-30 12:00:00'"
 SQL_LEDGER = """
     WITH b AS (
         SELECT CAST(user_id AS VARCHAR) AS kpi, CAST(floor(event_id / 100) * 100 AS BIGINT) AS from_id, event_id,
-               CASE WHEN event_type = 'view' AND value < 10 THEN 'RUNNING'
-                    WHEN event_type = 'error' AND value < 50 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               CASE WHEN event_type = 'view' AND value < 3 THEN 'RUNNING'
+                    WHEN event_type = 'error' AND value < 10 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
                ts AS created_at, event_type AS details
         FROM events)
     SELECT kpi, from_id, CASE WHEN status = 'SUCCESS' THEN from_id + 99 END AS to_id, status, created_at,
@@ -853,3 +853,218 @@ def q_range_validate(spark, sf_dir):
     from ferrum.operators.ledger import scan_ranges, validate_ranges
     actions = _actions(spark, sf_dir)
     return validate_ranges(actions, scan_ranges(_records(spark, sf_dir), actions))
+
+
+# --------------------------------------------------------------------------------------
+# 6. Sinks, routed loads, file layouts
+
+def _versioned_table(spark, name_hint):
+    import uuid as _uuid
+    return f"{name_hint}_{_uuid.uuid4().hex[:8]}", scratch_path(spark, name_hint)
+
+
+@register("range_replace", f"""
+    WITH L AS ({SQL_LEDGER})
+    SELECT CAST(e.user_id AS VARCHAR) AS kpi, e.event_id AS id, e.value,
+           CASE WHEN EXISTS (SELECT 1 FROM L WHERE L.status = 'SUCCESS' AND L.kpi = CAST(e.user_id AS VARCHAR)
+                             AND e.event_id BETWEEN L.from_id AND L.to_id) THEN 'v2' ELSE 'v1' END AS version
+    FROM events e
+""")
+def q_range_replace(spark, sf_dir):
+    """Delete every loaded id range and insert its re-pulled rows,
+    committed as a new table version (idempotent: rows never duplicate)."""
+    from ferrum.plans.standins import ledger_from_events
+    from ferrum.sinks.writers import commit_version, replace_keyed_ranges
+    records = _records(spark, sf_dir).select("kpi", "id", "value")
+    name, root = _versioned_table(spark, "landed_records")
+    commit_version(spark, name, records.withColumn("version", F.lit("v1")), root)
+    ranges = (ledger_from_events(T(spark, sf_dir, "events")).filter(F.col("status") == "SUCCESS")
+              .select("kpi", "from_id", "to_id").distinct())
+    cond = ((F.col("kpi") == F.col("__k")) & F.col("id").between(F.col("__lo"), F.col("__hi")))
+    pulled = records.join(ranges.select(F.col("kpi").alias("__k"), F.col("from_id").alias("__lo"),
+                                        F.col("to_id").alias("__hi")), cond, "left_semi")
+    result = replace_keyed_ranges(spark.table(name), pulled.withColumn("version", F.lit("v2")), ranges,
+                                  key="kpi", id_col="id")
+    commit_version(spark, name, result, root)
+    return spark.table(name)
+
+
+@register("partition_replace", """
+    SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, 'prod' AS api_environment,
+           CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN 'v2' ELSE 'v1' END AS version
+    FROM events
+""")
+def q_partition_replace(spark, sf_dir):
+    """K7: reload of three days replaces exactly those (date, environment) partitions."""
+    from ferrum.sinks.writers import overwrite_partitions
+    ev = T(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit("prod").alias("api_environment"))
+    path = scratch_path(spark, "daily")
+    overwrite_partitions(ev.withColumn("version", F.lit("v1")), path, ["date", "api_environment"])
+    batch = ev.filter(F.col("date").between("2024-01-10", "2024-01-12")).withColumn("version", F.lit("v2"))
+    overwrite_partitions(batch, path, ["date", "api_environment"])
+    return spark.read.schema("event_id bigint, version string, date string, api_environment string").parquet(path)
+
+
+@register("full_replace", "SELECT event_id, user_id, 'v2' AS version FROM events")
+def q_full_replace(spark, sf_dir):
+    """K8: a table flagged for full replacement is overwritten as a whole."""
+    from ferrum.sinks.writers import overwrite_all
+    ev = T(spark, sf_dir, "events").select("event_id", "user_id")
+    path = scratch_path(spark, "full")
+    overwrite_all(ev.withColumn("version", F.lit("v1")), path)
+    overwrite_all(ev.withColumn("version", F.lit("v2")), path)
+    return spark.read.parquet(path)
+
+
+@register("merge_non_null", """
+    WITH cur AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer),
+    upd AS (
+        SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, CAST(0.0 AS DOUBLE) AS c_acctbal,
+               CAST(NULL AS VARCHAR) AS c_mktsegment
+        FROM customer WHERE c_acctbal < 0
+        UNION ALL
+        SELECT s_suppkey + 1000000000, s_name, s_acctbal, 'SUPPLIER' FROM supplier)
+    SELECT coalesce(cur.c_custkey, upd.c_custkey) AS c_custkey, coalesce(upd.c_name, cur.c_name) AS c_name,
+           coalesce(upd.c_acctbal, cur.c_acctbal) AS c_acctbal,
+           coalesce(upd.c_mktsegment, cur.c_mktsegment) AS c_mktsegment
+    FROM cur FULL OUTER JOIN upd ON cur.c_custkey = upd.c_custkey
+""")
+def q_merge_non_null(spark, sf_dir):
+    """Upsert where only non-NULL update values overwrite."""
+    from ferrum.sinks.writers import merge_non_null
+    cur = T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    upd = (cur.filter(F.col("c_acctbal") < 0).select(
+        "c_custkey", F.lit(None).cast("string").alias("c_name"), F.lit(0.0).alias("c_acctbal"),
+        F.lit(None).cast("string").alias("c_mktsegment"))
+        .unionByName(T(spark, sf_dir, "supplier").select(
+            (F.col("s_suppkey") + 1000000000).alias("c_custkey"), F.col("s_name").alias("c_name"),
+            F.col("s_acctbal").alias("c_acctbal"), F.lit("SUPPLIER").alias("c_mktsegment"))))
+    return merge_non_null(cur, upd, "c_custkey")
+
+
+def _route_values_sql():
+    from ferrum.sources.routing import EXAMPLE_ROUTES
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        return "'" + str(v).replace("'", "''") + "'"
+    rows = ",\n".join("(" + ", ".join(lit(v) for v in r) + ")" for r in EXAMPLE_ROUTES)
+    return (f"SELECT * FROM (VALUES {rows}) AS t(root, sub, target_table, format, sep, header, quote, "
+            "compression, replace_all)")
+
+
+SQL_STORAGE_KEYS = """
+    SELECT event_id,
+           CASE event_type WHEN 'view' THEN 'dmp' WHEN 'click' THEN 'vcf' WHEN 'purchase' THEN 'auto_import'
+                WHEN 'error' THEN 'identity' ELSE 'legacy' END || '/' ||
+           CASE event_type WHEN 'view' THEN (CASE WHEN value < 100 THEN 'appstate' ELSE 'ingestordata' END)
+                WHEN 'click' THEN (CASE WHEN value < 100 THEN 'measurements' ELSE 'telemetry' END)
+                WHEN 'purchase' THEN 'purchases' ELSE 'misc' END || '/' ||
+           strftime(ts, '%Y%m%d') || '_' || CAST(event_id AS VARCHAR) || '.csv' AS key
+    FROM events
+"""
+
+
+def _storage_keys(spark, sf_dir):
+    e = T(spark, sf_dir, "events")
+    t = F.col("event_type")
+    root = (F.when(t == "view", "dmp").when(t == "click", "vcf").when(t == "purchase", "auto_import")
+            .when(t == "error", "identity").otherwise("legacy"))
+    sub = (F.when(t == "view", F.when(F.col("value") < 100, "appstate").otherwise("ingestordata"))
+           .when(t == "click", F.when(F.col("value") < 100, "measurements").otherwise("telemetry"))
+           .when(t == "purchase", "purchases").otherwise("misc"))
+    key = F.concat_ws("/", root, sub, F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_"),
+                                               F.col("event_id").cast("string"), F.lit(".csv")))
+    return e.select("event_id", key.alias("key"))
+
+
+@register("route_keys", _sql("""
+    WITH k AS {k}, r AS {r}
+    SELECT k.event_id, k.key, split_part(k.key, '/', 1) AS root, split_part(k.key, '/', 2) AS sub_key,
+           CASE WHEN r.sub = '*' THEN split_part(k.key, '/', 2) ELSE r.target_table END AS target_table,
+           r.format, r.sep, r.header, r.quote, r.compression, r.replace_all,
+           CASE WHEN r.root IS NULL THEN 'unrouted' ELSE 'routed' END AS status
+    FROM k LEFT JOIN r ON split_part(k.key, '/', 1) = r.root
+         AND (r.sub IS NULL OR r.sub = '*' OR r.sub = split_part(k.key, '/', 2))
+""", k=SQL_STORAGE_KEYS, r=_route_values_sql()))
+def q_route_keys(spark, sf_dir):
+    """S5 S5a-e S6 F15: storage keys resolved to target tables and reader options."""
+    from ferrum.sources.routing import resolve_routes, route_table
+    return resolve_routes(_storage_keys(spark, sf_dir), route_table(spark))
+
+
+@register("load_report", """
+    SELECT CASE event_type WHEN 'view' THEN 'dmp_kpi_appstate' WHEN 'click' THEN 'vcf'
+                WHEN 'purchase' THEN 'purchases' WHEN 'error' THEN 'identity_kit' END AS target_table,
+           'append' AS action, count(*) AS n_rows
+    FROM events WHERE event_type <> 'signup' GROUP BY 1
+""")
+def q_load_report(spark, sf_dir):
+    """Files landed under route prefixes, each route loaded with its
+    own reader options in one read, rows reported per target table; keys with no
+    route (here the signup drop) are not loaded."""
+    from ferrum.sinks.writers import write_csv
+    from ferrum.sources.routing import load_report, load_routes, route_table
+    base = scratch_path(spark, "landing")
+    e = T(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
+                                          F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    drops = {"view": "dmp/appstate", "click": "vcf/measurements", "purchase": "auto_import/purchases",
+             "error": "identity", "signup": "legacy/misc"}
+    for etype, prefix in drops.items():
+        write_csv(e.filter(F.col("event_type") == etype), f"{base}/{prefix}")
+    loaded = load_routes(spark, base, route_table(spark))
+    return load_report(loaded).select("target_table", "action", "n_rows")
+
+
+@register("file_selection", """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+           value, strftime(ts, '%Y%m%d') || '_events' AS filename
+    FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30'
+""")
+def q_file_selection(spark, sf_dir):
+    """Of a folder of daily drops, only yesterday's non-empty
+    ``YYYYMMDD_*.csv`` files are read."""
+    from ferrum.sources.files import select_input_files
+    e = T(spark, sf_dir, "events")
+    root = scratch_path(spark, "drops")
+    (e.select("event_id", "user_id", "value",
+              F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_events.csv")).alias("landing_file"))
+       .write.partitionBy("landing_file").option("header", True).csv(root))
+    got = select_input_files(spark, root, "2024-01-30", name_from="parent")
+    return got.select("event_id", "user_id", F.col("value").try_cast("double").alias("value"), "filename")
+
+
+@register("landing_dates", """
+    SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+           count(*) AS n_rows,
+           'events/' || strftime(ts, '%Y/%m/%d') || '/events.json' AS key
+    FROM events GROUP BY 1, 2, 3, 5
+""")
+def q_landing_dates(spark, sf_dir):
+    """K5: date-path layout root/YYYY/MM/DD, written partitioned and read back."""
+    from ferrum.sinks.writers import date_layout_key, with_date_parts
+    e = T(spark, sf_dir, "events")
+    path = scratch_path(spark, "by-date")
+    with_date_parts(e.select("event_id", "ts"), "ts").write.partitionBy("year", "month", "day").parquet(path)
+    back = spark.read.schema("event_id bigint, ts timestamp_ntz, year string, month string, day string").parquet(path)
+    g = back.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
+    day = F.to_date(F.concat_ws("-", "year", "month", "day"))
+    return g.withColumn("key", date_layout_key("events", F.lit("events.json"), day))
+
+
+@register("csv_roundtrip", """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    """Overwrite a CSV with header, read it back with every column as text."""
+    from ferrum.sinks.writers import write_csv
+    from ferrum.sources.files import read_csv_strings
+    path = scratch_path(spark, "csv")
+    write_csv(T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), path)
+    back = read_csv_strings(spark, path)
+    return back.select("c_custkey", "c_name", F.col("c_acctbal").try_cast("double").alias("c_acctbal"),
+                       "c_mktsegment")

@@ -194,8 +194,8 @@ def ledger_from_events(events: DataFrame) -> DataFrame:
     kpi = user, from_id = the 100-id block of the event, attempts of the same
     (kpi, from_id) are numbered by event id (retries 0, 1, ...).
     """
-    status = (F.when((F.col("event_type") == "view") & (F.col("value") < 10), "RUNNING")
-              .when((F.col("event_type") == "error") & (F.col("value") < 50), "FAILED")
+    status = (F.when((F.col("event_type") == "view") & (F.col("value") < 3), "RUNNING")
+              .when((F.col("event_type") == "error") & (F.col("value") < 10), "FAILED")
               .otherwise("SUCCESS"))
     from_id = (F.floor(F.col("event_id") / LEDGER_BLOCK) * LEDGER_BLOCK).cast("bigint")
     base = events.select(

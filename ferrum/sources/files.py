@@ -72,19 +72,33 @@ def dated_file_pattern(prefix: str, day: Column) -> Column:
     return F.concat(F.lit("^" + prefix), F.date_format(day, "yyyyMMdd"), F.lit("_.*\\.csv$"))
 
 
+def logical_file_name(name_from: str = "file") -> Column:
+    """Name of the landed file a row came from.
+
+    ``"file"``: the file itself. ``"parent"``: the folder holding the part files
+    (a Spark-written ``x.csv/part-*`` drop, or a ``col=x.csv`` partition folder).
+    """
+    if name_from == "file":
+        return F.col("_metadata.file_name")
+    parent = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+    return F.regexp_replace(parent, "^[^=]*=", "")
+
+
 def select_input_files(spark: SparkSession, folder: str, day: str, prefix: str = "",
-                       sep: str = ",") -> DataFrame:
+                       sep: str = ",", name_from: str = "file") -> DataFrame:
     """Rows of the CSV files of one day: name ``<prefix>YYYYMMDD_*.csv``, size > 0.
 
-    The name and size tests run on the ``_metadata`` columns, which Spark uses to
-    prune files before they are opened. Folders and other days never get read.
+    The name is matched in full (``x.csv.bak`` does not match). The tests run on
+    the ``_metadata`` columns, which Spark evaluates per file, so rows of other
+    files are dropped right at the scan.
     """
     day_text = day.replace("-", "")
     pattern = anchored(f"{prefix}{day_text}_.*\\.csv")
+    name = logical_file_name(name_from)
     df = (spark.read.option("header", True).option("sep", sep).option("pathGlobFilter", "*.csv")
           .option("recursiveFileLookup", True).csv(folder))
-    return (df.filter(F.col("_metadata.file_name").rlike(pattern) & (F.col("_metadata.file_size") > 0))
-            .withColumn("filename", file_stem(F.col("_metadata.file_name"))))
+    return (df.filter(name.rlike(pattern) & (F.col("_metadata.file_size") > 0))
+            .withColumn("filename", file_stem(name)))
 
 
 def inline_rows(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:
