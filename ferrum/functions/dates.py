@@ -84,9 +84,15 @@ def inclusive_days(start, end, reversed_mode: str = "swap") -> Column:
     raise ValueError(f"unknown reversed_mode {reversed_mode!r}")
 
 
-def trailing_days(as_of, days: int) -> Column:
-    """The ``max(days, 2) - 1`` days that end the day before ``as_of``, ascending."""
-    n = max(int(days), 2) - 1
+def trailing_days(as_of, days) -> Column:
+    """The ``max(days, 2) - 1`` days that end the day before ``as_of``, ascending.
+
+    ``days`` is an int or an integer column (one interval per row).
+    """
+    if isinstance(days, int):
+        n = F.lit(max(days, 2) - 1)
+    else:
+        n = F.greatest(_c(days).cast("int"), F.lit(2)) - 1
     d = F.to_date(_c(as_of))
     return F.sequence(F.date_sub(d, n), F.date_sub(d, 1), F.expr("INTERVAL 1 DAY"))
 

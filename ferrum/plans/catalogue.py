@@ -1068,3 +1068,237 @@ def q_csv_roundtrip(spark, sf_dir):
     back = read_csv_strings(spark, path)
     return back.select("c_custkey", "c_name", F.col("c_acctbal").try_cast("double").alias("c_acctbal"),
                        "c_mktsegment")
+
+
+# --------------------------------------------------------------------------------------
+# 7. Column shapes, scalar functions, rejects, day intervals, DDL
+
+ALIGN_FIXED = ["id", "timestamp", "country", "period", "status_reg", "status_dp", "status_app",
+               "app_installed", "dp_coupled", "favourite_dealerId", "app_date", "os"]
+
+
+@register("align_columns", """
+    SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+           CASE WHEN event_type IN ('view', 'purchase') THEN 'DE' END AS country,
+           CASE WHEN event_type = 'click' THEN 'daily' END AS period,
+           CASE WHEN event_type = 'view' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS status_reg,
+           '' AS status_dp, '' AS status_app,
+           CASE WHEN event_type = 'purchase' THEN 'true' END AS app_installed,
+           '' AS dp_coupled, '' AS favourite_dealerId, '' AS app_date,
+           CASE WHEN event_type = 'click' THEN 'android' END AS os,
+           CASE WHEN event_type = 'error' THEN 'E' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS error_code
+    FROM events
+""")
+def q_align_columns(spark, sf_dir):
+    """Ragged JSON records (schema inferred on read) aligned to the fixed
+    column list; absent columns filled with '', unknown ones appended."""
+    from ferrum.operators.columns import align_columns
+    from ferrum.sources.files import read_json
+    e = T(spark, sf_dir, "events")
+    t = F.col("event_type")
+    rec = F.struct(
+        F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.when(t.isin("view", "purchase"), "DE").alias("country"),
+        F.when(t == "click", "daily").alias("period"),
+        F.when(t == "view", F.floor("value").cast("string")).alias("status_reg"),
+        F.when(t == "purchase", "true").alias("app_installed"),
+        F.when(t == "click", "android").alias("os"),
+        F.when(t == "error", F.concat(F.lit("E"), F.floor("value").cast("string"))).alias("error_code"))
+    path = scratch_path(spark, "records")
+    e.select(F.to_json(rec).alias("value")).write.text(path)
+    return align_columns(read_json(spark, path), ALIGN_FIXED)
+
+
+@register("status_normalise", """
+    SELECT event_id,
+           coalesce(TRY_CAST(CASE WHEN value < 100 THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS INTEGER), 0) AS status_reg,
+           coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS status_dp,
+           coalesce(TRY_CAST(CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN 'yes' ELSE '1' END AS INTEGER), 0) AS status_app,
+           coalesce(TRY_CAST(CASE WHEN value > 200 THEN '0' END AS INTEGER), 0) AS app_installed
+    FROM events
+""")
+def q_status_normalise(spark, sf_dir):
+    """P5: NULL / empty / non-numeric status text -> 0, numbers -> int."""
+    from ferrum.operators.columns import normalize_status
+    e = T(spark, sf_dir, "events")
+    t = F.col("event_type")
+    raw = e.select(
+        "event_id",
+        F.when(F.col("value") < 100, F.floor("value").cast("string")).alias("status_reg"),
+        F.get_json_object("props", "$.k").alias("status_dp"),
+        F.when(t == "error", "").when(t == "signup", "yes").otherwise("1").alias("status_app"),
+        F.when(F.col("value") > 200, "0").alias("app_installed"))
+    return normalize_status(raw, ["status_reg", "status_dp", "status_app", "app_installed"])
+
+
+@register("snake_case_values", r"""
+    WITH r AS (
+        SELECT event_id,
+               upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) || 'Event'
+                 || upper(substr(event_type, 1, 2)) || 'Id' || CAST(user_id AS VARCHAR) || 'Value' AS raw
+        FROM events)
+    SELECT event_id, raw,
+           lower(regexp_replace(regexp_replace(raw, '(.)([A-Z][a-z]+)', '\1_\2', 'g'),
+                                '([a-z0-9])([A-Z])', '\1_\2', 'g')) AS snake
+    FROM r
+""")
+def q_snake_case_values(spark, sf_dir):
+    """camelCase -> snake_case on values (two regex passes + lower)."""
+    from ferrum.functions.text import snake_case
+    e = T(spark, sf_dir, "events")
+    raw = F.concat(F.initcap("event_type"), F.lit("Event"), F.upper(F.substring("event_type", 1, 2)),
+                   F.lit("Id"), F.col("user_id").cast("string"), F.lit("Value"))
+    return e.select("event_id", raw.alias("raw")).withColumn("snake", snake_case("raw"))
+
+
+SCALAR_AS_OF = "2001-08-02 06:30:15.123456"
+
+
+@register("scalar_dates_text", r"""
+    SELECT o_orderkey,
+           CAST(epoch(o_orderdate) AS BIGINT) AS epoch_s,
+           '2001-08-02' AS as_of_day,
+           '2001-08-02 06:30:15' AS load_ts,
+           strftime(CAST(o_orderdate AS DATE) - INTERVAL 3 DAY, '%Y%m%d') AS day_minus_3,
+           strftime(strptime(strftime(o_orderdate, '%Y%m%d'), '%Y%m%d'), '%d.%m.%Y') AS dotted,
+           date_diff('day', o_orderdate, TIMESTAMP '2001-08-02 06:30:15.123456') AS age_days,
+           CAST(o_orderdate AS DATE) = DATE '2001-08-02' AS same_day,
+           strftime(o_orderdate + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS plus_15_min,
+           strftime(strptime(strftime(o_orderdate, '%Y%j'), '%Y%j'), '%Y-%m-%d') AS from_day_of_year,
+           regexp_full_match(strftime(o_orderdate, '%Y%m%d') || '_' || o_orderpriority || '.csv',
+                             '\d{8}_1-URGENT\.csv') AS urgent_file,
+           string_split(o_orderpriority, '-')[-1] AS priority_word,
+           'contracts/' || o_orderstatus || '/' || strftime(o_orderdate, '%Y%m%d') || '.csv' AS object_key,
+           url_decode(replace(replace(o_orderpriority, '-', '%2F') || '+' || o_orderstatus, '+', ' ')) AS decoded,
+           lower(o_orderpriority) AS lower_p, upper(o_orderpriority) AS upper_p,
+           replace('''' || o_orderstatus || '''', '''', '') AS unquoted,
+           CAST(CAST(ROUND(o_totalprice / 7, 4) AS DECIMAL(18,4)) AS DOUBLE) AS price_dec,
+           'DE' AS country
+    FROM orders
+""")
+def q_scalar_dates_text(spark, sf_dir):
+    """F2 F4-F6 F9 F11 F12 F15-F17 F19 F22 in one projection (no shuffle)."""
+    from ferrum.functions import dates as D
+    from ferrum.functions import text as X
+    o = T(spark, sf_dir, "orders")
+    as_of = D.as_of_literal(SCALAR_AS_OF)
+    file_name = F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.col("o_orderpriority"), F.lit(".csv"))
+    return o.select(
+        "o_orderkey",
+        D.epoch_seconds(F.col("o_orderdate")).alias("epoch_s"),
+        F.date_format(F.to_date(as_of), "yyyy-MM-dd").alias("as_of_day"),
+        ts_text(F.date_trunc("second", as_of)).alias("load_ts"),
+        D.days_before(F.col("o_orderdate"), 3, "yyyyMMdd").alias("day_minus_3"),
+        D.reformat_compact_day(F.date_format("o_orderdate", "yyyyMMdd")).alias("dotted"),
+        D.day_age(F.col("o_orderdate"), as_of).alias("age_days"),
+        D.same_day(F.col("o_orderdate"), as_of).alias("same_day"),
+        ts_text(F.col("o_orderdate") + F.expr("INTERVAL 15 MINUTES")).alias("plus_15_min"),
+        F.date_format(D.parse_day_of_year(F.date_format("o_orderdate", "yyyyDDD")), "yyyy-MM-dd").alias("from_day_of_year"),
+        file_name.rlike(X.anchored("\\d{8}_1-URGENT\\.csv")).alias("urgent_file"),
+        F.element_at(F.split("o_orderpriority", "-"), -1).alias("priority_word"),
+        F.concat_ws("/", F.lit("contracts"), "o_orderstatus",
+                    F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".csv"))).alias("object_key"),
+        X.url_decode_plus(F.concat(F.regexp_replace("o_orderpriority", "-", "%2F"), F.lit("+"),
+                                   F.col("o_orderstatus"))).alias("decoded"),
+        F.lower("o_orderpriority").alias("lower_p"), F.upper("o_orderpriority").alias("upper_p"),
+        F.regexp_replace(F.concat(F.lit("'"), F.col("o_orderstatus"), F.lit("'")), "'", "").alias("unquoted"),
+        D.to_decimal4(F.col("o_totalprice") / 7).cast("double").alias("price_dec"),
+        F.lit("DE").alias("country"))
+
+
+@register("reject_report", """
+    SELECT l_orderkey, l_linenumber, l_partkey, 'returned item ' || CAST(l_linenumber AS VARCHAR) AS error_message
+    FROM lineitem WHERE l_returnflag = 'R'
+""")
+def q_reject_report(spark, sf_dir):
+    """Ordinals quoted in per-batch error texts matched back to the records."""
+    from ferrum.operators.rejects import rejected_records
+    from ferrum.plans.standins import with_batches
+    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    records = with_batches(li, 50, batch="batch", ordinal="ordinal")
+    line = F.when(F.col("l_returnflag") == "R", F.concat(
+        F.lit("Description: /"), F.col("ordinal").cast("string"), F.lit("/ returned item "),
+        F.col("l_linenumber").cast("string")))
+    responses = (records.groupBy("batch")
+                 .agg(F.concat_ws("\n", F.collect_list(line)).alias("error_text"))
+                 .filter(F.length("error_text") > 0))
+    out = rejected_records(records, responses, ["batch"])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "error_message")
+
+
+@register("date_interval", """
+    SELECT l.l_orderkey, l.l_linenumber,
+           CASE WHEN CAST(o.o_orderdate AS DATE) <= CAST(l.l_shipdate AS DATE)
+                THEN date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) + 1 ELSE 0 END AS n_days,
+           CASE WHEN CAST(l.l_shipdate AS DATE) <= CAST(o.o_orderdate AS DATE)
+                THEN date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE)) + 1 ELSE 0 END AS n_days_reversed,
+           abs(date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE))) + 1 AS n_days_swapped,
+           strftime(least(CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)), '%Y-%m-%d') AS first_day,
+           greatest(l.l_linenumber, 2) - 1 AS n_trailing,
+           strftime(CAST(l.l_shipdate AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS last_trailing
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""")
+def q_date_interval(spark, sf_dir):
+    """Inclusive day ranges (empty when reversed / swapped) and trailing days."""
+    from ferrum.functions.dates import inclusive_days, trailing_days
+    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    fwd = inclusive_days("o_orderdate", "l_shipdate", "empty")
+    swapped = inclusive_days("l_shipdate", "o_orderdate", "swap")
+    trailing = trailing_days(F.col("l_shipdate"), F.col("l_linenumber"))
+    return j.select(
+        "l_orderkey", "l_linenumber",
+        F.size(fwd).alias("n_days"),
+        F.size(inclusive_days("l_shipdate", "o_orderdate", "empty")).alias("n_days_reversed"),
+        F.size(swapped).alias("n_days_swapped"),
+        F.date_format(F.element_at(swapped, 1), "yyyy-MM-dd").alias("first_day"),
+        F.size(trailing).alias("n_trailing"),
+        F.date_format(F.element_at(trailing, -1), "yyyy-MM-dd").alias("last_trailing"))
+
+
+@register("day_pull_status", """
+    WITH w AS (SELECT CAST(generate_series AS DATE) AS day
+               FROM generate_series(DATE '2023-12-30', DATE '2024-02-02', INTERVAL 1 DAY)),
+    d AS (SELECT CAST(ts AS DATE) AS day,
+                 count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase' AND value > 300) AS n_clients
+          FROM events GROUP BY 1)
+    SELECT strftime(w.day, '%Y-%m-%d') AS day, d.n_clients,
+           CASE WHEN d.n_clients IS NULL THEN 'error' WHEN d.n_clients = 0 THEN 'empty' ELSE 'loaded' END AS status,
+           CASE WHEN d.n_clients > 0 THEN 'prod' END AS api_environment
+    FROM w LEFT JOIN d ON w.day = d.day
+""")
+def q_day_pull_status(spark, sf_dir):
+    """Wanted days vs landed day documents (loaded / empty / error);
+    the pluggable processor runs on loaded days only."""
+    from ferrum.sources.days import day_pull_status, wanted_days
+    e = T(spark, sf_dir, "events")
+    docs = e.groupBy(F.to_date("ts").alias("day")).agg(
+        F.countDistinct(F.when((F.col("event_type") == "purchase") & (F.col("value") > 300),
+                               F.col("user_id"))).alias("n_clients"))
+    wanted = wanted_days(spark, "2023-12-30", "2024-02-02")
+    out = day_pull_status(wanted, docs, processor=lambda df: df.withColumn("api_environment", F.lit("prod")))
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n_clients", "status", "api_environment")
+
+
+@register("ddl_users", """
+    SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name,
+           lower(replace(c_name, '#', '.')) || '@example.com' AS email,
+           '+49-' || CAST(c_custkey AS VARCHAR) AS tel
+    FROM customer
+""")
+def q_ddl_users(spark, sf_dir):
+    """Create the users table from its DDL, load it, check the key is unique."""
+    from ferrum.sinks.tables import create_users_table, duplicate_keys
+    import uuid as _uuid
+    name = f"users_{_uuid.uuid4().hex[:8]}"
+    create_users_table(spark, name, scratch_path(spark, "users"))
+    c = T(spark, sf_dir, "customer")
+    rows = c.select(F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"),
+                    F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+                    F.concat(F.lit("+49-"), F.col("c_custkey").cast("string")).alias("tel"))
+    rows.write.insertInto(name)
+    dups = duplicate_keys(spark.table(name), ["id"])
+    if dups.limit(1).count():
+        raise ValueError(f"duplicate primary keys in {name}")
+    return spark.table(name)

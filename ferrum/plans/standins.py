@@ -111,11 +111,25 @@ def general_information_messages(orders: DataFrame) -> DataFrame:
     return orders.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
 
 
+def with_batches(df: DataFrame, size: int = MAX_ELEMENTS_PER_MESSAGE,
+                 batch: str = "chunk", ordinal: str | None = None) -> DataFrame:
+    """Cut rows into batches of at most ``size`` rows without a shuffle.
+
+    The scan-time row id is consecutive inside a partition, so ``id / size``
+    never puts more than ``size`` rows in one batch, however the rows are spread
+    over keys: a very large order becomes several messages, and no group ever
+    collects an unbounded list. ``ordinal`` (optional) is the 0-based position
+    inside the batch.
+    """
+    rid = F.monotonically_increasing_id()
+    out = df.withColumn("__rid", rid).withColumn(batch, F.floor(F.col("__rid") / size))
+    if ordinal:
+        out = out.withColumn(ordinal, (F.col("__rid") - F.col(batch) * size).cast("int"))
+    return out.drop("__rid")
+
+
 def _chunked(lineitem: DataFrame) -> DataFrame:
-    # Messages carry at most MAX_ELEMENTS_PER_MESSAGE elements: a very large order
-    # becomes several messages, so no group ever collects an unbounded list.
-    return lineitem.withColumn(
-        "chunk", F.floor((F.col("l_linenumber") - 1) / MAX_ELEMENTS_PER_MESSAGE))
+    return with_batches(lineitem)
 
 
 def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
