@@ -1302,3 +1302,54 @@ def q_ddl_users(spark, sf_dir):
     if dups.limit(1).count():
         raise ValueError(f"duplicate primary keys in {name}")
     return spark.table(name)
+
+
+# --------------------------------------------------------------------------------------
+# 8. Streaming
+
+@register("stream_landing", """
+    SELECT CASE WHEN event_type = 'signup' THEN 'unknown' ELSE upper(event_type) END AS msg_type,
+           strftime(ts, '%Y-%m-%d') AS landing_date, 'DE' AS country, count(*) AS n_messages
+    FROM events GROUP BY 1, 2
+""")
+def q_stream_landing(spark, sf_dir):
+    """Queued messages landed by a checkpointed file-sink stream
+    (availableNow, bounded files per trigger), read back and counted."""
+    from ferrum.plans.standins import queue_messages
+    from ferrum.streaming.landing import land_messages, read_landed
+    root = scratch_path(spark, "queue")
+    queue_messages(T(spark, sf_dir, "events")).select("received_at", "body").write.json(f"{root}/in")
+    q = land_messages(spark, f"{root}/in", f"{root}/landed", f"{root}/checkpoint", max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    landed = read_landed(spark, f"{root}/landed")
+    return landed.groupBy("msg_type", "landing_date", "country").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
+ALARM_DELAY = "1 hour"
+
+
+@register("kpi_alarm_stream", """
+    WITH w AS (
+        SELECT time_bucket(INTERVAL 15 MINUTES, ts) AS ws, event_type, min(value) AS stat
+        FROM events GROUP BY 1, 2)
+    SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(ws + INTERVAL 15 MINUTES, '%Y-%m-%d %H:%M:%S') AS window_end,
+           event_type, stat, CASE WHEN stat <= 5 THEN 'ALARM' ELSE 'OK' END AS state
+    FROM w WHERE ws + INTERVAL 15 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+""")
+def q_kpi_alarm_stream(spark, sf_dir):
+    """The alarm as a watermarked stream (NTZ cast to timestamp, 1 h delay);
+    append mode emits exactly the windows the watermark has closed."""
+    from ferrum.streaming.alarm import start_alarm
+    root = scratch_path(spark, "alarm")
+    q = start_alarm(spark, sf_dir, "ts timestamp_ntz, event_type string, value double", f"{root}/out",
+                    f"{root}/checkpoint", ts="ts", value="value", keys=["event_type"], glob="events.parquet",
+                    period_seconds=900, threshold=5.0, delay=ALARM_DELAY)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(ts_text("window_start").alias("window_start"), ts_text("window_end").alias("window_end"),
+                      "event_type", "stat", "state")
