@@ -190,3 +190,19 @@ def validate_ranges(jobs: DataFrame, scanned: DataFrame, *, id_col: str = "id",
 def preview(df: DataFrame, n: int = 50) -> list:
     """The first ``n`` records, for logging (a bounded take, never the whole range)."""
     return df.take(n)
+
+
+def id_range(records: DataFrame, id_col: str, from_id: int, mode: str = "unbounded", *,
+             batch_size: int = BATCH_SIZE, to_id: int | None = None) -> DataFrame:
+    """One manual id-range pull: ``id >= from_id`` (unbounded), ``from_id..to_id`` or
+    ``from_id..from_id + batch_size`` (bounded). ``to_id <= from_id`` is an error."""
+    c = F.col(id_col)
+    if mode == "unbounded":
+        return records.filter(c >= from_id)
+    if mode != "bounded":
+        raise ValueError(f"unknown mode {mode!r}")
+    if to_id is not None:
+        if to_id <= from_id:
+            raise ValueError(f"to_id ({to_id}) must be greater than from_id ({from_id})")
+        return records.filter(c.between(from_id, to_id))
+    return records.filter(c.between(from_id, from_id + batch_size))
