@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrum.session import ensure_utc, scratch_path, table
+from ferrum.session import ensure_utc, scratch_path, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -1145,7 +1145,7 @@ def q_status_normalise(spark, sf_dir):
 def q_snake_case_values(spark, sf_dir):
     """camelCase -> snake_case on values (two regex passes + lower)."""
     from ferrum.functions.text import snake_case
-    e = T(spark, sf_dir, "events")
+    e = spread(T(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), ["event_id"])
     raw = F.concat(F.initcap("event_type"), F.lit("Event"), F.upper(F.substring("event_type", 1, 2)),
                    F.lit("Id"), F.col("user_id").cast("string"), F.lit("Value"))
     return e.select("event_id", raw.alias("raw")).withColumn("snake", snake_case("raw"))
@@ -1180,7 +1180,8 @@ def q_scalar_dates_text(spark, sf_dir):
     """F2 F4-F6 F9 F11 F12 F15-F17 F19 F22 in one projection (no shuffle)."""
     from ferrum.functions import dates as D
     from ferrum.functions import text as X
-    o = T(spark, sf_dir, "orders")
+    o = spread(T(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
+                                                  "o_totalprice"), ["o_orderkey"])
     as_of = D.as_of_literal(SCALAR_AS_OF)
     file_name = F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.col("o_orderpriority"), F.lit(".csv"))
     return o.select(
@@ -1319,7 +1320,7 @@ def q_stream_landing(spark, sf_dir):
     from ferrum.streaming.landing import land_messages, read_landed
     root = scratch_path(spark, "queue")
     queue_messages(T(spark, sf_dir, "events")).select("received_at", "body").write.json(f"{root}/in")
-    q = land_messages(spark, f"{root}/in", f"{root}/landed", f"{root}/checkpoint", max_files_per_trigger=2)
+    q = land_messages(spark, f"{root}/in", f"{root}/landed", f"{root}/checkpoint", max_files_per_trigger=4)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

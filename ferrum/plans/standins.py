@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrum.session import spread
+
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MAX_ELEMENTS_PER_MESSAGE = 50
 
@@ -108,7 +110,9 @@ def general_information_messages(orders: DataFrame) -> DataFrame:
         ts.alias("sourceTimestamp"),
         msg.alias("message"),
     ))
-    return orders.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
+    src = spread(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
+                 ["o_orderkey"])
+    return src.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
 
 
 def with_batches(df: DataFrame, size: int = MAX_ELEMENTS_PER_MESSAGE,
@@ -129,7 +133,16 @@ def with_batches(df: DataFrame, size: int = MAX_ELEMENTS_PER_MESSAGE,
 
 
 def _chunked(lineitem: DataFrame) -> DataFrame:
-    return with_batches(lineitem)
+    """Split each order's line items into ``ceil(n / MAX_ELEMENTS_PER_MESSAGE)``
+    hash buckets: an ordinary order stays one message, a very large order becomes
+    many messages of about MAX_ELEMENTS_PER_MESSAGE elements, so no collected
+    list grows with the data. The per-order count is a map-side-combined
+    aggregate; the join back on the order key is split by AQE when one order is hot.
+    """
+    n = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+    buckets = F.greatest(F.ceil(F.col("__n") / MAX_ELEMENTS_PER_MESSAGE), F.lit(1)).cast("int")
+    chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), buckets)
+    return lineitem.join(n, "l_orderkey").withColumn("chunk", chunk).drop("__n")
 
 
 def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -193,7 +206,7 @@ def queue_messages(events: DataFrame) -> DataFrame:
     untyped = F.to_json(F.struct(
         F.col("event_id").alias("event_id"), F.col("user_id").alias("user_id"),
         F.col("value").alias("value")))
-    return events.select(
+    return spread(events.select("event_id", "ts", "event_type", "user_id", "value"), ["event_id"]).select(
         "event_id", F.col("ts").cast("timestamp").alias("received_at"),
         F.when(F.col("event_type") == "signup", untyped).otherwise(typed).alias("body"))
 

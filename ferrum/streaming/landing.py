@@ -29,7 +29,10 @@ def land_messages(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the landing stream (every message stored, none dropped)."""
     routed = route_messages(message_stream(spark, source_dir, max_files_per_trigger), country=country)
-    out = routed.select("received_at", "body", "landing_key", *LANDING_PARTITIONS)
+    # One writer task per landing folder and micro-batch instead of one file per
+    # (input split x folder); a hot message type is bounded by the batch size.
+    out = (routed.select("received_at", "body", "landing_key", *LANDING_PARTITIONS)
+           .repartition(*LANDING_PARTITIONS))
     w = (out.writeStream.format("json").outputMode("append")
          .option("checkpointLocation", checkpoint_dir).partitionBy(*LANDING_PARTITIONS))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
