@@ -38,7 +38,7 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | No
     if stats["n"] == 0:
         return left
     if stats["has_null"]:
-        return left.limit(0)
+        return left.filter(F.lit(False))
     keys = right.select(F.col(right_key).alias("__nin_key"))
     return (left.filter(F.col(left_key).isNotNull())
             .join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti"))

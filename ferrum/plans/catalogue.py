@@ -120,7 +120,10 @@ def q_ingest_partitions(spark, sf_dir):
     sig = normalize_signals(signals_from_events(T(spark, sf_dir, "events")), SIGNALS_AS_OF)
     path = scratch_path(spark, "signals")
     salted_partition_write(sig, path, SIGNAL_PARTITION_COLUMNS, files_per_partition=4)
-    back = spark.read.parquet(path)
+    import uuid as _uuid
+
+    from ferrum.sources.sql import register_partitioned_table
+    back = register_partitioned_table(spark, f"signals_{_uuid.uuid4().hex[:8]}", path)
     return back.groupBy(*SIGNAL_PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -1354,3 +1357,108 @@ def q_kpi_alarm_stream(spark, sf_dir):
     out = spark.read.parquet(f"{root}/out")
     return out.select(ts_text("window_start").alias("window_start"), ts_text("window_end").alias("window_end"),
                       "event_type", "stat", "state")
+
+
+# --------------------------------------------------------------------------------------
+# 9. Query scans and end-to-end jobs
+
+@register("consent_sql", _sql("""
+    SELECT CAST(c.c_custkey AS VARCHAR) AS vehicle_vin, c.c_name AS customer_name, n.n_name AS nation,
+           r.r_name AS region
+    FROM customer c
+    JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey
+    WHERE n.n_name LIKE '%1%' AND c.c_mktsegment = 'BUILDING' AND r.r_name = 'ASIA'
+"""))
+def q_consent_sql(spark, sf_dir):
+    """The consent query as SQL text over registered views, columns named by the caller."""
+    import uuid as _uuid
+
+    from ferrum.sources.sql import query_table
+    sfx = _uuid.uuid4().hex[:8]
+    views = {f"customer_{sfx}": T(spark, sf_dir, "customer"), f"nation_{sfx}": T(spark, sf_dir, "nation"),
+             f"region_{sfx}": T(spark, sf_dir, "region")}
+    sql = f"""
+        SELECT CAST(c.c_custkey AS STRING), c.c_name, n.n_name, r.r_name
+        FROM customer_{sfx} c
+        JOIN nation_{sfx} n ON c.c_nationkey = n.n_nationkey
+        JOIN region_{sfx} r ON n.n_regionkey = r.r_regionkey
+        WHERE n.n_name LIKE '%1%' AND c.c_mktsegment = 'BUILDING' AND r.r_name = 'ASIA'
+    """
+    return query_table(spark, sql, ["vehicle_vin", "customer_name", "nation", "region"], views)
+
+
+@register("contract_pipeline", _sql("""
+    SELECT c.vehicleIdentificationNumber AS vehicle_identification_number,
+           c.subscriptionVehicleCategory AS subscription_vehicle_category, c.product,
+           strftime(TRY_CAST(c.inceptionDate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS inception_date,
+           strftime(TRY_CAST(c.contractEndDate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS contract_end_date,
+           TRY_CAST(c.duration AS DOUBLE) AS duration, '2001-08-02 06:30:15' AS event_timestamp,
+           replace(c.filename, '.csv', '') AS filename
+    FROM {raw} c JOIN {con} k ON c.vehicleIdentificationNumber = k.vehicle_vin
+""", raw=SQL_RAW_CONTRACTS, con=SQL_CONSENT_3WAY))
+def q_contract_pipeline(spark, sf_dir):
+    """Contract drops (CSV per file) through
+    consent, typing, per-file output and table appends; the stored contracts."""
+    import uuid as _uuid
+
+    from ferrum.plans.jobs import contract_pipeline, read_contract_drops
+    root = scratch_path(spark, "contracts-job")
+    raw = _raw_contracts(spark, sf_dir).drop("contract_id", "event_timestamp")
+    (raw.withColumnRenamed("filename", "landing_file").write.partitionBy("landing_file")
+        .option("header", True).csv(f"{root}/drops"))
+    drops = read_contract_drops(spark, f"{root}/drops", name_from="parent")
+    sfx = _uuid.uuid4().hex[:8]
+    contracts, _ = contract_pipeline(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,
+                                     contracts_table=f"contract_staging_{sfx}", kpi_table_name=f"kpi_{sfx}")
+    return contracts.withColumns({c: ts_text(c) for c in ("inception_date", "contract_end_date", "event_timestamp")})
+
+
+@register("incremental_load", f"""
+    {LEDGER_WITH},
+    C AS (SELECT kpi, from_id, retries - 1 AS retries FROM A WHERE action = 'retry_stale'),
+    U AS (
+        SELECT L.kpi, L.from_id, L.to_id,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN 'FAILED' ELSE L.status END AS status,
+               L.created_at,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN {LEDGER_TS} ELSE L.finished_at END AS finished_at,
+               L.retries,
+               CASE WHEN C.kpi IS NOT NULL AND L.status = 'RUNNING' AND L.finished_at IS NULL THEN 'STALE JOB' ELSE L.details END AS details
+        FROM L LEFT JOIN C ON L.kpi = C.kpi AND L.from_id = C.from_id AND L.retries = C.retries
+        UNION ALL
+        SELECT kpi, from_id, CAST(NULL AS BIGINT), 'RUNNING', {LEDGER_TS}, CAST(NULL AS TIMESTAMP), retries, CAST(NULL AS VARCHAR)
+        FROM A WHERE action <> 'wait'),
+    S AS ({SQL_SCAN}),
+    G AS (SELECT kpi, job_from_id, count(*) AS n_rows, max(id) AS max_id FROM S GROUP BY kpi, job_from_id),
+    V AS (
+        SELECT A.kpi, A.from_id, A.retries,
+               CASE WHEN coalesce(G.n_rows, 0) = 0 THEN 'empty'
+                    WHEN G.max_id = 0 OR G.max_id < A.from_id THEN 'invalid'
+                    WHEN G.max_id - A.from_id < 100 THEN 'too_small' ELSE 'load' END AS outcome,
+               G.max_id
+        FROM A LEFT JOIN G ON A.kpi = G.kpi AND A.from_id = G.job_from_id
+        WHERE A.from_id IS NOT NULL),
+    X AS (
+        SELECT U.*, V.kpi IS NOT NULL AND U.status = 'RUNNING' AND U.finished_at IS NULL AS hit, V.outcome, V.max_id
+        FROM U LEFT JOIN V ON U.kpi = V.kpi AND U.from_id = V.from_id AND U.retries = V.retries)
+    SELECT kpi, from_id,
+           CASE WHEN hit AND outcome = 'load' THEN max_id ELSE to_id END AS to_id,
+           CASE WHEN hit THEN (CASE WHEN outcome = 'load' THEN 'SUCCESS' ELSE 'FAILED' END) ELSE status END AS status,
+           strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+           strftime(CASE WHEN hit THEN {LEDGER_TS} ELSE finished_at END, '%Y-%m-%d %H:%M:%S') AS finished_at,
+           retries,
+           CASE WHEN hit THEN outcome ELSE details END AS details
+    FROM X
+""")
+def q_incremental_load(spark, sf_dir):
+    """One loader run for every KPI; the ledger after the run
+    (the target table gets a new version first)."""
+    from ferrum.plans.jobs import incremental_load
+    ledger, registry = _ledger(spark, sf_dir)
+    records = _records(spark, sf_dir)
+    name, root = _versioned_table(spark, "loaded_records")
+    from ferrum.sinks.writers import commit_version
+    commit_version(spark, name, spark.createDataFrame([], records.schema), root)
+    new_ledger, _ = incremental_load(spark, registry, ledger, records, name, LEDGER_AS_OF, version_root=root,
+                                     stale_after=LEDGER_STALE_AFTER)
+    return _ledger_text(new_ledger)

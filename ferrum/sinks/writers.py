@@ -136,3 +136,23 @@ def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: st
         if partition_cols:
             spark.catalog.recoverPartitions(table_name)
     return path
+
+
+def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append") -> None:
+    """One output folder per input file (``filename=<stem>``), so a re-delivered
+    file can be replaced on its own with dynamic partition overwrite."""
+    stem = F.regexp_replace(F.element_at(F.split(F.col(file_col), "/"), -1), "\\.[^.]*$", "")
+    (df.withColumn(file_col, stem).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(file_col).parquet(path))
+
+
+def append_to_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Append to a catalog table, creating it (parquet, optionally at ``path``) on first use."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        df.write.insertInto(name)
+    else:
+        w = df.write.format("parquet")
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(name)
