@@ -28,7 +28,7 @@ SAMPLE_GENERAL_INFORMATION = (
     ' "sourceTimestamp": "2023-06-01T10:00:00Z",'
     ' "message": {"ifaOrderKey": "0000000000000", "commissionNumber": "000 XXX0000000", "checkpointNumber": 1,'
     ' "reachedCheckpointAt": "2023-06-01T10:00:00Z", "vin": "XXXXXXXXXXXXXXXXX", "orderDate": "2023-06-01",'
-    ' "brand": "Volkswagen", "model": "X", "modelYear": 2023, "modelGroup": "X", "orderingDealerId": "0",'
+    ' "brand": "BRAND-V", "model": "X", "modelYear": 2023, "modelGroup": "X", "orderingDealerId": "0",'
     ' "cp8Date": "2023152", "exteriorColorCode": "X", "roofColorCode": "X", "interiorColorCode": "X",'
     ' "sourceTimestamp": "2023-06-01T10:00:00Z"}}')
 SAMPLE_PARTS = (

@@ -590,8 +590,8 @@ SQL_GENERAL = """
            lpad(CAST(o_custkey AS VARCHAR), 13, '0') AS ifa_order_key,
            'VIN' || lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS vin,
            strftime(o_orderdate, '%Y-%m-%d') AS order_date,
-           CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'VW C' WHEN '2' THEN 'Volkswagen'
-                WHEN '3' THEN 'VW N' ELSE 'Other' END AS brand,
+           CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'BRAND-C' WHEN '2' THEN 'BRAND-V'
+                WHEN '3' THEN 'BRAND-N' ELSE 'Other' END AS brand,
            o_orderstatus AS model, CAST(year(o_orderdate) AS BIGINT) AS model_year,
            o_orderpriority AS model_group, CAST(o_custkey AS VARCHAR) AS ordering_dealer_id,
            strftime(o_orderdate, '%Y-%m-%d') AS cp8_date,
@@ -621,7 +621,7 @@ def q_general_info(spark, sf_dir):
 def q_brand_filter(spark, sf_dir):
     """Checkpoints restricted to the (commission, order key) pairs of one brand."""
     from ferrum.operators.messages import brand_keys, checkpoints
-    keys = brand_keys(_general(spark, sf_dir), ["VW C"])
+    keys = brand_keys(_general(spark, sf_dir), ["BRAND-C"])
     return _checkpoint_out(checkpoints(_checkpoint_msgs(spark, sf_dir), MESSAGES_EVENT_TS, keys))
 
 
@@ -962,10 +962,10 @@ def _route_values_sql():
 
 SQL_STORAGE_KEYS = """
     SELECT event_id,
-           CASE event_type WHEN 'view' THEN 'dmp' WHEN 'click' THEN 'vcf' WHEN 'purchase' THEN 'auto_import'
+           CASE event_type WHEN 'view' THEN 'kpi' WHEN 'click' THEN 'measurements' WHEN 'purchase' THEN 'auto_import'
                 WHEN 'error' THEN 'identity' ELSE 'legacy' END || '/' ||
-           CASE event_type WHEN 'view' THEN (CASE WHEN value < 100 THEN 'appstate' ELSE 'ingestordata' END)
-                WHEN 'click' THEN (CASE WHEN value < 100 THEN 'measurements' ELSE 'telemetry' END)
+           CASE event_type WHEN 'view' THEN (CASE WHEN value < 100 THEN 'appstate' ELSE 'ingest' END)
+                WHEN 'click' THEN (CASE WHEN value < 100 THEN 'values' ELSE 'telemetry' END)
                 WHEN 'purchase' THEN 'purchases' ELSE 'misc' END || '/' ||
            strftime(ts, '%Y%m%d') || '_' || CAST(event_id AS VARCHAR) || '.csv' AS key
     FROM events
@@ -975,10 +975,10 @@ SQL_STORAGE_KEYS = """
 def _storage_keys(spark, sf_dir):
     e = T(spark, sf_dir, "events")
     t = F.col("event_type")
-    root = (F.when(t == "view", "dmp").when(t == "click", "vcf").when(t == "purchase", "auto_import")
+    root = (F.when(t == "view", "kpi").when(t == "click", "measurements").when(t == "purchase", "auto_import")
             .when(t == "error", "identity").otherwise("legacy"))
-    sub = (F.when(t == "view", F.when(F.col("value") < 100, "appstate").otherwise("ingestordata"))
-           .when(t == "click", F.when(F.col("value") < 100, "measurements").otherwise("telemetry"))
+    sub = (F.when(t == "view", F.when(F.col("value") < 100, "appstate").otherwise("ingest"))
+           .when(t == "click", F.when(F.col("value") < 100, "values").otherwise("telemetry"))
            .when(t == "purchase", "purchases").otherwise("misc"))
     key = F.concat_ws("/", root, sub, F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_"),
                                                F.col("event_id").cast("string"), F.lit(".csv")))
@@ -1001,7 +1001,7 @@ def q_route_keys(spark, sf_dir):
 
 
 @register("load_report", """
-    SELECT CASE event_type WHEN 'view' THEN 'dmp_kpi_appstate' WHEN 'click' THEN 'vcf'
+    SELECT CASE event_type WHEN 'view' THEN 'kpi_appstate' WHEN 'click' THEN 'measurements'
                 WHEN 'purchase' THEN 'purchases' WHEN 'error' THEN 'identity_kit' END AS target_table,
            'append' AS action, count(*) AS n_rows
     FROM events WHERE event_type <> 'signup' GROUP BY 1
@@ -1015,7 +1015,7 @@ def q_load_report(spark, sf_dir):
     base = scratch_path(spark, "landing")
     e = T(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
                                           F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
-    drops = {"view": "dmp/appstate", "click": "vcf/measurements", "purchase": "auto_import/purchases",
+    drops = {"view": "kpi/appstate", "click": "measurements/values", "purchase": "auto_import/purchases",
              "error": "identity", "signup": "legacy/misc"}
     for etype, prefix in drops.items():
         write_csv(e.filter(F.col("event_type") == etype), f"{base}/{prefix}")
@@ -1303,7 +1303,7 @@ def q_ddl_users(spark, sf_dir):
                     F.concat(F.lit("+49-"), F.col("c_custkey").cast("string")).alias("tel"))
     rows.write.insertInto(name)
     dups = duplicate_keys(spark.table(name), ["id"])
-    if dups.limit(1).count():
+    if not dups.isEmpty():
         raise ValueError(f"duplicate primary keys in {name}")
     return spark.table(name)
 

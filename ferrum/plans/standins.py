@@ -79,8 +79,8 @@ def dealer_countries(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 def _brand(priority):
     first = F.substring(priority, 1, 1)
-    return (F.when(first == "1", "VW C").when(first == "2", "Volkswagen")
-            .when(first == "3", "VW N").otherwise("Other"))
+    return (F.when(first == "1", "BRAND-C").when(first == "2", "BRAND-V")
+            .when(first == "3", "BRAND-N").otherwise("Other"))
 
 
 def general_information_messages(orders: DataFrame) -> DataFrame:

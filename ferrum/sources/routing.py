@@ -20,20 +20,20 @@ ROUTE_SCHEMA = ("root string, sub string, target_table string, format string, se
 # NULL -> flat route keyed by the first segment only.
 # Example routes (fixed values for the catalogue; real deployments pass their own).
 EXAMPLE_ROUTES = [
-    ("dmp", "ingestordata", "dmp_kpi_ingestordata", "csv", ",", True, None, None, False),
-    ("dmp", "appstate", "dmp_kpi_appstate", "csv", ",", True, None, None, False),
+    ("kpi", "ingest", "kpi_ingest", "csv", ",", True, None, None, False),
+    ("kpi", "appstate", "kpi_appstate", "csv", ",", True, None, None, False),
     ("country_aggregate", None, "country_aggregate", "csv", ",", True, None, None, False),
     ("auto_import", "*", None, "csv", ",", True, None, None, False),
-    ("vcf", "measurements", "vcf", "csv", ",", True, None, None, False),
-    ("vcf", "enrollments", "vcf", "csv", ",", True, None, None, False),
-    ("vcf", "vcf_api_usage", "vcf_api_usage", "csv", ",", True, None, None, False),
+    ("measurements", "values", "measurements", "csv", ",", True, None, None, False),
+    ("measurements", "enrollments", "measurements", "csv", ",", True, None, None, False),
+    ("measurements", "api_usage", "measurements_api_usage", "csv", ",", True, None, None, False),
     ("identity", None, "identity_kit", "csv", ",", True, '"', None, False),
     ("profile", None, "profile", "csv", ",", True, None, None, False),
-    ("weexperience", "weexperience_dev", "weexperience_dev", "csv", ",", True, None, None, False),
-    ("weexperience", "weexperience_prd", "weexperience_prd", "csv", ",", True, None, None, False),
-    ("dealers_all", None, "public.kvps_dealers", "parquet", None, None, None, None, True),
-    ("SLI", None, "public.SLI", "csv", ",", True, None, "gzip", True),
-    ("KVPS", None, "public.KVPS_PRTN", "csv", "|", True, None, "gzip", True),
+    ("experience", "dev", "experience_dev", "csv", ",", True, None, None, False),
+    ("experience", "prd", "experience_prd", "csv", ",", True, None, None, False),
+    ("dealers_all", None, "dealers", "parquet", None, None, None, None, True),
+    ("car_groups", None, "car_groups", "csv", ",", True, None, "gzip", True),
+    ("partners", None, "partners", "csv", "|", True, None, "gzip", True),
 ]
 
 

@@ -127,11 +127,11 @@ def test_day_with_empty_client_list_is_skipped(spark):
 
 
 def test_unrouted_keys(spark):
-    keys = spark.createDataFrame([("dmp/appstate/x.csv",), ("dmp/nope/x.csv",), ("zzz/x.csv",),
+    keys = spark.createDataFrame([("kpi/appstate/x.csv",), ("kpi/nope/x.csv",), ("zzz/x.csv",),
                                   ("auto_import/my_table/x.csv",), ("identity/x.csv",)], "key string")
     got = {r.key: (r.status, r.target_table) for r in resolve_routes(keys, route_table(spark)).collect()}
-    assert got["dmp/appstate/x.csv"] == ("routed", "dmp_kpi_appstate")
-    assert got["dmp/nope/x.csv"][0] == "unrouted"
+    assert got["kpi/appstate/x.csv"] == ("routed", "kpi_appstate")
+    assert got["kpi/nope/x.csv"][0] == "unrouted"
     assert got["zzz/x.csv"][0] == "unrouted"
     assert got["auto_import/my_table/x.csv"] == ("routed", "my_table")
     assert got["identity/x.csv"] == ("routed", "identity_kit")
