@@ -42,19 +42,38 @@ def running_jobs(ledger: DataFrame, as_of: str, stale_after: str = DEFAULT_STALE
             .select("kpi", "from_id", "retries", "created_at", "state"))
 
 
-def failed_jobs(ledger: DataFrame) -> DataFrame:
-    """Failed ranges with no newer attempt, per (kpi, from_id).
-
-    A range's highest finished FAILED attempt counts as superseded only when the
-    highest open-RUNNING-or-SUCCESS attempt of that range is exactly one higher.
-    Both maxima come from one grouped aggregate (no self join).
+def range_summary(ledger: DataFrame, as_of: str, stale_after: str = DEFAULT_STALE_AFTER) -> DataFrame:
+    """One row per (kpi, from_id) with everything the decisions need, from one
+    grouped aggregate (map-side combined, so a huge job history per KPI is
+    reduced before the shuffle):
+
+    ``n_jobs, has_running, stale_retries (smallest open stale attempt),
+    max_to_id, failed_retries (highest finished FAILED), active_retries
+    (highest open RUNNING or finished SUCCESS)``.
     """
-    failed_r = F.max(F.when((F.col("status") == FAILED) & F.col("finished_at").isNotNull(), F.col("retries")))
-    active_r = F.max(F.when(_open_running() | ((F.col("status") == SUCCESS) & F.col("finished_at").isNotNull()),
-                            F.col("retries")))
-    g = ledger.groupBy("kpi", "from_id").agg(failed_r.alias("retries"), active_r.alias("active"))
-    superseded = F.coalesce(F.col("retries") == F.col("active") - 1, F.lit(False))
-    return g.filter(F.col("retries").isNotNull() & ~superseded).select("kpi", "from_id", "retries")
+    state = _age_state(as_of, stale_after)
+    open_run = _open_running()
+    done = F.col("finished_at").isNotNull()
+    return ledger.groupBy("kpi", "from_id").agg(
+        F.count("from_id").alias("n_jobs"),
+        F.max(F.when(open_run & (state == "running"), F.lit(1))).alias("has_running"),
+        F.min(F.when(open_run & (state == "stale"), F.col("retries"))).alias("stale_retries"),
+        F.max("to_id").alias("max_to_id"),
+        F.max(F.when((F.col("status") == FAILED) & done, F.col("retries"))).alias("failed_retries"),
+        F.max(F.when(open_run | ((F.col("status") == SUCCESS) & done), F.col("retries"))).alias("active_retries"))
+
+
+def _unsuperseded(summary: DataFrame) -> Column:
+    """A range's highest finished FAILED attempt is superseded only when the
+    highest open-RUNNING-or-SUCCESS attempt of that range is exactly one higher."""
+    superseded = F.coalesce(F.col("failed_retries") == F.col("active_retries") - 1, F.lit(False))
+    return F.col("failed_retries").isNotNull() & ~superseded
+
+
+def failed_jobs(ledger: DataFrame) -> DataFrame:
+    """Failed ranges with no newer attempt, per (kpi, from_id) (one aggregate, no self join)."""
+    s = range_summary(ledger, "1970-01-01 00:00:00")
+    return s.filter(_unsuperseded(s)).select("kpi", "from_id", F.col("failed_retries").alias("retries"))
 
 
 def next_actions(registry: DataFrame, ledger: DataFrame, as_of: str, *,
@@ -66,17 +85,19 @@ def next_actions(registry: DataFrame, ledger: DataFrame, as_of: str, *,
 
     When several stale jobs or failed ranges exist, the one with the smallest
     ``(from_id, retries)`` is taken. Output ``(kpi, action, from_id, retries, mode)``;
-    ``mode`` is 'bounded' once ``retries >= max_retries``.
+    ``mode`` is 'bounded' once ``retries >= max_retries``. One scan of the
+    ledger: a per-range summary, then a per-KPI aggregate of that summary.
     """
-    state = _age_state(as_of, stale_after)
-    per_kpi = ledger.groupBy("kpi").agg(
-        F.count("from_id").alias("n_jobs"),
-        F.max(F.when(_open_running() & (state == "running"), F.lit(1))).alias("has_running"),
-        F.min(F.when(_open_running() & (state == "stale"), F.struct("from_id", "retries"))).alias("stale"),
-        F.max("to_id").alias("max_to_id"))
-    failed = failed_jobs(ledger).groupBy("kpi").agg(F.min(F.struct("from_id", "retries")).alias("failed"))
-    j = (registry.select("kpi").distinct()
-         .join(per_kpi, "kpi", "left").join(failed, "kpi", "left"))
+    s = range_summary(ledger, as_of, stale_after)
+    per_kpi = s.groupBy("kpi").agg(
+        F.sum("n_jobs").alias("n_jobs"),
+        F.max("has_running").alias("has_running"),
+        F.min(F.when(F.col("stale_retries").isNotNull(),
+                     F.struct("from_id", F.col("stale_retries").alias("retries")))).alias("stale"),
+        F.max("max_to_id").alias("max_to_id"),
+        F.min(F.when(_unsuperseded(s), F.struct("from_id", F.col("failed_retries").alias("retries"))))
+         .alias("failed"))
+    j = registry.select("kpi").distinct().join(per_kpi, "kpi", "left")
     action = (F.when(F.coalesce(F.col("n_jobs"), F.lit(0)) == 0, "first_run")
               .when(F.col("has_running").isNotNull(), "wait")
               .when(F.col("stale").isNotNull(), "retry_stale")
