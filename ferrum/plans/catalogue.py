@@ -1001,24 +1001,33 @@ def q_route_keys(spark, sf_dir):
 
 
 @register("load_report", """
-    SELECT CASE event_type WHEN 'view' THEN 'kpi_appstate' WHEN 'click' THEN 'measurements'
-                WHEN 'purchase' THEN 'purchases' WHEN 'error' THEN 'identity_kit' END AS target_table,
-           'append' AS action, count(*) AS n_rows
-    FROM events WHERE event_type <> 'signup' GROUP BY 1
+    SELECT CASE WHEN event_type = 'view' THEN 'kpi_appstate' WHEN event_type = 'click' THEN 'measurements'
+                WHEN event_type = 'purchase' THEN 'purchases' WHEN event_type = 'error' THEN 'identity_kit'
+                WHEN value < 100 THEN 'car_groups' WHEN value < 200 THEN 'partners' ELSE 'dealers' END AS target_table,
+           CASE WHEN event_type = 'signup' THEN 'replace_all' ELSE 'append' END AS action,
+           count(*) AS n_rows
+    FROM events WHERE NOT (event_type = 'signup' AND value >= 300) GROUP BY 1, 2
 """)
 def q_load_report(spark, sf_dir):
-    """Files landed under route prefixes, each route loaded with its
-    own reader options in one read, rows reported per target table; keys with no
-    route (here the signup drop) are not loaded."""
+    """K9 S5 S5a-e S6: files landed under route prefixes in five formats (CSV,
+    quoted CSV, gzip CSV, gzip pipe-delimited, parquet); each route is read with
+    its own options in one read and rows are reported per target table. Keys
+    with no route (the legacy drop) are not loaded."""
     from ferrum.sinks.writers import write_csv
     from ferrum.sources.routing import load_report, load_routes, route_table
     base = scratch_path(spark, "landing")
     e = T(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
                                           F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
-    drops = {"view": "kpi/appstate", "click": "measurements/values", "purchase": "auto_import/purchases",
-             "error": "identity", "signup": "legacy/misc"}
-    for etype, prefix in drops.items():
-        write_csv(e.filter(F.col("event_type") == etype), f"{base}/{prefix}")
+    t, v = F.col("event_type"), F.col("value")
+    write_csv(e.filter(t == "view"), f"{base}/kpi/appstate")
+    write_csv(e.filter(t == "click"), f"{base}/measurements/values")
+    write_csv(e.filter(t == "purchase"), f"{base}/auto_import/purchases")
+    write_csv(e.filter(t == "error"), f"{base}/identity")
+    signup = e.filter(t == "signup")
+    write_csv(signup.filter(v < 100), f"{base}/car_groups", compression="gzip")
+    write_csv(signup.filter((v >= 100) & (v < 200)), f"{base}/partners", sep="|", compression="gzip")
+    signup.filter((v >= 200) & (v < 300)).write.parquet(f"{base}/dealers_all")
+    write_csv(signup.filter(v >= 300), f"{base}/legacy/misc")
     loaded = load_routes(spark, base, route_table(spark))
     return load_report(loaded).select("target_table", "action", "n_rows")
 
