@@ -77,3 +77,29 @@ def filtered_join_chain(base: DataFrame, base_filter: Column | None,
             d = F.broadcast(d)
         out = out.join(d, out[left_key] == d[dim_key], "inner")
     return out
+
+
+RANGE_BUCKET_WIDTH = 1024
+
+
+def in_ranges(df: DataFrame, ranges: DataFrame, *, key: str, id_col: str, lo: str = "from_id",
+              hi: str = "to_id", how: str = "left_semi", bucket_width: int = RANGE_BUCKET_WIDTH) -> DataFrame:
+    """Rows of ``df`` whose ``id_col`` lies in one of their key's ``[lo, hi]`` ranges
+    (``how="left_semi"``) or in none of them (``how="left_anti"``).
+
+    Ranges are exploded into fixed-width id buckets and joined on
+    ``(key, bucket)`` plus the range test, so each row meets only the ranges that
+    overlap its bucket (no key-wide comparison of every row with every range),
+    and a key with a third of all rows is spread over its buckets. Ranges with a
+    NULL end match nothing. Semi/anti joins never multiply rows.
+    """
+    if how not in ("left_semi", "left_anti"):
+        raise ValueError("how must be left_semi or left_anti")
+    w = int(bucket_width)
+    r = ranges.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col(lo) <= F.col(hi))).select(
+        F.col(key).alias("__rk"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"),
+        F.explode(F.sequence(F.floor(F.col(lo) / w), F.floor(F.col(hi) / w))).alias("__b"))
+    d = df.withColumn("__db", F.floor(F.col(id_col) / w))
+    cond = ((F.col(key) == F.col("__rk")) & (F.col("__db") == F.col("__b"))
+            & F.col(id_col).between(F.col("__lo"), F.col("__hi")))
+    return d.join(r, cond, how).drop("__db")

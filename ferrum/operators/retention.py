@@ -3,7 +3,7 @@ and apply both to every table of a database."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -61,8 +61,8 @@ def apply_retention_to_database(spark: SparkSession, database: str, ts_col: str,
 
     Each table is rewritten to a new version folder and its catalog entry is
     pointed there (the old files are never overwritten while being read). The
-    counts come from one aggregate pass per table. A table without ``ts_col`` is
-    reported, not fatal. Returns one report row per table.
+    counts are observed metrics of that same write (no extra pass). A table
+    without ``ts_col`` is reported, not fatal. Returns one report row per table.
     """
     from ferrum.sinks.writers import commit_version
 
@@ -73,10 +73,13 @@ def apply_retention_to_database(spark: SparkSession, database: str, ts_col: str,
         if ts_col not in df.columns:
             report.append((t.name, None, None, None, f"skipped: no column {ts_col}"))
             continue
-        stats = df.agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(expired(ts_col, as_of, days).cast("long")).alias("gone")).first()
-        before, gone = int(stats["n"]), int(stats["gone"] or 0)
-        kept = erase_columns(retention_delete(df, ts_col, as_of, days), ts_col, as_of, erase_rules)
+        # Counts are observed while the new version is written: one pass per table.
+        obs = Observation(f"retention_{t.name}")
+        watched = df.observe(obs, F.count(F.lit(1)).alias("n"),
+                             F.sum(expired(ts_col, as_of, days).cast("long")).alias("gone"))
+        kept = erase_columns(retention_delete(watched, ts_col, as_of, days), ts_col, as_of, erase_rules)
         commit_version(spark, name, kept, f"{version_root}/{database}/{t.name}")
+        stats = obs.get
+        before, gone = int(stats["n"]), int(stats["gone"] or 0)
         report.append((t.name, before, gone, before - gone, "ok"))
     return spark.createDataFrame(report, REPORT_SCHEMA)

@@ -883,9 +883,8 @@ def q_range_replace(spark, sf_dir):
     commit_version(spark, name, records.withColumn("version", F.lit("v1")), root)
     ranges = (ledger_from_events(T(spark, sf_dir, "events")).filter(F.col("status") == "SUCCESS")
               .select("kpi", "from_id", "to_id").distinct())
-    cond = ((F.col("kpi") == F.col("__k")) & F.col("id").between(F.col("__lo"), F.col("__hi")))
-    pulled = records.join(ranges.select(F.col("kpi").alias("__k"), F.col("from_id").alias("__lo"),
-                                        F.col("to_id").alias("__hi")), cond, "left_semi")
+    from ferrum.operators.joins import in_ranges
+    pulled = in_ranges(records, ranges, key="kpi", id_col="id")
     result = replace_keyed_ranges(spark.table(name), pulled.withColumn("version", F.lit("v2")), ranges,
                                   key="kpi", id_col="id")
     commit_version(spark, name, result, root)

@@ -69,14 +69,13 @@ def replace_keyed_ranges(current: DataFrame, new_rows: DataFrame, ranges: DataFr
                          key: str, id_col: str, lo: str = "from_id", hi: str = "to_id") -> DataFrame:
     """Per-key range replace for many keys at once.
 
-    ``ranges`` holds one ``(key, lo, hi)`` row per key. Rows of ``current`` inside
-    their key's range are dropped (left anti join on key + range), then the new
-    rows are appended. The join is on the key, so it shuffles by key like any
-    other equi-join and AQE splits a hot key.
+    ``ranges`` holds ``(key, lo, hi)`` rows (any number per key). Rows of
+    ``current`` inside one of their key's ranges are dropped (bucketed range anti
+    join, see ``in_ranges``), then the new rows are appended.
     """
-    r = ranges.select(F.col(key).alias("__k"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"))
-    cond = (F.col(key) == F.col("__k")) & F.col(id_col).between(F.col("__lo"), F.col("__hi"))
-    return current.join(r, cond, "left_anti").unionByName(new_rows)
+    from ferrum.operators.joins import in_ranges
+    kept = in_ranges(current, ranges, key=key, id_col=id_col, lo=lo, hi=hi, how="left_anti")
+    return kept.unionByName(new_rows)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
