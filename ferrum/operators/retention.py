@@ -68,6 +68,8 @@ def apply_retention_to_database(spark: SparkSession, database: str, ts_col: str,
 
     report = []
     for t in spark.catalog.listTables(database):
+        if t.isTemporary:  # session temp views are listed with every database
+            continue
         name = f"{database}.{t.name}"
         df = spark.table(name)
         if ts_col not in df.columns:

@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 def query_table(spark: SparkSession, sql: str, names: list[str] | None = None,
                 views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run ``sql`` (after registering ``views`` as temp views) and name the
+    """Run ``sql`` (with ``views`` registered as temp views for its analysis) and name the
     result columns ``names`` in order. The statement is planned by Catalyst like
     any DataFrame query (IN / NOT IN subqueries become semi / null-aware anti joins)."""
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
-    out = spark.sql(sql)
+    try:
+        out = spark.sql(sql)  # analysed now: the plan keeps the resolved relations
+    finally:
+        for name in views or {}:
+            spark.catalog.dropTempView(name)
     return out.toDF(*names) if names else out
 
 
