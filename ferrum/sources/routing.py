@@ -7,6 +7,8 @@ reader options in one distributed read; no key list passes through the driver.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,28 +75,44 @@ def reader_for(spark: SparkSession, route: dict):
     return r
 
 
+def landed_prefixes(spark: SparkSession, base_path: str) -> set[tuple[str, str | None]]:
+    """``(root, sub)`` folders under ``base_path`` that hold at least one non-empty file.
+
+    One listing through the ``binaryFile`` source with only path and length
+    selected (file contents are never read); the distinct folder pairs are a
+    configuration-sized result.
+    """
+    base = base_path.rstrip("/").split(":", 1)[-1] if base_path.startswith("file:") else base_path.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base_path)
+             .select("path", "length").filter(F.col("length") > 0))
+    rel = F.regexp_extract(F.col("path"), re.escape(base) + "/(.*)$", 1)
+    parts = F.split(rel, "/")
+    pairs = files.select(F.element_at(parts, 1).alias("root"),
+                         F.when(F.size(parts) > 2, F.element_at(parts, 2)).alias("sub")).distinct()
+    return {(r.root, r.sub) for r in pairs.collect()}
+
+
 def load_routes(spark: SparkSession, base_path: str, routes: DataFrame) -> list[tuple[dict, DataFrame]]:
     """One reader per route over its key prefix ``base/root[/sub]/``.
 
     The route list is tiny configuration; the data of each prefix is read in
-    parallel by Spark. Routes whose prefix does not exist are skipped.
+    parallel by Spark. Only routes whose prefix holds files are read.
     Returns ``[(route, frame)]`` where frame has ``target_table`` and ``source_key`` columns.
     """
+    present = landed_prefixes(spark, base_path)
+    roots = {r for r, _ in present}
     out = []
     for row in routes.collect():  # configuration rows only
         route = row.asDict()
         if route["sub"] == "*":
-            prefix = f"{base_path}/{route['root']}/*"
+            ok, prefix = route["root"] in roots, f"{base_path}/{route['root']}/*"
         elif route["sub"]:
-            prefix = f"{base_path}/{route['root']}/{route['sub']}"
+            ok, prefix = (route["root"], route["sub"]) in present, f"{base_path}/{route['root']}/{route['sub']}"
         else:
-            prefix = f"{base_path}/{route['root']}"
-        try:
-            df = reader_for(spark, route).load(prefix)
-        except Exception as e:  # noqa: BLE001 - a missing prefix is "nothing to load"
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                continue
-            raise
+            ok, prefix = route["root"] in roots, f"{base_path}/{route['root']}"
+        if not ok:
+            continue
+        df = reader_for(spark, route).load(prefix)
         rel = F.regexp_extract(F.col("_metadata.file_path"), f"{route['root']}/.*$", 0)
         target = F.lit(route["target_table"]) if route["sub"] != "*" else F.element_at(F.split(rel, "/"), 2)
         out.append((route, df.withColumns({"target_table": target, "source_key": rel})))
