@@ -155,3 +155,10 @@ def append_to_table(df: DataFrame, name: str, path: str | None = None) -> None:
         if path:
             w = w.option("path", path)
         w.saveAsTable(name)
+
+
+def replace_where(current: DataFrame, new_rows: DataFrame, predicate: Column) -> DataFrame:
+    """Delete the rows matching ``predicate`` (NULL counts as not matching), then
+    insert ``new_rows``: the general form of a partition replace with an extra
+    condition. Commit the result with ``commit_version``."""
+    return current.filter(~F.coalesce(predicate, F.lit(False))).unionByName(new_rows)
