@@ -79,7 +79,7 @@ def file_kpis(contracts: DataFrame, consent: DataFrame, *, file_col: str = "file
 
     One pass over the contracts: the distinct consent set is left-joined as a
     flag (no row multiplication), then one grouped aggregate per file. The
-    consent total is a single-row aggregate joined on a constant key.
+    consent total is one scalar aggregate, attached as a literal.
     """
     cset = consent.select(F.col(consent_vin).alias("__cv")).distinct().withColumn("__has", F.lit(True))
     flagged = contracts.join(cset, F.col(vin) == F.col("__cv"), "left")
@@ -88,9 +88,10 @@ def file_kpis(contracts: DataFrame, consent: DataFrame, *, file_col: str = "file
         F.countDistinct(vin).alias("n_unique_vins"),
         F.countDistinct(F.when(F.col("__has"), F.col(vin))).alias("n_vins_with_consent"),
     )
-    total = cset.agg(F.count(F.lit(1)).alias("n_consent_total")).withColumn("__k", F.lit(1))
-    out = per_file.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k").drop("__k")
-    return out.select(
-        file_col, "n_contracts", "n_unique_vins", "n_consent_total", "n_vins_with_consent",
+    # A global scalar (one aggregate job), attached as a literal: no join needed.
+    total = cset.count()
+    return per_file.select(
+        file_col, "n_contracts", "n_unique_vins", F.lit(total).cast("long").alias("n_consent_total"),
+        "n_vins_with_consent",
         (F.col("n_unique_vins") - F.col("n_vins_with_consent")).alias("n_vins_without_consent"),
     )
