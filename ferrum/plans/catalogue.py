@@ -1172,7 +1172,7 @@ SCALAR_AS_OF = "2001-08-02 06:30:15.123456"
            '2001-08-02 06:30:15' AS load_ts,
            strftime(CAST(o_orderdate AS DATE) - INTERVAL 3 DAY, '%Y%m%d') AS day_minus_3,
            strftime(strptime(strftime(o_orderdate, '%Y%m%d'), '%Y%m%d'), '%d.%m.%Y') AS dotted,
-           date_diff('day', o_orderdate, TIMESTAMP '2001-08-02 06:30:15.123456') AS age_days,
+           CAST(date_diff('day', o_orderdate, TIMESTAMP '2001-08-02 06:30:15.123456') AS INTEGER) AS age_days,
            CAST(o_orderdate AS DATE) = DATE '2001-08-02' AS same_day,
            strftime(o_orderdate + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS plus_15_min,
            strftime(strptime(strftime(o_orderdate, '%Y%j'), '%Y%j'), '%Y-%m-%d') AS from_day_of_year,
@@ -1240,13 +1240,13 @@ def q_reject_report(spark, sf_dir):
 
 @register("date_interval", """
     SELECT l.l_orderkey, l.l_linenumber,
-           CASE WHEN CAST(o.o_orderdate AS DATE) <= CAST(l.l_shipdate AS DATE)
-                THEN date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) + 1 ELSE 0 END AS n_days,
-           CASE WHEN CAST(l.l_shipdate AS DATE) <= CAST(o.o_orderdate AS DATE)
-                THEN date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE)) + 1 ELSE 0 END AS n_days_reversed,
-           abs(date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE))) + 1 AS n_days_swapped,
+           CAST(CASE WHEN CAST(o.o_orderdate AS DATE) <= CAST(l.l_shipdate AS DATE)
+                THEN date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) + 1 ELSE 0 END AS INTEGER) AS n_days,
+           CAST(CASE WHEN CAST(l.l_shipdate AS DATE) <= CAST(o.o_orderdate AS DATE)
+                THEN date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE)) + 1 ELSE 0 END AS INTEGER) AS n_days_reversed,
+           CAST(abs(date_diff('day', CAST(l.l_shipdate AS DATE), CAST(o.o_orderdate AS DATE))) + 1 AS INTEGER) AS n_days_swapped,
            strftime(least(CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)), '%Y-%m-%d') AS first_day,
-           greatest(l.l_linenumber, 2) - 1 AS n_trailing,
+           CAST(greatest(l.l_linenumber, 2) - 1 AS INTEGER) AS n_trailing,
            strftime(CAST(l.l_shipdate AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS last_trailing
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """)
