@@ -417,7 +417,7 @@ def q_retention_schema(spark, sf_dir):
     from ferrum.operators.retention import apply_retention_to_database
     root = scratch_path(spark, "retention")
     db = f"retention_{_uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE {db}")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
     sources = {
         "contracts": _orders_with_ts(spark, sf_dir),
         "shipments": T(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "event_timestamp"),
