@@ -519,15 +519,22 @@ def q_missing_days(spark, sf_dir):
 MESSAGES_EVENT_TS = "2024-02-01 00:00:00"
 
 
-def _parsed(spark, bodies, sample):
-    from ferrum.sources.files import parse_json_messages, sample_text_schema
-    return parse_json_messages(bodies, "body", sample_text_schema(spark, sample))
+def _parsed(spark, bodies, sample, name):
+    """Land the generated messages as JSON-lines files, then read them back with
+    the schema of the sample document: the real input path of the flattening jobs.
+    ``name`` is the logical source file name carried into the output."""
+    from ferrum.sources.files import read_json, sample_text_schema
+    path = scratch_path(spark, "messages")
+    bodies.select("body").write.text(path)
+    df = read_json(spark, path, schema=sample_text_schema(spark, sample))
+    return df.withColumn("filename", F.lit(name))
 
 
 def _general(spark, sf_dir):
     from ferrum.operators.messages import SAMPLE_GENERAL_INFORMATION, general_info
     from ferrum.plans.standins import general_information_messages
-    msgs = _parsed(spark, general_information_messages(T(spark, sf_dir, "orders")), SAMPLE_GENERAL_INFORMATION)
+    msgs = _parsed(spark, general_information_messages(T(spark, sf_dir, "orders")), SAMPLE_GENERAL_INFORMATION,
+                   "general_information.json")
     return general_info(msgs, MESSAGES_EVENT_TS)
 
 
@@ -535,7 +542,7 @@ def _checkpoint_msgs(spark, sf_dir):
     from ferrum.operators.messages import SAMPLE_CHECKPOINT
     from ferrum.plans.standins import checkpoint_messages
     return _parsed(spark, checkpoint_messages(T(spark, sf_dir, "orders"), T(spark, sf_dir, "lineitem")),
-                   SAMPLE_CHECKPOINT)
+                   SAMPLE_CHECKPOINT, "checkpoint.json")
 
 
 SQL_CHECKPOINT_ROWS = """
@@ -578,7 +585,7 @@ def q_parts_explode(spark, sf_dir):
     from ferrum.operators.messages import SAMPLE_PARTS, parts
     from ferrum.plans.standins import parts_messages
     msgs = _parsed(spark, parts_messages(T(spark, sf_dir, "orders"), T(spark, sf_dir, "lineitem"),
-                                         T(spark, sf_dir, "part")), SAMPLE_PARTS)
+                                         T(spark, sf_dir, "part")), SAMPLE_PARTS, "parts.json")
     out = parts(msgs, MESSAGES_EVENT_TS)
     return out.select("msg_type", "commission_number", "ifa_order_key",
                       F.date_format("itemization_date", "yyyy-MM-dd").alias("itemization_date"),

@@ -139,6 +139,9 @@ def _chunked(lineitem: DataFrame) -> DataFrame:
     list grows with the data. The per-order count is a map-side-combined
     aggregate; the join back on the order key is split by AQE when one order is hot.
     """
+    # Single-split inputs are spread by order key first, so the count, the join
+    # back and the grouping below reuse one partitioning (no-op on real inputs).
+    lineitem = spread(lineitem, ["l_orderkey"])
     n = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
     buckets = F.greatest(F.ceil(F.col("__n") / MAX_ELEMENTS_PER_MESSAGE), F.lit(1)).cast("int")
     chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), buckets)
@@ -147,7 +150,7 @@ def _chunked(lineitem: DataFrame) -> DataFrame:
 
 def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """orders + lineitem -> CHECKPOINT messages; each line item is a checkpoint element."""
-    elems = (_chunked(lineitem)
+    elems = (_chunked(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
              .groupBy("l_orderkey", "chunk")
              .agg(F.collect_list(F.struct(
                  F.col("l_linenumber").cast("bigint").alias("checkpointNumber"),
@@ -172,8 +175,8 @@ def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def parts_messages(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """orders + lineitem + part -> PARTS messages; each line item's part is one element."""
-    li = _chunked(lineitem).join(part.select("p_partkey", "p_type", "p_brand"),
-                                 F.col("l_partkey") == F.col("p_partkey"))
+    li = _chunked(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).join(
+        part.select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     elems = (li.groupBy("l_orderkey", "chunk")
              .agg(F.collect_list(F.struct(
                  F.col("p_type").alias("family"),

@@ -26,9 +26,10 @@ def sample_schema(spark: SparkSession, sample_path: str) -> StructType:
     return spark.read.json(sample_path).schema
 
 
-def sample_text_schema(spark: SparkSession, sample_json: str) -> str:
-    """DDL schema of one example document given as text (evaluated once, one tiny row)."""
-    return spark.range(1).select(F.schema_of_json(F.lit(sample_json))).first()[0]
+def sample_text_schema(spark: SparkSession, sample_json: str) -> StructType:
+    """Schema of one example document given as text (inferred once from one tiny row)."""
+    ddl = spark.range(1).select(F.schema_of_json(F.lit(sample_json))).first()[0]
+    return spark.range(1).select(F.from_json(F.lit(sample_json), ddl).alias("s")).schema["s"].dataType
 
 
 def read_json_with_sample(spark: SparkSession, path: str, sample_path: str) -> DataFrame:
