@@ -35,10 +35,11 @@ def day_pull_status(wanted: DataFrame, documents: DataFrame, *, day_col: str = "
     clients -> 'empty' (skipped); otherwise 'loaded', with ``processor`` applied
     to the loaded days only (``DataFrame.transform``).
 
-    ``documents`` has one row per landed day with the size of its client list.
+    ``documents`` has one row per landed day with either the client list itself
+    (an array column ``clients``) or its size (``clients_col``).
     """
-    j = wanted.join(documents.select(F.col(day_col).alias("day"), F.col(clients_col).alias("n_clients")),
-                    "day", "left")
+    n = F.size(F.col("clients")) if "clients" in documents.columns else F.col(clients_col)
+    j = wanted.join(documents.select(F.col(day_col).alias("day"), n.alias("n_clients")), "day", "left")
     status = (F.when(F.col("n_clients").isNull(), "error").when(F.col("n_clients") == 0, "empty")
               .otherwise("loaded"))
     out = j.withColumn("status", status)

@@ -178,3 +178,11 @@ def test_insert_values_and_duplicate_keys(spark, tmp_dir):
     d = duplicate_keys(spark.table("users_t"), ["id"]).collect()
     assert [(r.id, r.n) for r in d] == [(1, 2)]
     spark.sql("DROP TABLE users_t")
+
+
+def test_day_documents_with_client_arrays(spark):
+    wanted = wanted_days(spark, "2024-01-01", "2024-01-03")
+    docs = spark.createDataFrame([("2024-01-01", ["a", "b"]), ("2024-01-02", [])],
+                                 "day string, clients array<string>").withColumn("day", F.to_date("day"))
+    got = {str(r.day): (r.status, r.n_clients) for r in day_pull_status(wanted, docs).collect()}
+    assert got == {"2024-01-01": ("loaded", 2), "2024-01-02": ("empty", 0), "2024-01-03": ("error", None)}
