@@ -1403,7 +1403,7 @@ def q_consent_sql(spark, sf_dir):
     return query_table(spark, sql, ["vehicle_vin", "customer_name", "nation", "region"], views)
 
 
-@register("contract_pipeline", _sql("""
+@register("contract_load", _sql("""
     SELECT c.vehicleIdentificationNumber AS vehicle_identification_number,
            c.subscriptionVehicleCategory AS subscription_vehicle_category, c.product,
            strftime(TRY_CAST(c.inceptionDate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS inception_date,
@@ -1412,19 +1412,19 @@ def q_consent_sql(spark, sf_dir):
            replace(c.filename, '.csv', '') AS filename
     FROM {raw} c JOIN {con} k ON c.vehicleIdentificationNumber = k.vehicle_vin
 """, raw=SQL_RAW_CONTRACTS, con=SQL_CONSENT_3WAY))
-def q_contract_pipeline(spark, sf_dir):
+def q_contract_load(spark, sf_dir):
     """Contract drops (CSV per file) through
     consent, typing, per-file output and table appends; the stored contracts."""
     import uuid as _uuid
 
-    from ferrum.plans.jobs import contract_pipeline, read_contract_drops
+    from ferrum.plans.jobs import contract_load, read_contract_drops
     root = scratch_path(spark, "contracts-job")
     raw = _raw_contracts(spark, sf_dir).drop("contract_id", "event_timestamp")
     (raw.withColumnRenamed("filename", "landing_file").write.partitionBy("landing_file")
         .option("header", True).csv(f"{root}/drops"))
     drops = read_contract_drops(spark, f"{root}/drops", name_from="parent")
     sfx = _uuid.uuid4().hex[:8]
-    contracts, _ = contract_pipeline(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,
+    contracts, _ = contract_load(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,
                                      contracts_table=f"contract_staging_{sfx}", kpi_table_name=f"kpi_{sfx}")
     return contracts.withColumns({c: ts_text(c) for c in ("inception_date", "contract_end_date", "event_timestamp")})
 

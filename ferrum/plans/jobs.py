@@ -1,6 +1,6 @@
 """End-to-end jobs composed from the operators (no logic of their own).
 
-* ``contract_pipeline``: daily contract drops -> consent check -> typed output per
+* ``contract_load``: daily contract drops -> consent check -> typed output per
   source file + contract table + KPI table.
 * ``incremental_load``: ledger decision for every KPI -> id-range pull ->
   validation -> idempotent range replace of the target -> ledger update.
@@ -17,7 +17,7 @@ from ferrum.operators import ledger as L
 from ferrum.operators.contracts import RAW_CONTRACT_COLUMNS, typed_contracts
 from ferrum.operators.kpi import FILE_METRIC_NAMES, kpi_table
 from ferrum.sinks.writers import append_to_table, commit_version, replace_keyed_ranges, write_per_source_file
-from ferrum.sources.files import logical_file_name, read_csv_strings, require_columns, select_input_files
+from ferrum.sources.files import logical_file_name, require_columns, select_input_files
 
 
 def read_contract_drops(spark: SparkSession, folder: str, day: str | None = None,
@@ -30,8 +30,8 @@ def read_contract_drops(spark: SparkSession, folder: str, day: str | None = None
     return df.filter(F.col("_metadata.file_size") > 0).withColumn("filename", file_stem(logical_file_name(name_from)))
 
 
-def contract_pipeline(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_of: str, *,
-                      out_root: str, contracts_table: str, kpi_table_name: str) -> tuple[DataFrame, DataFrame]:
+def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_of: str, *,
+                  out_root: str, contracts_table: str, kpi_table_name: str) -> tuple[DataFrame, DataFrame]:
     """Consent-filter and type the contract rows of ``drops`` and compute per-file KPIs.
 
     Writes the typed consenting contracts once per source file under
@@ -42,7 +42,8 @@ def contract_pipeline(spark: SparkSession, drops: DataFrame, consent: DataFrame,
     kpis = kpi_table(C.file_kpis(raw, consent), FILE_METRIC_NAMES, as_of=as_of, context_col="filename")
     kept = C.filter_by_consent(raw, consent, columns=RAW_CONTRACT_COLUMNS + ["filename"])
     typed = typed_contracts(kept, as_of)
-    write_per_source_file(typed, f"{out_root}/processed_data")
+    # A re-delivered file replaces its own folder (dynamic overwrite), others stay.
+    write_per_source_file(typed, f"{out_root}/processed_data", mode="overwrite")
     append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}")
     append_to_table(kpis, kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
     return spark.table(contracts_table), spark.table(kpi_table_name)

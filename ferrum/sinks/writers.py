@@ -138,8 +138,9 @@ def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: st
 
 
 def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append") -> None:
-    """One output folder per input file (``filename=<stem>``), so a re-delivered
-    file can be replaced on its own with dynamic partition overwrite."""
+    """One output folder per input file (``filename=<stem>``). With
+    ``mode="overwrite"`` (dynamic partition overwrite) a re-delivered file
+    replaces only its own folder."""
     stem = F.regexp_replace(F.element_at(F.split(F.col(file_col), "/"), -1), "\\.[^.]*$", "")
     (df.withColumn(file_col, stem).write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(file_col).parquet(path))

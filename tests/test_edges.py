@@ -186,3 +186,13 @@ def test_day_documents_with_client_arrays(spark):
                                  "day string, clients array<string>").withColumn("day", F.to_date("day"))
     got = {str(r.day): (r.status, r.n_clients) for r in day_pull_status(wanted, docs).collect()}
     assert got == {"2024-01-01": ("loaded", 2), "2024-01-02": ("empty", 0), "2024-01-03": ("error", None)}
+
+
+def test_per_source_file_output_replaces_redelivered_file(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "processed")
+    first = spark.createDataFrame([("a", "x/20240101_c.csv"), ("b", "x/20240102_c.csv")], "v string, filename string")
+    W.write_per_source_file(first, path, mode="overwrite")
+    again = spark.createDataFrame([("a2", "x/20240101_c.csv")], "v string, filename string")
+    W.write_per_source_file(again, path, mode="overwrite")
+    got = sorted((r.filename, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("20240101_c", "a2"), ("20240102_c", "b")]
