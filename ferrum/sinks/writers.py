@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 def salted_partition_write(df: DataFrame, path: str, partition_cols: list[str], *,
                            files_per_partition: int = 8, mode: str = "append",
-                           salt_cols: list[str] | None = None) -> None:
+                           salt_cols: list[str] | None = None, dynamic_overwrite: bool = False) -> None:
     """Write ``df`` partitioned by ``partition_cols``, clustering rows of one
     partition value into at most ``files_per_partition`` tasks.
 
@@ -28,8 +28,10 @@ def salted_partition_write(df: DataFrame, path: str, partition_cols: list[str],
     others = salt_cols or [c for c in df.columns if c not in partition_cols]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(files_per_partition))
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    (df.repartition(n, *[F.col(c) for c in partition_cols], salt)
-       .write.mode(mode).partitionBy(*partition_cols).parquet(path))
+    w = df.repartition(n, *[F.col(c) for c in partition_cols], salt).write.mode(mode)
+    if dynamic_overwrite:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(*partition_cols).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "overwrite",
@@ -137,13 +139,14 @@ def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: st
     return path
 
 
-def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append") -> None:
+def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append",
+                          files_per_file: int = 2) -> None:
     """One output folder per input file (``filename=<stem>``). With
     ``mode="overwrite"`` (dynamic partition overwrite) a re-delivered file
     replaces only its own folder."""
     stem = F.regexp_replace(F.element_at(F.split(F.col(file_col), "/"), -1), "\\.[^.]*$", "")
-    (df.withColumn(file_col, stem).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(file_col).parquet(path))
+    salted_partition_write(df.withColumn(file_col, stem), path, [file_col], files_per_partition=files_per_file,
+                           mode=mode, dynamic_overwrite=True)
 
 
 def append_to_table(df: DataFrame, name: str, path: str | None = None) -> None:
