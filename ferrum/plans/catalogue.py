@@ -366,6 +366,26 @@ def _orders_with_ts(spark, sf_dir):
     return T(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "event_timestamp")
 
 
+@register("error_alarm", """
+    SELECT strftime(time_bucket(INTERVAL 15 MINUTES, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES, '%Y-%m-%d %H:%M:%S') AS window_end,
+           user_bucket, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS DOUBLE) AS stat,
+           CASE WHEN sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) >= 1 THEN 'ALARM' ELSE 'OK' END AS state
+    FROM (SELECT *, CASE WHEN user_id < 75 THEN 'low' ELSE 'high' END AS user_bucket FROM events) e
+    GROUP BY time_bucket(INTERVAL 15 MINUTES, ts), user_bucket
+""")
+def q_error_alarm(spark, sf_dir):
+    """A15 (sum rule): per 900 s and user group, the number of error events; ALARM at >= 1."""
+    from ferrum.operators.kpi import window_alarm
+    ev = T(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(F.col("user_id") < 75, "low").otherwise("high").alias("user_bucket"),
+        (F.col("event_type") == "error").cast("double").alias("is_error"))
+    out = window_alarm(ev, "ts", "is_error", period_seconds=900, threshold=1.0, statistic="sum",
+                       comparison=">=", keys=["user_bucket"])
+    return out.withColumns({"window_start": ts_text("window_start"), "window_end": ts_text("window_end")})
+
+
 @register("retention_delete", """
     SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS event_timestamp
     FROM orders

@@ -26,8 +26,17 @@ def message_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 
 def land_messages(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, *,
                   country: str = "DE", max_files_per_trigger: int = 10,
-                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the landing stream (every message stored, none dropped)."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  reprocess_all: bool = False) -> StreamingQuery:
+    """Start the landing stream (every message stored, none dropped).
+
+    The checkpoint is the bookmark: a restart continues after the last
+    committed file. ``reprocess_all`` starts from a fresh checkpoint folder
+    next to the given one (bookmark disabled: every input file again).
+    """
+    if reprocess_all:
+        import uuid
+        checkpoint_dir = f"{checkpoint_dir.rstrip('/')}-full-{uuid.uuid4().hex[:8]}"
     routed = route_messages(message_stream(spark, source_dir, max_files_per_trigger), country=country)
     # One writer task per landing folder and micro-batch instead of one file per
     # (input split x folder); a hot message type is bounded by the batch size.

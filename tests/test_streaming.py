@@ -31,6 +31,10 @@ def test_landing_is_exactly_once_and_keeps_every_message(spark, tmp_dir):
     _queue(spark, src, [("2024-01-03 00:00:00", '{"type": "CHECKPOINT"}')])
     land_messages(spark, src, sink, ckpt, max_files_per_trigger=1).awaitTermination()
     assert read_landed(spark, sink).count() == 4
+    # bookmark disabled: everything again, into a separate sink
+    full = os.path.join(tmp_dir, "full")
+    land_messages(spark, src, full, ckpt, reprocess_all=True).awaitTermination()
+    assert read_landed(spark, full).count() == 4
 
 
 def test_streamed_alarm_equals_batch_on_closed_windows(spark, tmp_dir):
