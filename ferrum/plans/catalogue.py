@@ -180,6 +180,43 @@ def q_consent_three_way(spark, sf_dir):
     return _consent_3way(spark, sf_dir)
 
 
+SQL_CONSENT_SOURCES = """
+    WITH user_mgmt AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS vehicle_vin, c_custkey AS aopuser_ssoid,
+               CASE WHEN c_mktsegment = 'BUILDING' THEN 'PRIMARY' ELSE 'SECONDARY' END AS permission_userrole,
+               c_name AS client_id_array
+        FROM customer),
+    consent_document AS (
+        SELECT o_custkey AS cust_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_latest FROM orders),
+    cust AS (
+        SELECT c_custkey AS cust_id, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS is_deleted_flag FROM customer)
+"""
+
+
+@register("consent_vehicles", SQL_CONSENT_SOURCES + """
+    SELECT u.vehicle_vin
+    FROM user_mgmt u
+    JOIN consent_document d ON u.aopuser_ssoid = d.cust_id
+    JOIN cust c ON u.aopuser_ssoid = c.cust_id
+    WHERE u.client_id_array LIKE '%12%' AND u.permission_userrole = 'PRIMARY'
+      AND d.is_latest = 1 AND c.is_deleted_flag = 0
+""")
+def q_consent_vehicles(spark, sf_dir):
+    """The consent query in its three-source shape (user management x
+    consent documents x customers, joined on the user id, bag semantics)."""
+    from ferrum.operators.consent import consent_vehicles
+    c, o = T(spark, sf_dir, "customer"), T(spark, sf_dir, "orders")
+    user_mgmt = c.select(
+        F.col("c_custkey").cast("string").alias("vehicle_vin"), F.col("c_custkey").alias("aopuser_ssoid"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "PRIMARY").otherwise("SECONDARY").alias("permission_userrole"),
+        F.col("c_name").alias("client_id_array"))
+    documents = o.select(F.col("o_custkey").alias("cust_id"),
+                         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("is_latest"))
+    customers = c.select(F.col("c_custkey").alias("cust_id"),
+                         F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("is_deleted_flag"))
+    return consent_vehicles(user_mgmt, documents, customers, client_id="12", role="PRIMARY")
+
+
 @register("consent_join", _sql("""
     SELECT c.vehicleIdentificationNumber, c.subscriptionVehicleCategory, c.product,
            c.inceptionDate, c.contractEndDate, c.duration

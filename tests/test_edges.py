@@ -196,3 +196,14 @@ def test_per_source_file_output_replaces_redelivered_file(spark, tmp_dir):
     W.write_per_source_file(again, path, mode="overwrite")
     got = sorted((r.filename, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("20240101_c", "a2"), ("20240102_c", "b")]
+
+
+def test_consent_vehicles_three_sources_bag_semantics(spark):
+    um = spark.createDataFrame(
+        [("V1", 1, "PRIMARY", "x,app-1,y"), ("V2", 2, "PRIMARY", "app-1"), ("V3", 3, "SECONDARY", "app-1"),
+         ("V4", 4, "PRIMARY", "other"), ("V5", 5, "PRIMARY", "app-1")],
+        "vehicle_vin string, aopuser_ssoid long, permission_userrole string, client_id_array string")
+    docs = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (4, 1), (5, 1)], "cust_id long, is_latest int")
+    cust = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 0), (5, 1)], "cust_id long, is_deleted_flag int")
+    got = sorted(r.vehicle_vin for r in consent.consent_vehicles(um, docs, cust, client_id="app-1").collect())
+    assert got == ["V1", "V1"]  # two latest documents -> two rows; V2 not latest, V3 role, V4 client, V5 deleted
