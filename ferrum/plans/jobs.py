@@ -44,7 +44,10 @@ def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_
     typed = typed_contracts(kept, as_of)
     # A re-delivered file replaces its own folder (dynamic overwrite), others stay.
     write_per_source_file(typed, f"{out_root}/processed_data", mode="overwrite")
-    append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}")
+    # Stored contracts are bucketed by vehicle: every later consent check joins on it.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}",
+                    bucket_by=(buckets, ["vehicle_identification_number"]))
     append_to_table(kpis, kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
     return spark.table(contracts_table), spark.table(kpi_table_name)
 

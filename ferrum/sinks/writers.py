@@ -149,16 +149,25 @@ def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename",
                            mode=mode, dynamic_overwrite=True)
 
 
-def append_to_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Append to a catalog table, creating it (parquet, optionally at ``path``) on first use."""
+def append_to_table(df: DataFrame, name: str, path: str | None = None,
+                    bucket_by: tuple[int, list[str]] | None = None) -> None:
+    """Append to a catalog table, creating it (parquet, optionally at ``path``) on first use.
+
+    ``bucket_by=(n, cols)`` creates the table bucketed (and sorted) by ``cols``:
+    later joins and aggregations on those columns read it already partitioned,
+    so only the other side of a join is shuffled. Appends keep the bucketing.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         df.write.insertInto(name)
-    else:
-        w = df.write.format("parquet")
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(name)
+        return
+    w = df.write.format("parquet")
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 def replace_where(current: DataFrame, new_rows: DataFrame, predicate: Column) -> DataFrame:

@@ -207,3 +207,26 @@ def test_consent_vehicles_three_sources_bag_semantics(spark):
     cust = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (4, 0), (5, 1)], "cust_id long, is_deleted_flag int")
     got = sorted(r.vehicle_vin for r in consent.consent_vehicles(um, docs, cust, client_id="app-1").collect())
     assert got == ["V1", "V1"]  # two latest documents -> two rows; V2 not latest, V3 role, V4 client, V5 deleted
+
+
+def test_bucketed_table_join_shuffles_only_the_other_side(spark, tmp_dir):
+    import contextlib
+    import io
+    name = "bucketed_contracts_t"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("vin"), F.col("id").alias("v"))
+    W.append_to_table(rows, name, os.path.join(tmp_dir, "bt"), bucket_by=(n, ["vin"]))
+    W.append_to_table(rows, name)  # append keeps the bucketing
+    other = spark.range(500).select(F.col("id").cast("string").alias("vin"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(name).join(other, "vin", "left_semi")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        assert buf.getvalue().count("Exchange hashpartitioning") == 1
+        assert j.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP TABLE {name}")
