@@ -1068,16 +1068,16 @@ def q_route_keys(spark, sf_dir):
                 WHEN event_type = 'purchase' THEN 'purchases' WHEN event_type = 'error' THEN 'identity_kit'
                 WHEN value < 100 THEN 'car_groups' WHEN value < 200 THEN 'partners' ELSE 'dealers' END AS target_table,
            CASE WHEN event_type = 'signup' THEN 'replace_all' ELSE 'append' END AS action,
-           count(*) AS n_rows
+           'loaded' AS status, count(*) AS n_rows
     FROM events WHERE NOT (event_type = 'signup' AND value >= 300) GROUP BY 1, 2
 """)
 def q_load_report(spark, sf_dir):
-    """K9 S5 S5a-e S6: files landed under route prefixes in five formats (CSV,
+    """K9 K8 S5 S5a-e S6: files landed under route prefixes in five formats (CSV,
     quoted CSV, gzip CSV, gzip pipe-delimited, parquet); each route is read with
-    its own options in one read and rows are reported per target table. Keys
-    with no route (the legacy drop) are not loaded."""
+    its own options and loaded into its target table (replace-all or append),
+    rows counted during the write. Keys with no route (the legacy drop) are not loaded."""
     from ferrum.sinks.writers import write_csv
-    from ferrum.sources.routing import load_report, load_routes, route_table
+    from ferrum.sources.routing import load_into_tables, load_routes, route_table
     base = scratch_path(spark, "landing")
     e = T(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
                                           F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
@@ -1092,7 +1092,8 @@ def q_load_report(spark, sf_dir):
     signup.filter((v >= 200) & (v < 300)).write.parquet(f"{base}/dealers_all")
     write_csv(signup.filter(v >= 300), f"{base}/legacy/misc")
     loaded = load_routes(spark, base, route_table(spark))
-    return load_report(loaded).select("target_table", "action", "n_rows")
+    report = load_into_tables(spark, loaded, f"{base}-tables")
+    return report.groupBy("target_table", "action", "status").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @register("file_selection", """

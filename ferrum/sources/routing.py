@@ -93,32 +93,64 @@ def landed_prefixes(spark: SparkSession, base_path: str) -> set[tuple[str, str |
 
 
 def load_routes(spark: SparkSession, base_path: str, routes: DataFrame) -> list[tuple[dict, DataFrame]]:
-    """One reader per route over its key prefix ``base/root[/sub]/``.
+    """One reader per route (and per target folder of a wildcard route) over its
+    key prefix ``base/root[/sub]/``.
 
     The route list is tiny configuration; the data of each prefix is read in
-    parallel by Spark. Only routes whose prefix holds files are read.
-    Returns ``[(route, frame)]`` where frame has ``target_table`` and ``source_key`` columns.
+    parallel by Spark. Only prefixes that hold files are read. Returns
+    ``[(route, frame)]``; ``route["target_table"]`` is always set and the frame
+    has ``target_table`` and ``source_key`` columns.
     """
     present = landed_prefixes(spark, base_path)
     roots = {r for r, _ in present}
     out = []
     for row in routes.collect():  # configuration rows only
         route = row.asDict()
-        if route["sub"] == "*":
-            ok, prefix = route["root"] in roots, f"{base_path}/{route['root']}/*"
-        elif route["sub"]:
-            ok, prefix = (route["root"], route["sub"]) in present, f"{base_path}/{route['root']}/{route['sub']}"
+        root, sub = route["root"], route["sub"]
+        if sub == "*":
+            parts = [(dict(route, target_table=s), f"{base_path}/{root}/{s}")
+                     for r, s in sorted(present, key=str) if r == root and s]
+        elif sub:
+            parts = [(route, f"{base_path}/{root}/{sub}")] if (root, sub) in present else []
         else:
-            ok, prefix = route["root"] in roots, f"{base_path}/{route['root']}"
-        if not ok:
-            continue
-        df = reader_for(spark, route).load(prefix)
-        rel = F.regexp_extract(F.col("_metadata.file_path"), f"{route['root']}/.*$", 0)
-        target = F.lit(route["target_table"]) if route["sub"] != "*" else F.element_at(F.split(rel, "/"), 2)
-        out.append((route, df.withColumns({"target_table": target, "source_key": rel})))
+            parts = [(route, f"{base_path}/{root}")] if root in roots else []
+        for r, prefix in parts:
+            df = reader_for(spark, r).load(prefix)
+            rel = F.regexp_extract(F.col("_metadata.file_path"), f"{root}/.*$", 0)
+            out.append((r, df.withColumns({"target_table": F.lit(r["target_table"]), "source_key": rel})))
     return out
 
 
+LOAD_RESULT_SCHEMA = "target_table string, action string, n_rows long, status string, error string"
+
+
+def load_into_tables(spark: SparkSession, loaded: list[tuple[dict, DataFrame]], tables_root: str) -> DataFrame:
+    """Write every routed frame to its target table folder, each as its own unit:
+    replace-all routes overwrite the table, the others append. Row counts are
+    observed during the write; a failing route is reported with its error and
+    the others still load (every error is kept, not only the last)."""
+    from pyspark.sql import Observation
+
+    from ferrum.sinks.writers import overwrite_all
+
+    results = []
+    for i, (route, df) in enumerate(loaded):
+        target = route["target_table"]
+        action = "replace_all" if route["replace_all"] else "append"
+        obs = Observation(f"load_{i}_{re.sub('[^A-Za-z0-9_]', '_', target)}")
+        rows = df.drop("target_table", "source_key").observe(obs, F.count(F.lit(1)).alias("n"))
+        path = f"{tables_root.rstrip('/')}/{target}"
+        try:
+            if action == "replace_all":
+                overwrite_all(rows, path)
+            else:
+                rows.write.mode("append").parquet(path)
+            results.append((target, action, int(obs.get["n"]), "loaded", None))
+        except Exception as e:  # noqa: BLE001 - reported per route, like a per-file transaction
+            results.append((target, action, 0, "failed", str(e).splitlines()[0][:500]))
+    return spark.createDataFrame(results, LOAD_RESULT_SCHEMA)
+
+
 def load_report(loaded: list[tuple[dict, DataFrame]]) -> DataFrame:
     """Per target table: files and rows loaded and the load action (one union, one aggregate)."""
     frames = [df.select("target_table", "source_key",

@@ -43,3 +43,19 @@ def test_replace_where(spark):
     new = spark.createDataFrame([("2024-01-01", "prod", 10)], "date string, env string, v int")
     got = sorted(r.v for r in replace_where(cur, new, (F.col("date") == "2024-01-01") & (F.col("env") == "prod")).collect())
     assert got == [2, 3, 4, 10]
+
+
+def test_failed_route_is_reported_and_others_load(spark, tmp_dir):
+    from ferrum.sources.routing import load_into_tables
+    land = os.path.join(tmp_dir, "land")
+    for prefix, rows in [("kpi/appstate", [("1", "a")]), ("identity", [("2", "b"), ("3", "c")])]:
+        spark.createDataFrame(rows, "id string, v string").coalesce(1).write.option("header", True).csv(
+            os.path.join(land, prefix))
+    tables = os.path.join(tmp_dir, "tables")
+    os.makedirs(tables)
+    with open(os.path.join(tables, "kpi_appstate"), "w") as f:  # a file where the table folder should go
+        f.write("not a folder")
+    report = {r.target_table: (r.status, r.n_rows) for r in
+              load_into_tables(spark, load_routes(spark, land, route_table(spark)), tables).collect()}
+    assert report["kpi_appstate"][0] == "failed"
+    assert report["identity_kit"] == ("loaded", 2)
