@@ -1478,8 +1478,9 @@ def q_contract_load(spark, sf_dir):
     from ferrum.plans.jobs import contract_load, read_contract_drops
     root = scratch_path(spark, "contracts-job")
     raw = _raw_contracts(spark, sf_dir).drop("contract_id", "event_timestamp")
-    (raw.withColumnRenamed("filename", "landing_file").write.partitionBy("landing_file")
-        .option("header", True).csv(f"{root}/drops"))
+    # One file per drop (as delivered): cluster rows by drop name before writing.
+    (raw.withColumnRenamed("filename", "landing_file").repartition("landing_file")
+        .write.partitionBy("landing_file").option("header", True).csv(f"{root}/drops"))
     drops = read_contract_drops(spark, f"{root}/drops", name_from="parent")
     sfx = _uuid.uuid4().hex[:8]
     contracts, _ = contract_load(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,

@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,17 +39,23 @@ def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_
     ``out_root/processed_data`` and appends them and the KPI rows to their
     tables. Returns ``(contracts_table, kpi_table)`` frames.
     """
-    raw = require_columns(drops, RAW_CONTRACT_COLUMNS + ["filename"])
-    kpis = kpi_table(C.file_kpis(raw, consent), FILE_METRIC_NAMES, as_of=as_of, context_col="filename")
-    kept = C.filter_by_consent(raw, consent, columns=RAW_CONTRACT_COLUMNS + ["filename"])
-    typed = typed_contracts(kept, as_of)
-    # A re-delivered file replaces its own folder (dynamic overwrite), others stay.
-    write_per_source_file(typed, f"{out_root}/processed_data", mode="overwrite")
-    # Stored contracts are bucketed by vehicle: every later consent check joins on it.
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}",
-                    bucket_by=(buckets, ["vehicle_identification_number"]))
-    append_to_table(kpis, kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
+    # The day's drop rows feed three writes; keep them for the job's duration
+    # (memory and disk; lost blocks are recomputed from the files).
+    raw = require_columns(drops, RAW_CONTRACT_COLUMNS + ["filename"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kpis = kpi_table(C.file_kpis(raw, consent), FILE_METRIC_NAMES, as_of=as_of, context_col="filename")
+        kept = C.filter_by_consent(raw, consent, columns=RAW_CONTRACT_COLUMNS + ["filename"])
+        typed = typed_contracts(kept, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+        # A re-delivered file replaces its own folder (dynamic overwrite), others stay.
+        write_per_source_file(typed, f"{out_root}/processed_data", mode="overwrite")
+        # Stored contracts are bucketed by vehicle: every later consent check joins on it.
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}",
+                        bucket_by=(buckets, ["vehicle_identification_number"]))
+        append_to_table(kpis, kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
+        typed.unpersist()
+    finally:
+        raw.unpersist()
     return spark.table(contracts_table), spark.table(kpi_table_name)
 
 
