@@ -1534,5 +1534,5 @@ def q_incremental_load(spark, sf_dir):
     from ferrum.sinks.writers import commit_version
     commit_version(spark, name, spark.createDataFrame([], records.schema), root)
     new_ledger, _ = incremental_load(spark, registry, ledger, records, name, LEDGER_AS_OF, version_root=root,
-                                     stale_after=LEDGER_STALE_AFTER)
+                                     stale_after=LEDGER_STALE_AFTER, ledger_table=f"{name}_ledger")
     return _ledger_text(new_ledger)

@@ -62,25 +62,38 @@ def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_
 def incremental_load(spark: SparkSession, registry: DataFrame, ledger: DataFrame, records: DataFrame,
                      target_table: str, as_of: str, *, version_root: str, key: str = "kpi", id_col: str = "id",
                      stale_after: str = L.DEFAULT_STALE_AFTER, batch_size: int = L.BATCH_SIZE,
-                     min_ids: int = L.MIN_IDS, initial_from_id: int = 0) -> tuple[DataFrame, DataFrame]:
+                     min_ids: int = L.MIN_IDS, initial_from_id: int = 0,
+                     ledger_table: str | None = None) -> tuple[DataFrame, DataFrame]:
     """One run of the incremental loader for all KPIs at once.
 
     The target gets a new version (delete each loaded range, insert its rows)
     *before* the ledger is updated, so a crash in between re-runs the same
-    ranges, which the range replace makes idempotent. Returns
-    ``(new_ledger, target_table_frame)``; persisting the ledger is the caller's
-    last step.
+    ranges, which the range replace makes idempotent. With ``ledger_table`` the
+    updated ledger is committed as that table's new version (the last step);
+    otherwise it is returned unevaluated. Returns ``(new_ledger, target_table_frame)``.
+    The per-KPI actions and the pulled records are kept persisted while they
+    feed several steps.
     """
-    actions = L.next_actions(registry, ledger, as_of, stale_after=stale_after, initial_from_id=initial_from_id)
-    started = L.apply_actions(ledger, actions, as_of)
-    scanned = L.scan_ranges(records, actions, key=key, id_col=id_col, batch_size=batch_size)
-    checked = L.validate_ranges(actions, scanned, id_col=id_col, min_ids=min_ids)
-    ok = checked.filter(F.col("success"))
-    new_rows = (scanned.join(ok.select(F.col("kpi").alias("__k"), F.col("from_id").alias("__f")),
-                             (F.col(key) == F.col("__k")) & (F.col("job_from_id") == F.col("__f")), "left_semi")
-                .select(*records.columns))
-    target = replace_keyed_ranges(spark.table(target_table), new_rows, ok.select(key, "from_id", "to_id"),
-                                  key=key, id_col=id_col)
-    commit_version(spark, target_table, target, version_root)
-    outcomes = checked.select("kpi", "from_id", "retries", "success", "to_id", F.col("outcome").alias("details"))
-    return L.close_jobs(started, outcomes, as_of), spark.table(target_table)
+    actions = L.next_actions(registry, ledger, as_of, stale_after=stale_after,
+                             initial_from_id=initial_from_id).persist(StorageLevel.MEMORY_AND_DISK)
+    scanned = L.scan_ranges(records, actions, key=key, id_col=id_col,
+                            batch_size=batch_size).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        started = L.apply_actions(ledger, actions, as_of)
+        checked = L.validate_ranges(actions, scanned, id_col=id_col, min_ids=min_ids)
+        ok = checked.filter(F.col("success"))
+        new_rows = (scanned.join(ok.select(F.col("kpi").alias("__k"), F.col("from_id").alias("__f")),
+                                 (F.col(key) == F.col("__k")) & (F.col("job_from_id") == F.col("__f")), "left_semi")
+                    .select(*records.columns))
+        target = replace_keyed_ranges(spark.table(target_table), new_rows, ok.select(key, "from_id", "to_id"),
+                                      key=key, id_col=id_col)
+        commit_version(spark, target_table, target, version_root)
+        outcomes = checked.select("kpi", "from_id", "retries", "success", "to_id", F.col("outcome").alias("details"))
+        new_ledger = L.close_jobs(started, outcomes, as_of)
+        if ledger_table:
+            commit_version(spark, ledger_table, new_ledger, f"{version_root.rstrip('/')}-ledger")
+            new_ledger = spark.table(ledger_table)
+    finally:
+        scanned.unpersist()
+        actions.unpersist()
+    return new_ledger, spark.table(target_table)
