@@ -59,3 +59,21 @@ def test_failed_route_is_reported_and_others_load(spark, tmp_dir):
               load_into_tables(spark, load_routes(spark, land, route_table(spark)), tables).collect()}
     assert report["kpi_appstate"][0] == "failed"
     assert report["identity_kit"] == ("loaded", 2)
+
+
+def test_union_aligned_ragged_batches(spark):
+    from ferrum.operators.columns import union_aligned
+    a = spark.createDataFrame([(1, "DE")], "id long, country string")
+    b = spark.createDataFrame([(2, "ios", "x")], "id long, os string, extra string")
+    out = union_aligned([a, b], ["id", "country", "os", "app_date"])
+    assert out.columns == ["id", "country", "os", "app_date", "extra"]
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [(1, "DE", None, "", None), (2, None, "ios", "", "x")]
+
+
+def test_key_segments(spark):
+    from ferrum.functions.text import file_stem, key_segment
+    df = spark.createDataFrame([("kpi/appstate/20240101_x.csv",), ("flat.csv",)], "k string")
+    got = [tuple(r) for r in df.select(key_segment("k", 1), key_segment("k", 2), key_segment("k", -1),
+                                       file_stem("k")).collect()]
+    assert got == [("kpi", "appstate", "20240101_x.csv", "20240101_x"), ("flat.csv", None, "flat.csv", "flat")]
