@@ -78,3 +78,36 @@ def test_failed_jobs_matches_left_join_definition(spark, jobs):
             active[(k, f)] = max(active.get((k, f), -1), r)
     want = sorted((k, f, r) for (k, f), r in failed.items() if active.get((k, f)) is None or r != active[(k, f)] - 1)
     assert got == want
+
+
+RANGE = st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 5000)), st.one_of(st.none(), st.integers(0, 5000)))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5000)), min_size=1, max_size=40),
+       st.lists(RANGE, max_size=8), st.sampled_from([7, 64, 1024]))
+def test_bucketed_range_join_matches_brute_force(spark, records, ranges, width):
+    from ferrum.operators.joins import in_ranges
+    rec = spark.createDataFrame(records, "kpi string, id long")
+    rng = spark.createDataFrame(ranges, "kpi string, from_id long, to_id long")
+
+    def inside(k, i):
+        return any(rk == k and lo is not None and hi is not None and lo <= i <= hi for rk, lo, hi in ranges)
+    semi = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id", bucket_width=width).collect())
+    anti = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id", how="left_anti",
+                                              bucket_width=width).collect())
+    assert semi == sorted(r for r in records if inside(*r))
+    assert anti == sorted(r for r in records if not inside(*r))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 3000)), min_size=1, max_size=40),
+       st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 3000), st.sampled_from(["bounded", "unbounded"])),
+                max_size=4, unique_by=lambda j: j[0]))
+def test_scan_ranges_matches_brute_force(spark, records, jobs):
+    rec = spark.createDataFrame(records, "kpi string, id long")
+    jdf = spark.createDataFrame([(k, f, 0, m) for k, f, m in jobs], "kpi string, from_id long, retries int, mode string")
+    got = sorted((r.kpi, r.id) for r in L.scan_ranges(rec, jdf, batch_size=1000).collect())
+    want = sorted((k, i) for k, i in records for jk, f, m in jobs
+                  if jk == k and i >= f and (m == "unbounded" or i <= f + 1000))
+    assert got == want
