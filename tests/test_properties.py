@@ -111,3 +111,21 @@ def test_scan_ranges_matches_brute_force(spark, records, jobs):
     want = sorted((k, i) for k, i in records for jk, f, m in jobs
                   if jk == k and i >= f and (m == "unbounded" or i <= f + 1000))
     assert got == want
+
+
+@SETTINGS
+@given(st.dictionaries(st.integers(0, 20), st.tuples(st.one_of(st.none(), st.sampled_from("abc")),
+                                                     st.one_of(st.none(), st.integers(0, 9))), max_size=10),
+       st.dictionaries(st.integers(0, 20), st.tuples(st.one_of(st.none(), st.sampled_from("xyz")),
+                                                     st.one_of(st.none(), st.integers(10, 19))), max_size=10))
+def test_merge_non_null_matches_dict_definition(spark, current, updates):
+    from ferrum.sinks.writers import merge_non_null
+    schema = "k int, name string, v int"
+    cur = spark.createDataFrame([(k, *v) for k, v in current.items()], schema)
+    upd = spark.createDataFrame([(k, *v) for k, v in updates.items()], schema)
+    got = sorted(tuple(r) for r in merge_non_null(cur, upd, "k").collect())
+    want = {}
+    for k in set(current) | set(updates):
+        old, new = current.get(k, (None, None)), updates.get(k, (None, None))
+        want[k] = tuple(n if n is not None else o for n, o in zip(new, old))
+    assert got == sorted((k, *v) for k, v in want.items())
