@@ -19,8 +19,9 @@ def streaming_alarm(stream: DataFrame, ts: str, value: str, *, keys: list[str] |
                     period_seconds: int = 900, threshold: float = 0.0, statistic: str = "min",
                     comparison: str = "<=", delay: str = "1 hour") -> DataFrame:
     """Watermarked tumbling-window alarm. In append mode a window is emitted once
-    the watermark (max event time - ``delay``) has passed its end; later rows for
-    a closed window are dropped by Spark as too late."""
+    the watermark (max event time - ``delay``) has passed its end. Rows behind the
+    watermark of the previous micro-batch are dropped as late, so an emitted
+    window is never changed afterwards."""
     s = event_time(stream, ts).withWatermark(ts, delay)
     return window_alarm(s, ts, value, period_seconds=period_seconds, threshold=threshold,
                         statistic=statistic, keys=keys, comparison=comparison)

@@ -53,3 +53,26 @@ def test_streamed_alarm_equals_batch_on_closed_windows(spark, tmp_dir):
     batch = {(str(r.window_start), r.stat, r.state) for r in batch_df.filter(F.col("window_end") <= cutoff).collect()}
     assert streamed == batch
     assert len(batch) > 10
+
+
+def test_late_row_after_watermark_does_not_reopen_a_window(spark, tmp_dir):
+    import time
+    src = os.path.join(tmp_dir, "ev")
+    schema = "ts timestamp_ntz, value double"
+
+    def write(rows, name):
+        spark.createDataFrame(rows, "ts string, value double").withColumn(
+            "ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(os.path.join(src, name))
+    # The file source takes files in modification-time order, one per micro-batch here. Spark drops
+    # a row as late when it is behind the watermark of the previous batch, so the late row comes third.
+    write([("2024-01-01 08:05:00", 9.0), ("2024-01-01 10:20:00", 9.0)], "b1")
+    time.sleep(1.1)
+    write([("2024-01-01 10:30:00", 9.0)], "b2")
+    time.sleep(1.1)
+    write([("2024-01-01 08:06:00", 0.5), ("2024-01-01 10:40:00", 9.0)], "b3")  # 08:06 is behind 09:20
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    q = start_alarm(spark, src + "/*", schema, out, ckpt, ts="ts", value="value", period_seconds=900,
+                    threshold=1.0, delay="1 hour", max_files_per_trigger=1)
+    q.awaitTermination()
+    rows = {str(r.window_start): (r.stat, r.state) for r in spark.read.parquet(out).collect()}
+    assert rows["2024-01-01 08:00:00"] == (9.0, "OK")  # the late 0.5 was dropped, window stays closed
