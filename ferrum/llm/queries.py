@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ferrum.llm import bwt_dedup
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
 from ferrum.llm.toxicity import toxicity
@@ -13,9 +14,13 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup(documents(spark, sf_dir), length=100).drop("kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op6_suffix_array_dedup, op8_toxicity)}
 ORACLE: dict[str, str] = {}
