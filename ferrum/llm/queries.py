@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ferrum.llm import bwt_dedup
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
+from ferrum.llm.quality import verdicts
 from ferrum.llm.toxicity import toxicity
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
@@ -22,5 +27,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op6_suffix_array_dedup, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op6_suffix_array_dedup, op8_toxicity)}
 ORACLE: dict[str, str] = {}
