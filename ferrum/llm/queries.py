@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrum.llm import bwt_dedup
+from ferrum.llm import bwt_dedup, mixing, sharding
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
 from ferrum.llm.quality import verdicts
@@ -19,6 +19,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.dedup(documents(spark, sf_dir), length=100).drop("kept")
 
@@ -27,5 +31,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op6_suffix_array_dedup, op8_toxicity)}
+def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.reshard(documents(spark, sf_dir), old_shards=32, new_shards=40)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op6_suffix_array_dedup, op8_toxicity,
+                                  op9_reshard)}
 ORACLE: dict[str, str] = {}
