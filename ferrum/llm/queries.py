@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrum.llm import bwt_dedup, mixing, sharding
+from ferrum.llm import bwt_dedup, chat, licenses, mixing, sharding
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
 from ferrum.llm.quality import verdicts
@@ -27,6 +27,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.dedup(documents(spark, sf_dir), length=100).drop("kept")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -35,6 +39,10 @@ def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.reshard(documents(spark, sf_dir), old_shards=32, new_shards=40)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op6_suffix_array_dedup, op8_toxicity,
-                                  op9_reshard)}
-ORACLE: dict[str, str] = {}
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op6_suffix_array_dedup, op7_license_scan,
+                                  op8_toxicity, op9_reshard, op10_chat_format)}
+ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle(), "op10_chat_format": chat.ORACLE}
