@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrum.session import scratch_path, table
 
-__all__ = ["connected_components", "documents", "stored", "table", "unused"]
+__all__ = ["connected_components", "documents", "possible", "rarity", "stored", "table", "unused"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +93,40 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def spread_column(*cols: Column) -> Column:
-    """A long that spreads rows evenly, the same on every run."""
-    return F.xxhash64(*cols)
+#: Counters of ``rarity``; its array is sent to the tasks, 4 MB whatever the corpus.
+RARITY_BITS = 20
+
+
+def rarity(items: DataFrame, column: str) -> np.ndarray:
+    """How often the values of a long column occur, counted over all rows in 2**RARITY_BITS counters.
+
+    Values that share a counter share its count, so a count is never too small: a count of 1 means that
+    the value occurs once. Ordering by (count, value) is the same total order everywhere.
+    """
+    size = 1 << RARITY_BITS
+    counts = items.groupBy(F.pmod(F.col(column), F.lit(size)).cast("int").alias("i")).agg(F.count("*").alias("n")).toPandas()
+    out = np.zeros(size, dtype=np.int32)
+    out[counts["i"].to_numpy(dtype=np.int64)] = np.minimum(counts["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    return out
+
+
+def possible(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among that of ``ids``: all that are, and a few others.
+
+    A filter of 2**RARITY_BITS cells (1 MB, whatever the corpus) that keeps most of the other rows out of
+    the shuffle of an exact join that follows.
+    """
+    size = 1 << RARITY_BITS
+    cell = lambda: F.pmod(F.xxhash64(F.col(column)), F.lit(size)).cast("int")
+    hit = np.zeros(size, dtype=bool)
+    hit[ids.select(cell().alias("i")).distinct().toPandas()["i"].to_numpy(dtype=np.int64)] = True
+    shared = df.sparkSession.sparkContext.broadcast(hit)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(shared.value[b.column("cell_").to_numpy()]))
+            if len(b):
+                yield b.select(names)
+
+    return df.withColumn("cell_", cell()).mapInArrow(run, df.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrum.llm import bwt_dedup, chat, decontaminate, licenses, mixing, sharding
+from ferrum.llm import bwt_dedup, chat, decontaminate, licenses, line_dedup, mixing, sharding
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
 from ferrum.llm.quality import verdicts
@@ -23,6 +23,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op5_decontaminate, op6_suffix_array_dedup,
-                                  op7_license_scan, op8_toxicity, op9_reshard, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_decontaminate,
+                                  op6_suffix_array_dedup, op7_license_scan, op8_toxicity, op9_reshard, op10_chat_format)}
 ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle(), "op10_chat_format": chat.ORACLE}
