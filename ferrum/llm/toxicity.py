@@ -15,8 +15,8 @@ Defined results: null or empty texts get the bias alone; texts are read whole, w
 rows with the same id are scored one by one; rows without an id are scored and never trained on;
 several labels for one id count as toxic if any is; null labels are left out; without any training
 row the weights are zero and every score is 0.5. ``label``, ``lang``, ``source`` and the id are never
-inputs of a score. All columns of the input are kept; a clash with an output column raises
-``ValueError``.
+inputs of a score. All columns of the input are kept; where it has a ``score`` or ``predicted`` of its
+own, the new column's name gets an underscore.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrum.llm import text as tx
+from ferrum.llm.base import stored, unused
 
 _U = np.uint64
 
@@ -57,6 +58,14 @@ def features(t: tx.Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return at, coord.astype(np.int64)
 
 
+def _sets(t: tx.Texts, bits: int) -> list[np.ndarray]:
+    """The coordinates of each text, with the bias, each once."""
+    at, coord = features(t, bits)
+    size = np.int64(1 << bits)
+    key = np.unique(np.concatenate([at * size + coord, np.arange(len(t)) * size]))
+    return np.split(key & (size - 1), np.searchsorted(key >> bits, np.arange(1, len(t))))
+
+
 @dataclass
 class Model:
     bits: int
@@ -82,47 +91,33 @@ def _weights(z, n, alpha, beta, l1, l2):
 
 
 def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int = 18, shards: int = 6,
-          rounds: int = 4, alpha: float = 0.2, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0,
+          rounds: int = 3, alpha: float = 0.2, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0,
           order: str = "order") -> Model:
     """Fit on ``rows``: text, label 0/1 and a long that fixes the order within a shard."""
     spark = rows.sparkSession
 
-    def to_coords(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = []
-            for t in tx.slices(b.column("text")):
-                at, coord = features(t, bits)
-                key = np.unique(at * np.int64(1 << bits) + coord)
-                cut = np.searchsorted(key >> bits, np.arange(1, len(t)))
-                sets += [x.astype(np.int32) for x in np.split(key & ((1 << bits) - 1), cut)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("order"), b.column("label"), pa.array(sets, type=pa.list_(pa.int32()))],
-                names=["order", "label", "coords"])
-
     data = rows.select(F.col(order).cast("long").alias("order"), F.col(label).cast("double").alias("label"),
                        F.col(text).cast("string").alias("text"))
-    data = data.mapInArrow(to_coords, "order long, label double, coords array<int>")
-    data = data.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int"))
-    from ferrum.llm.base import stored
-    data = stored(data, "toxic-train")
+    data = stored(data.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int")), "toxic-train")
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
-    out = T.StructType([T.StructField("z", T.BinaryType()), T.StructField("n", T.BinaryType())])
     for _ in range(rounds):
         start = spark.sparkContext.broadcast((z, n))
 
         def one_shard(part: pd.DataFrame) -> pd.DataFrame:
             z, n = (x.copy() for x in start.value)  # noqa: B023 - used before the next round begins
             part = part.sort_values("order", kind="stable")
-            for y, c in zip(part["label"].to_numpy(), part["coords"], strict=True):
-                c = np.concatenate([[0], c]).astype(np.int64)
-                zc, nc = z[c], n[c]
-                w = _weights(zc, nc, alpha, beta, l1, l2)
-                g = 1 / (1 + np.exp(-np.clip(w.sum(), -60, 60))) - y
-                z[c] = zc + g - (np.sqrt(nc + g * g) - np.sqrt(nc)) / alpha * w
-                n[c] = nc + g * g
+            labels, at = part["label"].to_numpy(), 0
+            for t in tx.slices(pa.array(part["text"], pa.string())):
+                for c in _sets(t, bits):
+                    zc, nc = z[c], n[c]
+                    w = _weights(zc, nc, alpha, beta, l1, l2)
+                    g = 1 / (1 + np.exp(-np.clip(w.sum(), -60, 60))) - labels[at]
+                    z[c] = zc + g - (np.sqrt(nc + g * g) - np.sqrt(nc)) / alpha * w
+                    n[c] = nc + g * g
+                    at += 1
             return pd.DataFrame({"z": [z.tobytes()], "n": [n.tobytes()]})
 
-        got = data.groupBy("shard").applyInPandas(one_shard, out).toLocalIterator()
+        got = data.groupBy("shard").applyInPandas(one_shard, "z binary, n binary").toLocalIterator()
         zs, ns, k = np.zeros(1 << bits), np.zeros(1 << bits), 0
         for r in got:
             zs, ns, k = zs + np.frombuffer(r["z"]), ns + np.frombuffer(r["n"]), k + 1
@@ -148,9 +143,7 @@ def label_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """``docs`` with ``score`` (double) and ``predicted`` (1 where score >= threshold)."""
-    clash = {"score", "predicted"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"input already has {sorted(clash)}")
+    new = [unused(docs, "score"), unused(docs, "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = docs.columns
 
@@ -159,10 +152,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             s = shared.value.scores(b.column(keep.index(text)))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
-                names=[*keep, "score", "predicted"])
+                names=[*keep, *new])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(new[0], T.DoubleType()),
+                           T.StructField(new[1], T.IntegerType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -176,6 +169,13 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) ->
     return train(label_rows(docs, labels, where=~held_out(F.col("doc_id")), max_rows=max_rows))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``, all columns kept."""
+    flag = unused(docs, "predicted")
+    out = score(docs.withColumn("text", F.col("text").cast("string")), fit_on_labels(docs, labels), threshold=threshold)
+    return out.where(F.col(flag) == 0).select(*docs.columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     model = fit_on_labels(docs, labels)
