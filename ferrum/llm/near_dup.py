@@ -15,8 +15,11 @@ Grouping:
 3. stars: each representative is checked on full sets against a hub of a bucket it is in, and the
    links go into distributed union-find. Two star rounds use different hubs, the smallest id and a
    random one;
-4. every pair that still shares a bucket but not a component is checked, so no link is lost that the
-   bands show. A large group is one component by then and makes no pairs among itself.
+4. representatives that still share a bucket with another component are joined exactly: shingles are
+   ordered by rarity, and only pairs of different components that share a shingle within the prefix a
+   link needs, at places that leave room for enough common shingles, are checked. A large group is one
+   component by then and makes no pairs among itself; many texts that are alike but not enough differ
+   in their rare shingles and make hardly any.
 
 The check is exact on the sets of 64-bit shingle hashes: 100 * intersection >= percent * union.
 
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
-from ferrum.llm.base import connected_components, stored
+from ferrum.llm.base import RARITY_BITS, connected_components, rarity, stored
 
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -146,6 +149,54 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("u", "v")
 
 
+def _open(spots: DataFrame, parts: DataFrame) -> DataFrame:
+    """bucket, node, component and pick (hash of one node) of the buckets that hold several components."""
+    here = spots.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = here.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
+                                       F.min(F.xxhash64("node")).alias("pick")).where("c0 < c1")
+    return stored(here.join(mixed, "bucket").drop("c0", "c1"), "near-open")
+
+
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of nodes of different components whose sets may reach ``percent``; none is missed.
+
+    ``sets``: node, component, items. Of n items ordered by rarity, a partner must share one of the
+    first ``n - ceil(percent * n / 100) + 1``; from a shared place on, enough items must be left.
+    """
+    sets = stored(sets, "near-rest")
+    counts = sets.sparkSession.sparkContext.broadcast(rarity(sets.select(F.explode("items").alias("item")), "item"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            items = b.column("items")
+            cut, flat = np.asarray(items.offsets), np.asarray(items.values)
+            found: list[list[np.ndarray]] = [[], [], [], []]
+            for i in range(len(b)):
+                x = flat[cut[i]: cut[i + 1]]
+                often = counts.value[x & ((1 << RARITY_BITS) - 1)]
+                need = len(x) - -(-percent * len(x) // 100) + 1
+                first = np.lexsort((x, often))[:need]
+                place = np.flatnonzero(often[first] > 1)
+                for to, v in zip(found, (x[first][place], np.full(len(place), i), np.full(len(place), len(x)), place), strict=True):
+                    to.append(v)
+            item, who, size, place = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in found)
+            who = pa.array(who)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(item), b.column("node").take(who), b.column("component").take(who),
+                 pa.array(size.astype(np.int32)), pa.array(place.astype(np.int32))],
+                names=["item", "node", "component", "n", "at"])
+
+    spots = stored(sets.select("node", "component", "items").mapInArrow(
+        run, "item long, node long, component long, n int, at int"), "near-prefix")
+    mixed = spots.groupBy("item").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("item")
+    spots = stored(spots.join(mixed, "item", "left_semi"), "near-prefix")
+    a, b = (spots.select("item", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "at")]) for s in "ab")
+    room = "(100 + {p}) * (least(n_a - at_a, n_b - at_b)) >= {p} * (n_a + n_b)"
+    near = "100 * least(n_a, n_b) >= {p} * greatest(n_a, n_b)"
+    return a.join(b, "item").where(f"component_a < component_b AND {near} AND {room}".format(p=percent)).select(
+        F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
@@ -162,26 +213,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     stars = spots.where("node <> low").groupBy("node").agg(F.min("low").alias("v")).withColumnRenamed("node", "u")
     links = stored(_links(stars, sets, percent), "near-links")
     parts = stored(connected_components(links), "near-parts")
-    for last in (False, True):
-        here = spots.select("bucket", "node").join(parts, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        mixed = here.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                           F.min(F.xxhash64("node")).alias("pick")).where("c0 < c1")
-        here = stored(here.join(mixed, "bucket"), "near-open")
-        if last:
-            other = here.select("bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-            pairs = here.select("bucket", F.col("node").alias("u"), "component").join(other, "bucket").where("component < other")
-        else:
-            hub = here.where(F.xxhash64("node") == F.col("pick")).select(
-                "bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-            pairs = here.select("bucket", F.col("node").alias("u"), "component").join(hub, "bucket").where(
-                "component <> other").groupBy("u").agg(F.min("v").alias("v"))
-        more = stored(_links(pairs.select("u", "v").distinct(), sets, percent), "near-links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            parts = stored(connected_components(links), "near-parts")
+    here = _open(spots, parts)
+    hub = here.where(F.xxhash64("node") == F.col("pick")).select(
+        "bucket", F.col("node").alias("v"), F.col("component").alias("other"))
+    stars = here.select("bucket", F.col("node").alias("u"), "component").join(hub, "bucket").where(
+        "component <> other").groupBy("u").agg(F.min("v").alias("v"))
+    links = stored(links.unionByName(_links(stars, sets, percent)), "near-links")
+    parts = stored(connected_components(links), "near-parts")
+    rest = _open(spots, parts).groupBy("node").agg(F.min("component").alias("component"))
+    more = stored(_links(_prefix_pairs(sets.join(rest, "node"), percent), sets, percent), "near-links")
+    if not more.isEmpty():
+        parts = stored(connected_components(links.unionByName(more)), "near-parts")
 
     marked = marks.select("doc_id", "n_shingles", "a", "b").join(classes, ["a", "b"], "left").join(parts, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
     return marked.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns kept: one of each component, one of repeated rows."""
+    marks = stored(near_duplicates(docs, width, percent).select("doc_id", "kept"), "near-result")
+    gone = marks.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    twins = marks.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("twin_id")).agg(F.count("*").alias("n")).where(
+        "n > 1").select("twin_id")
+    key = F.col("doc_id").cast("long")
+    left = docs.join(gone, key == F.col("gone_id"), "left_anti")
+    twice = left.join(twins, key == F.col("twin_id"), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(twins, key == F.col("twin_id"), "left_anti").unionByName(twice)

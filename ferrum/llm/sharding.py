@@ -105,9 +105,11 @@ def assign(docs: DataFrame, old: Column, old_shards: int, new_shards: int, text:
     ``old`` gives the shard that a row is in now (0 .. old_shards - 1). New capacities are equal. The
     plan is made from (size, hashes) alone; the rows themselves are shuffled once, by fine cell.
     """
-    helpers = {"_size", "_was", "_text", "_id", "_cell", "_fine", "_start", "_nth", "_mid", "_shard", "_firsts"}
-    if clash := helpers & {c.lower() for c in docs.columns}:
-        raise ValueError(f"reserved column names: {sorted(clash)}")
+    names = docs.columns
+    out_names = [unused(docs, c) for c in ("size", "old_shard", "shard", "slot")]
+    safe = [f"c{k}" for k in range(len(names))]  # no clash with the helper columns below
+    docs = docs.select("*", old.cast("int").alias("old_")).toDF(*safe, "old_")
+    text, doc_id, old = safe[names.index(text)], safe[names.index(doc_id)], F.col("old_")
     keyed = _keyed(docs, old, text, doc_id, overhead)
     thin = stored(keyed.select("_size", "_was", "_text", "_id", "_cell", "_fine"), "shard-sizes")
     cells = stored(thin.groupBy("_was", "_cell", "_fine").agg(F.sum("_size").alias("bytes")), "shard-cells")
@@ -139,8 +141,8 @@ def assign(docs: DataFrame, old: Column, old_shards: int, new_shards: int, text:
         "_shard", F.col("o0") + F.col("c0") + F.col("f0") - F.col("nth")))).alias("_firsts"))  # an entry per shard at most
     starts = stored(starts.join(firsts, ["_was", "_cell", "_fine"]), "shard-starts")
     out = _located(keyed, starts, cuts).withColumn("_nth", F.col("_nth") + F.element_at("_firsts", F.col("_shard")))
-    return out.select(*docs.columns, F.col("_size").alias(unused(docs, "size")), F.col("_was").alias(unused(docs, "old_shard")),
-                      F.col("_shard").alias(unused(docs, "shard")), F.col("_nth").alias(unused(docs, "slot")))
+    out = out.withColumn("_nth", F.col("_nth").cast("long"))
+    return out.select(*safe, "_size", "_was", "_shard", "_nth").toDF(*names, *out_names)
 
 
 def old_layout(shards: int, text: str = "text") -> Column:
