@@ -18,7 +18,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from ferrum.session import BASE_CONF, ensure_utc, scratch_path
+from ferrum.session import BASE_CONF, ensure_utc
 
 
 def _session() -> SparkSession:
@@ -34,17 +34,15 @@ def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def ingest_signals(spark: SparkSession, source: str, target: str, as_of: str, table: str | None = None,
-                   files_per_partition: int = 8) -> int:
+def ingest_signals(spark: SparkSession, source: str, target: str, as_of: str, table: str | None = None) -> int:
     """Raw signal JSON -> normalised rows appended under name/year/month partitions."""
     from ferrum.operators.signals import SIGNAL_PARTITION_COLUMNS, normalize_signals
-    from ferrum.sinks.writers import salted_partition_write
+    from ferrum.sinks.writers import partitioned_write
     from ferrum.sources.files import read_json
     from ferrum.sources.sql import register_partitioned_table
 
     raw = read_json(spark, source, schema="vin string, eventDate string, signalName string, signalValue double")
-    salted_partition_write(normalize_signals(raw, as_of), target, SIGNAL_PARTITION_COLUMNS,
-                           files_per_partition=files_per_partition)
+    partitioned_write(normalize_signals(raw, as_of), target, SIGNAL_PARTITION_COLUMNS)
     if table:
         register_partitioned_table(spark, table, target)
     return 0
@@ -59,14 +57,15 @@ def land(spark: SparkSession, source: str, target: str, checkpoint: str, max_fil
     return 1 if q.exception() else 0
 
 
-def retention(spark: SparkSession, database: str, ts_column: str, days: int, erase: list[str], as_of: str) -> int:
+def retention(spark: SparkSession, database: str, ts_column: str, days: int, erase: list[str], as_of: str,
+              version_root: str, erase_ts_column: str | None = None) -> int:
     from ferrum.operators.retention import apply_retention_to_database
     rules: dict[int, str] = {}
     for item in erase:
         d, cols = item.split("=", 1)
         rules[int(d)] = ",".join(filter(None, [rules.get(int(d), ""), cols]))
     report = apply_retention_to_database(spark, database, ts_column, as_of, days, rules,
-                                         scratch_path(spark, "retention-versions"))
+                                         version_root, erase_ts_col=erase_ts_column)
     for row in report.collect():  # one row per table
         print(json.dumps(row.asDict()))
     return 0
@@ -91,6 +90,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--ts-column", required=True)
     c.add_argument("--days", type=int, required=True)
     c.add_argument("--erase", action="append", default=[], help='"DAYS=col1,col2", repeatable')
+    c.add_argument("--erase-ts-column", help="age column of the erase rules, default --ts-column")
+    c.add_argument("--version-root", required=True, help="folder that the rewritten tables live in from then on")
     c.add_argument("--as-of")
     args = p.parse_args(argv)
     spark = _session()
@@ -98,7 +99,8 @@ def main(argv: list[str] | None = None) -> int:
         return ingest_signals(spark, args.source, args.target, args.as_of or _now(), args.table)
     if args.cmd == "land-messages":
         return land(spark, args.source, args.target, args.checkpoint, args.max_files, args.reprocess_all)
-    return retention(spark, args.database, args.ts_column, args.days, args.erase, args.as_of or _now())
+    return retention(spark, args.database, args.ts_column, args.days, args.erase, args.as_of or _now(),
+                     args.version_root, args.erase_ts_column)
 
 
 if __name__ == "__main__":

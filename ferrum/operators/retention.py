@@ -3,7 +3,7 @@ and apply both to every table of a database."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -55,33 +55,73 @@ REPORT_SCHEMA = StructType([
 ])
 
 
-def apply_retention_to_database(spark: SparkSession, database: str, ts_col: str, as_of: str,
-                                days: int, erase_rules: dict, version_root: str) -> DataFrame:
-    """Delete expired rows and erase expired columns in every table of ``database``.
+def apply_retention_to_table(spark: SparkSession, name: str, as_of: str, days: int, erase_rules: dict, version_root: str, *,
+                             delete_ts_col: str, erase_ts_col: str | None = None, purge: bool = True) -> tuple[int, int]:
+    """Delete expired rows of one table and erase its expired columns; (rows before, rows removed).
 
-    Each table is rewritten to a new version folder and its catalog entry is
-    pointed there (the old files are never overwritten while being read). The
-    counts are observed metrics of that same write (no extra pass). A table
-    without ``ts_col`` is reported, not fatal. Returns one report row per table.
+    ``delete_ts_col`` gives the age for deletion, ``erase_ts_col`` (default: the same) the
+    age for erasure. Of a partitioned table only partitions that hold an affected row are
+    rewritten. With ``purge`` the replaced files are deleted once the new version is in
+    place, so deleted rows and erased values do not stay on disk.
+    """
+    from ferrum.sinks.writers import commit_version, file_folder, remove_folders, table_files, table_layout
+
+    df = spark.table(name)
+    erase_ts_col = erase_ts_col or delete_ts_col
+    rules = erase_rules if erase_ts_col in df.columns else {}
+    limits = [d for c, d in parse_erase_rules(rules).items() if c in df.columns]
+    gone = expired(delete_ts_col, as_of, days)
+    hit = gone | expired(erase_ts_col, as_of, min(limits)) if limits else gone
+    cols = table_layout(spark, name).partition_cols
+    before = df.agg(F.count(F.lit(1)).alias("n"), F.sum(gone.cast("long")).alias("gone")).first()  # one row
+    touched, work = None, df
+    if cols:
+        text = [F.col(c).cast("string").alias(c) for c in cols]
+        touched = [r.asDict() for r in df.filter(hit).select(*text).distinct().collect()]  # partitions: catalog metadata
+        if not touched:
+            return int(before["n"]), 0
+        mine = spark.createDataFrame([tuple(r[c] for c in cols) for r in touched], ", ".join(f"`__{c}` string" for c in cols))
+        cond = F.lit(True)
+        for c in cols:
+            cond = cond & F.col(c).cast("string").eqNullSafe(F.col(f"__{c}"))
+        work = df.join(F.broadcast(mine), cond, "left_semi")
+        old = [r[0] for r in work.select(file_folder()).distinct().collect()]
+    else:
+        old = table_files(spark, name)
+    # Erasure first, so that its age column is still there; deletion keeps rows of unknown age.
+    kept = erase_columns(work.filter(~gone), erase_ts_col, as_of, rules) if rules else work.filter(~gone)
+    commit_version(spark, name, kept, version_root, touched=touched)
+    if purge:
+        remove_folders(spark, old)
+    after = spark.table(name).count()
+    return int(before["n"]), int(before["n"]) - after
+
+
+def apply_retention_to_database(spark: SparkSession, database: str, delete_ts_col: str, as_of: str,
+                                days: int, erase_rules: dict, version_root: str, *,
+                                erase_ts_col: str | None = None, purge: bool = True) -> DataFrame:
+    """Retention on every table of ``database``; one report row per table.
+
+    Views and tables without ``delete_ts_col`` are reported and left alone, and a table
+    that fails is reported with its error while the others go on. ``rows_after`` is
+    counted from the committed table.
     """
-    from ferrum.sinks.writers import commit_version
-
     report = []
     for t in spark.catalog.listTables(database):
         if t.isTemporary:  # session temp views are listed with every database
             continue
         name = f"{database}.{t.name}"
-        df = spark.table(name)
-        if ts_col not in df.columns:
-            report.append((t.name, None, None, None, f"skipped: no column {ts_col}"))
+        if t.tableType == "VIEW":
+            report.append((t.name, None, None, None, "skipped: view"))
+            continue
+        if delete_ts_col not in spark.table(name).columns:
+            report.append((t.name, None, None, None, f"skipped: no column {delete_ts_col}"))
             continue
-        # Counts are observed while the new version is written: one pass per table.
-        obs = Observation(f"retention_{t.name}")
-        watched = df.observe(obs, F.count(F.lit(1)).alias("n"),
-                             F.sum(expired(ts_col, as_of, days).cast("long")).alias("gone"))
-        kept = erase_columns(retention_delete(watched, ts_col, as_of, days), ts_col, as_of, erase_rules)
-        commit_version(spark, name, kept, f"{version_root}/{database}/{t.name}")
-        stats = obs.get
-        before, gone = int(stats["n"]), int(stats["gone"] or 0)
-        report.append((t.name, before, gone, before - gone, "ok"))
+        try:
+            before, removed = apply_retention_to_table(
+                spark, name, as_of, days, erase_rules, f"{version_root}/{database}/{t.name}",
+                delete_ts_col=delete_ts_col, erase_ts_col=erase_ts_col, purge=purge)
+            report.append((t.name, before, removed, before - removed, "ok"))
+        except Exception as e:  # noqa: BLE001 - reported per table
+            report.append((t.name, None, None, None, f"failed: {e}"))
     return spark.createDataFrame(report, REPORT_SCHEMA)

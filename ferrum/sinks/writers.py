@@ -8,27 +8,27 @@ previous version readable.
 
 from __future__ import annotations
 
+import re
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def salted_partition_write(df: DataFrame, path: str, partition_cols: list[str], *,
-                           files_per_partition: int = 8, mode: str = "append",
-                           salt_cols: list[str] | None = None, dynamic_overwrite: bool = False) -> None:
-    """Write ``df`` partitioned by ``partition_cols``, clustering rows of one
-    partition value into at most ``files_per_partition`` tasks.
+MAX_RECORDS_PER_FILE = 5_000_000
 
-    A plain ``repartition(*partition_cols)`` sends every row of one value to one
-    task; with a hot value holding a third of the data that task dominates the
-    job. The salt (a hash of ``salt_cols``, default all other columns) spreads
-    each value over several tasks while keeping the file count per folder bounded.
+
+def partitioned_write(df: DataFrame, path: str, partition_cols: list[str], *, mode: str = "append",
+                      dynamic_overwrite: bool = False, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+    """Write ``df`` partitioned by ``partition_cols``, rows of one value clustered.
+
+    The ``rebalance`` hint shuffles by the partition columns and lets AQE split large
+    partitions and join small ones at the advisory size, so the number of tasks that
+    write one value follows from its data: a hot value is split, a small one is one file.
     """
-    others = salt_cols or [c for c in df.columns if c not in partition_cols]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(files_per_partition))
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    w = df.repartition(n, *[F.col(c) for c in partition_cols], salt).write.mode(mode)
+    w = df.hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode(mode)
+    w = w.option("maxRecordsPerFile", max_records_per_file)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.partitionBy(*partition_cols).parquet(path)
@@ -72,8 +72,8 @@ def replace_keyed_ranges(current: DataFrame, new_rows: DataFrame, ranges: DataFr
     """Per-key range replace for many keys at once.
 
     ``ranges`` holds ``(key, lo, hi)`` rows (any number per key). Rows of
-    ``current`` inside one of their key's ranges are dropped (bucketed range anti
-    join, see ``in_ranges``), then the new rows are appended.
+    ``current`` inside one of their key's ranges are dropped (anti join on
+    the key with the range as condition, see ``in_ranges``), then the new rows are appended.
     """
     from ferrum.operators.joins import in_ranges
     kept = in_ranges(current, ranges, key=key, id_col=id_col, lo=lo, hi=hi, how="left_anti")
@@ -86,67 +86,164 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
        .partitionBy(*partition_cols).parquet(path))
 
 
-def overwrite_all(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
-    """Replace the whole table (static overwrite)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+def overwrite_all(spark: SparkSession, table_name: str, df: DataFrame, root: str) -> str:
+    """Replace the whole table ``table_name`` by ``df``: a new version under ``root``, so the old
+    content stays readable until the new one is complete, and for good if the write fails."""
+    return commit_version(spark, table_name, df, root)
 
 
-def merge_non_null(current: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFrame:
+def merge_non_null(current: DataFrame, updates: DataFrame, key: str | list[str], order_by: str | None = None) -> DataFrame:
     """Upsert: unknown keys are inserted; for known keys every column takes the
     update's value where it is non-NULL, else keeps the current value.
 
-    One full outer join on the key (shuffle by key on both sides).
+    Several updates of one key are reduced first: each column takes its non-NULL value
+    with the greatest ``order_by`` (without it, the greatest value). Update columns that
+    the table lacks are added (NULL for untouched rows). NULL keys match nothing: such
+    updates are inserted one by one. One full outer join on the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    fresh = [c for c in updates.columns if c not in keys and c != order_by]
     cols = [c for c in current.columns if c not in keys]
-    u = updates.select(*[F.col(k) for k in keys],
-                       *[F.col(c).alias(f"__u_{c}") for c in cols if c in updates.columns])
+    cols += [c for c in fresh if c not in cols]
+
+    def last(c: str) -> Column:
+        if order_by is None:
+            return F.max(c)
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(F.col(order_by).isNotNull(), F.col(order_by), F.col(c))))
+
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    u = updates.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[last(c).alias(f"__u_{c}") for c in fresh]).drop("__n")
     j = current.join(u, keys, "full_outer")
-    out = [F.col(k) for k in keys]
-    for c in cols:
-        if c in updates.columns:
-            out.append(F.coalesce(F.col(f"__u_{c}"), F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+
+    def merged(c: str) -> Column:
+        if c not in fresh:
+            return F.col(c)
+        return F.coalesce(F.col(f"__u_{c}"), F.col(c)).alias(c) if c in current.columns else F.col(f"__u_{c}").alias(c)
+
+    loose = updates.filter(~known).select(*keys, *[F.col(c) for c in fresh])
+    return j.select(*keys, *[merged(c) for c in cols]).unionByName(loose, allowMissingColumns=True)
 
 
 def new_version_path(root: str) -> str:
     return f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:16]}"
 
 
+@dataclass
+class Layout:
+    """How a catalog table is stored."""
+
+    location: str | None
+    partition_cols: list[str]
+    buckets: int
+    bucket_cols: list[str]
+    sort_cols: list[str]
+
+
+def table_layout(spark: SparkSession, table_name: str) -> Layout:
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()}
+    names = lambda text: re.findall("`([^`]+)`", text or "")
+    return Layout(info.get("Location"), [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition],
+                  int(info.get("Num Buckets", 0) or 0), names(info.get("Bucket Columns")), names(info.get("Sort Columns")))
+
+
+def _write_layout(spark: SparkSession, df: DataFrame, path: str, layout: Layout) -> None:
+    """Write ``df`` to a new folder with the layout of its table."""
+    if layout.partition_cols:
+        df = df.hint("rebalance", *[F.col(c) for c in layout.partition_cols])
+    elif layout.buckets:
+        df = df.repartition(layout.buckets, *layout.bucket_cols)  # one writer per bucket file
+    w = df.write.mode("errorifexists")
+    if layout.partition_cols:
+        w = w.partitionBy(*layout.partition_cols)
+    if not layout.buckets:
+        w.parquet(path)
+        return
+    # Only a catalog write makes bucket files; its own entry goes again, the files stay.
+    w = w.format("parquet").bucketBy(layout.buckets, *layout.bucket_cols)
+    if layout.sort_cols:
+        w = w.sortBy(*layout.sort_cols)
+    staging = f"staging_{uuid.uuid4().hex[:12]}"
+    w.option("path", path).saveAsTable(staging)
+    spark.sql(f"DROP TABLE {staging}")
+
+
+def _partition_spec(row: dict) -> str:
+    def lit(v) -> str:
+        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"`{c}` = {lit(v)}" for c, v in row.items())
+
+
+def file_folder() -> Column:
+    """The folder of a row's file. ``_metadata.file_path`` is an escaped URI; this is the plain path."""
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(plain, "^(.*)/[^/]*$", 1)
+
+
+def _partition_folders(spark: SparkSession, path: str, cols: list[str]) -> list[dict]:
+    """Partition values (as text) and the folder of each partition under a written folder."""
+    rows = spark.read.parquet(path).select(*[F.col(c).cast("string").alias(c) for c in cols], file_folder().alias("__folder")).distinct()
+    return [r.asDict() for r in rows.collect()]  # one row per partition: catalog metadata
+
+
 def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: str,
-                   partition_cols: list[str] | None = None) -> str:
-    """Write ``df`` to a new version folder under ``root`` and point the catalog
-    table ``table_name`` at it. Returns the new folder."""
+                   partition_cols: list[str] | None = None, touched: list[dict] | None = None) -> str:
+    """Write ``df`` to a new version folder under ``root`` and point the catalog table
+    ``table_name`` at it, in the table's own layout (partitions, buckets). Returns the folder.
+
+    A partitioned table is switched partition by partition; partitions that ``df`` no
+    longer has are dropped last. With ``touched`` (partition values) ``df`` holds the new
+    content of those partitions only and the others keep their files.
+    """
     path = new_version_path(root)
-    w = df.write.mode("errorifexists")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
-    if spark.catalog.tableExists(table_name):
-        spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table_name)
-        if partition_cols:
-            spark.catalog.recoverPartitions(table_name)
-    else:
+    if not spark.catalog.tableExists(table_name):
+        _write_layout(spark, df, path, Layout(None, partition_cols or [], 0, [], []))
         spark.catalog.createTable(table_name, path=path, source="parquet")
         if partition_cols:
             spark.catalog.recoverPartitions(table_name)
+        return path
+    layout = table_layout(spark, table_name)
+    _write_layout(spark, df, path, layout)
+    if not layout.partition_cols:
+        spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table_name)
+        return path
+    cols = layout.partition_cols
+    new = {tuple(r[c] for c in cols): r["__folder"] for r in _partition_folders(spark, path, cols)}
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    old = touched if touched is not None else [r.asDict() for r in spark.table(table_name).select(*text).distinct().collect()]
+    have = {tuple(None if r[c] is None else str(r[c]) for c in cols) for r in old}
+    for values, folder in new.items():
+        spec = _partition_spec(dict(zip(cols, values, strict=True)))
+        if values not in have:
+            spark.sql(f"ALTER TABLE {table_name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table_name} PARTITION ({spec}) SET LOCATION '{folder}'")
+    for values in have - set(new):
+        spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({_partition_spec(dict(zip(cols, values, strict=True)))})")
+    spark.catalog.refreshTable(table_name)
     return path
 
 
-def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append",
-                          files_per_file: int = 2) -> None:
+def table_files(spark: SparkSession, table_name: str) -> list[str]:
+    """Folders that a table's current rows are read from (one per partition)."""
+    return [r[0] for r in spark.table(table_name).select(file_folder()).distinct().collect()]
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders that no table reads any more, so that removed rows leave the disk."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001 - Hadoop's public file API
+    for folder in folders:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+
+
+def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append") -> None:
     """One output folder per input file (``filename=<stem>``). With
     ``mode="overwrite"`` (dynamic partition overwrite) a re-delivered file
     replaces only its own folder."""
     stem = F.regexp_replace(F.element_at(F.split(F.col(file_col), "/"), -1), "\\.[^.]*$", "")
-    salted_partition_write(df.withColumn(file_col, stem), path, [file_col], files_per_partition=files_per_file,
-                           mode=mode, dynamic_overwrite=True)
+    partitioned_write(df.withColumn(file_col, stem), path, [file_col], mode=mode, dynamic_overwrite=True)
 
 
 def append_to_table(df: DataFrame, name: str, path: str | None = None,

@@ -30,7 +30,7 @@ def test_retention_cli(spark, tmp_dir, capsys):
         "id", "cast(ts as timestamp) as ts", "email").write.parquet(data)
     spark.catalog.createTable("ret_cli_db.t", path=data, source="parquet")
     assert cli.main(["retention", "--database", "ret_cli_db", "--ts-column", "ts", "--days", "700",
-                     "--erase", "30=email", "--as-of", "2024-03-01 00:00:00"]) == 0
+                     "--erase", "30=email", "--version-root", os.path.join(tmp_dir, "versions"), "--as-of", "2024-03-01 00:00:00"]) == 0
     assert '"rows_removed": 1' in capsys.readouterr().out
     rows = [tuple(r) for r in spark.table("ret_cli_db.t").collect()]
     assert len(rows) == 1 and rows[0][0] == 2 and rows[0][2] is None

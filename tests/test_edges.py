@@ -127,14 +127,14 @@ def test_day_with_empty_client_list_is_skipped(spark):
 
 
 def test_unrouted_keys(spark):
-    keys = spark.createDataFrame([("kpi/appstate/x.csv",), ("kpi/nope/x.csv",), ("zzz/x.csv",),
-                                  ("auto_import/my_table/x.csv",), ("identity/x.csv",)], "key string")
+    keys = spark.createDataFrame([("meters/hourly/x.csv",), ("meters/nope/x.csv",), ("zzz/x.csv",),
+                                  ("feeds/my_table/x.csv",), ("reviews/x.csv",)], "key string")
     got = {r.key: (r.status, r.target_table) for r in resolve_routes(keys, route_table(spark)).collect()}
-    assert got["kpi/appstate/x.csv"] == ("routed", "kpi_appstate")
-    assert got["kpi/nope/x.csv"][0] == "unrouted"
+    assert got["meters/hourly/x.csv"] == ("routed", "meter_hourly")
+    assert got["meters/nope/x.csv"][0] == "unrouted"
     assert got["zzz/x.csv"][0] == "unrouted"
-    assert got["auto_import/my_table/x.csv"] == ("routed", "my_table")
-    assert got["identity/x.csv"] == ("routed", "identity_kit")
+    assert got["feeds/my_table/x.csv"] == ("routed", "my_table")
+    assert got["reviews/x.csv"] == ("routed", "reviews")
 
 
 def test_range_rerun_has_no_duplicates(spark):
@@ -230,3 +230,68 @@ def test_bucketed_table_join_shuffles_only_the_other_side(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_merge_non_null_reduces_updates_and_adds_columns(spark):
+    cur = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    upd = spark.createDataFrame([(1, "x", 5, 1), (1, None, 7, 2), (3, "c", None, 1), (None, "n", 1, 1), (None, "m", 2, 1)],
+                                "k int, name string, extra int, seq int")
+    got = sorted((tuple(r) for r in W.merge_non_null(cur, upd, "k", order_by="seq").collect()), key=str)
+    assert got == sorted([(1, "x", 7), (2, "b", None), (3, "c", None), (None, "n", 1), (None, "m", 2)], key=str)
+
+
+def test_retention_keeps_layouts_and_leaves_no_deleted_row_on_disk(spark, tmp_dir):
+    from ferrum.operators.retention import apply_retention_to_database
+    db = "ret_layouts"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{os.path.join(tmp_dir, 'db')}'")
+    rows = spark.createDataFrame([(1, "2020-01-01", "2024-02-28", "x", "p"), (2, "2024-02-20", "2020-01-01", "y", "p"),
+                                  (3, "2024-02-20", "2024-02-28", "z", "q"), (4, "2019-01-01", "2019-01-01", "w", "o'r"),
+                                  (5, None, None, "v", None)],
+                                 "id int, made string, seen string, email string, part string").withColumns(
+        {"made": F.col("made").cast("timestamp"), "seen": F.col("seen").cast("timestamp")})
+    loc = {n: os.path.join(tmp_dir, n) for n in ("plain", "parted", "bucketed")}
+    rows.write.option("path", loc["plain"]).saveAsTable(f"{db}.plain")
+    rows.write.partitionBy("part").option("path", loc["parted"]).saveAsTable(f"{db}.parted")
+    rows.write.bucketBy(3, "id").sortBy("id").option("path", loc["bucketed"]).saveAsTable(f"{db}.bucketed")
+    spark.sql(f"CREATE VIEW {db}.v AS SELECT * FROM {db}.plain")
+    untouched = {r[0] for r in spark.table(f"{db}.parted").filter("part = 'q'").select("_metadata.file_path").collect()}
+    report = {r.table_name: tuple(r)[1:] for r in apply_retention_to_database(
+        spark, db, "made", "2024-03-01 00:00:00", 700, {700: "email"}, os.path.join(tmp_dir, "versions"), erase_ts_col="seen").collect()}
+    assert report == {"plain": (5, 2, 3, "ok"), "parted": (5, 2, 3, "ok"), "bucketed": (5, 2, 3, "ok"), "v": (None, None, None, "skipped: view")}
+    for name in loc:
+        assert sorted((r.id, r.email) for r in spark.table(f"{db}.{name}").collect()) == [(2, None), (3, "z"), (5, "v")]
+        for folder in (loc[name], os.path.join(tmp_dir, "versions", db, name)):
+            files = [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")]
+            on_disk = spark.read.parquet(*files).select("id", "email").collect() if files else []
+            assert not {1, 4} & {r.id for r in on_disk} and "y" not in {r.email for r in on_disk}
+    assert spark.table(f"{db}.bucketed").groupBy("id").count().count() == 3  # read as bucketed
+    assert {r[0] for r in spark.table(f"{db}.parted").filter("part = 'q'").select("_metadata.file_path").collect()} == untouched
+    assert spark.sql(f"SHOW PARTITIONS {db}.parted").count() == 3  # the emptied one is gone
+    again = apply_retention_to_database(spark, db, "made", "2024-03-01 00:00:00", 700, {700: "email"}, os.path.join(tmp_dir, "v2"), erase_ts_col="seen")
+    assert {r.rows_removed for r in again.collect() if r.status == "ok"} == {0}
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_overwrite_all_keeps_the_old_table_when_the_write_fails(spark, tmp_dir):
+    W.overwrite_all(spark, "full_t", spark.range(3), tmp_dir)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        W.overwrite_all(spark, "full_t", bad, tmp_dir)
+    assert spark.table("full_t").count() == 3
+    spark.sql("DROP TABLE full_t")
+
+
+def test_csv_columns_meet_by_name(spark, tmp_dir):
+    for name, text in (("20240130_a.csv", "x,y\n1,2\n"), ("20240130_b.csv", "y,x\n4,3\n"), ("20200101_old.csv", "zzz,yyy\n8,9\n")):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    got = select_input_files(spark, tmp_dir, "2024-01-30")
+    assert sorted(got.columns) == ["filename", "x", "y"]
+    assert sorted((r.x, r.y, r.filename) for r in got.collect()) == [("1", "2", "20240130_a"), ("3", "4", "20240130_b")]
+    assert select_input_files(spark, tmp_dir, "2023-01-01").count() == 0
+
+
+def test_message_days(spark):
+    from ferrum.functions.dates import parse_day
+    df = spark.createDataFrame([("2023-05-01T08:15:00Z",), ("2023-05-01T23:15:00-05:00",), ("2023-05-01",), ("01.05.2023",), (None,)], "s string")
+    assert [str(r[0]) for r in df.select(parse_day("s")).collect()] == ["2023-05-01", "2023-05-02", "2023-05-01", "None", "None"]
