@@ -32,6 +32,11 @@ def parse_timestamp(col, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(_c(col), F.lit(fmt))
 
 
+def parse_day(col) -> Column:
+    """The day of an ISO date-time with a zone offset, or of a plain ``yyyy-MM-dd``; else NULL."""
+    return F.to_date(F.coalesce(parse_iso_offset(col), parse_timestamp(col, "yyyy-MM-dd")))
+
+
 def parse_day_of_year(col) -> Column:
     """``2023152`` (year + day of year) -> timestamp at midnight."""
     return F.try_to_timestamp(_c(col), F.lit(DAY_OF_YEAR_FORMAT))

@@ -27,9 +27,9 @@ def consent_vehicles(user_mgmt: DataFrame, consent_document: DataFrame, customer
     out = filtered_join_chain(
         um, None,
         [(consent_document.select("cust_id", "is_latest").withColumnRenamed("cust_id", "doc_cust_id"),
-          "aopuser_ssoid", "doc_cust_id", F.col("is_latest") == 1, False),
+          "aopuser_ssoid", "doc_cust_id", F.col("is_latest") == 1),
          (customer.select("cust_id", "is_deleted_flag"),
-          "aopuser_ssoid", "cust_id", F.col("is_deleted_flag") == 0, False)])
+          "aopuser_ssoid", "cust_id", F.col("is_deleted_flag") == 0)])
     return out.select("vehicle_vin")
 
 
@@ -77,21 +77,29 @@ def file_kpis(contracts: DataFrame, consent: DataFrame, *, file_col: str = "file
     """Per input file: contract rows, distinct vehicles, distinct consenting vehicles
     in total, distinct vehicles of the file with consent, and without.
 
-    One pass over the contracts: the distinct consent set is left-joined as a
-    flag (no row multiplication), then one grouped aggregate per file. The
-    consent total is one scalar aggregate, attached as a literal.
+    Contracts are first counted per (file, vehicle), then the distinct consent set is
+    left-joined to those pairs as a flag and the pairs are counted per file: no distinct
+    aggregate expands the rows. The consent total is a scalar subquery of the same plan.
     """
-    cset = consent.select(F.col(consent_vin).alias("__cv")).distinct().withColumn("__has", F.lit(True))
-    flagged = contracts.join(cset, F.col(vin) == F.col("__cv"), "left")
+    cset = consent.select(F.col(consent_vin).alias("__cv")).distinct()
+    per_vin = contracts.groupBy(file_col, F.col(vin).alias("__vin")).agg(F.count(F.lit(1)).alias("__rows"))
+    flagged = per_vin.join(cset.withColumn("__has", F.lit(1)), F.col("__vin") == F.col("__cv"), "left")
     per_file = flagged.groupBy(file_col).agg(
-        F.count(F.lit(1)).alias("n_contracts"),
-        F.countDistinct(vin).alias("n_unique_vins"),
-        F.countDistinct(F.when(F.col("__has"), F.col(vin))).alias("n_vins_with_consent"),
-    )
-    # A global scalar (one aggregate job), attached as a literal: no join needed.
-    total = cset.count()
+        F.sum("__rows").alias("n_contracts"), F.count("__vin").alias("n_unique_vins"),
+        F.count("__has").alias("n_vins_with_consent"))
+    total = cset.agg(F.count(F.lit(1))).scalar()
     return per_file.select(
-        file_col, "n_contracts", "n_unique_vins", F.lit(total).cast("long").alias("n_consent_total"),
+        file_col, "n_contracts", "n_unique_vins", total.cast("long").alias("n_consent_total"),
         "n_vins_with_consent",
         (F.col("n_unique_vins") - F.col("n_vins_with_consent")).alias("n_vins_without_consent"),
     )
+
+
+def stored_kpis(contracts: DataFrame, consent: DataFrame, as_of: str, *, vin: str = "vehicle_identification_number",
+                ts: str = "event_timestamp", consent_vin: str = "vehicle_vin") -> DataFrame:
+    """One row over the stored contracts: contract rows without consent, and the distinct vehicles of
+    ``as_of``'s day that were never loaded on another day, and that were."""
+    refused = contracts_without_consent(contracts, consent, contract_vin=vin, consent_vin=consent_vin)
+    return refused.agg(F.count(F.lit(1)).alias("n_refused")).select(
+        "n_refused", newly_added_vehicles(contracts, as_of, vin=vin, ts=ts).agg(F.count(F.lit(1))).scalar().alias("n_new"),
+        existing_vehicles(contracts, as_of, vin=vin, ts=ts).agg(F.count(F.lit(1))).scalar().alias("n_known"))

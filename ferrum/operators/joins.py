@@ -6,18 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unhinted and the planner (with AQE's runtime sizes) picks a
-    shuffle join instead.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
     """SQL ``left_key NOT IN (SELECT right_key FROM right)`` with its NULL rules.
 
@@ -26,34 +14,28 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | No
     * otherwise        -> left rows with a non-NULL key that is not in the set
 
     Spark's own null-aware anti join needs the subquery side broadcast (or falls
-    back to a nested-loop join). Here only two scalars of the set are computed
-    (one aggregate job); the anti join itself is an ordinary shuffle
-    ``left_anti`` that scales with both sides and is split by AQE when skewed.
+    back to a nested-loop join). Here the set is reduced to distinct keys, its size and
+    NULL flag are scalar subqueries of the same plan (nothing runs while the plan is
+    built), and the anti join is an ordinary shuffle ``left_anti``.
     """
-    right_key = right_key or left_key
-    stats = right.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.col(right_key).isNull().cast("int")).alias("has_null"),
-    ).first()
-    if stats["n"] == 0:
-        return left
-    if stats["has_null"]:
-        return left.filter(F.lit(False))
-    keys = right.select(F.col(right_key).alias("__nin_key"))
-    return (left.filter(F.col(left_key).isNotNull())
-            .join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti"))
+    keys = right.select(F.col(right_key or left_key).alias("__nin_key")).distinct()
+    size = keys.agg(F.count(F.lit(1))).scalar()
+    nulls = keys.agg(F.count(F.when(F.col("__nin_key").isNull(), 1))).scalar()
+    rest = left.join(keys, F.col(left_key) == F.col("__nin_key"), "left_anti")
+    return rest.filter((size == 0) | ((nulls == 0) & F.col(left_key).isNotNull()))
 
 
 def is_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """SQL ``left_key IN (SELECT right_key FROM right)``: a semi join (never multiplies rows)."""
-    right_key = right_key or left_key
-    keys = right.select(F.col(right_key).alias("__in_key"))
+    """SQL ``left_key IN (SELECT right_key FROM right)``: a semi join (never multiplies rows).
+
+    The right side is reduced to distinct keys before it is shuffled to the join."""
+    keys = right.select(F.col(right_key or left_key).alias("__in_key")).distinct()
     return left.join(keys, F.col(left_key) == F.col("__in_key"), "left_semi")
 
 
 def semi_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Keep left rows whose ``keys`` tuple exists in ``right`` (NULL never matches)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys])
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys]).distinct()
     cond = None
     for k in keys:
         c = F.col(k) == F.col(f"__r_{k}")
@@ -62,44 +44,31 @@ def semi_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def filtered_join_chain(base: DataFrame, base_filter: Column | None,
-                        steps: list[tuple[DataFrame, str, str, Column | None, bool]]) -> DataFrame:
+                        steps: list[tuple[DataFrame, str, str, Column | None]]) -> DataFrame:
     """Chain of inner equi-joins, each side filtered before it joins.
 
-    ``steps`` = ``[(dim, left_key, dim_key, dim_filter, broadcast_dim)]``. Filters
-    are applied before the joins (Catalyst would push them anyway; writing them
-    here keeps the plan obvious). ``broadcast_dim`` may only be set for sides
-    whose size is bounded by definition (code lists, fixed dimensions).
+    ``steps`` = ``[(dim, left_key, dim_key, dim_filter)]``. Filters are applied
+    before the joins (Catalyst would push them anyway; writing them here keeps the
+    plan obvious). Small sides are broadcast by AQE from their runtime size.
     """
     out = base if base_filter is None else base.filter(base_filter)
-    for dim, left_key, dim_key, dim_filter, bcast in steps:
+    for dim, left_key, dim_key, dim_filter in steps:
         d = dim if dim_filter is None else dim.filter(dim_filter)
-        if bcast:
-            d = F.broadcast(d)
         out = out.join(d, out[left_key] == d[dim_key], "inner")
     return out
 
 
-RANGE_BUCKET_WIDTH = 1024
-
-
 def in_ranges(df: DataFrame, ranges: DataFrame, *, key: str, id_col: str, lo: str = "from_id",
-              hi: str = "to_id", how: str = "left_semi", bucket_width: int = RANGE_BUCKET_WIDTH) -> DataFrame:
+              hi: str = "to_id", how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose ``id_col`` lies in one of their key's ``[lo, hi]`` ranges
     (``how="left_semi"``) or in none of them (``how="left_anti"``).
 
-    Ranges are exploded into fixed-width id buckets and joined on
-    ``(key, bucket)`` plus the range test, so each row meets only the ranges that
-    overlap its bucket (no key-wide comparison of every row with every range),
-    and a key with a third of all rows is spread over its buckets. Ranges with a
-    NULL end match nothing. Semi/anti joins never multiply rows.
+    An equi-join on the key with the range as condition: cost follows the rows and the
+    ranges of their key, not the distance between ids. AQE splits the left side of a hot
+    key. Ranges with a NULL end match nothing. Semi/anti joins never multiply rows.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError("how must be left_semi or left_anti")
-    w = int(bucket_width)
     r = ranges.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col(lo) <= F.col(hi))).select(
-        F.col(key).alias("__rk"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"),
-        F.explode(F.sequence(F.floor(F.col(lo) / w), F.floor(F.col(hi) / w))).alias("__b"))
-    d = df.withColumn("__db", F.floor(F.col(id_col) / w))
-    cond = ((F.col(key) == F.col("__rk")) & (F.col("__db") == F.col("__b"))
-            & F.col(id_col).between(F.col("__lo"), F.col("__hi")))
-    return d.join(r, cond, how).drop("__db")
+        F.col(key).alias("__rk"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi")).distinct()
+    return df.join(r, (F.col(key) == F.col("__rk")) & F.col(id_col).between(F.col("__lo"), F.col("__hi")), how)

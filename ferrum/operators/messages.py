@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrum.functions.dates import parse_day_of_year, parse_iso_offset, parse_timestamp
+from ferrum.functions.dates import parse_day, parse_day_of_year, parse_iso_offset
 from ferrum.functions.text import message_type
 from ferrum.operators.joins import semi_on
 
@@ -27,14 +27,14 @@ SAMPLE_GENERAL_INFORMATION = (
     '{"type": "GENERAL_INFORMATION", "commissionNumber": "000 XXX0000000",'
     ' "sourceTimestamp": "2023-06-01T10:00:00Z",'
     ' "message": {"ifaOrderKey": "0000000000000", "commissionNumber": "000 XXX0000000", "checkpointNumber": 1,'
-    ' "reachedCheckpointAt": "2023-06-01T10:00:00Z", "vin": "XXXXXXXXXXXXXXXXX", "orderDate": "2023-06-01",'
+    ' "reachedCheckpointAt": "2023-06-01T10:00:00Z", "vin": "XXXXXXXXXXXXXXXXX", "orderDate": "2023-06-01T10:00:00Z",'
     ' "brand": "BRAND-V", "model": "X", "modelYear": 2023, "modelGroup": "X", "orderingDealerId": "0",'
     ' "cp8Date": "2023152", "exteriorColorCode": "X", "roofColorCode": "X", "interiorColorCode": "X",'
     ' "sourceTimestamp": "2023-06-01T10:00:00Z"}}')
 SAMPLE_PARTS = (
     '{"type": "PARTS", "commissionNumber": "000 XXX0000000", "sourceTimestamp": "2023-06-01T10:00:00Z",'
     ' "message": {"ifaOrderKey": "0000000000000", "commissionNumber": "000 XXX0000000",'
-    ' "itemizationDate": "2023-06-01", "sourceTimestamp": "2023-06-01T10:00:00Z",'
+    ' "itemizationDate": "2023-06-01T10:00:00Z", "sourceTimestamp": "2023-06-01T10:00:00Z",'
     ' "parts": [{"family": "X", "number": "0", "origin": "X"}]}}')
 
 
@@ -72,7 +72,7 @@ def general_info(df: DataFrame, event_ts: str, brand_keys: DataFrame | None = No
         F.col(m + "checkpointNumber").alias("checkpoint_number"),
         parse_iso_offset(F.col(m + "reachedCheckpointAt")).alias("reached_checkpoint_at"),
         F.col(m + "vin").alias("vin"),
-        F.to_date(parse_timestamp(F.col(m + "orderDate"), "yyyy-MM-dd")).alias("order_date"),
+        parse_day(F.col(m + "orderDate")).alias("order_date"),
         F.col(m + "brand").alias("brand"),
         F.col(m + "model").alias("model"),
         F.col(m + "modelYear").alias("model_year"),
@@ -99,7 +99,7 @@ def parts(df: DataFrame, event_ts: str, brand_keys: DataFrame | None = None) ->
     """PARTS messages -> one row per element of ``message.parts``."""
     x = _restrict(df, brand_keys).select(
         *_header(df, event_ts),
-        F.to_date(parse_timestamp(F.col("message.itemizationDate"), "yyyy-MM-dd")).alias("itemization_date"),
+        parse_day(F.col("message.itemizationDate")).alias("itemization_date"),
         F.explode("message.parts").alias("p"))
     return x.select(
         "msg_type", "commission_number", "ifa_order_key", "itemization_date",

@@ -15,13 +15,14 @@ def error_lines(responses: DataFrame, batch_cols: list[str], text_col: str = "er
 
     ``strip`` is removed first, the text is split on new lines, the ordinal is
     the number between slashes (``/12/``) and the message is the line without it.
-    Lines without an ordinal are dropped.
+    A line without an ordinal is an error of the whole batch: its ordinal is NULL (empty lines
+    say nothing and are left out).
     """
     cleaned = F.regexp_replace(F.col(text_col), strip, "") if strip else F.col(text_col)
     lines = responses.select(*batch_cols, F.explode(F.split(cleaned, "\n")).alias("line"))
     ordinal = F.regexp_extract(F.col("line"), ORDINAL_PATTERN, 1)
-    return (lines.filter(ordinal != "")
-            .select(*batch_cols, ordinal.cast("int").alias("ordinal"),
+    return (lines.filter(F.trim("line") != "")
+            .select(*batch_cols, F.when(ordinal != "", ordinal).cast("int").alias("ordinal"),
                     F.trim(F.regexp_replace(F.col("line"), ORDINAL_PATTERN, "")).alias("error_message")))
 
 

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrum.session import ensure_utc, scratch_path, spread, table
+from ferrum.session import ensure_utc, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,11 +115,11 @@ def q_ingest_partitions(spark, sf_dir):
     """Partitioned append (salted clustering), partitions discovered on read."""
     from ferrum.operators.signals import SIGNAL_PARTITION_COLUMNS, normalize_signals
     from ferrum.plans.standins import signals_from_events
-    from ferrum.sinks.writers import salted_partition_write
+    from ferrum.sinks.writers import partitioned_write
 
     sig = normalize_signals(signals_from_events(T(spark, sf_dir, "events")), SIGNALS_AS_OF)
     path = scratch_path(spark, "signals")
-    salted_partition_write(sig, path, SIGNAL_PARTITION_COLUMNS, files_per_partition=4)
+    partitioned_write(sig, path, SIGNAL_PARTITION_COLUMNS)
     import uuid as _uuid
 
     from ferrum.sources.sql import register_partitioned_table
@@ -169,8 +169,8 @@ def _consent_3way(spark, sf_dir):
     c, n, r = T(spark, sf_dir, "customer"), T(spark, sf_dir, "nation"), T(spark, sf_dir, "region")
     j = filtered_join_chain(
         c, F.col("c_mktsegment") == "BUILDING",
-        [(n, "c_nationkey", "n_nationkey", F.col("n_name").contains("1"), True),
-         (r, "n_regionkey", "r_regionkey", F.col("r_name") == "ASIA", True)])
+        [(n, "c_nationkey", "n_nationkey", F.col("n_name").contains("1")),
+         (r, "n_regionkey", "r_regionkey", F.col("r_name") == "ASIA")])
     return j.select(F.col("c_custkey").cast("string").alias("vehicle_vin"), "c_name", "n_name", "r_name")
 
 
@@ -349,11 +349,11 @@ KPI_AS_OF = "2001-08-02 06:30:00"
         SELECT count(DISTINCT CAST(o_custkey AS VARCHAR)) AS n
         FROM orders WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT vehicle_vin FROM {con} c)),
     longf AS (
-        SELECT 'contracts_in_file' AS kpi_name, n_contracts AS v, filename AS context FROM k
-        UNION ALL SELECT 'contracts_in_file_unique_vin', n_unique_vins, filename FROM k
-        UNION ALL SELECT 'customers_with_consent_in_total', n_consent_total, filename FROM k
-        UNION ALL SELECT 'contracts_in_file_with_consent', n_vins_with_consent, filename FROM k
-        UNION ALL SELECT 'contracts_in_file_without_consent', n_vins_without_consent, filename FROM k
+        SELECT 'file_rows' AS kpi_name, n_contracts AS v, filename AS context FROM k
+        UNION ALL SELECT 'file_vehicles', n_unique_vins, filename FROM k
+        UNION ALL SELECT 'consenting_vehicles', n_consent_total, filename FROM k
+        UNION ALL SELECT 'file_vehicles_consenting', n_vins_with_consent, filename FROM k
+        UNION ALL SELECT 'file_vehicles_refused', n_vins_without_consent, filename FROM k
         UNION ALL SELECT 'contracts_stored_without_consent', n, 'n/a' FROM w)
     SELECT kpi_name, CAST(CAST(ROUND(CAST(v AS DOUBLE), 4) AS DECIMAL(18,4)) AS DOUBLE) AS kpi_value,
            'Count' AS unit, '2001-08-02 06:30:00' AS kpi_timestamp, 'Interface' AS category,
@@ -452,12 +452,31 @@ def q_retention_null(spark, sf_dir):
     return out.select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
 
 
+def _retained(spark, sf_dir):
+    """Retention on a plain, a partitioned and a bucketed table, a table without age and a view: (report, database)."""
+    import uuid as _uuid
+
+    from ferrum.operators.retention import apply_retention_to_database
+    root = scratch_path(spark, "retention")
+    db = f"retention_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
+    orders = _orders_with_ts(spark, sf_dir)
+    items = T(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "event_timestamp")
+    orders.write.option("path", f"{root}/landed/contracts").saveAsTable(f"{db}.contracts")
+    items.write.partitionBy("l_returnflag").option("path", f"{root}/landed/shipments").saveAsTable(f"{db}.shipments")
+    orders.write.bucketBy(4, "o_custkey").sortBy("o_custkey").option("path", f"{root}/landed/bucketed").saveAsTable(f"{db}.bucketed")
+    T(spark, sf_dir, "customer").write.option("path", f"{root}/landed/customers").saveAsTable(f"{db}.customers")
+    spark.sql(f"CREATE VIEW {db}.recent AS SELECT * FROM {db}.contracts")
+    report = apply_retention_to_database(spark, db, "event_timestamp", RETENTION_AS_OF, RETENTION_DAYS, ERASE_RULES, f"{root}/versions")
+    return report, db
+
+
 @register("retention_schema", """
-    SELECT 'contracts' AS table_name, count(*) AS rows_before,
+    SELECT n.name AS table_name, count(*) AS rows_before,
            count(*) FILTER (WHERE date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700) AS rows_removed,
            count(*) FILTER (WHERE NOT coalesce(date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false)) AS rows_after,
            'ok' AS status
-    FROM orders
+    FROM orders, (VALUES ('contracts'), ('bucketed')) AS n(name) GROUP BY n.name
     UNION ALL
     SELECT 'shipments', count(*),
            count(*) FILTER (WHERE date_diff('day', l_shipdate, TIMESTAMP '2001-08-01 00:00:00') >= 700),
@@ -466,26 +485,32 @@ def q_retention_null(spark, sf_dir):
     FROM lineitem
     UNION ALL
     SELECT 'customers', NULL, NULL, NULL, 'skipped: no column event_timestamp'
+    UNION ALL
+    SELECT 'recent', NULL, NULL, NULL, 'skipped: view'
 """)
 def q_retention_schema(spark, sf_dir):
     """Retention applied to every table of a database, one report row each."""
-    import uuid as _uuid
+    return _retained(spark, sf_dir)[0]
 
-    from ferrum.operators.retention import apply_retention_to_database
-    root = scratch_path(spark, "retention")
-    db = f"retention_{_uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
-    sources = {
-        "contracts": _orders_with_ts(spark, sf_dir),
-        "shipments": T(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "event_timestamp"),
-        "customers": T(spark, sf_dir, "customer"),
-    }
-    for name, df in sources.items():
-        path = f"{root}/landed/{name}"
-        df.write.parquet(path)
-        spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
-    return apply_retention_to_database(spark, db, "event_timestamp", RETENTION_AS_OF, RETENTION_DAYS,
-                                       ERASE_RULES, f"{root}/versions")
+
+@register("retention_rows", """
+    SELECT n.name AS table_name, o_orderkey AS id, CASE WHEN date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 365
+                THEN NULL ELSE o_orderpriority END AS detail, count(*) AS n
+    FROM orders, (VALUES ('contracts'), ('bucketed')) AS n(name)
+    WHERE NOT coalesce(date_diff('day', o_orderdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false) GROUP BY ALL
+    UNION ALL
+    SELECT 'shipments', l_orderkey, l_returnflag, count(*) FROM lineitem
+    WHERE NOT coalesce(date_diff('day', l_shipdate, TIMESTAMP '2001-08-01 00:00:00') >= 700, false) GROUP BY ALL
+""")
+def q_retention_rows(spark, sf_dir):
+    """The rows that retention leaves in a plain, a partitioned and a bucketed table (the last
+    read with a grouping on its bucket column)."""
+    _, db = _retained(spark, sf_dir)
+    plain = spark.table(f"{db}.contracts").groupBy(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("detail"))
+    parts = spark.table(f"{db}.shipments").groupBy(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("detail"))
+    bucketed = spark.table(f"{db}.bucketed").groupBy("o_custkey", F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("detail"))
+    out = [g.count().withColumn("table_name", F.lit(n)) for n, g in (("contracts", plain), ("shipments", parts), ("bucketed", bucketed))]
+    return out[0].unionByName(out[1]).unionByName(out[2].drop("o_custkey")).withColumnRenamed("count", "n")
 
 
 MONITOR_COUNTRY = "NATION_1"
@@ -974,13 +999,14 @@ def q_partition_replace(spark, sf_dir):
 
 @register("full_replace", "SELECT event_id, user_id, 'v2' AS version FROM events")
 def q_full_replace(spark, sf_dir):
-    """K8: a table flagged for full replacement is overwritten as a whole."""
+    """K8: a table flagged for full replacement gets a new version as a whole."""
     from ferrum.sinks.writers import overwrite_all
     ev = T(spark, sf_dir, "events").select("event_id", "user_id")
     path = scratch_path(spark, "full")
-    overwrite_all(ev.withColumn("version", F.lit("v1")), path)
-    overwrite_all(ev.withColumn("version", F.lit("v2")), path)
-    return spark.read.parquet(path)
+    name = _versioned_table(spark, "full")[0]
+    overwrite_all(spark, name, ev.withColumn("version", F.lit("v1")), path)
+    overwrite_all(spark, name, ev.withColumn("version", F.lit("v2")), path)
+    return spark.table(name)
 
 
 @register("merge_non_null", """
@@ -1025,26 +1051,25 @@ def _route_values_sql():
 
 SQL_STORAGE_KEYS = """
     SELECT event_id,
-           CASE event_type WHEN 'view' THEN 'kpi' WHEN 'click' THEN 'measurements' WHEN 'purchase' THEN 'auto_import'
-                WHEN 'error' THEN 'identity' ELSE 'legacy' END || '/' ||
-           CASE event_type WHEN 'view' THEN (CASE WHEN value < 100 THEN 'appstate' ELSE 'ingest' END)
-                WHEN 'click' THEN (CASE WHEN value < 100 THEN 'values' ELSE 'telemetry' END)
+           CASE event_type WHEN 'view' THEN 'meters' WHEN 'click' THEN 'sensors' WHEN 'purchase' THEN 'feeds'
+                WHEN 'error' THEN 'reviews' ELSE 'legacy' END || '/' ||
+           CASE event_type WHEN 'view' THEN (CASE WHEN value < 100 THEN 'hourly' ELSE 'daily' END)
+                WHEN 'click' THEN (CASE WHEN value < 100 THEN 'raw' ELSE 'debug' END)
                 WHEN 'purchase' THEN 'purchases' ELSE 'misc' END || '/' ||
-           strftime(ts, '%Y%m%d') || '_' || CAST(event_id AS VARCHAR) || '.csv' AS key
+           strftime(ts, '%Y/%m/%d') || '/' || CAST(event_id AS VARCHAR) || '.csv' AS key
     FROM events
 """
 
 
 def _storage_keys(spark, sf_dir):
     e = T(spark, sf_dir, "events")
-    t = F.col("event_type")
-    root = (F.when(t == "view", "kpi").when(t == "click", "measurements").when(t == "purchase", "auto_import")
-            .when(t == "error", "identity").otherwise("legacy"))
-    sub = (F.when(t == "view", F.when(F.col("value") < 100, "appstate").otherwise("ingest"))
-           .when(t == "click", F.when(F.col("value") < 100, "values").otherwise("telemetry"))
+    t, small = F.col("event_type"), F.col("value") < 100
+    root = (F.when(t == "view", "meters").when(t == "click", "sensors").when(t == "purchase", "feeds")
+            .when(t == "error", "reviews").otherwise("legacy"))
+    sub = (F.when(t == "view", F.when(small, "hourly").otherwise("daily"))
+           .when(t == "click", F.when(small, "raw").otherwise("debug"))
            .when(t == "purchase", "purchases").otherwise("misc"))
-    key = F.concat_ws("/", root, sub, F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_"),
-                                               F.col("event_id").cast("string"), F.lit(".csv")))
+    key = F.concat_ws("/", root, sub, F.date_format("ts", "yyyy/MM/dd"), F.concat(F.col("event_id").cast("string"), F.lit(".csv")))
     return e.select("event_id", key.alias("key"))
 
 
@@ -1063,42 +1088,78 @@ def q_route_keys(spark, sf_dir):
     return resolve_routes(_storage_keys(spark, sf_dir), route_table(spark))
 
 
-@register("load_report", """
-    SELECT CASE WHEN event_type = 'view' THEN 'kpi_appstate' WHEN event_type = 'click' THEN 'measurements'
-                WHEN event_type = 'purchase' THEN 'purchases' WHEN event_type = 'error' THEN 'identity_kit'
-                WHEN value < 100 THEN 'car_groups' WHEN value < 200 THEN 'partners' ELSE 'dealers' END AS target_table,
-           CASE WHEN event_type = 'signup' THEN 'replace_all' ELSE 'append' END AS action,
-           'loaded' AS status, count(*) AS n_rows
-    FROM events WHERE NOT (event_type = 'signup' AND value >= 300) GROUP BY 1, 2
-""")
-def q_load_report(spark, sf_dir):
-    """K9 K8 S5 S5a-e S6: files landed under route prefixes in five formats (CSV,
-    quoted CSV, gzip CSV, gzip pipe-delimited, parquet); each route is read with
-    its own options and loaded into its target table (replace-all or append),
-    rows counted during the write. Keys with no route (the legacy drop) are not loaded."""
-    from ferrum.sinks.writers import write_csv
-    from ferrum.sources.routing import load_into_tables, load_routes, route_table
+SQL_LOADED = """
+    SELECT event_id, event_type, value, CAST(ts AS DATE) AS day,
+           CASE WHEN event_type = 'view' THEN 'meter_hourly' WHEN event_type = 'click' THEN 'sensor_raw'
+                WHEN event_type = 'purchase' THEN 'purchases' WHEN event_type = 'error' THEN 'reviews'
+                WHEN value < 100 THEN 'stations' WHEN value < 200 THEN 'vendor_list'
+                WHEN value < 300 THEN 'catalog_items' END AS target_table
+    FROM events
+"""
+
+
+def _load_all(spark, sf_dir):
+    """Events landed under dated route prefixes in five formats, and loaded: (report, tables, unrouted)."""
+    import uuid as _uuid
+
+    from ferrum.sources.routing import landed_keys, load_into_tables, load_routes, route_table, unrouted
     base = scratch_path(spark, "landing")
-    e = T(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
-                                          F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    e = T(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.concat(F.col("event_type"), F.lit(", "), F.lit('"q"')).alias("note"),
+        "event_type", "value", F.date_format("ts", "yyyy/MM/dd").alias("day"))
     t, v = F.col("event_type"), F.col("value")
-    write_csv(e.filter(t == "view"), f"{base}/kpi/appstate")
-    write_csv(e.filter(t == "click"), f"{base}/measurements/values")
-    write_csv(e.filter(t == "purchase"), f"{base}/auto_import/purchases")
-    write_csv(e.filter(t == "error"), f"{base}/identity")
-    signup = e.filter(t == "signup")
-    write_csv(signup.filter(v < 100), f"{base}/car_groups", compression="gzip")
-    write_csv(signup.filter((v >= 100) & (v < 200)), f"{base}/partners", sep="|", compression="gzip")
-    signup.filter((v >= 200) & (v < 300)).write.parquet(f"{base}/dealers_all")
-    write_csv(signup.filter(v >= 300), f"{base}/legacy/misc")
-    loaded = load_routes(spark, base, route_table(spark))
-    report = load_into_tables(spark, loaded, f"{base}-tables")
-    return report.groupBy("target_table", "action", "status").agg(F.sum("n_rows").alias("n_rows"))
+    for prefix, cond, sep, quote, gz in (
+            ("meters/hourly", t == "view", ",", "", False), ("sensors/raw", t == "click", ",", "", False),
+            ("feeds/purchases", t == "purchase", ",", "", False), ("reviews", t == "error", ",", '"', False),
+            ("stations", (t == "signup") & (v < 100), ",", "", True), ("vendors", (t == "signup") & (v >= 100) & (v < 200), "|", "", True),
+            ("legacy/misc", (t == "signup") & (v >= 300), ",", "", False)):
+        # a plain route keeps quotes as data and its texts hold no separator; the quoted one holds both
+        rows = e.filter(cond).withColumn("note", F.col("note") if quote else F.regexp_replace("note", ",", ""))
+        w = rows.drop("event_type", "value").withColumn("landing", F.col("day")).drop("day").write.partitionBy("landing").option(
+            "header", True).option("sep", sep).option("quote", quote).option("escape", quote)
+        (w.option("compression", "gzip") if gz else w).csv(f"{base}/{prefix}")
+    e.filter((t == "signup") & (v >= 200) & (v < 300)).select("event_id", "note").write.parquet(f"{base}/catalog")
+    db = f"loads_{_uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}-db'")
+    report = load_into_tables(spark, load_routes(spark, base, route_table(spark)), db, f"{base}-tables")
+    return report, db, unrouted(landed_keys(spark, base), route_table(spark))
+
+
+@register("load_report", _sql("""
+    SELECT coalesce(target_table, 'legacy/misc') AS target_table,
+           CASE WHEN target_table IS NULL THEN 'none' WHEN event_type = 'signup' AND target_table <> 'x' THEN 'replace_all' ELSE 'append' END AS action,
+           CASE WHEN target_table IS NULL THEN 'unrouted' ELSE 'loaded' END AS status,
+           CASE WHEN target_table IS NULL THEN NULL ELSE count(*) END AS n_rows
+    FROM {l} l GROUP BY target_table, event_type
+""", l=SQL_LOADED))
+def q_load_report(spark, sf_dir):
+    """K9 K8 S5 S5a-e S6: files landed as root[/sub]/<day>/file in five formats; each route is read
+    with its own options and loaded into its table (replace-all or append), rows counted during the
+    write. Keys without a route are reported."""
+    report, _, rest = _load_all(spark, sf_dir)
+    return report.select("target_table", "action", "status", "n_rows").unionByName(rest.select(
+        F.col("prefix").alias("target_table"), F.lit("none").alias("action"), F.lit("unrouted").alias("status"),
+        F.lit(None).cast("long").alias("n_rows")))
+
+
+@register("load_rows", _sql("""
+    SELECT target_table, CAST(event_id AS VARCHAR) AS event_id,
+           CASE WHEN target_table IN ('reviews', 'catalog_items') THEN event_type || ', "q"' ELSE event_type || ' "q"' END AS note
+    FROM {l} l WHERE target_table IS NOT NULL
+""", l=SQL_LOADED))
+def q_load_rows(spark, sf_dir):
+    """S5 S5a-e K8: the rows of every loaded table; quotes and a separator inside a quoted value survive."""
+    report, db, _ = _load_all(spark, sf_dir)
+    out = None
+    for r in report.collect():  # one row per target table
+        rows = spark.table(f"{db}.{r['target_table']}").select(F.lit(r["target_table"]).alias("target_table"), "event_id", "note")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("file_selection", """
     SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
-           value, strftime(ts, '%Y%m%d') || '_events' AS filename
+           value, strftime(ts, '%Y%m%d') || CASE WHEN value < 100 THEN '_events' ELSE '_late' END AS filename
     FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30'
 """)
 def q_file_selection(spark, sf_dir):
@@ -1107,9 +1168,14 @@ def q_file_selection(spark, sf_dir):
     from ferrum.sources.files import select_input_files
     e = T(spark, sf_dir, "events")
     root = scratch_path(spark, "drops")
-    (e.select("event_id", "user_id", "value",
-              F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_events.csv")).alias("landing_file"))
-       .write.partitionBy("landing_file").option("header", True).csv(root))
+    day = F.date_format("ts", "yyyyMMdd")
+    small = F.col("value") < 100
+    # two drops of each day with their columns in another order, and files of other columns beside them
+    for cols, name, cond in ((["event_id", "user_id", "value"], "_events.csv", small), (["value", "user_id", "event_id"], "_late.csv", ~small)):
+        (e.filter(cond).withColumn("landing_file", F.concat(day, F.lit(name))).select(*cols, "landing_file")
+           .write.mode("append").partitionBy("landing_file").option("header", True).csv(root))
+    (e.groupBy("event_type").count().withColumn("landing_file", F.lit("19990101_types.csv"))
+       .write.mode("append").partitionBy("landing_file").option("header", True).csv(root))
     got = select_input_files(spark, root, "2024-01-30", name_from="parent")
     return got.select("event_id", "user_id", F.col("value").try_cast("double").alias("value"), "filename")
 
@@ -1221,7 +1287,7 @@ def q_status_normalise(spark, sf_dir):
 def q_snake_case_values(spark, sf_dir):
     """camelCase -> snake_case on values (two regex passes + lower)."""
     from ferrum.functions.text import snake_case
-    e = spread(T(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), ["event_id"])
+    e = T(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
     raw = F.concat(F.initcap("event_type"), F.lit("Event"), F.upper(F.substring("event_type", 1, 2)),
                    F.lit("Id"), F.col("user_id").cast("string"), F.lit("Value"))
     return e.select("event_id", raw.alias("raw")).withColumn("snake", snake_case("raw"))
@@ -1256,8 +1322,7 @@ def q_scalar_dates_text(spark, sf_dir):
     """F2 F4-F6 F9 F11 F12 F15-F17 F19 F22 in one projection (no shuffle)."""
     from ferrum.functions import dates as D
     from ferrum.functions import text as X
-    o = spread(T(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
-                                                  "o_totalprice"), ["o_orderkey"])
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
     as_of = D.as_of_literal(SCALAR_AS_OF)
     file_name = F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.col("o_orderpriority"), F.lit(".csv"))
     return o.select(
@@ -1290,9 +1355,11 @@ def q_scalar_dates_text(spark, sf_dir):
 def q_reject_report(spark, sf_dir):
     """Ordinals quoted in per-batch error texts matched back to the records."""
     from ferrum.operators.rejects import rejected_records
-    from ferrum.plans.standins import with_batches
-    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    records = with_batches(li, 50, batch="batch", ordinal="ordinal")
+    li = T(spark, sf_dir, "lineitem")
+    # a batch is one order, the ordinal a record's place in it (from its columns, so every scan agrees)
+    place = Window.partitionBy("l_orderkey").orderBy(*[c for c in li.columns if c != "l_orderkey"])
+    records = li.withColumns({"batch": F.col("l_orderkey"), "ordinal": F.row_number().over(place)}).select(
+        "batch", "ordinal", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
     line = F.when(F.col("l_returnflag") == "R", F.concat(
         F.lit("Description: /"), F.col("ordinal").cast("string"), F.lit("/ returned item "),
         F.col("l_linenumber").cast("string")))
@@ -1473,19 +1540,61 @@ def q_consent_sql(spark, sf_dir):
 def q_contract_load(spark, sf_dir):
     """Contract drops (CSV per file) through
     consent, typing, per-file output and table appends; the stored contracts."""
+    contracts = _contract_job(spark, sf_dir)[0]
+    return contracts.withColumns({c: ts_text(c) for c in ("inception_date", "contract_end_date", "event_timestamp")})
+
+
+def _contract_job(spark, sf_dir, seeded=False):
+    """One run of the contract job over every drop: (contract table, KPI table, output root)."""
     import uuid as _uuid
 
+    from ferrum.operators.contracts import typed_contracts
     from ferrum.plans.jobs import contract_load, read_contract_drops
+    from ferrum.sinks.writers import append_to_table
     root = scratch_path(spark, "contracts-job")
     raw = _raw_contracts(spark, sf_dir).drop("contract_id", "event_timestamp")
-    # One file per drop (as delivered): cluster rows by drop name before writing.
-    (raw.withColumnRenamed("filename", "landing_file").repartition("landing_file")
-        .write.partitionBy("landing_file").option("header", True).csv(f"{root}/drops"))
+    raw.withColumnRenamed("filename", "landing_file").write.partitionBy("landing_file").option("header", True).csv(f"{root}/drops")
     drops = read_contract_drops(spark, f"{root}/drops", name_from="parent")
     sfx = _uuid.uuid4().hex[:8]
-    contracts, _ = contract_load(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,
-                                     contracts_table=f"contract_staging_{sfx}", kpi_table_name=f"kpi_{sfx}")
-    return contracts.withColumns({c: ts_text(c) for c in ("inception_date", "contract_end_date", "event_timestamp")})
+    if seeded:
+        old = typed_contracts(raw.filter(F.col("product") == "F"), "2001-07-01 00:00:00")
+        append_to_table(old, f"contract_staging_{sfx}", f"{root}/tables/contract_staging_{sfx}",
+                        bucket_by=(int(spark.conf.get("spark.sql.shuffle.partitions")), ["vehicle_identification_number"]))
+    contracts, kpis = contract_load(spark, drops, _consent_3way(spark, sf_dir), CONTRACTS_AS_OF, out_root=root,
+                                    contracts_table=f"contract_staging_{sfx}", kpi_table_name=f"kpi_{sfx}")
+    return contracts, kpis, root
+
+
+@register("contract_job_kpis", _sql("""
+    WITH k AS {k}, raw AS {raw}, con AS {con},
+    seeds AS (SELECT vehicleIdentificationNumber AS vin FROM raw WHERE product = 'F'),
+    loaded AS (SELECT r.vehicleIdentificationNumber AS vin FROM raw r JOIN con ON r.vehicleIdentificationNumber = con.vehicle_vin),
+    longf AS (
+        SELECT 'file_rows' AS kpi_name, n_contracts AS v, replace(filename, '.csv', '') AS context FROM k
+        UNION ALL SELECT 'file_vehicles', n_unique_vins, replace(filename, '.csv', '') FROM k
+        UNION ALL SELECT 'consenting_vehicles', n_consent_total, replace(filename, '.csv', '') FROM k
+        UNION ALL SELECT 'file_vehicles_consenting', n_vins_with_consent, replace(filename, '.csv', '') FROM k
+        UNION ALL SELECT 'file_vehicles_refused', n_vins_without_consent, replace(filename, '.csv', '') FROM k
+        UNION ALL SELECT 'stored_rows_without_consent', (SELECT count(*) FROM seeds WHERE vin NOT IN (SELECT vehicle_vin FROM con)), 'n/a'
+        UNION ALL SELECT 'vehicles_first_seen', (SELECT count(DISTINCT vin) FROM loaded WHERE vin NOT IN (SELECT vin FROM seeds)), 'n/a'
+        UNION ALL SELECT 'vehicles_seen_before', (SELECT count(DISTINCT vin) FROM loaded WHERE vin IN (SELECT vin FROM seeds)), 'n/a')
+    SELECT kpi_name, CAST(v AS DOUBLE) AS kpi_value, context FROM longf
+""", k=SQL_FILE_KPIS, con=SQL_CONSENT_3WAY, raw=SQL_RAW_CONTRACTS))
+def q_contract_job_kpis(spark, sf_dir):
+    """The KPI table after the contract job ran into a table that holds the finished orders'
+    contracts already: five metrics per file and three over the stored table."""
+    return _contract_job(spark, sf_dir, seeded=True)[1].select("kpi_name", F.col("kpi_value").cast("double").alias("kpi_value"), "context")
+
+
+@register("contract_job_files", _sql("""
+    SELECT replace(c.filename, '.csv', '') AS filename, c.vehicleIdentificationNumber AS vehicle_identification_number, count(*) AS n
+    FROM {raw} c JOIN {con} k ON c.vehicleIdentificationNumber = k.vehicle_vin GROUP BY 1, 2
+""", raw=SQL_RAW_CONTRACTS, con=SQL_CONSENT_3WAY))
+def q_contract_job_files(spark, sf_dir):
+    """K3: the job's per-source-file folders read back."""
+    root = _contract_job(spark, sf_dir)[2]
+    back = spark.read.option("basePath", f"{root}/processed_data").parquet(f"{root}/processed_data")
+    return back.groupBy(F.col("filename").cast("string").alias("filename"), "vehicle_identification_number").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("incremental_load", f"""

@@ -12,23 +12,18 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrum.functions.text import file_stem
 from ferrum.operators import consent as C
 from ferrum.operators import ledger as L
 from ferrum.operators.contracts import RAW_CONTRACT_COLUMNS, typed_contracts
-from ferrum.operators.kpi import FILE_METRIC_NAMES, kpi_table
+from ferrum.operators.kpi import FILE_METRIC_NAMES, STORED_METRIC_NAMES, kpi_table, merge_metric_sets
 from ferrum.sinks.writers import append_to_table, commit_version, replace_keyed_ranges, write_per_source_file
-from ferrum.sources.files import logical_file_name, require_columns, select_input_files
+from ferrum.sources.files import list_files, require_columns, select_input_files
 
 
 def read_contract_drops(spark: SparkSession, folder: str, day: str | None = None,
                         name_from: str = "file") -> DataFrame:
     """All-string contract rows of one day's drops (``day``) or of every drop."""
-    if day:
-        return select_input_files(spark, folder, day, name_from=name_from)
-    df = spark.read.option("header", True).option("recursiveFileLookup", True) \
-        .option("pathGlobFilter", "*.csv").csv(folder)
-    return df.filter(F.col("_metadata.file_size") > 0).withColumn("filename", file_stem(logical_file_name(name_from)))
+    return select_input_files(spark, folder, day, name_from=name_from)
 
 
 def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_of: str, *,
@@ -36,8 +31,10 @@ def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_
     """Consent-filter and type the contract rows of ``drops`` and compute per-file KPIs.
 
     Writes the typed consenting contracts once per source file under
-    ``out_root/processed_data`` and appends them and the KPI rows to their
-    tables. Returns ``(contracts_table, kpi_table)`` frames.
+    ``out_root/processed_data``, appends them to the contract table, then measures
+    that table (rows without consent, vehicles first seen and seen before on
+    ``as_of``'s day) and appends all eight KPIs. Returns ``(contracts_table,
+    kpi_table)`` frames; ``missing_drop_alert`` and ``kpi.window_alarm`` say what to notify.
     """
     # The day's drop rows feed three writes; keep them for the job's duration
     # (memory and disk; lost blocks are recomputed from the files).
@@ -52,13 +49,20 @@ def contract_load(spark: SparkSession, drops: DataFrame, consent: DataFrame, as_
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         append_to_table(typed, contracts_table, f"{out_root}/tables/{contracts_table}",
                         bucket_by=(buckets, ["vehicle_identification_number"]))
-        append_to_table(kpis, kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
+        stored = kpi_table(C.stored_kpis(spark.table(contracts_table), consent, as_of), STORED_METRIC_NAMES, as_of=as_of)
+        append_to_table(merge_metric_sets(kpis, stored), kpi_table_name, f"{out_root}/tables/{kpi_table_name}")
         typed.unpersist()
     finally:
         raw.unpersist()
     return spark.table(contracts_table), spark.table(kpi_table_name)
 
 
+def missing_drop_alert(spark: SparkSession, folder: str, day: str, prefix: str = "") -> DataFrame:
+    """One row (day, n_files, missing): whether ``day``'s contract drops have arrived."""
+    n = len(list_files(spark, folder, pattern=f"{prefix}{day.replace('-', '')}_.*\\.csv"))
+    return spark.range(1).select(F.to_date(F.lit(day)).alias("day"), F.lit(n).cast("long").alias("n_files"), F.lit(n == 0).alias("missing"))
+
+
 def incremental_load(spark: SparkSession, registry: DataFrame, ledger: DataFrame, records: DataFrame,
                      target_table: str, as_of: str, *, version_root: str, key: str = "kpi", id_col: str = "id",
                      stale_after: str = L.DEFAULT_STALE_AFTER, batch_size: int = L.BATCH_SIZE,

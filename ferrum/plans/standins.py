@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrum.session import spread
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MAX_ELEMENTS_PER_MESSAGE = 50
@@ -48,15 +47,6 @@ def contracts_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def consent_people(customer: DataFrame) -> DataFrame:
-    """customer -> the user-management side of the consent query."""
-    return customer.select(
-        F.col("c_custkey").cast("string").alias("vehicle_vin"),
-        F.col("c_custkey").alias("cust_id"),
-        F.col("c_name"), F.col("c_nationkey"), F.col("c_mktsegment"),
-    )
-
-
 def vehicles_from_orders(orders: DataFrame) -> DataFrame:
     """orders -> tracked vehicles; pending orders have not received a message yet."""
     return orders.select(
@@ -92,7 +82,7 @@ def general_information_messages(orders: DataFrame) -> DataFrame:
         F.lit(8).cast("bigint").alias("checkpointNumber"),
         ts.alias("reachedCheckpointAt"),
         F.concat(F.lit("VIN"), F.lpad(F.col("o_custkey").cast("string"), 14, "0")).alias("vin"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
+        F.date_format("o_orderdate", ISO_Z).alias("orderDate"),
         _brand(F.col("o_orderpriority")).alias("brand"),
         F.col("o_orderstatus").alias("model"),
         F.year("o_orderdate").cast("bigint").alias("modelYear"),
@@ -110,26 +100,7 @@ def general_information_messages(orders: DataFrame) -> DataFrame:
         ts.alias("sourceTimestamp"),
         msg.alias("message"),
     ))
-    src = spread(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
-                 ["o_orderkey"])
-    return src.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
-
-
-def with_batches(df: DataFrame, size: int = MAX_ELEMENTS_PER_MESSAGE,
-                 batch: str = "chunk", ordinal: str | None = None) -> DataFrame:
-    """Cut rows into batches of at most ``size`` rows without a shuffle.
-
-    The scan-time row id is consecutive inside a partition, so ``id / size``
-    never puts more than ``size`` rows in one batch, however the rows are spread
-    over keys: a very large order becomes several messages, and no group ever
-    collects an unbounded list. ``ordinal`` (optional) is the 0-based position
-    inside the batch.
-    """
-    rid = F.monotonically_increasing_id()
-    out = df.withColumn("__rid", rid).withColumn(batch, F.floor(F.col("__rid") / size))
-    if ordinal:
-        out = out.withColumn(ordinal, (F.col("__rid") - F.col(batch) * size).cast("int"))
-    return out.drop("__rid")
+    return orders.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
 
 
 def _chunked(lineitem: DataFrame) -> DataFrame:
@@ -139,13 +110,11 @@ def _chunked(lineitem: DataFrame) -> DataFrame:
     list grows with the data. The per-order count is a map-side-combined
     aggregate; the join back on the order key is split by AQE when one order is hot.
     """
-    # Single-split inputs are spread by order key first, so the count, the join
-    # back and the grouping below reuse one partitioning (no-op on real inputs).
-    lineitem = spread(lineitem, ["l_orderkey"])
     n = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
     buckets = F.greatest(F.ceil(F.col("__n") / MAX_ELEMENTS_PER_MESSAGE), F.lit(1)).cast("int")
     chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), buckets)
-    return lineitem.join(n, "l_orderkey").withColumn("chunk", chunk).drop("__n")
+    # Dealt by (order, chunk) for the grouping that follows, so a hot order's join can be split.
+    return lineitem.join(n, "l_orderkey").withColumn("chunk", chunk).drop("__n").repartition("l_orderkey", "chunk")
 
 
 def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -193,7 +162,7 @@ def parts_messages(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> D
         F.struct(
             F.lpad(F.col("o_custkey").cast("string"), 13, "0").alias("ifaOrderKey"),
             F.col("o_orderkey").cast("string").alias("commissionNumber"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("itemizationDate"),
+            F.date_format("o_orderdate", ISO_Z).alias("itemizationDate"),
             ts.alias("sourceTimestamp"),
             F.col("parts"),
         ).alias("message"),
@@ -209,7 +178,7 @@ def queue_messages(events: DataFrame) -> DataFrame:
     untyped = F.to_json(F.struct(
         F.col("event_id").alias("event_id"), F.col("user_id").alias("user_id"),
         F.col("value").alias("value")))
-    return spread(events.select("event_id", "ts", "event_type", "user_id", "value"), ["event_id"]).select(
+    return events.select(
         "event_id", F.col("ts").cast("timestamp").alias("received_at"),
         F.when(F.col("event_type") == "signup", untyped).otherwise(typed).alias("body"))
 

@@ -84,24 +84,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/ferrum/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Repartition only when ``df`` has fewer partitions than the cluster can run
-    at once (e.g. a large file written as one row group).
-
-    On a real input of many files/row groups this is a no-op. Use it right
-    before CPU-heavy per-row work (JSON, regexes) that would otherwise run on
-    one core. With ``keys`` (ideally unique ones) rows are hash-partitioned,
-    which is deterministic on task retry and needs no pre-sort.
-    """
-    n = min_partitions or spark_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, *keys) if keys else df.repartition(n)
-
-
-def spark_parallelism(spark: SparkSession) -> int:
-    return max(int(spark.sparkContext.defaultParallelism), 1)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ferrum.functions.text import anchored, file_stem
 
@@ -41,13 +43,6 @@ def read_json_with_sample(spark: SparkSession, path: str, sample_path: str) -> D
     return spark.read.schema(sample_schema(spark, sample_path)).json(path)
 
 
-def parse_json_messages(df: DataFrame, body: str, schema: StructType | str) -> DataFrame:
-    """JSON text column -> the struct fields of each message, same rules as the file reader."""
-    parsed = F.from_json(F.col(body), schema)
-    keep = [c for c in df.columns if c != body]
-    return df.select(*keep, parsed.alias("_m")).select(*keep, "_m.*")
-
-
 def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", quote: str = '"',
                      header: bool = True) -> DataFrame:
     """CSV with a header row, every column kept as text (no inference pass)."""
@@ -55,11 +50,6 @@ def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", quote: str
             .option("inferSchema", False).csv(path))
 
 
-def with_source_file(df: DataFrame, name: str = "filename") -> DataFrame:
-    """Attach the input file name (hidden ``_metadata`` column of file sources)."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
-
-
 def require_columns(df: DataFrame, needed: list[str]) -> DataFrame:
     """Project to ``needed`` in order; fail with the full list of missing names."""
     missing = [c for c in needed if c not in df.columns]
@@ -68,38 +58,58 @@ def require_columns(df: DataFrame, needed: list[str]) -> DataFrame:
     return df.select(*needed)
 
 
-def dated_file_pattern(prefix: str, day: Column) -> Column:
-    """Anchored regex for ``<prefix>YYYYMMDD_<anything>.csv`` for the given day column."""
-    return F.concat(F.lit("^" + prefix), F.date_format(day, "yyyyMMdd"), F.lit("_.*\\.csv$"))
+def list_files(spark: SparkSession, folder: str, name_from: str = "file", pattern: str | None = None) -> list[str]:
+    """Non-empty files under ``folder`` whose logical name matches ``pattern`` in full.
 
-
-def logical_file_name(name_from: str = "file") -> Column:
-    """Name of the landed file a row came from.
-
-    ``"file"``: the file itself. ``"parent"``: the folder holding the part files
-    (a Spark-written ``x.csv/part-*`` drop, or a ``col=x.csv`` partition folder).
+    One listing (the ``binaryFile`` source with path and length only: no content is read).
     """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
     if name_from == "file":
-        return F.col("_metadata.file_name")
-    parent = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
-    return F.regexp_replace(parent, "^[^=]*=", "")
+        name = F.element_at(F.split("path", "/"), -1)
+    else:
+        name = F.regexp_replace(F.element_at(F.split("path", "/"), -2), "^[^=]*=", "")
+    files = files.filter(F.col("length") > 0)
+    if pattern:
+        files = files.filter(name.rlike(anchored(pattern)))
+    return sorted(r["path"] for r in files.select("path").collect())  # file metadata, as any scan's listing
 
 
-def select_input_files(spark: SparkSession, folder: str, day: str, prefix: str = "",
+def read_csv_by_header(spark: SparkSession, files: list[str], sep: str = ",", quote: str = '"') -> DataFrame | None:
+    """All-string rows of CSV files that each name their own columns.
+
+    Files are grouped by their header line and read with its names, so columns meet by
+    name whatever their order; a column that a file lacks is NULL. None without files.
+    """
+    if not files:
+        return None
+    head = (spark.read.text(files).filter(F.col("_metadata.file_block_start") == 0)
+            .groupBy(F.col("_metadata.file_path").alias("path")).agg(F.first("value").alias("header")))
+    groups: dict[str, list[str]] = {}
+    for r in head.collect():  # one row per file
+        groups.setdefault(r["header"].rstrip("\r"), []).append(r["path"])
+    out = None
+    for header in sorted(groups):
+        names = next(csv.reader([header.lstrip("\ufeff")], delimiter=sep, quotechar=quote))
+        schema = StructType([StructField(n, StringType()) for n in names])
+        part = spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", quote).csv(groups[header])
+        part = part.select("*", F.col("_metadata.file_path").alias("__path"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def select_input_files(spark: SparkSession, folder: str, day: str | None, prefix: str = "",
                        sep: str = ",", name_from: str = "file") -> DataFrame:
-    """Rows of the CSV files of one day: name ``<prefix>YYYYMMDD_*.csv``, size > 0.
+    """Rows of the non-empty CSV files of one day (name ``<prefix>YYYYMMDD_*.csv``) or of every day.
 
-    The name is matched in full (``x.csv.bak`` does not match). The tests run on
-    the ``_metadata`` columns, which Spark evaluates per file, so rows of other
-    files are dropped right at the scan.
+    The name is matched in full (``x.csv.bak`` does not match) before any file is opened,
+    and columns are matched by each file's own header. Adds ``filename``.
     """
-    day_text = day.replace("-", "")
-    pattern = anchored(f"{prefix}{day_text}_.*\\.csv")
-    name = logical_file_name(name_from)
-    df = (spark.read.option("header", True).option("sep", sep).option("pathGlobFilter", "*.csv")
-          .option("recursiveFileLookup", True).csv(folder))
-    return (df.filter(name.rlike(pattern) & (F.col("_metadata.file_size") > 0))
-            .withColumn("filename", file_stem(name)))
+    pattern = f"{prefix}{day.replace('-', '')}_.*\\.csv" if day else ".*\\.csv"
+    rows = read_csv_by_header(spark, list_files(spark, folder, name_from, pattern), sep)
+    if rows is None:
+        return spark.createDataFrame([], "filename string")
+    part = F.element_at(F.split("__path", "/"), -1 if name_from == "file" else -2)
+    return rows.withColumn("filename", file_stem(F.regexp_replace(part, "^[^=]*=", ""))).drop("__path")
 
 
 def inline_rows(spark: SparkSession, rows: list, schema: StructType | str) -> DataFrame:

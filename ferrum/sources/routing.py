@@ -1,8 +1,9 @@
 """Routed bulk loads: storage key -> target table and reader options.
 
-The route table is configuration (a few dozen rows), so it is broadcast after a
-bounded size check. Each route is loaded by reading its key prefix with its own
-reader options in one distributed read; no key list passes through the driver.
+Landed files are listed once and their keys resolved against the route table in
+Spark. Each route is loaded by reading its key prefix, with all dated folders below
+it, with its own reader options in one distributed read. Keys that no route takes
+are reported with their number of files.
 """
 
 from __future__ import annotations
@@ -12,30 +13,23 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrum.operators.joins import bounded_broadcast
-
 ROUTE_SCHEMA = ("root string, sub string, target_table string, format string, sep string, header boolean, "
                 "quote string, compression string, replace_all boolean")
 
 # Route kinds: ``sub`` set -> two-level route (second key segment selects the
 # entry); ``sub = '*'`` -> the second key segment *is* the target table; ``sub``
 # NULL -> flat route keyed by the first segment only.
-# Example routes (fixed values for the catalogue; real deployments pass their own).
+# A route of each kind and one per format; deployments pass their own.
 EXAMPLE_ROUTES = [
-    ("kpi", "ingest", "kpi_ingest", "csv", ",", True, None, None, False),
-    ("kpi", "appstate", "kpi_appstate", "csv", ",", True, None, None, False),
-    ("country_aggregate", None, "country_aggregate", "csv", ",", True, None, None, False),
-    ("auto_import", "*", None, "csv", ",", True, None, None, False),
-    ("measurements", "values", "measurements", "csv", ",", True, None, None, False),
-    ("measurements", "enrollments", "measurements", "csv", ",", True, None, None, False),
-    ("measurements", "api_usage", "measurements_api_usage", "csv", ",", True, None, None, False),
-    ("identity", None, "identity_kit", "csv", ",", True, '"', None, False),
-    ("profile", None, "profile", "csv", ",", True, None, None, False),
-    ("experience", "dev", "experience_dev", "csv", ",", True, None, None, False),
-    ("experience", "prd", "experience_prd", "csv", ",", True, None, None, False),
-    ("dealers_all", None, "dealers", "parquet", None, None, None, None, True),
-    ("car_groups", None, "car_groups", "csv", ",", True, None, "gzip", True),
-    ("partners", None, "partners", "csv", "|", True, None, "gzip", True),
+    ("clicks", None, "page_clicks", "csv", ",", True, None, None, False),
+    ("meters", "hourly", "meter_hourly", "csv", ",", True, None, None, False),
+    ("meters", "daily", "meter_daily", "csv", ",", True, None, None, False),
+    ("sensors", "raw", "sensor_raw", "csv", ",", True, None, None, False),
+    ("feeds", "*", None, "csv", ",", True, None, None, False),
+    ("reviews", None, "reviews", "csv", ",", True, '"', None, False),
+    ("catalog", None, "catalog_items", "parquet", None, None, None, None, True),
+    ("stations", None, "stations", "csv", ",", True, None, "gzip", True),
+    ("vendors", None, "vendor_list", "csv", "|", True, None, "gzip", True),
 ]
 
 
@@ -43,8 +37,7 @@ def route_table(spark: SparkSession, routes: list | None = None) -> DataFrame:
     return spark.createDataFrame(routes or EXAMPLE_ROUTES, ROUTE_SCHEMA)
 
 
-def resolve_routes(keys: DataFrame, routes: DataFrame, key_col: str = "key",
-                   max_routes: int = 10_000) -> DataFrame:
+def resolve_routes(keys: DataFrame, routes: DataFrame, key_col: str = "key") -> DataFrame:
     """Attach the route of every storage key; unknown keys get status 'unrouted'.
 
     Two-level roots need a matching second segment (an unknown second segment is
@@ -53,7 +46,7 @@ def resolve_routes(keys: DataFrame, routes: DataFrame, key_col: str = "key",
     """
     parts = F.split(F.col(key_col), "/")
     k = keys.withColumns({"__root": F.element_at(parts, 1), "__sub": F.try_element_at(parts, F.lit(2))})
-    r = bounded_broadcast(routes.select(*[F.col(c).alias(f"__r_{c}") for c in routes.columns]), max_routes)
+    r = routes.select(*[F.col(c).alias(f"__r_{c}") for c in routes.columns])
     cond = (F.col("__root") == F.col("__r_root")) & (
         F.col("__r_sub").isNull() | (F.col("__r_sub") == "*") | (F.col("__r_sub") == F.col("__sub")))
     j = k.join(r, cond, "left")
@@ -69,69 +62,65 @@ def reader_for(spark: SparkSession, route: dict):
     r = spark.read.format(route["format"])
     if route["format"] == "csv":
         r = r.option("header", bool(route.get("header"))).option("sep", route.get("sep") or ",")
-        if route.get("quote"):
-            r = r.option("quote", route["quote"])
+        # Without a quote character, quotes are data; inside quotes a quote is doubled.
+        r = r.option("quote", route.get("quote") or "").option("escape", route.get("quote") or "")
         r = r.option("mode", "PERMISSIVE").option("encoding", "UTF-8")
     return r
 
 
-def landed_prefixes(spark: SparkSession, base_path: str) -> set[tuple[str, str | None]]:
-    """``(root, sub)`` folders under ``base_path`` that hold at least one non-empty file.
+def landed_keys(spark: SparkSession, base_path: str) -> DataFrame:
+    """(key, length) of every non-empty file under ``base_path``, keys relative to it.
 
-    One listing through the ``binaryFile`` source with only path and length
-    selected (file contents are never read); the distinct folder pairs are a
-    configuration-sized result.
+    One listing through the ``binaryFile`` source with path and length only: contents
+    are never read.
     """
-    base = base_path.rstrip("/").split(":", 1)[-1] if base_path.startswith("file:") else base_path.rstrip("/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base_path)
-             .select("path", "length").filter(F.col("length") > 0))
-    rel = F.regexp_extract(F.col("path"), re.escape(base) + "/(.*)$", 1)
-    parts = F.split(rel, "/")
-    pairs = files.select(F.element_at(parts, 1).alias("root"),
-                         F.when(F.size(parts) > 2, F.element_at(parts, 2)).alias("sub")).distinct()
-    return {(r.root, r.sub) for r in pairs.collect()}
+    base = re.escape(base_path.rstrip("/").split(":", 1)[-1])
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base_path).select("path", "length")
+    return files.filter(F.col("length") > 0).select(F.regexp_extract("path", base + "/(.*)$", 1).alias("key"), "length")
+
+
+def unrouted(keys: DataFrame, routes: DataFrame) -> DataFrame:
+    """(prefix, n_files) of the keys that no route takes: unknown root or unknown second segment."""
+    left = resolve_routes(keys, routes).filter(F.col("status") == "unrouted")
+    return left.groupBy(F.concat_ws("/", "root", F.when(F.size(F.split("key", "/")) > 2, F.col("sub_key"))).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n_files"))
 
 
 def load_routes(spark: SparkSession, base_path: str, routes: DataFrame) -> list[tuple[dict, DataFrame]]:
-    """One reader per route (and per target folder of a wildcard route) over its
-    key prefix ``base/root[/sub]/``.
+    """One reader per route (and per target of a wildcard route) over its key prefix
+    ``base/root[/sub]/``, with every folder below it (``root[/sub]/YYYY/MM/DD/file``).
 
-    The route list is tiny configuration; the data of each prefix is read in
-    parallel by Spark. Only prefixes that hold files are read. Returns
-    ``[(route, frame)]``; ``route["target_table"]`` is always set and the frame
-    has ``target_table`` and ``source_key`` columns.
+    Only prefixes that hold files are read. Returns ``[(route, frame)]``;
+    ``route["target_table"]`` is always set and the frame has ``target_table`` and
+    ``source_key`` columns.
     """
-    present = landed_prefixes(spark, base_path)
-    roots = {r for r, _ in present}
+    found = resolve_routes(landed_keys(spark, base_path), routes).filter(F.col("status") == "routed")
+    present = {(r["root"], r["target_table"]) for r in found.select("root", "target_table").distinct().collect()}
     out = []
     for row in routes.collect():  # configuration rows only
         route = row.asDict()
         root, sub = route["root"], route["sub"]
-        if sub == "*":
-            parts = [(dict(route, target_table=s), f"{base_path}/{root}/{s}")
-                     for r, s in sorted(present, key=str) if r == root and s]
-        elif sub:
-            parts = [(route, f"{base_path}/{root}/{sub}")] if (root, sub) in present else []
-        else:
-            parts = [(route, f"{base_path}/{root}")] if root in roots else []
-        for r, prefix in parts:
-            df = reader_for(spark, r).load(prefix)
-            rel = F.regexp_extract(F.col("_metadata.file_path"), f"{root}/.*$", 0)
-            out.append((r, df.withColumns({"target_table": F.lit(r["target_table"]), "source_key": rel})))
+        targets = sorted(t for r, t in present if r == root) if sub == "*" else [route["target_table"]]
+        for target in targets:
+            if (root, target) not in present:
+                continue
+            folder = target if sub == "*" else sub
+            df = reader_for(spark, route).option("recursiveFileLookup", True).load("/".join(filter(None, [base_path.rstrip("/"), root, folder])))
+            rel = F.regexp_extract(F.col("_metadata.file_path"), f"{re.escape(root)}/.*$", 0)
+            out.append((dict(route, target_table=target), df.withColumns({"target_table": F.lit(target), "source_key": rel})))
     return out
 
 
 LOAD_RESULT_SCHEMA = "target_table string, action string, n_rows long, status string, error string"
 
 
-def load_into_tables(spark: SparkSession, loaded: list[tuple[dict, DataFrame]], tables_root: str) -> DataFrame:
-    """Write every routed frame to its target table folder, each as its own unit:
-    replace-all routes overwrite the table, the others append. Row counts are
-    observed during the write; a failing route is reported with its error and
-    the others still load (every error is kept, not only the last)."""
+def load_into_tables(spark: SparkSession, loaded: list[tuple[dict, DataFrame]], database: str, tables_root: str) -> DataFrame:
+    """Load every routed frame into its table of ``database``, each as its own unit: replace-all
+    routes commit a new version, the others append. Row counts are observed during the write;
+    a failing route is reported with its whole error text and the others still load."""
     from pyspark.sql import Observation
 
-    from ferrum.sinks.writers import overwrite_all
+    from ferrum.sinks.writers import append_to_table, overwrite_all
 
     results = []
     for i, (route, df) in enumerate(loaded):
@@ -142,22 +131,10 @@ def load_into_tables(spark: SparkSession, loaded: list[tuple[dict, DataFrame]],
         path = f"{tables_root.rstrip('/')}/{target}"
         try:
             if action == "replace_all":
-                overwrite_all(rows, path)
+                overwrite_all(spark, f"{database}.{target}", rows, path)
             else:
-                rows.write.mode("append").parquet(path)
+                append_to_table(rows, f"{database}.{target}", path)
             results.append((target, action, int(obs.get["n"]), "loaded", None))
         except Exception as e:  # noqa: BLE001 - reported per route, like a per-file transaction
-            results.append((target, action, 0, "failed", str(e).splitlines()[0][:500]))
+            results.append((target, action, 0, "failed", str(e)))
     return spark.createDataFrame(results, LOAD_RESULT_SCHEMA)
-
-
-def load_report(loaded: list[tuple[dict, DataFrame]]) -> DataFrame:
-    """Per target table: files and rows loaded and the load action (one union, one aggregate)."""
-    frames = [df.select("target_table", "source_key",
-                        F.lit("replace_all" if route["replace_all"] else "append").alias("action"))
-              for route, df in loaded]
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    return u.groupBy("target_table", "action").agg(
-        F.countDistinct("source_key").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))

@@ -32,16 +32,20 @@ def land_messages(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
 
     The checkpoint is the bookmark: a restart continues after the last
     committed file. ``reprocess_all`` starts from a fresh checkpoint folder
-    next to the given one (bookmark disabled: every input file again).
+    next to the given one (bookmark disabled: every input file again). It needs a
+    sink folder of its own: the file sink numbers its batches from the checkpoint
+    and would skip the batches that an earlier run has written to the same folder.
     """
     if reprocess_all:
         import uuid
+        log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sink_dir.rstrip('/')}/_spark_metadata")  # noqa: SLF001
+        if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):  # noqa: SLF001
+            raise ValueError(f"reprocess_all needs an empty sink folder: {sink_dir} holds an earlier run")
         checkpoint_dir = f"{checkpoint_dir.rstrip('/')}-full-{uuid.uuid4().hex[:8]}"
     routed = route_messages(message_stream(spark, source_dir, max_files_per_trigger), country=country)
-    # One writer task per landing folder and micro-batch instead of one file per
-    # (input split x folder); a hot message type is bounded by the batch size.
-    out = (routed.select("received_at", "body", "landing_key", *LANDING_PARTITIONS)
-           .repartition(*LANDING_PARTITIONS))
+    # Each input split writes its own files: no shuffle, and a hot message type is
+    # spread over as many tasks as its input has splits.
+    out = routed.select("received_at", "body", "landing_key", *LANDING_PARTITIONS)
     w = (out.writeStream.format("json").outputMode("append")
          .option("checkpointLocation", checkpoint_dir).partitionBy(*LANDING_PARTITIONS))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")

@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from ferrum.plans import catalogue  # noqa: E402
 from check_oracle import norm  # noqa: E402
 from ferrum.session import TABLES  # noqa: E402
 
@@ -29,7 +30,7 @@ def _rows(cols, rows, order):
     return sorted(tuple(norm(r[i]) for i in idx) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols = df.columns

@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ferrum.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -21,7 +22,7 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_plan_has_no_all_pairs_join_or_python(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     bad = [op for op in FORBIDDEN if op in plan]

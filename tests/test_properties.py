@@ -85,17 +85,16 @@ RANGE = st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5000)), min_size=1, max_size=40),
-       st.lists(RANGE, max_size=8), st.sampled_from([7, 64, 1024]))
-def test_bucketed_range_join_matches_brute_force(spark, records, ranges, width):
+       st.lists(RANGE, max_size=8))
+def test_range_join_matches_brute_force(spark, records, ranges):
     from ferrum.operators.joins import in_ranges
     rec = spark.createDataFrame(records, "kpi string, id long")
     rng = spark.createDataFrame(ranges, "kpi string, from_id long, to_id long")
 
     def inside(k, i):
         return any(rk == k and lo is not None and hi is not None and lo <= i <= hi for rk, lo, hi in ranges)
-    semi = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id", bucket_width=width).collect())
-    anti = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id", how="left_anti",
-                                              bucket_width=width).collect())
+    semi = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id").collect())
+    anti = sorted(tuple(r) for r in in_ranges(rec, rng, key="kpi", id_col="id", how="left_anti").collect())
     assert semi == sorted(r for r in records if inside(*r))
     assert anti == sorted(r for r in records if not inside(*r))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ferrum.operators.kpi import kpi_table
 from ferrum.operators.rejects import error_lines
 from ferrum.sinks.writers import replace_where
-from ferrum.sources.routing import load_routes, route_table
+from ferrum.sources.routing import landed_keys, load_routes, route_table, unrouted
 
 
 def test_null_metric_gives_null_kpi_value(spark):
@@ -22,17 +22,17 @@ def test_null_metric_gives_null_kpi_value(spark):
 def test_ordinal_is_the_number_between_slashes(spark):
     resp = spark.createDataFrame([(1, "Description: /12/ bad: a/b\nDescription: /3/ missing id\nno ordinal")],
                                  "batch int, error_text string")
-    got = sorted((r.ordinal, r.error_message) for r in error_lines(resp, ["batch"]).collect())
-    assert got == [(3, "missing id"), (12, "bad: a/b")]
+    got = [(r.ordinal, r.error_message) for r in error_lines(resp, ["batch"]).collect()]
+    assert sorted(got, key=str) == [(12, "bad: a/b"), (3, "missing id"), (None, "no ordinal")]
 
 
 def test_pipe_delimited_gzip_with_undecodable_bytes(spark, tmp_dir):
-    d = os.path.join(tmp_dir, "partners")
+    d = os.path.join(tmp_dir, "vendors", "2024", "01", "02")
     os.makedirs(d)
     with gzip.open(os.path.join(d, "part.csv.gz"), "wb") as f:
         f.write(b"id|name\n1|ok\n2|bad\xff\xfename\n")
     loaded = dict((route["target_table"], df) for route, df in load_routes(spark, tmp_dir, route_table(spark)))
-    rows = {r.id: r.name for r in loaded["partners"].collect()}
+    rows = {r.id: r.name for r in loaded["vendor_list"].collect()}
     assert rows["1"] == "ok"
     assert rows["2"].startswith("bad") and rows["2"].endswith("name") and "�" in rows["2"]
 
@@ -48,17 +48,19 @@ def test_replace_where(spark):
 def test_failed_route_is_reported_and_others_load(spark, tmp_dir):
     from ferrum.sources.routing import load_into_tables
     land = os.path.join(tmp_dir, "land")
-    for prefix, rows in [("kpi/appstate", [("1", "a")]), ("identity", [("2", "b"), ("3", "c")])]:
+    for prefix, rows in [("meters/hourly/2024/01/02", [("1", "a")]), ("reviews", [("2", "b"), ("3", "c")]), ("lost/way", [("4", "d")])]:
         spark.createDataFrame(rows, "id string, v string").coalesce(1).write.option("header", True).csv(
             os.path.join(land, prefix))
     tables = os.path.join(tmp_dir, "tables")
-    os.makedirs(tables)
-    with open(os.path.join(tables, "kpi_appstate"), "w") as f:  # a file where the table folder should go
-        f.write("not a folder")
-    report = {r.target_table: (r.status, r.n_rows) for r in
-              load_into_tables(spark, load_routes(spark, land, route_table(spark)), tables).collect()}
-    assert report["kpi_appstate"][0] == "failed"
-    assert report["identity_kit"] == ("loaded", 2)
+    spark.sql(f"CREATE DATABASE routed_t LOCATION '{os.path.join(tmp_dir, 'db')}'")
+    spark.range(1).write.saveAsTable("routed_t.meter_hourly")  # a table of other columns
+    report = {r.target_table: (r.status, r.n_rows, r.error) for r in
+              load_into_tables(spark, load_routes(spark, land, route_table(spark)), "routed_t", tables).collect()}
+    assert report["meter_hourly"][0] == "failed" and len(report["meter_hourly"][2]) > 100  # the whole text
+    assert report["reviews"] == ("loaded", 2, None)
+    rest = {r.prefix: r.n_files for r in unrouted(landed_keys(spark, land), route_table(spark)).collect()}
+    assert rest == {"lost/way": 1}
+    spark.sql("DROP DATABASE routed_t CASCADE")
 
 
 def test_union_aligned_ragged_batches(spark):

@@ -6,19 +6,23 @@ from pyspark.sql import functions as F
 
 from ferrum.operators.joins import in_ranges
 from ferrum.plans.standins import MAX_ELEMENTS_PER_MESSAGE, checkpoint_messages
-from ferrum.sinks.writers import salted_partition_write
+from ferrum.sinks.writers import partitioned_write
 
 
-def test_salted_write_spreads_a_hot_partition_value(spark, tmp_dir):
-    n = 30000
+def test_rebalanced_write_splits_a_hot_partition_value(spark, tmp_dir):
+    n = 400_000
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("signal_name"),  # hot: two thirds
-        F.col("id").alias("value"))
+        F.xxhash64("id").alias("value"))
     path = os.path.join(tmp_dir, "out")
-    salted_partition_write(df, path, ["signal_name"], files_per_partition=4)
-    hot_files = [f for f in os.listdir(os.path.join(path, "signal_name=hot")) if f.endswith(".parquet")]
-    assert len(hot_files) >= 3
-    assert spark.read.parquet(path).count() == n
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        partitioned_write(df, path, ["signal_name"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
+    assert sum(r["count"] for r in rows) == n
+    assert max(r["count"] for r in rows) < n / 5  # no task wrote a large share, though one value has two thirds
 
 
 def test_hot_order_becomes_bounded_messages(spark):
@@ -50,3 +54,9 @@ def test_range_join_on_hot_key_with_many_ranges(spark):
     inside = in_ranges(records, ranges, key="kpi", id_col="id")
     outside = in_ranges(records, ranges, key="kpi", id_col="id", how="left_anti")
     assert inside.count() == 2000 and outside.count() == 18000
+
+
+def test_range_join_cost_does_not_follow_the_distance_of_ids(spark):
+    records = spark.createDataFrame([("a", 5), ("a", 10**13 - 1), ("b", 7)], "kpi string, id long")
+    ranges = spark.createDataFrame([("a", 0, 10**13)], "kpi string, from_id long, to_id long")
+    assert in_ranges(records, ranges, key="kpi", id_col="id").count() == 2

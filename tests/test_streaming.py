@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ferrum.operators.kpi import window_alarm
@@ -35,6 +37,8 @@ def test_landing_is_exactly_once_and_keeps_every_message(spark, tmp_dir):
     full = os.path.join(tmp_dir, "full")
     land_messages(spark, src, full, ckpt, reprocess_all=True).awaitTermination()
     assert read_landed(spark, full).count() == 4
+    with pytest.raises(ValueError, match="empty sink"):  # would lose what the sink's log has numbered already
+        land_messages(spark, src, sink, ckpt, reprocess_all=True)
 
 
 def test_streamed_alarm_equals_batch_on_closed_windows(spark, tmp_dir):
