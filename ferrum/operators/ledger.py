@@ -208,9 +208,9 @@ def validate_ranges(jobs: DataFrame, scanned: DataFrame, *, id_col: str = "id",
                     F.when(outcome == "load", F.col("max_id")).alias("to_id"))
 
 
-def preview(df: DataFrame, n: int = 50) -> list:
-    """The first ``n`` records, for logging (a bounded take, never the whole range)."""
-    return df.take(n)
+def preview(df: DataFrame, by: list[str], n: int = 50) -> DataFrame:
+    """The first ``n`` records in the order of ``by``, for logging: a top-n, merged from each task's own."""
+    return df.orderBy(*by).limit(n)
 
 
 def id_range(records: DataFrame, id_col: str, from_id: int, mode: str = "unbounded", *,

@@ -921,6 +921,13 @@ SQL_SCAN = """
 """
 
 
+@register("scan_preview", f"{LEDGER_WITH}, S AS ({SQL_SCAN}) SELECT * FROM S ORDER BY id, kpi, job_from_id LIMIT 50")
+def q_scan_preview(spark, sf_dir):
+    """O3: the first 50 records of a pull, as logged (a top-n report)."""
+    from ferrum.operators.ledger import preview, scan_ranges
+    return preview(scan_ranges(_records(spark, sf_dir), _actions(spark, sf_dir)), ["id", "kpi", "job_from_id"])
+
+
 @register("id_range_scan", f"{LEDGER_WITH} {SQL_SCAN}")
 def q_id_range_scan(spark, sf_dir):
     """Records of every job's id range (unbounded from_id.. or bounded batch)."""
@@ -1481,12 +1488,12 @@ ALARM_DELAY = "1 hour"
     SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
            strftime(ws + INTERVAL 15 MINUTES, '%Y-%m-%d %H:%M:%S') AS window_end,
            event_type, stat, CASE WHEN stat <= 5 THEN 'ALARM' ELSE 'OK' END AS state
-    FROM w WHERE ws + INTERVAL 15 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+    FROM w
 """)
 def q_kpi_alarm_stream(spark, sf_dir):
-    """The alarm as a watermarked stream (NTZ cast to timestamp, 1 h delay);
-    append mode emits exactly the windows the watermark has closed."""
-    from ferrum.streaming.alarm import start_alarm
+    """The alarm as a watermarked stream (NTZ cast to timestamp, 1 h delay); append mode
+    emits the windows the watermark has closed, and the ended input's open windows follow."""
+    from ferrum.streaming.alarm import open_window_alarms, start_alarm
     root = scratch_path(spark, "alarm")
     q = start_alarm(spark, sf_dir, "ts timestamp_ntz, event_type string, value double", f"{root}/out",
                     f"{root}/checkpoint", ts="ts", value="value", keys=["event_type"], glob="events.parquet",
@@ -1494,7 +1501,9 @@ def q_kpi_alarm_stream(spark, sf_dir):
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    out = spark.read.parquet(f"{root}/out")
+    tail = open_window_alarms(T(spark, sf_dir, "events").select("ts", "event_type", "value"), "ts", "value",
+                              keys=["event_type"], period_seconds=900, threshold=5.0, delay=ALARM_DELAY)
+    out = spark.read.parquet(f"{root}/out").unionByName(tail)
     return out.select(ts_text("window_start").alias("window_start"), ts_text("window_end").alias("window_end"),
                       "event_type", "stat", "state")
 
@@ -1636,12 +1645,26 @@ def q_contract_job_files(spark, sf_dir):
 def q_incremental_load(spark, sf_dir):
     """One loader run for every KPI; the ledger after the run
     (the target table gets a new version first)."""
+    return _ledger_text(_loader_run(spark, sf_dir)[0])
+
+
+@register("incremental_target", f"""
+    {LEDGER_WITH}, S AS ({SQL_SCAN}),
+    G AS (SELECT kpi, job_from_id, max(id) AS max_id FROM S GROUP BY kpi, job_from_id)
+    SELECT S.kpi, S.id, S.event_type, S.value FROM S JOIN G ON S.kpi = G.kpi AND S.job_from_id = G.job_from_id
+    WHERE G.max_id <> 0 AND G.max_id - S.job_from_id >= 100
+""")
+def q_incremental_target(spark, sf_dir):
+    """The rows of the target table after the loader run."""
+    return _loader_run(spark, sf_dir)[1].select("kpi", "id", "event_type", "value")
+
+
+def _loader_run(spark, sf_dir):
     from ferrum.plans.jobs import incremental_load
     ledger, registry = _ledger(spark, sf_dir)
     records = _records(spark, sf_dir)
     name, root = _versioned_table(spark, "loaded_records")
     from ferrum.sinks.writers import commit_version
     commit_version(spark, name, spark.createDataFrame([], records.schema), root)
-    new_ledger, _ = incremental_load(spark, registry, ledger, records, name, LEDGER_AS_OF, version_root=root,
-                                     stale_after=LEDGER_STALE_AFTER, ledger_table=f"{name}_ledger")
-    return _ledger_text(new_ledger)
+    return incremental_load(spark, registry, ledger, records, name, LEDGER_AS_OF, version_root=root,
+                            stale_after=LEDGER_STALE_AFTER, ledger_table=f"{name}_ledger")

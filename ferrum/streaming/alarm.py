@@ -27,6 +27,21 @@ def streaming_alarm(stream: DataFrame, ts: str, value: str, *, keys: list[str] |
                         statistic=statistic, keys=keys, comparison=comparison)
 
 
+def open_window_alarms(rows: DataFrame, ts: str, value: str, *, keys: list[str] | None = None, period_seconds: int = 900,
+                       threshold: float = 0.0, statistic: str = "min", comparison: str = "<=",
+                       delay: str = "1 hour") -> DataFrame:
+    """The windows that a finished ``availableNow`` run has not emitted, from its input read as a batch.
+
+    A window stays open while its end lies after the watermark (greatest event time - ``delay``);
+    with the run's output these are all windows. For an input that has ended, not for one that goes on.
+    """
+    rows = event_time(rows, ts)
+    mark = rows.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("mark")).scalar()
+    out = window_alarm(rows, ts, value, period_seconds=period_seconds, threshold=threshold, statistic=statistic,
+                       keys=keys, comparison=comparison)
+    return out.filter(F.col("window_end") > mark)
+
+
 def start_alarm(spark: SparkSession, source_dir: str, schema: str, sink_dir: str, checkpoint_dir: str, *,
                 ts: str, value: str, keys: list[str] | None = None, glob: str | None = None,
                 max_files_per_trigger: int = 1, **kw) -> StreamingQuery:
