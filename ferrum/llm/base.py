@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrum.session import scratch_path, table
+from ferrum.sinks.writers import remove_folders
 
-__all__ = ["connected_components", "documents", "possible", "rarity", "stored", "table", "unused"]
+__all__ = ["connected_components", "counters", "discard", "documents", "possible", "rarity", "stored", "table", "unused"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame that nothing reads any more."""
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if "/ferrum/llm-" in folder:
+        remove_folders(df.sparkSession, [folder])
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name based on ``name`` that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -104,28 +113,34 @@ def rarity(items: DataFrame, column: str) -> np.ndarray:
     the value occurs once. Ordering by (count, value) is the same total order everywhere.
     """
     size = 1 << RARITY_BITS
-    counts = items.groupBy(F.pmod(F.col(column), F.lit(size)).cast("int").alias("i")).agg(F.count("*").alias("n")).toPandas()
-    out = np.zeros(size, dtype=np.int32)
-    out[counts["i"].to_numpy(dtype=np.int64)] = np.minimum(counts["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    counts = items.groupBy(F.pmod(F.col(column), F.lit(size)).cast("int").alias("i")).agg(F.count("*").alias("n"))
+    return np.minimum(counters(counts, size), 2**31 - 1).astype(np.int32)
+
+
+def counters(counts: DataFrame, size: int) -> np.ndarray:
+    """Rows (i, n), at most ``size`` of them, as an array of counts."""
+    got = counts.select("i", "n").toArrow()
+    out = np.zeros(size, dtype=np.int64)
+    out[got.column("i").to_numpy()] = got.column("n").to_numpy()
     return out
 
 
-def possible(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+def possible(df: DataFrame, ids: DataFrame, column: str, others: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``column`` may be among that of ``ids``: all that are, and a few others.
+    With ``others`` the rest: rows whose ``column`` is surely not among them.
 
     A filter of 2**RARITY_BITS cells (1 MB, whatever the corpus) that keeps most of the other rows out of
     the shuffle of an exact join that follows.
     """
     size = 1 << RARITY_BITS
     cell = lambda: F.pmod(F.xxhash64(F.col(column)), F.lit(size)).cast("int")
-    hit = np.zeros(size, dtype=bool)
-    hit[ids.select(cell().alias("i")).distinct().toPandas()["i"].to_numpy(dtype=np.int64)] = True
+    hit = counters(ids.select(cell().alias("i")).distinct().withColumn("n", F.lit(1)), size) > 0
     shared = df.sparkSession.sparkContext.broadcast(hit)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b.filter(pa.array(shared.value[b.column("cell_").to_numpy()]))
+            b = b.filter(pa.array(shared.value[b.column("cell_").to_numpy()] != others))
             if len(b):
                 yield b.select(names)
 

@@ -11,10 +11,11 @@ same document and an earlier start) is removed. Steps:
    copies starts earlier elsewhere.
 3. Classes that share a key are dealt to tasks by key. A task deals its fragments into shards, builds
    the Burrows-Wheeler transform of each shard, and merges the transforms: the interleave of the
-   shards starts unordered and is refined once per symbol, by a stable pass over the transforms, until
-   it is ordered by the first ``length`` symbols. Blocks that a pass does not split share one more
-   symbol of common prefix, so the blocks left after ``length`` passes are the repeated intervals. No
-   suffix is sorted again. The earliest member of each interval stays, the others are repeats.
+   shards starts from their first columns and is refined pass by pass through the maps that the
+   transforms give, until it is ordered by the first ``length`` symbols. The blocks of a pass share
+   that many symbols of common prefix; blocks left at the end are the repeated intervals. Suffixes
+   that stand alone take no part any more. The earliest member of each interval stays, the others are
+   repeats.
 4. A key with more than ``most`` classes (a short string all over the corpus) is not put into one
    task: its windows are grouped by their 128-bit hashes instead, which is exact too and is combined
    before the shuffle.
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
-from ferrum.llm.base import stored
+from ferrum.llm.base import discard, possible, stored
 
 _U = np.uint64
 GRAM = 20
@@ -124,6 +125,7 @@ def _fragments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         names=["key", "doc_id", "place", "bytes"])
 
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
+    docs = possible(docs, wanted, "doc_id")
     texts = docs.join(by_doc.withColumnRenamed("doc_id", "id_"), docs.doc_id.eqNullSafe(F.col("id_"))).drop("id_")
     return texts.mapInArrow(run, "key long, doc_id long, place long, bytes binary").distinct()
 
@@ -135,57 +137,96 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     own order, so no two suffixes are equal.
     """
     text = np.frombuffer(b"".join(s + b"\xff" for s in strings), dtype=np.uint8)
-    n = len(text)
     ends = np.flatnonzero(text == 255)
-    rank = text.astype(np.int64) + len(ends)
-    rank[ends] = np.arange(len(ends))
-    order, span = np.argsort(rank, kind="stable"), 1
-    room = np.diff(np.append(-1, ends))
-    left = np.repeat(ends, room) - np.arange(n)  # symbols before the end of the own string
-    while span < room.max():
-        nxt = np.zeros(n, dtype=np.int64)
-        has = left >= span
-        nxt[has] = rank[np.flatnonzero(has) + span] + 1
-        both = rank * (int(rank.max()) + 2) + nxt
-        order = np.argsort(both, kind="stable")
-        s = both[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
-        span *= 2
-    before = np.where(np.isin(order, np.append(0, ends[:-1] + 1)), 255, text[order - 1]).astype(np.uint8)
+    after = np.arange(1, len(text) + 1)
+    after[ends] = -1
+    order, _ = _refined(text, after, int(np.diff(np.append(-1, ends)).max()))
+    before = text[order - 1]
+    before[np.isin(order, np.append(0, ends[:-1] + 1))] = 255
     return before, order
 
 
+def _successors(symbols: np.ndarray) -> np.ndarray:
+    """From a transform alone: for each sorted suffix, the place of the suffix without its first symbol
+    (-1 for string ends). The transform sorted stably by symbol is the first column, string ends first."""
+    k = int((symbols == 255).sum())
+    out = np.full(len(symbols), -1, dtype=np.int64)
+    out[k:] = np.argsort(symbols, kind="stable")[: len(symbols) - k]
+    return out
+
+
 def merge(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merged order and block ids of the shards' suffixes.
+    """Merged order and block ids of the shards' suffixes, from their transforms.
+
+    The interleave begins with the first columns, ordered by one symbol, and is refined: a pass takes
+    each suffix to the one ``step`` symbols later and orders the members of a block as those are ordered.
+    Steps double, since the map to the suffix 2 s later is the map to the one s later applied twice;
+    the last step ends at ``length`` symbols exactly. Suffixes that stand alone in their block, as all
+    do that reach a string end, are left out of later passes.
 
     Returns (item, block): ``item`` indexes the concatenation of the shards' sorted suffixes, ``block``
     is equal for neighbours whose first ``length`` symbols agree.
     """
-    symbols = np.concatenate([s for s, _ in shards])
-    sizes = [len(s) for s, _ in shards]
-    ends = np.array([int((s == 255).sum()) for s, _ in shards])
-    kind = np.uint8 if len(shards) < 256 else np.uint16
-    fixed = np.repeat(np.arange(len(shards), dtype=kind), ends)
-    k, total = len(fixed), len(symbols)
-    z = np.concatenate([fixed, np.repeat(np.arange(len(shards), dtype=kind), np.array(sizes) - ends)])
-    block = np.zeros(total, dtype=np.int64)
-    for _ in range(length):
-        item = np.empty(total, dtype=np.int64)
-        item[np.argsort(z, kind="stable")] = np.arange(total)
-        c = symbols[item]
-        ordered = np.argsort(c, kind="stable")[: total - k]  # 255 sorts last: those precede string ends
-        cs, bs = c[ordered], block[ordered]
-        new = np.concatenate([[True], (cs[1:] != cs[:-1]) | (bs[1:] != bs[:-1])]) if total > k else np.zeros(0, bool)
-        fresh = np.concatenate([np.arange(k), k - 1 + np.cumsum(new)])
-        z = np.concatenate([fixed, z[ordered]])
-        done = fresh[-1] + 1 == total if total else True
-        block = fresh
-        if done:
+    base = np.cumsum([0, *(len(s) for s, _ in shards)])
+    after = np.concatenate([np.where(x < 0, -1, x + o) for x, o in ((_successors(s), o) for (s, _), o in zip(shards, base, strict=False))])
+    order, block = _refined(_first_column(shards), after, length)
+    return order, block[order]
+
+
+def _refined(first: np.ndarray, after: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes ordered by ``length`` symbols, and the block of each (the place of its first member).
+
+    ``first`` is the first symbol of each suffix and ``after`` the suffix without it, -1 for string ends;
+    these come first in the order, each a block of its own.
+    """
+    total, steps = len(first), {}
+    ends, live = np.flatnonzero(after < 0), np.flatnonzero(after >= 0)
+    order = np.concatenate([ends, live[np.argsort(first[live], kind="stable")]])
+    edge = np.ones(total, dtype=bool)
+    edge[len(ends) + 1:] = first[order[len(ends) + 1:]] != first[order[len(ends): -1]] if len(live) else True
+    rank = np.empty(total, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(edge, np.arange(total), 0))
+    reached, hop, open_ = 1, after, np.arange(total)
+    while reached < length:
+        steps[reached] = hop
+        step = min(reached, length - reached)
+        to = hop if step == reached else _compose(steps, step)
+        block = rank[order[open_]]
+        twin = block[1:] == block[:-1]  # places whose neighbour is in the same block
+        open_ = open_[np.append(twin, False) | np.append(False, twin)] if len(open_) else open_
+        if not len(open_):
             break
-    item = np.empty(total, dtype=np.int64)
-    item[np.argsort(z, kind="stable")] = np.arange(total)
-    return item, block
+        mine = order[open_]
+        key = rank[mine] * (total + 1) + np.where(to[mine] >= 0, rank[to[mine]] + 1, 0)
+        turn = np.argsort(key, kind="stable")
+        mine, key = mine[turn], key[turn]
+        order[open_] = mine  # a block keeps its places
+        new = np.ones(len(mine), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[mine] = np.maximum.accumulate(np.where(new, open_, 0))
+        reached += step
+        if reached < length:
+            hop = np.where(hop >= 0, hop[np.maximum(hop, 0)], -1)
+    return order, rank
+
+
+def _compose(steps: dict[int, np.ndarray], step: int) -> np.ndarray:
+    """The map to the suffix ``step`` symbols later, from the maps of powers of two."""
+    out = None
+    for size in sorted(steps, reverse=True):
+        if size <= step:
+            step -= size
+            out = steps[size] if out is None else np.where(out >= 0, steps[size][np.maximum(out, 0)], -1)
+    return out
+
+
+def _first_column(shards: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """First symbols of the shards' sorted suffixes: each transform's symbols in order, string ends first."""
+    out = []
+    for s, _ in shards:
+        k = int((s == 255).sum())
+        out.append(np.concatenate([np.full(k, 255, dtype=np.uint8), np.sort(s, kind="stable")[: len(s) - k]]))
+    return np.concatenate(out)
 
 
 def repeated_windows(strings: list[bytes], length: int, shards: int = 4) -> list[np.ndarray]:
@@ -278,8 +319,10 @@ def _by_window(frags: DataFrame, length: int) -> DataFrame:
 def repeats(docs: DataFrame, length: int = 100, most: int = 4096) -> DataFrame:
     """(doc_id, place) of runs of windows that start earlier elsewhere."""
     all_runs = stored(runs(docs, length), "bwt-runs")
-    again = all_runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # written first, so that the join has exchanges of its own and a hot key can be split
+    again = stored(all_runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "bwt-keys")
     again = stored(all_runs.join(again, "key", "left_semi"), "bwt-again")
+    discard(all_runs)  # the largest intermediate; what follows needs the repeated keys only
     classes = again.groupBy("key", "frag").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
     classes = stored(classes, "bwt-classes")
     copies = again.join(classes.where("n > 1").select("key", "frag", "first"), ["key", "frag"]).where(
@@ -313,8 +356,10 @@ def _cut(body: bytes, places: list[int], tag: int, length: int) -> tuple[int, in
 def dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = repeats(docs, length).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    joined = docs.join(spans.withColumnRenamed("doc_id", "id_"), docs.doc_id.eqNullSafe(F.col("id_")), "left").drop("id_")
+    spans = stored(repeats(docs, length).groupBy("doc_id").agg(F.collect_list("place").alias("places")), "bwt-spans")
+    some = possible(docs, spans, "doc_id")
+    joined = some.join(spans.withColumnRenamed("doc_id", "id_"), some.doc_id.eqNullSafe(F.col("id_")), "left").drop("id_")
+    joined = joined.unionByName(possible(docs, spans, "doc_id", others=True).withColumn("places", F.lit(None).cast("array<long>")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
