@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
-from ferrum.llm.base import RARITY_BITS, possible, stored
+from ferrum.llm.base import RARITY_BITS, counters, possible, stored
 
 _U = np.uint64
 _MASK = _U((1 << RARITY_BITS) - 1)
@@ -82,10 +82,8 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
 
-    got = docs.select("text").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(size, dtype=np.int32)  # 4 MB, whatever the corpus
-    out[got["i"].to_numpy()] = np.minimum(got["n"].to_numpy(dtype=np.int64), 2**31 - 1)
-    return out
+    counts = docs.select("text").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    return np.minimum(counters(counts, size), 2**31 - 1).astype(np.int32)
 
 
 def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
