@@ -8,7 +8,8 @@ Training: the labelled rows that ``label_rows`` gets, at most ``max_rows`` of th
 their id (a documented bound of the classifier's sample). They are dealt into ``shards``; in each
 round every shard runs FTRL-proximal over its rows in its own task, starting from the averaged state,
 and the driver averages the states (``shards * 2**bits`` numbers at most, whatever the corpus).
-Per-coordinate learning rates and the L1 term leave few weights that are not zero; only those are
+The log odds of the toxic share are a fixed part of the bias, so a model that has seen few rows scores
+near that share. Per-coordinate learning rates and the L1 term leave few weights that are not zero; only those are
 sent to the scoring tasks.
 
 Defined results: null or empty texts get the bias alone; texts are read whole, whatever their length;
@@ -99,6 +100,8 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int =
     data = rows.select(F.col(order).cast("long").alias("order"), F.col(label).cast("double").alias("label"),
                        F.col(text).cast("string").alias("text"))
     data = stored(data.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int")), "toxic-train")
+    share = data.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
+    offset = float(np.log((share["toxic"] or 0) + 1) - np.log(share["n"] - (share["toxic"] or 0) + 1))
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     for _ in range(rounds):
         start = spark.sparkContext.broadcast((z, n))
@@ -111,7 +114,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int =
                 for c in _sets(t, bits):
                     zc, nc = z[c], n[c]
                     w = _weights(zc, nc, alpha, beta, l1, l2)
-                    g = 1 / (1 + np.exp(-np.clip(w.sum(), -60, 60))) - labels[at]
+                    g = 1 / (1 + np.exp(-np.clip(offset + w.sum(), -60, 60))) - labels[at]
                     z[c] = zc + g - (np.sqrt(nc + g * g) - np.sqrt(nc)) / alpha * w
                     n[c] = nc + g * g
                     at += 1
@@ -125,7 +128,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int =
             break
         z, n = zs / k, ns / k
     w = _weights(z, n, alpha, beta, l1, l2)
-    bias, w[0] = float(w[0]), 0.0
+    bias, w[0] = float(w[0]) + offset, 0.0
     coords = np.flatnonzero(w)
     return Model(bits, coords, w[coords], bias)
 
