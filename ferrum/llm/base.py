@@ -102,8 +102,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-#: Counters of ``rarity``; its array is sent to the tasks, 4 MB whatever the corpus.
-RARITY_BITS = 20
+#: Counters of ``rarity`` and cells of ``possible``; arrays of 1 MB, whatever the corpus.
+RARITY_BITS = 18
 
 
 def rarity(items: DataFrame, column: str) -> np.ndarray:
@@ -122,6 +122,8 @@ def counters(counts: DataFrame, size: int) -> np.ndarray:
     got = counts.select("i", "n").toArrow()
     out = np.zeros(size, dtype=np.int64)
     out[got.column("i").to_numpy()] = got.column("n").to_numpy()
+    del got
+    pa.default_memory_pool().release_unused()  # the driver keeps the counters only
     return out
 
 
@@ -129,7 +131,7 @@ def possible(df: DataFrame, ids: DataFrame, column: str, others: bool = False) -
     """Rows of ``df`` whose ``column`` may be among that of ``ids``: all that are, and a few others.
     With ``others`` the rest: rows whose ``column`` is surely not among them.
 
-    A filter of 2**RARITY_BITS cells (1 MB, whatever the corpus) that keeps most of the other rows out of
+    A filter of 2**RARITY_BITS cells (whatever the corpus) that keeps most of the other rows out of
     the shuffle of an exact join that follows.
     """
     size = 1 << RARITY_BITS
