@@ -77,3 +77,31 @@ def test_chat_edges(spark):
     got = {r["conv_id"]: (r["n_turns"], r["chat"]) for r in chat.formatted(talk(spark, rows)).collect()}
     assert got == {1: (2, "<|u|>\na<|end|>\n<||>\n<|end|>\n"), 2: (1, "<|u|>\n<|end|>\n"), 3: (2, "<|u|>\na<|end|>\n<|u|>\nb<|end|>\n")}
     assert chat.formatted(talk(spark, [])).count() == 0
+
+
+MIT_LAYOUT = licenses.TEMPLATES["mit"].replace("following conditions: ", "following conditions:\n\n").replace(
+    "portions of the Software. ", "portions of the Software.\n\n")
+APACHE_LAYOUT = licenses.TEMPLATES["apache-2.0"].replace("with the License. ", "with the License.\n").replace(
+    "obtain a copy of the License at ", "obtain a copy of the License at\n\n    ").replace("LICENSE-2.0 ", "LICENSE-2.0\n\n")
+CODE = "\n".join(f"def step_{k}(x_{k}):\n    return x_{k} + {k} * offset_{k % 7}" for k in range(30))
+
+
+def commented(text, width=9):
+    w = text.split()
+    return "\n".join("# " + " ".join(w[k: k + width]) for k in range(0, len(w), width))
+
+
+def test_licenses_that_are_not_one_unit(spark):
+    """Standard layouts straight above code, with and without blank lines or comment marks, and inside a paragraph."""
+    gpl = licenses.TEMPLATES["gpl-3.0-or-later"]
+    rows = [(1, f"MIT License\n\nCopyright (c) 2020 A. Person\n\n{MIT_LAYOUT}\n\n{CODE}"), (2, f"{APACHE_LAYOUT}\n\n{CODE}"),
+            (3, f"{commented(gpl)}\n{CODE}"), (4, f"{CODE}\n{commented(licenses.TEMPLATES['mit'])}\n{CODE}"),
+            (5, f"All pictures of this page are our own work. {licenses.TEMPLATES['cc-by-4.0-line']} Write to us before you print them on paper."),
+            (6, f"{commented(gpl.replace('either version 3 of', 'in either one of the versions 3 of'))}\n{CODE}"),
+            (7, f"{commented(gpl.replace('as published by the Free Software Foundation, ', ''))}\n{CODE}"),
+            (8, f"{CODE}\nthe license of the public version permits free use and a copy of the software\n{CODE}"),
+            (9, f"{commented(licenses.TEMPLATES['mpl-2.0'])}\n{CODE}\n{commented(licenses.TEMPLATES['isc'])}\n{CODE}"), (10, CODE)]
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, [(*r, "s") for r in rows])).collect()}
+    assert [got[i]["licenses"] for i in range(1, 11)] == ["mit", "apache-2.0", "gpl-3.0-or-later", "mit", "cc-by-4.0-line", "gpl-3.0-or-later",
+                                                          "gpl-3.0-or-later", "", "isc,mpl-2.0", ""]
+    assert [got[i]["n_units"] for i in range(1, 11)] == [1, 1, 1, 1, 1, 1, 1, 0, 2, 0] and got[1]["best_dice"] > 0.97 and got[5]["best_dice"] == 1.0
