@@ -100,3 +100,26 @@ def test_leak_edges(spark, edge, empty):
 
 def test_documents_table_is_read_whole(spark, sf):
     assert documents(spark, sf).count() >= 200
+
+
+def test_recall_of_items_of_all_lengths(spark):
+    """200 items of 8 to 1000 words, verbatim and with a fifth of the words changed, against brute force."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 7)))
+    common = [word() for _ in range(300)]
+    prose = lambda n: [rng.choice(common) if rng.random() < 0.6 else word() for _ in range(n)]
+    items = [(k, prose(n)) for k, n in enumerate([int(8 * 125 ** (k / 199)) for k in range(200)])]
+    rows, planted = [], {}
+    for k, x in items:
+        for changed in (0, 0.2):
+            i, x = 2 * k + (changed > 0), [word() if rng.random() < changed else y for y in x]
+            w, at = prose(rng.randint(40, 120)), rng.randint(0, 40)
+            rows.append((i, " ".join(w[:at] + x + w[at:]), "s"))
+            if lcs(items[k][1], x) >= 0.75 * len(x):
+                planted[i] = k
+    rows += [(1000 + k, " ".join(prose(300)), "s") for k in range(40)]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    got = {r["doc_id"]: set(r["items"]) for r in decontaminate.contamination(frame(spark, rows), bench).collect()}
+    assert not [i for i, k in planted.items() if i % 2 == 0 and k not in got[i]]
+    assert sum(k in got[i] for i, k in planted.items()) >= 0.98 * len(planted) and len(planted) > 300
+    assert not any(got[1000 + k] for k in range(40))
