@@ -123,3 +123,14 @@ def test_recall_of_items_of_all_lengths(spark):
     assert not [i for i, k in planted.items() if i % 2 == 0 and k not in got[i]]
     assert sum(k in got[i] for i, k in planted.items()) >= 0.98 * len(planted) and len(planted) > 300
     assert not any(got[1000 + k] for k in range(40))
+
+
+def test_clean_rows_that_share_the_id_of_a_leak(spark):
+    item = "the quick brown fox jumps over the lazy dog while seven wizards quietly box up many jugs"
+    rows = [(None, f"before it {item} and after it", "a"), (None, "a clean text that has no id and nothing of the benchmark", "a"), (None, None, "a"),
+            (5, item, "a"), (5, "another clean text under the id of a contaminated one", "b"), (6, "", "b")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminate.contamination(frame(spark, rows), bench).collect()
+    assert sorted((r["doc_id"] or 0, r["contaminated"]) for r in got) == [(0, False), (0, False), (0, True), (5, False), (5, True), (6, False)]
+    kept = decontaminate.clean(frame(spark, rows), bench).select("doc_id", "text").collect()
+    assert {tuple(r) for r in kept} == {r[:2] for r in (rows[1], rows[2], rows[4], rows[5])}
