@@ -6,9 +6,11 @@ Each document first gets ``floor(target / source size)`` certain whole copies. W
 target is an order sample: with u uniform from a hash of the id and inclusion odds that fall with the
 square root of a document's size (``odds ~ 1 / sqrt(size)``, so that the partial copy is not a handful
 of long texts), documents are ranked by ``(u / (1 - u)) / odds`` and taken from the smallest rank while
-their words fit into what is left. Common factors of the odds cancel in the ranking, so the sample size
-is fixed by words. Two more picks per source then fill the gap that the first document that did not
-fit leaves: each takes the largest document that still fits.
+their words fit into what is left. Where a document does not fit, the sample goes on down the ranking with
+those that do: the step is repeated over the documents not yet taken that fit into what is left, until none
+does or the gap is at most ``GAP`` of the target. Common factors of the odds cancel in the ranking, so the
+sample size is fixed by words. Two more picks per source then narrow the gap that is left: each takes the
+largest document that still fits.
 
 Running sums per source are made from histograms: ranks fall into ``CELLS`` cells, only the cell in
 which the budget ends is split again, and only documents of that fine cell are ordered in a window.
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from ferrum.llm.base import stored, unused
 
 CELLS = 4096
+#: Share of a source's target that the words taken may stay below it while documents that fit are left.
+GAP = 0.001
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 
@@ -98,6 +102,21 @@ def _fit_prefix(rows: DataFrame) -> DataFrame:
     return sure.unionByName(rest).drop("cell", "fine", "budget", "e1", "b1", "e2", "b2")
 
 
+def _fill(rows: DataFrame) -> DataFrame:
+    """``rows`` (source, size, rank, left, target, whole, chosen, ...), with more of them chosen: those that fit
+    into what is left of a source, in rank order, until none does or the gap is at most ``GAP`` of the target."""
+    while True:
+        used = rows.groupBy("source").agg(F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0)).alias("used"))
+        used = stored(used, "mix-used").withColumnRenamed("source", "s_")
+        rest = rows.join(used, F.col("source").eqNullSafe(F.col("s_"))).drop("s_").withColumn("gap", F.col("left") - F.col("used"))
+        fits = ~F.col("chosen") & (F.col("most") > F.col("whole")) & F.col("size").between(F.lit(1), F.col("gap")) & (F.col("gap") > GAP * F.col("target"))
+        more = rest.where(fits).withColumn("all_", F.col("left")).withColumn("left", F.col("gap")).drop("chosen", "used", "gap")
+        if more.isEmpty():
+            return rows
+        more = _fit_prefix(more).withColumn("left", F.col("all_"))
+        rows = stored(rest.where(~fits).select(*rows.columns).unionByName(more.select(*rows.columns)), "mix-chosen")
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: str = "mix", top_up: int = 2) -> DataFrame:
     """doc_id, size, source_size, target, taken and copies of every row of ``docs`` (doc_id, text, source)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
@@ -112,6 +131,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, see
     q = u / (1 - u) * F.sqrt(F.greatest(F.col("size"), F.lit(1)).cast("double"))
     rows = _fit_prefix(rows.withColumn("rank", q / (1 + q)))
     rows = stored(rows.withColumn("chosen", F.col("chosen") & (F.col("whole") < most)), "mix-chosen")
+    rows = _fill(rows.withColumn("most", F.lit(most))).drop("most")
     for _ in range(top_up):
         used = rows.groupBy("source").agg(F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0)).alias("used"))
         spare = rows.alias("l").join(used.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source"))).drop(F.col("r.source")).where(

@@ -114,3 +114,32 @@ def test_only_affected_shards_are_rewritten(spark, tmp_path):
     level = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), (F.col("id") % 3).cast("int").alias("now"))
     hit = sharding.rewrite_affected(level, F.col("now"), 3, 3, str(tmp_path / "none")).collect()
     assert not any(r["affected"] for r in hit)
+
+
+def greedy(sizes, left, used, taken, gap):
+    """Down the ranking (ids in ``sizes``' order), every document that fits, until the gap is small."""
+    for i, n in sizes:
+        if left - used <= gap:
+            break
+        if i not in taken and 0 < n <= left - used:
+            taken.add(i)
+            used += n
+    return used
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_few_very_long_documents_leave_no_gap(spark, seed):
+    """200 documents of 50 to 800 words and 3 of 20,000: the words taken come within 1 % of the target."""
+    rng = random.Random(seed)
+    size = {k: rng.randint(50, 800) for k in range(200)} | dict.fromkeys(range(200, 203), 20_000)
+    docs = spark.createDataFrame([(i, "s", n) for i, n in size.items()] + [(i + 1000, "t", 1000) for i in range(150)],
+                                 "doc_id long, source string, n int").select("doc_id", "source", F.repeat(F.lit("w "), F.col("n")).alias("text"))
+    rows = [r for r in mixing.plan(docs, weights=(2, 3), seed=f"mix{seed}").collect() if r["source"] == "s"]
+    taken, target = sum(r["taken"] for r in rows), rows[0]["target"]
+    assert 0.5 * rows[0]["source_size"] < target < rows[0]["source_size"] and 0 <= target - taken <= 0.01 * target
+    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", mixing.uniform(F.col("doc_id"), f"mix{seed}").alias("u")).collect()}
+    ranked = sorted(size.items(), key=lambda x: u[x[0]] / (1 - u[x[0]]) * x[1] ** 0.5)
+    want = set()
+    greedy(ranked, target, 0, want, mixing.GAP * target)
+    got = {r["doc_id"] for r in rows if r["taken"]}
+    assert want <= got and len(got - want) <= 2
