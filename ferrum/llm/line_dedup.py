@@ -36,6 +36,8 @@ from ferrum.llm.base import RARITY_BITS, counters, possible, stored
 
 _U = np.uint64
 _MASK = _U((1 << RARITY_BITS) - 1)
+#: Lines that one sort key tells apart: 64 bits less 19 of the counter and 24 of the hash.
+KEY_LINES = 1 << 21
 
 
 def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,10 +56,15 @@ def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
 
 
 def _sorted_sets(line: np.ndarray, h: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line, hash and counter value of the distinct words of each line, rarest first."""
+    """Line, hash and counter value of the distinct words of each line, rarest first. ``line`` ascends; the
+    key has room for ``KEY_LINES`` of them, so more lines are sorted in runs, which no set crosses."""
+    if len(line) and line[-1] - line[0] >= KEY_LINES:
+        cut = np.searchsorted(line, np.append(np.arange(line[0], line[-1] + 1, KEY_LINES), line[-1] + 1)).tolist()
+        runs = [_sorted_sets(line[a:b], h[a:b], often) for a, b in zip(cut, cut[1:], strict=False)]
+        return tuple(np.concatenate(x) for x in zip(*runs, strict=True))
     n = often[(h & _MASK).astype(np.int64)]
     rank = np.minimum(n, (1 << 19) - 1).astype(_U)
-    key = (line.astype(_U) << _U(43)) | (rank << _U(24)) | (h >> _U(40))
+    key = ((line - line[:1]).astype(_U) << _U(43)) | (rank << _U(24)) | (h >> _U(40))
     order = np.argsort(key, kind="stable")
     k, l, x, n = key[order], line[order], h[order], n[order]
     tie = np.flatnonzero((k[1:] == k[:-1]) & (x[1:] != x[:-1]))

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from brute import lines, repeats
 from conftest import frame
 
 from ferrum.llm import bwt_dedup, line_dedup
+from ferrum.llm.base import RARITY_BITS
 from ferrum.llm.queries import op4_line_dedup, op6_suffix_array_dedup
 
 
@@ -82,3 +84,16 @@ def test_repeat_edges(spark, edge, empty):
     assert by[8]["n_removed"] == by[8]["n_bytes"] and by[12]["n_removed"] == 150_000 - 1
     assert len({r["kept_sha256"] for r in got if r["doc_id"] == 8}) == 1
     assert bwt_dedup.dedup(empty).count() == 0
+
+
+@pytest.mark.parametrize("first", [0, (1 << 21) - 3, 3 << 21])
+def test_sets_of_lines_on_both_sides_of_the_key(first):
+    """Line numbers k and k + 2**21 are different lines."""
+    rng = np.random.default_rng(5)
+    line = np.sort(np.concatenate([first + rng.integers(0, 6, 60), first + (1 << 21) + rng.integers(0, 6, 60), first + (5 << 21) + rng.integers(0, 6, 60)]))
+    h = rng.integers(0, 1 << 63, 25, dtype=np.uint64)[rng.integers(0, 25, len(line))]
+    often = rng.integers(1, 4, 1 << RARITY_BITS).astype(np.int32)
+    got = [x.tolist() for x in line_dedup._sorted_sets(line, h, often)]
+    n = lambda x: int(often[x & ((1 << RARITY_BITS) - 1)])
+    want = sorted({(k, n(x), x >> 40, x) for k, x in zip(line.tolist(), h.tolist(), strict=True)})
+    assert list(zip(*got, strict=True)) == [(k, x, c) for k, c, _, x in want]
