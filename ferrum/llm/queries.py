@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrum.llm import bwt_dedup, chat, decontaminate, licenses, line_dedup, mixing, sharding
+from ferrum.llm import bwt_dedup, chat, conversations, decontaminate, divergence, licenses, line_dedup, mixing, sharding
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
 from ferrum.llm.quality import verdicts
@@ -51,6 +51,17 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(turns), turns)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir), least_docs=10, top=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_decontaminate,
-                                  op6_suffix_array_dedup, op7_license_scan, op8_toxicity, op9_reshard, op10_chat_format)}
-ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle(), "op10_chat_format": chat.ORACLE}
+                                  op6_suffix_array_dedup, op7_license_scan, op8_toxicity, op9_reshard, op10_chat_format,
+                                  op12_conversation_repair, op13_source_divergence)}
+ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle(), "op10_chat_format": chat.ORACLE,
+                          "op12_conversation_repair": conversations.ORACLE, "op13_source_divergence": divergence.ORACLE}

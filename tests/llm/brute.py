@@ -116,3 +116,73 @@ def water_fill(sizes, weights, most):
         if not over:
             return {s: most * sizes[s] if s in full else share[s] for s in sizes}
         full |= over
+
+
+def audit(rows):
+    """(cost, edits) of the cheapest, then least, edits of rows (initial, fault); strings are kept for every state."""
+    step = {"": "u", "s": "u", "u": "a", "a": "u"}
+    best = {"": (0, "")}
+
+    def better(got, state, cand):
+        if state not in got or cand < got[state]:
+            got[state] = cand
+
+    def grown(best):
+        got = dict(best)
+        for _ in range(3):
+            for s, (cost, edits) in list(got.items()):
+                better(got, step[s], (cost + 3, edits + "I"))
+        return got
+
+    for initial, fault in rows:
+        got = {}
+        for s, (cost, edits) in grown(best).items():
+            better(got, s, (cost + 4, edits + "D"))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 3 if fault == "truncated" else 0
+            better(got, step[s], (cost + extra + 3, edits + "R"))
+            if initial == step[s]:
+                better(got, step[s], (cost + extra, edits + "K"))
+            if s == "" and initial == "s":
+                better(got, "s", (cost + extra, edits + "K"))
+        best = got
+    return min(v for s, v in grown(best).items() if s in ("", "a"))
+
+
+def repaired(rows, edits):
+    """``role:text`` lines that ``edits`` make of rows (role, text)."""
+    out, last, it = [], "", iter(rows)
+    for e in edits:
+        want = "assistant" if last == "u" else "user"
+        if e == "I":
+            out.append((want, ""))
+        else:
+            role, text = next(it)
+            if e == "D":
+                continue
+            out.append((role if e == "K" else want, text))
+        last = out[-1][0][0]
+    return "\n".join(f"{r}:{t}" for r, t in out)
+
+
+def conversation(rows):
+    """gaps, blank, duplicate, truncated, illegal, cost, audit, hash of one conversation's rows (turn, role, text) in order."""
+    import hashlib
+    import re
+
+    turns = [t for t, _, _ in rows if t is not None]
+    seen, faults = set(), []
+    for _, role, text in rows:
+        if not re.search(r"[^\x20\x09-\x0D]", text):
+            faults.append("blank")
+        elif (role, text) in seen:
+            faults.append("duplicate")
+        else:
+            faults.append("" if text.rstrip(" \t\n\x0b\x0c\r")[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    first = [r[:1] for _, r, _ in rows]
+    cost, edits = audit(list(zip(first, faults, strict=True)))
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *[faults.count(f) for f in ("blank", "duplicate", "truncated")],
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:], strict=False)), cost, edits,
+            hashlib.sha256(repaired([r[1:] for r in rows], edits).encode()).hexdigest())
