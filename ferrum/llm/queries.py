@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ferrum.llm import bwt_dedup, chat, conversations, decontaminate, divergence, licenses, line_dedup, mixing, sharding
 from ferrum.llm.base import documents, table
 from ferrum.llm.near_dup import near_duplicates
+from ferrum.llm.pii import personal_data
 from ferrum.llm.quality import verdicts
 from ferrum.llm.toxicity import toxicity
 
@@ -51,6 +52,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return conversations.repair(conversations.damaged(turns), turns)
@@ -62,6 +67,6 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_decontaminate,
                                   op6_suffix_array_dedup, op7_license_scan, op8_toxicity, op9_reshard, op10_chat_format,
-                                  op12_conversation_repair, op13_source_divergence)}
+                                  op11_personal_data, op12_conversation_repair, op13_source_divergence)}
 ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle(), "op10_chat_format": chat.ORACLE,
                           "op12_conversation_repair": conversations.ORACLE, "op13_source_divergence": divergence.ORACLE}
