@@ -60,41 +60,43 @@ def apply_retention_to_table(spark: SparkSession, name: str, as_of: str, days: i
     """Delete expired rows of one table and erase its expired columns; (rows before, rows removed).
 
     ``delete_ts_col`` gives the age for deletion, ``erase_ts_col`` (default: the same) the
-    age for erasure. Of a partitioned table only partitions that hold an affected row are
-    rewritten. With ``purge`` the replaced files are deleted once the new version is in
-    place, so deleted rows and erased values do not stay on disk.
+    age for erasure. One scan counts rows, expired rows and affected rows (per partition); only
+    partitions that hold an affected row are rewritten, and a table without any keeps its files.
+    With ``purge`` the replaced files are deleted once the new version is in place, so
+    deleted rows and erased values do not stay on disk.
     """
-    from ferrum.sinks.writers import commit_version, file_folder, remove_folders, table_files, table_layout
+    from ferrum.sinks.writers import commit_version, partition_in, remove_folders, table_files, table_layout, table_partitions
 
     df = spark.table(name)
     erase_ts_col = erase_ts_col or delete_ts_col
     rules = erase_rules if erase_ts_col in df.columns else {}
-    limits = [d for c, d in parse_erase_rules(rules).items() if c in df.columns]
+    limits = {c: d for c, d in parse_erase_rules(rules).items() if c in df.columns}
     gone = expired(delete_ts_col, as_of, days)
-    hit = gone | expired(erase_ts_col, as_of, min(limits)) if limits else gone
-    cols = table_layout(spark, name).partition_cols
-    before = df.agg(F.count(F.lit(1)).alias("n"), F.sum(gone.cast("long")).alias("gone")).first()  # one row
-    touched, work = None, df
-    if cols:
-        text = [F.col(c).cast("string").alias(c) for c in cols]
-        touched = [r.asDict() for r in df.filter(hit).select(*text).distinct().collect()]  # partitions: catalog metadata
-        if not touched:
-            return int(before["n"]), 0
-        mine = spark.createDataFrame([tuple(r[c] for c in cols) for r in touched], ", ".join(f"`__{c}` string" for c in cols))
-        cond = F.lit(True)
-        for c in cols:
-            cond = cond & F.col(c).cast("string").eqNullSafe(F.col(f"__{c}"))
-        work = df.join(F.broadcast(mine), cond, "left_semi")
-        old = [r[0] for r in work.select(file_folder()).distinct().collect()]
+    # A value that is already erased needs no second rewrite.
+    hit = gone
+    for c, d in limits.items():
+        hit = hit | (expired(erase_ts_col, as_of, d) & F.col(c).isNotNull())
+    layout = table_layout(spark, name)
+    cols = layout.partition_cols
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    counts = df.groupBy(*text).agg(F.count(F.lit(1)).alias("__n"), F.sum(gone.cast("long")).alias("__gone"), F.max(hit.cast("int")).alias("__hit"))
+    found = counts.collect()  # one row per partition: metadata; one row without partitions
+    before, removed = sum(r["__n"] for r in found), sum(r["__gone"] or 0 for r in found)
+    touched = [{c: r[c] for c in cols} for r in found if r["__hit"]]
+    if not touched:
+        return before, 0
+    work = df.filter(partition_in(cols, touched)) if cols else df
+    if cols and not layout.managed:
+        mine = {tuple(r[c] for c in cols) for r in touched}
+        old = [f for v, f in table_partitions(spark, name, cols).items() if v in mine]
     else:
         old = table_files(spark, name)
     # Erasure first, so that its age column is still there; deletion keeps rows of unknown age.
     kept = erase_columns(work.filter(~gone), erase_ts_col, as_of, rules) if rules else work.filter(~gone)
-    commit_version(spark, name, kept, version_root, touched=touched)
+    commit_version(spark, name, kept, version_root, touched=touched if cols else None)
     if purge:
         remove_folders(spark, old)
-    after = spark.table(name).count()
-    return int(before["n"]), int(before["n"]) - after
+    return before, removed
 
 
 def apply_retention_to_database(spark: SparkSession, database: str, delete_ts_col: str, as_of: str,
@@ -103,8 +105,7 @@ def apply_retention_to_database(spark: SparkSession, database: str, delete_ts_co
     """Retention on every table of ``database``; one report row per table.
 
     Views and tables without ``delete_ts_col`` are reported and left alone, and a table
-    that fails is reported with its error while the others go on. ``rows_after`` is
-    counted from the committed table.
+    that fails is reported with its error while the others go on.
     """
     report = []
     for t in spark.catalog.listTables(database):

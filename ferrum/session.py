@@ -31,6 +31,9 @@ BASE_CONF = {
     # default. At cluster scale partitions are far larger and this is inert.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key also where an aggregate on the join's own partitioning follows; the
+    # extra shuffle then carries that aggregate's partial rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -33,3 +33,11 @@ def insert_values(spark: SparkSession, name: str, rows: list[tuple]) -> None:
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file, replaced if it exists (a landed key, a marker)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop's public file API
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)  # noqa: SLF001
+    out.write(bytearray(text.encode()))
+    out.close()

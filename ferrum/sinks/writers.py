@@ -2,8 +2,10 @@
 
 A table that is rewritten from itself (range replace, retention, upsert) is
 never overwritten in place: the new content goes to a fresh version folder and
-the catalog table is then pointed at it, so a failed or retried job leaves the
-previous version readable.
+the catalog table is then pointed at it. A table without partitions is switched by
+its location; one with partitions by a second catalog table with the complete list of
+partitions that takes its name. A job that fails before the switch leaves the previous
+version whole; one that fails within it is finished by the next commit (``recover_switch``).
 """
 
 from __future__ import annotations
@@ -11,10 +13,12 @@ from __future__ import annotations
 import re
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ferrum.sinks.versions import exclusive
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -139,13 +143,15 @@ class Layout:
     buckets: int
     bucket_cols: list[str]
     sort_cols: list[str]
+    managed: bool = False
 
 
 def table_layout(spark: SparkSession, table_name: str) -> Layout:
     info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()}
     names = lambda text: re.findall("`([^`]+)`", text or "")
     return Layout(info.get("Location"), [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition],
-                  int(info.get("Num Buckets", 0) or 0), names(info.get("Bucket Columns")), names(info.get("Sort Columns")))
+                  int(info.get("Num Buckets", 0) or 0), names(info.get("Bucket Columns")), names(info.get("Sort Columns")),
+                  info.get("Type") == "MANAGED")
 
 
 def _write_layout(spark: SparkSession, df: DataFrame, path: str, layout: Layout) -> None:
@@ -169,10 +175,10 @@ def _write_layout(spark: SparkSession, df: DataFrame, path: str, layout: Layout)
     spark.sql(f"DROP TABLE {staging}")
 
 
-def _partition_spec(row: dict) -> str:
+def _partition_spec(cols: list[str], values: tuple) -> str:
     def lit(v) -> str:
         return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return ", ".join(f"`{c}` = {lit(v)}" for c, v in row.items())
+    return ", ".join(f"`{c}` = {lit(v)}" for c, v in zip(cols, values, strict=True))
 
 
 def file_folder() -> Column:
@@ -181,10 +187,47 @@ def file_folder() -> Column:
     return F.regexp_extract(plain, "^(.*)/[^/]*$", 1)
 
 
-def _partition_folders(spark: SparkSession, path: str, cols: list[str]) -> list[dict]:
-    """Partition values (as text) and the folder of each partition under a written folder."""
-    rows = spark.read.parquet(path).select(*[F.col(c).cast("string").alias(c) for c in cols], file_folder().alias("__folder")).distinct()
-    return [r.asDict() for r in rows.collect()]  # one row per partition: catalog metadata
+def partition_folders(files: list[str], cols: list[str]) -> dict[tuple, str]:
+    """{partition values as text: folder} from the names of a partitioned frame's files (``DataFrame.inputFiles``,
+    so no row is read). A null value has its own folder name; names escape special characters as %XX."""
+    out: dict[tuple, str] = {}
+    for uri in files:
+        folder = unquote(uri).rsplit("/", 1)[0]  # the URI escapes the path, the path escapes the values
+        parts = dict(p.split("=", 1) for p in folder.split("/") if "=" in p)
+        values = tuple(None if parts[c] == "__HIVE_DEFAULT_PARTITION__" else unquote(parts[c]) for c in cols)
+        out[values] = folder
+    return out
+
+
+def recover_switch(spark: SparkSession, table_name: str) -> bool:
+    """Finish a switch that stopped between its two renames: the name is free and the complete next
+    table (or, without one, the previous table) takes it. True where something was done."""
+    if spark.catalog.tableExists(table_name):
+        return False
+    for suffix in ("__next", "__prev"):
+        if spark.catalog.tableExists(table_name + suffix):
+            spark.sql(f"ALTER TABLE {table_name}{suffix} RENAME TO {table_name}")
+            spark.sql(f"DROP TABLE IF EXISTS {table_name}__prev")
+            return True
+    return False
+
+
+PARTITIONS_PER_STATEMENT = 500
+
+
+def _switch_partitions(spark: SparkSession, table_name: str, cols: list[str], folders: dict[tuple, str], root: str) -> None:
+    """Give ``table_name`` exactly the partitions ``folders``, all at once for its readers: a second
+    catalog table is given the complete list first and then takes the name."""
+    following = f"{table_name}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")  # left by a commit that failed while listing; external, so no files go
+    spark.sql(f"CREATE TABLE {following} LIKE {table_name} LOCATION '{root}'")
+    specs = [f"PARTITION ({_partition_spec(cols, v)}) LOCATION '{f}'" for v, f in sorted(folders.items(), key=str)]
+    for k in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {following} ADD {' '.join(specs[k: k + PARTITIONS_PER_STATEMENT])}")
+    spark.sql(f"DROP TABLE IF EXISTS {table_name}__prev")
+    spark.sql(f"ALTER TABLE {table_name} RENAME TO {table_name}__prev")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table_name}")
+    spark.sql(f"DROP TABLE {table_name}__prev")
 
 
 def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: str,
@@ -192,42 +235,74 @@ def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: st
     """Write ``df`` to a new version folder under ``root`` and point the catalog table
     ``table_name`` at it, in the table's own layout (partitions, buckets). Returns the folder.
 
-    A partitioned table is switched partition by partition; partitions that ``df`` no
-    longer has are dropped last. With ``touched`` (partition values) ``df`` holds the new
-    content of those partitions only and the others keep their files.
+    Readers see the whole old or the whole new version. With ``touched`` (partition values) ``df``
+    holds the new content of those partitions only and the others keep their files; a touched
+    partition without new rows goes. A partitioned table that the catalog owns the files of
+    (managed) is rewritten whole once, as the switch would move its files; it is external then.
     """
     path = new_version_path(root)
+    recover_switch(spark, table_name)
     if not spark.catalog.tableExists(table_name):
         _write_layout(spark, df, path, Layout(None, partition_cols or [], 0, [], []))
-        spark.catalog.createTable(table_name, path=path, source="parquet")
         if partition_cols:
+            _create_partitioned(spark, table_name, df, path, partition_cols)
             spark.catalog.recoverPartitions(table_name)
+        else:
+            spark.catalog.createTable(table_name, path=path, source="parquet")
         return path
     layout = table_layout(spark, table_name)
+    cols = layout.partition_cols
+    if cols and layout.managed and touched is not None:
+        df = spark.table(table_name).filter(~partition_in(cols, touched)).unionByName(df)
+        touched = None
     _write_layout(spark, df, path, layout)
-    if not layout.partition_cols:
+    if not cols:
         spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(table_name)
         return path
-    cols = layout.partition_cols
-    new = {tuple(r[c] for c in cols): r["__folder"] for r in _partition_folders(spark, path, cols)}
-    text = [F.col(c).cast("string").alias(c) for c in cols]
-    old = touched if touched is not None else [r.asDict() for r in spark.table(table_name).select(*text).distinct().collect()]
-    have = {tuple(None if r[c] is None else str(r[c]) for c in cols) for r in old}
-    for values, folder in new.items():
-        spec = _partition_spec(dict(zip(cols, values, strict=True)))
-        if values not in have:
-            spark.sql(f"ALTER TABLE {table_name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}'")
-        spark.sql(f"ALTER TABLE {table_name} PARTITION ({spec}) SET LOCATION '{folder}'")
-    for values in have - set(new):
-        spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({_partition_spec(dict(zip(cols, values, strict=True)))})")
+    new = partition_folders(spark.read.parquet(path).inputFiles(), cols) if _has_files(spark, path) else {}
+    # Two commits of other partitions must not both start from one list.
+    with exclusive(spark, f"{root.rstrip('/')}/_switch.lock"):
+        kept = {}
+        if touched is not None:
+            gone = {tuple(None if r[c] is None else str(r[c]) for c in cols) for r in touched}
+            spark.catalog.refreshTable(table_name)
+            kept = {v: f for v, f in table_partitions(spark, table_name, cols).items() if v not in gone}
+        _switch_partitions(spark, table_name, cols, {**kept, **new}, path)
     spark.catalog.refreshTable(table_name)
     return path
 
 
+def _create_partitioned(spark: SparkSession, name: str, df: DataFrame, path: str, partition_cols: list[str]) -> None:
+    rest = [f for f in df.schema if f.name not in partition_cols] + [df.schema[c] for c in partition_cols]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
+    by = ", ".join(f"`{c}`" for c in partition_cols)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
+
+
+def partition_in(cols: list[str], touched: list[dict]) -> Column:
+    """Whether a row's partition is one of ``touched`` (a list of partitions: metadata). The condition is on
+    partition columns alone, so the others are pruned before any file is opened."""
+    # Values become one text each; a null has a mark that no value has.
+    text = lambda v: "n" if v is None else f"v{len(str(v))}:{v}"
+    parts = [F.coalesce(F.concat(F.lit("v"), F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("n")) for c in cols]
+    return F.concat(*parts).isin(["".join(text(r[c]) for c in cols) for r in touched]) if touched else F.lit(False)
+
+
+def table_partitions(spark: SparkSession, table_name: str, cols: list[str]) -> dict[tuple, str]:
+    """{partition values as text: folder} of a partitioned table, from its file names."""
+    return partition_folders(spark.table(table_name).inputFiles(), cols)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop's public file API
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return any(s.isDirectory() for s in fs.listStatus(hadoop) if not s.getPath().getName().startswith("_"))
+
+
 def table_files(spark: SparkSession, table_name: str) -> list[str]:
     """Folders that a table's current rows are read from (one per partition)."""
-    return [r[0] for r in spark.table(table_name).select(file_folder()).distinct().collect()]
+    return sorted({unquote(f).rsplit("/", 1)[0] for f in spark.table(table_name).inputFiles()})
 
 
 def remove_folders(spark: SparkSession, folders: list[str]) -> None:
@@ -238,6 +313,24 @@ def remove_folders(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
 
 
+def append_partitions(df: DataFrame, name: str, path: str, partition_cols: list[str]) -> list[dict]:
+    """Append ``df`` to the partitioned catalog table ``name`` at ``path`` (created on first use) and make the
+    partitions of this write readable, and no others: the write itself reports which values it has (an
+    observed set, one entry per partition), so no folder is listed. Returns them."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        _create_partitioned(spark, name, df, path, partition_cols)
+    seen = Observation(f"partitions_{uuid.uuid4().hex[:12]}")
+    values = F.collect_set(F.struct(*[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")).alias(c) for c in partition_cols]))
+    partitioned_write(df.observe(seen, values.alias("found")), path, partition_cols)
+    found = [tuple(None if r[c] == "n" else r[c][1:] for c in partition_cols) for r in seen.get["found"]]
+    specs = [f"PARTITION ({_partition_spec(partition_cols, v)})" for v in sorted(found, key=str)]
+    for k in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs[k: k + PARTITIONS_PER_STATEMENT])}")
+    spark.catalog.refreshTable(name)
+    return [dict(zip(partition_cols, v, strict=True)) for v in found]
+
+
 def write_per_source_file(df: DataFrame, path: str, file_col: str = "filename", mode: str = "append") -> None:
     """One output folder per input file (``filename=<stem>``). With
     ``mode="overwrite"`` (dynamic partition overwrite) a re-delivered file
@@ -256,12 +349,15 @@ def append_to_table(df: DataFrame, name: str, path: str | None = None,
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
+        layout = table_layout(spark, name)
+        if layout.buckets:  # one writer per bucket, so one file per bucket and append
+            df = df.repartition(layout.buckets, *layout.bucket_cols)
         df.write.insertInto(name)
         return
     w = df.write.format("parquet")
     if bucket_by:
         n, cols = bucket_by
-        w = w.bucketBy(n, *cols).sortBy(*cols)
+        w = df.repartition(n, *cols).write.format("parquet").bucketBy(n, *cols).sortBy(*cols)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)

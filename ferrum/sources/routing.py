@@ -68,15 +68,20 @@ def reader_for(spark: SparkSession, route: dict):
     return r
 
 
-def landed_keys(spark: SparkSession, base_path: str) -> DataFrame:
-    """(key, length) of every non-empty file under ``base_path``, keys relative to it.
+def landed_files(spark: SparkSession, base_path: str) -> DataFrame:
+    """(key, length, modified) of every non-empty file under ``base_path``, keys relative to it.
 
-    One listing through the ``binaryFile`` source with path and length only: contents
-    are never read.
+    One listing through the ``binaryFile`` source without contents, which are never read.
     """
     base = re.escape(base_path.rstrip("/").split(":", 1)[-1])
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base_path).select("path", "length")
-    return files.filter(F.col("length") > 0).select(F.regexp_extract("path", base + "/(.*)$", 1).alias("key"), "length")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base_path).select("path", "length", "modificationTime")
+    return files.filter(F.col("length") > 0).select(
+        F.regexp_extract("path", base + "/(.*)$", 1).alias("key"), "length", F.col("modificationTime").alias("modified"))
+
+
+def landed_keys(spark: SparkSession, base_path: str) -> DataFrame:
+    """(key, length) of every non-empty file under ``base_path``, keys relative to it."""
+    return landed_files(spark, base_path).select("key", "length")
 
 
 def unrouted(keys: DataFrame, routes: DataFrame) -> DataFrame:
