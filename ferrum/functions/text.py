@@ -33,10 +33,6 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: snake_case_name(c) for c in df.columns})
 
 
-def json_field(col, path: str) -> Column:
-    return F.get_json_object(_c(col), path)
-
-
 def message_type(body, default: str = "unknown") -> Column:
     """Top-level ``type`` of a JSON message, ``default`` when absent or unparseable."""
     return F.coalesce(F.get_json_object(_c(body), "$.type"), F.lit(default))

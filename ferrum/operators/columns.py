@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrum.functions.text import snake_case_columns
-
 
 def align_columns(df: DataFrame, fixed: list[str], fill: str = "") -> DataFrame:
     """Project to ``fixed`` in order; a column the frame lacks becomes ``fill``;
@@ -30,8 +28,3 @@ def union_aligned(frames: list[DataFrame], fixed: list[str], fill: str = "") ->
 def normalize_status(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL, empty or non-numeric status text -> 0; numbers -> int."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("string").try_cast("int"), F.lit(0)) for c in columns})
-
-
-def to_snake_case_columns(df: DataFrame) -> DataFrame:
-    """Rename every column camelCase -> snake_case."""
-    return snake_case_columns(df)

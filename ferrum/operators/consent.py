@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.functions.dates import same_day
+from ferrum.operators.contracts import RAW_CONTRACT_COLUMNS
 from ferrum.operators.joins import filtered_join_chain, is_in, not_in
 
-CONTRACT_COLUMNS = [
-    "vehicleIdentificationNumber", "subscriptionVehicleCategory", "product",
-    "inceptionDate", "contractEndDate", "duration",
-]
-
-
 def consent_vehicles(user_mgmt: DataFrame, consent_document: DataFrame, customer: DataFrame, *,
                      client_id: str, role: str = "PRIMARY") -> DataFrame:
     """Vehicles whose user has a latest consent document and is not deleted.
@@ -41,7 +36,7 @@ def filter_by_consent(contracts: DataFrame, consent: DataFrame, *,
     NULL vehicle ids never match (SQL semantics). An empty result is an empty
     frame with the projected schema.
     """
-    cols = columns or CONTRACT_COLUMNS
+    cols = columns or RAW_CONTRACT_COLUMNS
     c = consent.select(F.col(consent_vin).alias("__consent_vin"))
     return contracts.join(c, F.col(contract_vin) == F.col("__consent_vin"), "inner").select(*cols)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrum.functions.dates import parse_timestamp
 from ferrum.sources.files import require_columns
 
+# The columns of a contract file and of the typed table.
 RAW_CONTRACT_COLUMNS = [
     "vehicleIdentificationNumber", "subscriptionVehicleCategory", "product",
     "inceptionDate", "contractEndDate", "duration",

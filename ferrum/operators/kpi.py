@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrum.functions.dates import to_decimal4
@@ -78,3 +78,28 @@ def window_alarm(df: DataFrame, ts: str, value: str, *, period_seconds: int = 90
     return out.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys,
         "stat", F.when(cmp(F.col("stat")), "ALARM").otherwise("OK").alias("state"))
+
+
+def alarm_calendar(df: DataFrame, ts: str, value: str, *, keys: list[str], start: str, end: str, period_seconds: int = 900,
+                   threshold: float = 0.0, statistic: str = "min", comparison: str = "<=") -> DataFrame:
+    """``window_alarm`` for every period of every key from ``start`` to ``end`` (exclusive); a period without data is
+    ``OK`` with a NULL ``stat``. The keys are those that occur in ``df``; one row per key and period, made by Spark
+    from the key list, so a key with very many samples adds none."""
+    found = window_alarm(df, ts, value, period_seconds=period_seconds, threshold=threshold, statistic=statistic, keys=keys, comparison=comparison)
+    first, last = F.to_timestamp(F.lit(start)), F.to_timestamp(F.lit(end)) - F.expr(f"INTERVAL {period_seconds} SECONDS")
+    periods = df.select(*keys).distinct().withColumn(
+        "window_start", F.explode(F.sequence(first, last, F.expr(f"INTERVAL {period_seconds} SECONDS"))))
+    periods = periods.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {period_seconds} SECONDS"))
+    f = found.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("window_start").alias("__at"), "stat", "state")
+    on = F.col("window_start") == F.col("__at")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return periods.join(f, on, "left").select("window_start", "window_end", *keys, "stat", F.coalesce("state", F.lit("OK")).alias("state"))
+
+
+def alarm_transitions(calendar: DataFrame, keys: list[str], initial: str = "OK") -> DataFrame:
+    """One row per change of a key's state, (window_start, keys, state_before, state): what to notify. The state
+    before a key's first period is ``initial``."""
+    before = F.lag("state", 1, initial).over(Window.partitionBy(*keys).orderBy("window_start"))
+    return calendar.withColumn("state_before", before).filter(F.col("state") != F.col("state_before")).select(
+        "window_start", *keys, "state_before", "state")

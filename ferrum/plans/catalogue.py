@@ -1222,19 +1222,19 @@ def q_csv_roundtrip(spark, sf_dir):
 # --------------------------------------------------------------------------------------
 # 7. Column shapes, scalar functions, rejects, day intervals, DDL
 
-ALIGN_FIXED = ["id", "timestamp", "country", "period", "status_reg", "status_dp", "status_app",
-               "app_installed", "dp_coupled", "favourite_dealerId", "app_date", "os"]
+ALIGN_FIXED = ["id", "logged_at", "region", "cadence", "view_level", "click_level", "error_level",
+               "bought", "paired", "dealer", "installed_on", "platform"]
 
 
 @register("align_columns", """
-    SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
-           CASE WHEN event_type IN ('view', 'purchase') THEN 'DE' END AS country,
-           CASE WHEN event_type = 'click' THEN 'daily' END AS period,
-           CASE WHEN event_type = 'view' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS status_reg,
-           '' AS status_dp, '' AS status_app,
-           CASE WHEN event_type = 'purchase' THEN 'true' END AS app_installed,
-           '' AS dp_coupled, '' AS favourite_dealerId, '' AS app_date,
-           CASE WHEN event_type = 'click' THEN 'android' END AS os,
+    SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "logged_at",
+           CASE WHEN event_type IN ('view', 'purchase') THEN 'DE' END AS region,
+           CASE WHEN event_type = 'click' THEN 'daily' END AS cadence,
+           CASE WHEN event_type = 'view' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS view_level,
+           '' AS click_level, '' AS error_level,
+           CASE WHEN event_type = 'purchase' THEN 'true' END AS bought,
+           '' AS paired, '' AS dealer, '' AS installed_on,
+           CASE WHEN event_type = 'click' THEN 'android' END AS platform,
            CASE WHEN event_type = 'error' THEN 'E' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS error_code
     FROM events
 """)
@@ -1246,12 +1246,12 @@ def q_align_columns(spark, sf_dir):
     e = T(spark, sf_dir, "events")
     t = F.col("event_type")
     rec = F.struct(
-        F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        F.when(t.isin("view", "purchase"), "DE").alias("country"),
-        F.when(t == "click", "daily").alias("period"),
-        F.when(t == "view", F.floor("value").cast("string")).alias("status_reg"),
-        F.when(t == "purchase", "true").alias("app_installed"),
-        F.when(t == "click", "android").alias("os"),
+        F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("logged_at"),
+        F.when(t.isin("view", "purchase"), "DE").alias("region"),
+        F.when(t == "click", "daily").alias("cadence"),
+        F.when(t == "view", F.floor("value").cast("string")).alias("view_level"),
+        F.when(t == "purchase", "true").alias("bought"),
+        F.when(t == "click", "android").alias("platform"),
         F.when(t == "error", F.concat(F.lit("E"), F.floor("value").cast("string"))).alias("error_code"))
     path = scratch_path(spark, "records")
     e.select(F.to_json(rec).alias("value")).write.text(path)
@@ -1668,3 +1668,6 @@ def _loader_run(spark, sf_dir):
     commit_version(spark, name, spark.createDataFrame([], records.schema), root)
     return incremental_load(spark, registry, ledger, records, name, LEDGER_AS_OF, version_root=root,
                             stale_after=LEDGER_STALE_AFTER, ledger_table=f"{name}_ledger")
+
+
+from ferrum.plans import catalogue_state  # noqa: E402, F401 - registers its queries here

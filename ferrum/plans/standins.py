@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-MAX_ELEMENTS_PER_MESSAGE = 50
 
 
 def signals_from_events(events: DataFrame) -> DataFrame:
@@ -103,24 +102,10 @@ def general_information_messages(orders: DataFrame) -> DataFrame:
     return orders.select(body.alias("body"), F.lit("general_information.json").alias("filename"))
 
 
-def _chunked(lineitem: DataFrame) -> DataFrame:
-    """Split each order's line items into ``ceil(n / MAX_ELEMENTS_PER_MESSAGE)``
-    hash buckets: an ordinary order stays one message, a very large order becomes
-    many messages of about MAX_ELEMENTS_PER_MESSAGE elements, so no collected
-    list grows with the data. The per-order count is a map-side-combined
-    aggregate; the join back on the order key is split by AQE when one order is hot.
-    """
-    n = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-    buckets = F.greatest(F.ceil(F.col("__n") / MAX_ELEMENTS_PER_MESSAGE), F.lit(1)).cast("int")
-    chunk = F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber"), buckets)
-    # Dealt by (order, chunk) for the grouping that follows, so a hot order's join can be split.
-    return lineitem.join(n, "l_orderkey").withColumn("chunk", chunk).drop("__n").repartition("l_orderkey", "chunk")
-
-
 def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """orders + lineitem -> CHECKPOINT messages; each line item is a checkpoint element."""
-    elems = (_chunked(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
-             .groupBy("l_orderkey", "chunk")
+    """orders + lineitem -> CHECKPOINT messages, one per order; each line item is a checkpoint element, however
+    many there are (a message is one document, so its elements are one row)."""
+    elems = (lineitem.select("l_orderkey", "l_linenumber", "l_shipdate").groupBy("l_orderkey")
              .agg(F.collect_list(F.struct(
                  F.col("l_linenumber").cast("bigint").alias("checkpointNumber"),
                  F.date_format("l_shipdate", ISO_Z).alias("timestamp"))).alias("elements")))
@@ -143,10 +128,10 @@ def checkpoint_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def parts_messages(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """orders + lineitem + part -> PARTS messages; each line item's part is one element."""
-    li = _chunked(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).join(
+    """orders + lineitem + part -> PARTS messages, one per order; each line item's part is one element."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
         part.select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    elems = (li.groupBy("l_orderkey", "chunk")
+    elems = (li.groupBy("l_orderkey")
              .agg(F.collect_list(F.struct(
                  F.col("p_type").alias("family"),
                  F.concat_ws("-", F.col("p_partkey").cast("string"),

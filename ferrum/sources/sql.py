@@ -30,3 +30,4 @@ def register_partitioned_table(spark: SparkSession, name: str, path: str) -> Dat
         spark.catalog.createTable(name, path=path, source="parquet")
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
+

@@ -10,6 +10,7 @@ re-processing bookmark).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ferrum.operators.messages import route_messages
@@ -27,9 +28,15 @@ def message_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 def land_messages(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, *,
                   country: str = "DE", max_files_per_trigger: int = 10,
                   available_now: bool = True, processing_time: str | None = None,
-                  reprocess_all: bool = False) -> StreamingQuery:
+                  reprocess_all: bool = False, once_within: str | None = None) -> StreamingQuery:
     """Start the landing stream (every message stored, none dropped).
 
+    An at-least-once queue may deliver a message again, in the same batch, a later one or after a restart.
+    ``once_within`` (the queue's retention, e.g. "14 days") lands each message body once: its
+    256-bit hash is kept in the stream's state until the watermark on ``received_at`` has passed it by that time.
+    The state is keyed by the hash, so it spreads over all tasks; a message that comes later than ``once_within``
+    behind the newest one is beyond the queue's retention and is not landed.
+
     The checkpoint is the bookmark: a restart continues after the last
     committed file. ``reprocess_all`` starts from a fresh checkpoint folder
     next to the given one (bookmark disabled: every input file again). It needs a
@@ -42,7 +49,11 @@ def land_messages(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
         if log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):  # noqa: SLF001
             raise ValueError(f"reprocess_all needs an empty sink folder: {sink_dir} holds an earlier run")
         checkpoint_dir = f"{checkpoint_dir.rstrip('/')}-full-{uuid.uuid4().hex[:8]}"
-    routed = route_messages(message_stream(spark, source_dir, max_files_per_trigger), country=country)
+    stream = message_stream(spark, source_dir, max_files_per_trigger)
+    if once_within:
+        stream = stream.withColumn("__print", F.sha2(F.coalesce("body", F.lit("")), 256)).withWatermark("received_at", once_within)
+        stream = stream.dropDuplicatesWithinWatermark(["__print"])
+    routed = route_messages(stream, country=country)
     # Each input split writes its own files: no shuffle, and a hot message type is
     # spread over as many tasks as its input has splits.
     out = routed.select("received_at", "body", "landing_key", *LANDING_PARTITIONS)
