@@ -12,8 +12,8 @@ same document and an earlier start) is removed. Steps:
 3. Classes that share a key are dealt to tasks by key. A task deals its fragments into shards, builds
    the Burrows-Wheeler transform of each shard, and merges the transforms: the interleave of the
    shards starts from their first columns and is refined pass by pass through the maps that the
-   transforms give, until it is ordered by the first ``length`` symbols. The blocks of a pass share
-   that many symbols of common prefix; blocks left at the end are the repeated intervals. Suffixes
+   transforms give, by counting passes, until it is ordered by the first ``length`` symbols. The blocks of a pass
+   share that many symbols of common prefix; blocks left at the end are the repeated intervals. Suffixes
    that stand alone take no part any more. The earliest member of each interval stays, the others are
    repeats.
 4. A key with more than ``most`` classes (a short string all over the corpus) is not put into one
@@ -23,8 +23,8 @@ same document and an earlier start) is removed. Steps:
 
 Defined results: null texts are empty; texts under ``length`` bytes stay whole; bytes are cut without
 regard to characters, so a kept text need not be valid UTF-8; repeated rows (same id, same text) are
-one document and get the same answer; rows with one id and different texts are told apart by a tag of
-their text; rows without an id come first in the order; extra columns are not looked at.
+one document and get the same answer; rows with one id (or none) and different texts are told apart and ordered by a
+64-bit hash of the text; rows without an id come first in the order; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
@@ -43,16 +43,22 @@ from ferrum.llm.base import discard, possible, stored
 
 _U = np.uint64
 GRAM = 20
-#: A place is one long: start (39 bits), number of windows (8 bits), tag of the text (16 bits).
-_TAG, _RUN = 16, 8
+#: A place is one long: start (55 bits) and number of windows (8 bits).
+_RUN = 8
 
 
-def _tags(t: tx.Texts, sums: np.ndarray) -> np.ndarray:
-    return (tx.range_hash(sums, t.offs[:-1], t.offs[1:]) & _U(0xFFFF)).astype(np.int64)
+def _place(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (start << _RUN) | n
 
 
-def _place(start: np.ndarray, n: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    return (start << (_TAG + _RUN)) | (n << _TAG) | tag
+def _tagged(docs: DataFrame) -> DataFrame:
+    """doc_id, tag, text: a document is a doc_id (which may be null) and a 64-bit hash of its text."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.withColumn("tag", F.xxhash64("text"))
+
+
+def _same(other: str = "id_", tag: str = "tag_") -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(other)) & (F.col("tag") == F.col(tag))
 
 
 def _runs(t: tx.Texts, length: int) -> dict[str, np.ndarray]:
@@ -80,54 +86,49 @@ def _runs(t: tx.Texts, length: int) -> dict[str, np.ndarray]:
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
     runs = np.diff(np.append(first, len(anchor)))
     lo = where[first]
-    tag = _tags(t, sums)
     return {"owner": owner[first], "key": gram[anchor[first]],
             "frag": tx.range_hash(sums, lo, lo + runs + length - 1) ^ tx.mix((anchor[first] - lo).astype(_U)),
-            "place": _place(start[first], runs, tag[owner[first]])}
+            "place": _place(start[first], runs)}
 
 
 def runs(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, key, frag, place of every run of windows."""
+    """doc_id, tag, key, frag, place of every run of windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id")
+            ids, tags = b.column("doc_id"), b.column("tag")
             for t in tx.slices(b.column("text")):
                 r = _runs(t, length)
                 if r:
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(r["owner"] + t.first)), pa.array(tx.signed(r["key"])),
-                         pa.array(tx.signed(r["frag"])), pa.array(r["place"])],
-                        names=["doc_id", "key", "frag", "place"])
+                        [ids.take(pa.array(r["owner"] + t.first)), tags.take(pa.array(r["owner"] + t.first)),
+                         pa.array(tx.signed(r["key"])), pa.array(tx.signed(r["frag"])), pa.array(r["place"])],
+                        names=["doc_id", "tag", "key", "frag", "place"])
 
-    return docs.mapInArrow(run, "doc_id long, key long, frag long, place long")
+    return docs.mapInArrow(run, "doc_id long, tag long, key long, frag long, place long")
 
 
 def _fragments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """key, doc_id, place, bytes of the wanted runs (key, doc_id, place)."""
+    """key, doc_id, tag, place, bytes of the wanted runs (key, doc_id, tag, place)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, places, ids = b.column("keys"), b.column("places"), b.column("doc_id")
-            for t in tx.slices(b.column("text")):
-                tag = _tags(t, tx.prefix_sums(t.buf))
-                out: list[tuple] = []
-                for i in range(len(t)):
-                    body = t.buf[t.offs[i]: t.offs[i + 1]].tobytes()
-                    seen = set()
-                    for k, p in zip(keys[t.first + i].as_py(), places[t.first + i].as_py(), strict=True):
-                        if p & 0xFFFF == tag[i] and (k, p) not in seen:
-                            seen.add((k, p))
-                            s, n = p >> (_TAG + _RUN), (p >> _TAG) & 0xFF
-                            out.append((k, ids[t.first + i].as_py(), p, body[s: s + n + length - 1]))
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-                         pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.binary())],
-                        names=["key", "doc_id", "place", "bytes"])
-
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
-    docs = possible(docs, wanted, "doc_id")
-    texts = docs.join(by_doc.withColumnRenamed("doc_id", "id_"), docs.doc_id.eqNullSafe(F.col("id_"))).drop("id_")
-    return texts.mapInArrow(run, "key long, doc_id long, place long, bytes binary").distinct()
+            texts, wants = b.column("text"), b.column("wanted")
+            for i in range(len(b)):  # one text at a time: a batch of long texts has very many fragments
+                body = memoryview(texts[i].as_buffer())
+                runs_ = wants[i].values
+                keys, places = runs_.field("key"), runs_.field("place")
+                p = places.to_numpy()
+                lo, n = p >> _RUN, p & 0xFF
+                parts = pa.array([bytes(body[x: x + y + length - 1]) for x, y in zip(lo.tolist(), n.tolist(), strict=True)], pa.binary())
+                k = len(parts)
+                yield pa.RecordBatch.from_arrays([keys, b.column("doc_id").take(pa.array(np.full(k, i))), b.column("tag").take(pa.array(np.full(k, i))),
+                                                  places, parts], names=["key", "doc_id", "tag", "place", "bytes"])
+
+    doc = F.struct("doc_id", "tag").alias("doc")  # equal where both ids are null, too
+    by_doc = wanted.groupBy(doc).agg(F.collect_set(F.struct("key", "place")).alias("wanted"))
+    # Repeated rows are one document: one of them is read.
+    one = possible(docs, wanted, "tag").groupBy(doc).agg(F.first("text").alias("text"))
+    texts = one.join(by_doc, "doc").select("doc.doc_id", "doc.tag", "text", "wanted")
+    return texts.mapInArrow(run, "key long, doc_id long, tag long, place long, bytes binary")
 
 
 def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,11 +159,12 @@ def _successors(symbols: np.ndarray) -> np.ndarray:
 def merge(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Merged order and block ids of the shards' suffixes, from their transforms.
 
-    The interleave begins with the first columns, ordered by one symbol, and is refined: a pass takes
-    each suffix to the one ``step`` symbols later and orders the members of a block as those are ordered.
-    Steps double, since the map to the suffix 2 s later is the map to the one s later applied twice;
-    the last step ends at ``length`` symbols exactly. Suffixes that stand alone in their block, as all
-    do that reach a string end, are left out of later passes.
+    The interleave begins with the first columns, in which suffixes of one symbol stand shard by shard in their shard's
+    order, and is refined by counting passes (``_refined``) through the maps that the transforms give: a pass deals the
+    suffixes, in the interleaved order of what follows them, into their blocks. Suffixes of one shard never
+    change their order, so this merges the sorted shards; nothing is sorted again. Each pass doubles the symbols
+    that a block's members have in common, the last one ends at ``length`` exactly; blocks of several members are then the
+    repeated intervals. Suffixes that stand alone, as all do that reach a string end, are left out of later passes.
 
     Returns (item, block): ``item`` indexes the concatenation of the shards' sorted suffixes, ``block``
     is equal for neighbours whose first ``length`` symbols agree.
@@ -173,50 +175,72 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np.
     return order, block[order]
 
 
+def _dealt(block: np.ndarray, blocks: int) -> np.ndarray:
+    """A stable counting pass: the items in order of their block (numbers under ``blocks``), 16 bits at a time."""
+    turn = np.argsort(block.astype(np.uint16), kind="stable")
+    if blocks > 1 << 16:
+        turn = turn[np.argsort((block[turn] >> 16).astype(np.uint16), kind="stable")]
+    return turn
+
+
 def _refined(first: np.ndarray, after: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes ordered by ``length`` symbols, and the block of each (the place of its first member).
 
     ``first`` is the first symbol of each suffix and ``after`` the suffix without it, -1 for string ends;
-    these come first in the order, each a block of its own.
+    these come first in the order, each a block of its own. Suffixes of one block keep the order in which they are given
+    until a pass parts them. Nothing is compared: a pass goes through the suffixes in the order of what follows them
+    and deals each to the next free place of its block (a counting pass); a block is cut where what follows is in
+    different blocks. What follows is one symbol later at first, and as many symbols as the order has reached after that.
     """
-    total, steps = len(first), {}
+    total = len(first)
+    after = after.astype(np.int32)
     ends, live = np.flatnonzero(after < 0), np.flatnonzero(after >= 0)
-    order = np.concatenate([ends, live[np.argsort(first[live], kind="stable")]])
+    order = np.concatenate([ends, live[np.argsort(first[live], kind="stable")]]).astype(np.int32)
     edge = np.ones(total, dtype=bool)
     edge[len(ends) + 1:] = first[order[len(ends) + 1:]] != first[order[len(ends): -1]] if len(live) else True
-    rank = np.empty(total, dtype=np.int64)
-    rank[order] = np.maximum.accumulate(np.where(edge, np.arange(total), 0))
-    reached, hop, open_ = 1, after, np.arange(total)
+    place, block = np.empty(total, dtype=np.int32), np.empty(total, dtype=np.int32)
+    spots = np.arange(total, dtype=np.int32)
+    place[order] = spots
+    block[order] = np.maximum.accumulate(np.where(edge, spots, 0))
+    back, number, mark = np.empty(total, dtype=np.int32), np.empty(total, dtype=np.int32), np.zeros(total, dtype=bool)
+    reached, hop, open_, kept = 1, after, spots, {}
+    last = length - (1 << (length.bit_length() - 1))  # the step of the pass that ends at ``length`` exactly
     while reached < length:
-        steps[reached] = hop
-        step = min(reached, length - reached)
-        to = hop if step == reached else _compose(steps, step)
-        block = rank[order[open_]]
-        twin = block[1:] == block[:-1]  # places whose neighbour is in the same block
+        if last & reached:
+            kept[reached] = hop
+        to = hop if reached <= length - reached else _compose(kept)
+        at = block[order[open_]]
+        twin = at[1:] == at[:-1]  # places whose neighbour is in the same block
         open_ = open_[np.append(twin, False) | np.append(False, twin)] if len(open_) else open_
         if not len(open_):
             break
+        at = block[order[open_]]
+        fresh = np.append(True, at[1:] != at[:-1])
+        number[at[fresh]] = np.arange(int(fresh.sum()), dtype=np.int32)
         mine = order[open_]
-        key = rank[mine] * (total + 1) + np.where(to[mine] >= 0, rank[to[mine]] + 1, 0)
-        turn = np.argsort(key, kind="stable")
-        mine, key = mine[turn], key[turn]
-        order[open_] = mine  # a block keeps its places
-        new = np.ones(len(mine), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        rank[mine] = np.maximum.accumulate(np.where(new, open_, 0))
-        reached += step
+        next_ = place[to[mine]]
+        back[next_] = mine
+        mark[next_] = True
+        next_ = np.flatnonzero(mark)
+        mark[next_] = False
+        mine = back[next_]  # in the order of what follows them
+        turn = _dealt(number[block[mine]], int(fresh.sum()))
+        mine = mine[turn]
+        own, then = block[mine], block[to[mine]]
+        new = np.append(True, (own[1:] != own[:-1]) | (then[1:] != then[:-1]))
+        order[open_], place[mine] = mine, open_
+        block[mine] = np.maximum.accumulate(np.where(new, open_, 0))
+        reached += min(reached, length - reached)
         if reached < length:
-            hop = np.where(hop >= 0, hop[np.maximum(hop, 0)], -1)
-    return order, rank
+            hop = np.where(hop >= 0, hop[np.maximum(hop, 0)], np.int32(-1))
+    return order, block
 
 
-def _compose(steps: dict[int, np.ndarray], step: int) -> np.ndarray:
-    """The map to the suffix ``step`` symbols later, from the maps of powers of two."""
+def _compose(steps: dict[int, np.ndarray]) -> np.ndarray:
+    """The map to the suffix as many symbols later as all ``steps`` together."""
     out = None
-    for size in sorted(steps, reverse=True):
-        if size <= step:
-            step -= size
-            out = steps[size] if out is None else np.where(out >= 0, steps[size][np.maximum(out, 0)], -1)
+    for hop in steps.values():
+        out = hop if out is None else np.where(out >= 0, hop[np.maximum(out, 0)], np.int32(-1))
     return out
 
 
@@ -244,104 +268,119 @@ def repeated_windows(strings: list[bytes], length: int, shards: int = 4) -> list
     return np.split(pairs, np.flatnonzero(np.diff(block[live])) + 1) if len(pairs) else []
 
 
-def _later(part: pd.DataFrame, length: int) -> pd.DataFrame:
+def _later(part: pd.DataFrame, length: int) -> pa.RecordBatch:
     """Places (windows that start earlier elsewhere) among the fragments of some whole keys."""
-    ids = part["doc_id"].to_numpy(dtype="float64", na_value=-np.inf) if part["doc_id"].isna().any() else part["doc_id"].to_numpy(dtype=np.int64)
-    place = part["place"].to_numpy(dtype=np.int64)
-    start, tag = place >> (_TAG + _RUN), place & 0xFFFF
+    known = part["doc_id"].notna().to_numpy()
+    ids, tag = part["doc_id"].fillna(0).to_numpy(dtype=np.int64), part["tag"].to_numpy(dtype=np.int64)
+    start = part["place"].to_numpy(dtype=np.int64) >> _RUN
     found = []
     for g in repeated_windows(part["bytes"].tolist(), length):
-        who = g[:, 0]
-        key = np.lexsort((tag[who], start[who] + g[:, 1], ids[who]))
-        lead = key[0]
-        same = (ids[who] == ids[who[lead]]) & (start[who] + g[:, 1] == start[who[lead]] + g[lead, 1])
+        who, at = g[:, 0], start[g[:, 0]] + g[:, 1]
+        lead = np.lexsort((at, tag[who], ids[who], known[who]))[0]
+        one = who[lead]
+        same = (known[who] == known[one]) & (ids[who] == ids[one]) & (tag[who] == tag[one]) & (at == at[lead])
         found.append(g[~same])
     got = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    if not len(got):
-        return pd.DataFrame({"doc_id": pd.Series([], dtype="Int64"), "place": pd.Series([], dtype="int64")})
-    edge = np.flatnonzero(np.concatenate([[True], (np.diff(got[:, 0]) != 0) | (np.diff(got[:, 1]) != 1)]))
+    edge = np.flatnonzero(np.append(True, (np.diff(got[:, 0]) != 0) | (np.diff(got[:, 1]) != 1))[: len(got)])
     n = np.diff(np.append(edge, len(got)))
     who, off = got[edge, 0], got[edge, 1]
-    return pd.DataFrame({"doc_id": part["doc_id"].iloc[who].astype("Int64").to_numpy(),
-                         "place": _place(start[who] + off, n, tag[who])})
+    return pa.RecordBatch.from_arrays([pa.array(ids[who], mask=~known[who]), pa.array(tag[who]), pa.array(_place(start[who] + off, n))],
+                                      ["doc_id", "tag", "place"])
 
 
-def _merged(frags: DataFrame, length: int, most_bytes: int = 1 << 20) -> DataFrame:
+def _merged(frags: DataFrame, length: int, most_bytes: int = 1 << 19) -> DataFrame:
     """Repeats among fragments, key by key: whole keys are put together to about ``most_bytes``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
         size = 0
-        for part in batches:
-            held.append(part)
-            size += int(part["bytes"].str.len().sum())
-            if size >= most_bytes:
-                whole = pd.concat(held, ignore_index=True)
-                open_ = whole["key"] == whole["key"].iloc[-1]
-                if not open_.all():
-                    yield _later(whole[~open_].reset_index(drop=True), length)
-                    held = [whole[open_]]
-                    size = int(held[0]["bytes"].str.len().sum())
-                else:
-                    held = [whole]
+        for b in batches:
+            whole = b.to_pandas(integer_object_nulls=False, types_mapper=lambda t: pd.Int64Dtype() if t == pa.int64() else None)
+            used = whole["bytes"].str.len().cumsum().to_numpy()
+            for lo, hi in _cuts(used, most_bytes):
+                part = whole.iloc[lo:hi]
+                if held and size >= most_bytes and part["key"].iloc[0] != held[-1]["key"].iloc[-1]:
+                    yield _later(pd.concat(held, ignore_index=True), length)
+                    held, size = [], 0
+                held.append(part)
+                size += int(part["bytes"].str.len().sum())
+                if size >= most_bytes:
+                    all_ = pd.concat(held, ignore_index=True)
+                    open_ = (all_["key"] == all_["key"].iloc[-1]).to_numpy()
+                    if not open_.all():
+                        yield _later(all_[~open_].reset_index(drop=True), length)
+                        held = [all_[open_]]
+                        size = int(held[0]["bytes"].str.len().sum())
+                    else:
+                        held = [all_]
         if held:
             yield _later(pd.concat(held, ignore_index=True), length)
 
-    return frags.repartition("key").sortWithinPartitions("key").mapInPandas(run, "doc_id long, place long")
+    rows = frags.select("key", "doc_id", "tag", "place", "bytes").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(run, "doc_id long, tag long, place long")
+
+
+def _cuts(used: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Rows of a batch in turns of about ``most`` bytes, from the running sum of their bytes."""
+    lo = 0
+    while lo < len(used):
+        hi = max(lo + 1, int(np.searchsorted(used, (used[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
 
 
 def _by_window(frags: DataFrame, length: int) -> DataFrame:
     """Repeats among the fragments of very frequent keys: windows grouped by their 128-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, place = b.column("doc_id"), b.column("place").to_numpy()
+            ids, tags, place = b.column("doc_id"), b.column("tag"), b.column("place").to_numpy()
             for t in tx.slices(b.column("bytes").cast(pa.large_binary()).cast(pa.large_string(), safe=False)):
                 n = np.diff(t.offs) - length + 1
                 who = np.repeat(np.arange(len(t)), n)
                 off = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
                 lo = t.offs[who] + off
                 sums, other = tx.prefix_sums(t.buf), tx.prefix_sums(t.buf ^ np.uint8(0x55))
-                p = place[t.first + who]
+                p, row = place[t.first + who], pa.array(t.first + who)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tx.signed(tx.range_hash(sums, lo, lo + length))),
-                     pa.array(tx.signed(tx.range_hash(other, lo, lo + length))), ids.take(pa.array(t.first + who)),
-                     pa.array(_place((p >> (_TAG + _RUN)) + off, np.ones(len(p), np.int64), p & 0xFFFF))],
-                    names=["a", "b", "doc_id", "place"])
+                    [pa.array(tx.signed(tx.range_hash(sums, lo, lo + length))), pa.array(tx.signed(tx.range_hash(other, lo, lo + length))),
+                     ids.take(row), tags.take(row), pa.array(_place((p >> _RUN) + off, np.ones(len(p), np.int64)))],
+                    names=["a", "b", "doc_id", "tag", "place"])
 
-    w = frags.select("doc_id", "place", "bytes").mapInArrow(run, "a long, b long, doc_id long, place long")
+    w = frags.select("doc_id", "tag", "place", "bytes").mapInArrow(run, "a long, b long, doc_id long, tag long, place long")
     w = stored(w, "bwt-windows")
-    first = w.groupBy("a", "b").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    begin = lambda c: F.shiftright(c, _TAG + _RUN)
-    return w.join(first, ["a", "b"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (begin(F.col("place")) == begin(F.col("first.place"))))
-    ).select("doc_id", "place")
+    first = w.groupBy("a", "b").agg(F.min(F.struct("doc_id", "tag", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return w.join(first, ["a", "b"]).where(~(_same("first.doc_id", "first.tag") & (F.col("place") == F.col("first.place")))).select("doc_id", "tag", "place")
 
 
 def repeats(docs: DataFrame, length: int = 100, most: int = 4096) -> DataFrame:
-    """(doc_id, place) of runs of windows that start earlier elsewhere."""
+    """(doc_id, tag, place) of runs of windows of ``docs`` (doc_id, tag, text) that start earlier elsewhere, written."""
     all_runs = stored(runs(docs, length), "bwt-runs")
     # written first, so that the join has exchanges of its own and a hot key can be split
     again = stored(all_runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "bwt-keys")
-    again = stored(all_runs.join(again, "key", "left_semi"), "bwt-again")
+    keys, again = again, stored(all_runs.join(again, "key", "left_semi"), "bwt-again")
     discard(all_runs)  # the largest intermediate; what follows needs the repeated keys only
-    classes = again.groupBy("key", "frag").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
-    classes = stored(classes, "bwt-classes")
+    discard(keys)
+    place = F.struct("doc_id", "tag", "place")
+    classes = stored(again.groupBy("key", "frag").agg(F.min(place).alias("first"), F.count("*").alias("n")), "bwt-classes")
     copies = again.join(classes.where("n > 1").select("key", "frag", "first"), ["key", "frag"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place")))).select("doc_id", "place")
+        ~(_same("first.doc_id", "first.tag") & (F.col("place") == F.col("first.place")))).select("doc_id", "tag", "place")
+    copies = stored(copies, "bwt-copies")
+    discard(again)
     shared = classes.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1")
-    firsts = classes.join(shared, "key").select("key", "first.doc_id", "first.place", "classes")
-    frags = _fragments(docs, firsts, length).join(shared.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).drop("k")
-    frags = stored(frags, "bwt-fragments")
-    found = _merged(frags.where(F.col("classes") <= most), length).unionByName(
-        _by_window(frags.where(F.col("classes") > most), length))
+    firsts = stored(classes.join(shared, "key").select("key", "first.doc_id", "first.tag", "first.place", "classes"), "bwt-firsts")
+    discard(classes)
+    frags = _fragments(docs, firsts, length)
+    often = firsts.where(F.col("classes") > most).select("key").distinct()
+    frags = stored(frags.join(often.withColumn("often", F.lit(True)), "key", "left"), "bwt-fragments")
+    discard(firsts)
+    found = stored(_merged(frags.where("often IS NULL"), length).unionByName(_by_window(frags.where("often"), length)), "bwt-found")
+    discard(frags)
     return copies.unionByName(found)
 
 
-def _cut(body: bytes, places: list[int], tag: int, length: int) -> tuple[int, int, bytes]:
+def _cut(body: bytes, places: list[int], length: int) -> tuple[int, int, bytes]:
     """(bytes removed, maximal spans, what is left) of one text."""
-    own = sorted({(p >> (_TAG + _RUN), (p >> (_TAG + _RUN)) + ((p >> _TAG) & 0xFF) + length - 1)
-                  for p in places if p & 0xFFFF == tag})
     spans: list[list[int]] = []
-    for lo, hi in own:
+    for lo, hi in sorted({(p >> _RUN, (p >> _RUN) + (p & 0xFF) + length - 1) for p in places}):
         if spans and lo <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], hi)
         else:
@@ -355,18 +394,18 @@ def _cut(body: bytes, places: list[int], tag: int, length: int) -> tuple[int, in
 
 def dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = stored(repeats(docs, length).groupBy("doc_id").agg(F.collect_list("place").alias("places")), "bwt-spans")
-    some = possible(docs, spans, "doc_id")
-    joined = some.join(spans.withColumnRenamed("doc_id", "id_"), some.doc_id.eqNullSafe(F.col("id_")), "left").drop("id_")
-    joined = joined.unionByName(possible(docs, spans, "doc_id", others=True).withColumn("places", F.lit(None).cast("array<long>")))
+    docs = _tagged(docs)
+    spans = repeats(docs, length).groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+    spans = stored(spans.withColumnsRenamed({"doc_id": "id_", "tag": "tag_"}), "bwt-spans")
+    hit = spans.select(F.col("tag_").alias("tag"))
+    joined = possible(docs, hit, "tag").join(spans, _same(), "left").select("doc_id", "text", "places")
+    rest = possible(docs, hit, "tag", others=True)
+    joined = joined.unionByName(rest.select("doc_id", "text", F.lit(None).cast("array<long>").alias("places")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in tx.slices(b.column("text")):
-                tag = _tags(t, tx.prefix_sums(t.buf))
-                got = [_cut(t.buf[t.offs[i]: t.offs[i + 1]].tobytes(), b.column("places")[t.first + i].as_py() or [],
-                            int(tag[i]), length) for i in range(len(t))]
+                got = [_cut(t.buf[t.offs[i]: t.offs[i + 1]].tobytes(), b.column("places")[t.first + i].as_py() or [], length) for i in range(len(t))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(t.first, len(t)), pa.array(np.diff(t.offs)),
                      pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()),

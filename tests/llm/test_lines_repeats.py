@@ -59,6 +59,27 @@ def test_overlaps_periods_and_hot_keys(spark, most, monkeypatch):
     assert got == repeats(rows, 100)
 
 
+def test_rows_without_an_id_are_told_apart(spark):
+    """Thousands of rows without an id, or with one id: each text is a document of its own, and clean ones stay whole."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = [text(150) for _ in range(5)]
+    rows = [(None if i % 2 else 7, text(rng.randint(90, 130)) + (rng.choice(shared) if i % 10 == 0 else "")) for i in range(3000)]
+    rows += rows[:5]
+    got = bwt_dedup.dedup(frame(spark, [(*r, "s") for r in rows])).collect()
+    # The order of documents with one id is that of a hash, so what is removed is compared as a whole.
+    tags = {r["text"]: r["tag"] for r in bwt_dedup._tagged(frame(spark, [(*r, "s") for r in rows])).select("text", "tag").collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, tags[r[1]]))
+    want = repeats([(k, t) for k, (_, t) in enumerate(order)], 100)
+    want = sorted((len(t.encode()), *want[k][1:3]) for k, (_, t) in enumerate(order))
+    seen = {}
+    for r in got:
+        seen.setdefault((r["doc_id"], r["kept_sha256"], r["n_bytes"]), (r["n_bytes"], r["n_removed"], r["n_spans"]))
+    assert len(got) == len(rows) and sorted(x[1] for x in seen.values()) == sorted(x[1] for x in want)[-len(seen):]
+    clean = sum(r["n_removed"] == 0 for r in got)
+    assert clean >= 2700 and sum(r["n_removed"] for r in got) >= 150 * 290
+
+
 def test_merged_intervals_match_a_dictionary():
     rng = random.Random(3)
     for _ in range(150):
