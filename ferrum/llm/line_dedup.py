@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
-from ferrum.llm.base import RARITY_BITS, counters, possible, stored
+from ferrum.llm.base import RARITY_BITS, counters, discard, possible, stored
 
 _U = np.uint64
 _MASK = _U((1 << RARITY_BITS) - 1)
@@ -103,7 +103,6 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 lo, _, text_of, line, h = _lines(t)
                 if not len(h):
                     continue
-                tag = tx.range_hash(tx.prefix_sums(t.buf), t.offs[:-1], t.offs[1:])
                 l, x, n = _sorted_sets(line, h, shared.value)
                 start = np.flatnonzero(np.concatenate([[True], l[1:] != l[:-1]]))
                 size = np.diff(np.append(start, len(l)))
@@ -114,11 +113,8 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 cut = np.concatenate([[0], np.cumsum(np.add.reduceat(keep, start))]).astype(np.int32)
                 first_line = np.searchsorted(text_of, text_of[here])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array(text_of[here] + t.first)), pa.array(tx.signed(tag[text_of[here]])),
-                     pa.array((here - first_line).astype(np.int32)),
-                     pa.array(tx.signed(np.add.reduceat(tx.mix(x + _U(5)), start))),
-                     pa.array(tx.signed(np.add.reduceat(tx.mix(x ^ _U(0x5851F42D4C957F2D)), start))),
-                     pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[keep]))),
+                    [b.column("doc_id").take(pa.array(text_of[here] + t.first)), b.column("tag").take(pa.array(text_of[here] + t.first)),
+                     pa.array((here - first_line).astype(np.int32)), *_prints(x, start), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[keep]))),
                      pa.ListArray.from_arrays(cut, pa.array(at[keep].astype(np.int32)))],
                     names=["doc_id", "tag", "line", "a", "b", "n", "items", "at"])
 
@@ -126,8 +122,8 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (c, d) of classes that pass prefix, length and positional filter."""
-    spots = classes.select("cls", "n", F.explode(F.arrays_zip("items", "at")).alias("p")).select(
+    """Pairs (c, d) of classes (structs of a, b) that pass prefix, length and positional filter."""
+    spots = classes.select(F.struct("a", "b").alias("cls"), "n", F.explode(F.arrays_zip("items", "at")).alias("p")).select(
         F.col("p.items").alias("item"), "cls", "n", F.col("p.at").alias("at"))
     short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + 1"
     x = spots.select("item", F.col("cls").alias("c"), F.col("n").alias("n1"), F.col("at").alias("at1"))
@@ -138,58 +134,74 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls, items: full word sets of the wanted lines (cls, doc_id, tag, line)."""
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "line", "cls")).alias("wanted"))
-    texts = possible(docs, wanted, "doc_id").join(by_doc.withColumnRenamed("doc_id", "id_"), F.col("doc_id").eqNullSafe(F.col("id_"))).drop("id_")
+    """a, b, items: the full word sets of the wanted classes (a, b), read in a scan of the texts.
+
+    A bit filter of 2**RARITY_BITS cells keeps most other lines from the shuffle; it is made from the classes that stand in
+    a pair. Lines of one class have one set, so one of each slice and then one of all is kept.
+    """
+    size = 1 << RARITY_BITS
+    cell = F.pmod("a", F.lit(size)).cast("int")
+    shared = docs.sparkSession.sparkContext.broadcast(counters(wanted.select(cell.alias("i")).distinct().withColumn("n", F.lit(1)), size) > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.zeros(1 << RARITY_BITS, dtype=np.int32)
+        flat = np.zeros(size, dtype=np.int32)
         for b in batches:
             for t in tx.slices(b.column("text")):
-                _, _, text_of, line, h = _lines(t)
-                tag = tx.signed(tx.range_hash(tx.prefix_sums(t.buf), t.offs[:-1], t.offs[1:]))
+                _, _, _, line, h = _lines(t)
+                if not len(h):
+                    continue
                 l, x, _ = _sorted_sets(line, h, flat)
-                base = np.searchsorted(text_of, np.arange(len(t)))
-                cls, sets = [], []
-                for i in range(len(t)):
-                    for r in b.column("wanted")[t.first + i].as_py():
-                        if r["tag"] == tag[i]:
-                            lo, hi = np.searchsorted(l, [base[i] + r["line"], base[i] + r["line"] + 1])
-                            cls.append(r["cls"])
-                            sets.append(tx.signed(x[lo:hi]))
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "items"])
+                start = np.flatnonzero(np.append(True, l[1:] != l[:-1]))
+                a, other = (p.to_numpy() for p in _prints(x, start))
+                n = np.diff(np.append(start, len(l)))
+                by = np.lexsort((other, a))
+                one = by[np.append(True, (np.diff(a[by]) != 0) | (np.diff(other[by]) != 0))]  # one line of each class
+                take = one[shared.value[a[one] % size]]
+                cut = np.concatenate([[0], np.cumsum(n[take])]).astype(np.int32)
+                at = np.arange(cut[-1]) - np.repeat(cut[:-1] - start[take], n[take])
+                yield pa.RecordBatch.from_arrays([pa.array(a[take]), pa.array(other[take]), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[at])))],
+                                                 names=["a", "b", "items"])
+
+    sets = docs.select("text").mapInArrow(run, "a long, b long, items array<long>")
+    return sets.join(wanted, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
+
 
-    return texts.mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"])
+def _prints(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128-bit prints of word sets, given as consecutive words and where each set begins."""
+    return (pa.array(tx.signed(np.add.reduceat(tx.mix(x + _U(5)), start))),
+            pa.array(tx.signed(np.add.reduceat(tx.mix(x ^ _U(0x5851F42D4C957F2D)), start))))
 
 
 def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(removed, links): (doc_id, tag, line) of later matches, and (doc_id, tag, line, links) of the first
-    lines of classes with the number of other classes they match."""
+    """(removed, links) of ``docs`` (doc_id, tag, text): (doc_id, tag, line) of later matches, and (doc_id, tag, line, links) of
+    the first lines of classes with the number of other classes they match."""
     lines = stored(_posted(docs, word_counts(docs), percent), "line-posted")
     place = F.struct("doc_id", "tag", "line")
-    firsts = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    firsts = stored(firsts.withColumn("cls", F.xxhash64("a", "b")), "line-classes")
-    mine = [lines.a == firsts.a, lines.b == firsts.b, lines.doc_id.eqNullSafe(F.col("first.doc_id")),
-            lines.tag == F.col("first.tag"), lines.line == F.col("first.line")]
-    heads = lines.where(F.size("items") > 0).join(firsts.drop("copies"), mine).select("cls", "n", "items", "at")
-    pairs = stored(_candidates(heads, percent), "line-pairs")
-    ends = stored(pairs.select(F.col("c").alias("cls")).union(pairs.select(F.col("d").alias("cls"))).distinct().join(
-        firsts, "cls").select("cls", "first.doc_id", "first.tag", "first.line"), "line-ends")
-    sets = stored(_class_sets(docs, ends), "line-sets")
+    # All lines of a class have one set and so one posting: any of them speaks for it.
+    firsts = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
+                                         F.first("items").alias("items"), F.first("at").alias("at"))
+    firsts = stored(firsts, "line-classes")
+    pairs = stored(_candidates(firsts.where(F.size("items") > 0), percent), "line-pairs")
+    ends = pairs.select(F.col("c.a").alias("a"), F.col("c.b").alias("b")).union(pairs.select("d.a", "d.b")).distinct()
+    ends = stored(ends, "line-ends")
+    sets = stored(_class_sets(docs, ends), "line-sets").select(F.struct("a", "b").alias("cls"), "items")
     x = sets.select(F.col("cls").alias("c"), F.col("items").alias("x"))
     y = sets.select(F.col("cls").alias("d"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     links = stored(pairs.join(y, "d").join(x, "c").where(
         100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("c", "d"), "line-links")
+    discard(pairs)
     both = links.union(links.select("d", "c"))
-    at = ends.select("cls", F.struct("doc_id", "tag", "line").alias("first"))
-    both = both.join(at.select(F.col("cls").alias("c"), F.col("first").alias("f")), "c").join(
-        at.select(F.col("cls").alias("d"), F.col("first").alias("g")), "d")
-    found = stored(both.groupBy("c").agg(F.first("f").alias("f"), F.count("*").alias("links"), F.min("g").alias("g")), "line-found")
+    at = firsts.join(ends, ["a", "b"], "left_semi").select(F.struct("a", "b").alias("d"), F.col("first").alias("g"))
+    found = both.join(at, "d").groupBy("c").agg(F.count("*").alias("links"), F.min("g").alias("g"))
+    found = found.join(at.select(F.col("d").alias("c"), F.col("g").alias("f")), "c")
+    found = stored(found, "line-found")
     again = lines.select("doc_id", "tag", "line", "a", "b").join(
         firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag")) & (F.col("line") == F.col("first.line"))))
-    removed = again.select("doc_id", "tag", "line").union(found.where("g < f").select("f.doc_id", "f.tag", "f.line"))
+    removed = stored(again.select("doc_id", "tag", "line").union(found.where("g < f").select("f.doc_id", "f.tag", "f.line")), "line-removed")
+    for df in (lines, firsts, links):
+        discard(df)
     return removed, found.select("f.doc_id", "f.tag", "f.line", "links")
 
 
@@ -200,22 +212,28 @@ def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes and other classes.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("tag", F.xxhash64(F.coalesce("text", F.lit(""))))
     removed, links = later_lines(docs, percent)
-    marks = removed.select("doc_id", F.struct("tag", "line", F.lit(0).cast("long").alias("links"), F.lit(True).alias("cut")).alias("m")).union(
-        links.select("doc_id", F.struct("tag", "line", "links", F.lit(False).alias("cut")).alias("m")))
-    marks = marks.groupBy("doc_id").agg(F.collect_set("m").alias("marks")).withColumnRenamed("doc_id", "id_")
-    joined = docs.join(marks, docs.doc_id.eqNullSafe(F.col("id_")), "left").drop("id_")
+    marks = removed.select("doc_id", "tag", F.struct("line", F.lit(0).cast("long").alias("links"), F.lit(True).alias("cut")).alias("m")).union(
+        links.select("doc_id", "tag", F.struct("line", "links", F.lit(False).alias("cut")).alias("m")))
+    marks = marks.groupBy("doc_id", "tag").agg(F.collect_set("m").alias("marks"))
+    marks = stored(marks.withColumnsRenamed({"doc_id": "id_", "tag": "tag_"}), "line-marks")
+    # Texts without a mark stay out of the shuffle.
+    hit = marks.select(F.col("tag_").alias("tag"))
+    joined = possible(docs, hit, "tag").join(
+        marks, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("doc_id", "text", "marks")
+    none = F.lit(None).cast(joined.schema["marks"].dataType).alias("marks")
+    joined = joined.unionByName(possible(docs, hit, "tag", others=True).select("doc_id", "text", none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in tx.slices(b.column("text")):
                 lo, hi, text_of, line, _ = _lines(t)
                 full = np.bincount(line, minlength=len(lo)) > 0
-                tag = tx.signed(tx.range_hash(tx.prefix_sums(t.buf), t.offs[:-1], t.offs[1:]))
                 base = np.searchsorted(text_of, np.arange(len(t) + 1))
                 out = []
                 for i in range(len(t)):
-                    own = [m for m in b.column("marks")[t.first + i].as_py() or [] if m["tag"] == tag[i]]
+                    own = b.column("marks")[t.first + i].as_py() or []
                     cut = {m["line"] for m in own if m["cut"]}
                     rows = range(base[i], base[i + 1])
                     kept = b"\n".join(t.buf[lo[k]: hi[k]].tobytes() for k in rows if k - base[i] not in cut) if cut else (
