@@ -120,13 +120,16 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int =
                     at += 1
             return pd.DataFrame({"z": [z.tobytes()], "n": [n.tobytes()]})
 
-        got = data.groupBy("shard").applyInPandas(one_shard, "z binary, n binary").toLocalIterator()
+        # One task per shard: a shuffle by hash would put several into one.
+        dealt = data.repartitionByRange(shards, "shard")
+        got = dealt.groupBy("shard").applyInPandas(one_shard, "z binary, n binary").toLocalIterator()
         zs, ns, k = np.zeros(1 << bits), np.zeros(1 << bits), 0
         for r in got:
             zs, ns, k = zs + np.frombuffer(r["z"]), ns + np.frombuffer(r["n"]), k + 1
         if not k:
             break
         z, n = zs / k, ns / k
+        start.destroy()
     w = _weights(z, n, alpha, beta, l1, l2)
     bias, w[0] = float(w[0]) + offset, 0.0
     coords = np.flatnonzero(w)
@@ -135,13 +138,17 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", bits: int =
 
 def label_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                label: str = "toxic", where: Column | None = None, max_rows: int = 12_000) -> DataFrame:
-    """Labelled texts to train on: at most ``max_rows`` ids in hash order, so the join can broadcast them."""
+    """Labelled texts to train on: at most ``max_rows``, the first in hash order of (id, text) among the first ``max_rows``
+    ids in hash order. Both are broadcast: they are bounded. Rows that repeat id and text count once."""
     ids = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("label"))
     if where is not None:
         ids = ids.where(where)
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
-    ids = ids.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_rows)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), "doc_id")
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("order"))
+    few = rows.select("doc_id", "order").join(F.broadcast(ids), "doc_id").distinct().orderBy("order", "doc_id").limit(max_rows)
+    few = stored(few, "toxic-rows")
+    return rows.join(F.broadcast(few), ["doc_id", "order"]).dropDuplicates(["doc_id", "order"])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
