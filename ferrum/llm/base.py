@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ferrum.session import scratch_path, table
 from ferrum.sinks.writers import remove_folders
 
-__all__ = ["connected_components", "counters", "discard", "documents", "possible", "rarity", "stored", "table", "unused"]
+__all__ = ["connected_components", "counters", "discard", "documents", "possible", "rarity", "release", "stored", "table", "unused"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,14 @@ def discard(df: DataFrame) -> None:
     folder = files[0].rsplit("/", 1)[0] if files else ""
     if "/ferrum/llm-" in folder:
         remove_folders(df.sparkSession, [folder])
+    release(df.sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Drop what finished plans have left. Spark deletes shuffle files and broadcasts once the driver has collected the
+    plans they belong to, which a driver with a large heap does late; a long query does it between its steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # noqa: SLF001 - the JVM's own collection, no Python getter
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -43,26 +52,30 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Edges that one task joins by union-find, so a task's memory is bounded.
+EDGES_A_TASK = 20_000
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Union-find over the edges of one partition, sent on as edges to each set's smallest node."""
-    for part in batches:
-        parent: dict[int, int] = {}
+    parent: dict[int, int] = {}
 
-        def find(x: int) -> int:
-            root = x
-            while parent.setdefault(root, root) != root:
-                root = parent[root]
-            while parent[x] != root:
-                parent[x], x = root, parent[x]
-            return root
+    def find(x: int) -> int:
+        root = x
+        while parent.setdefault(root, root) != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
 
+    for part in batches:
         for u, v in zip(part["u"].to_numpy().tolist(), part["v"].to_numpy().tolist(), strict=True):
             a, b = find(u), find(v)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-        got = [(x, find(x)) for x in parent]
-        yield pd.DataFrame({"u": np.array([x for x, _ in got], dtype=np.int64),
-                            "v": np.array([r for _, r in got], dtype=np.int64)}).query("u != v")
+    got = [(x, find(x)) for x in parent]
+    yield pd.DataFrame({"u": np.array([x for x, _ in got], dtype=np.int64),
+                        "v": np.array([r for _, r in got], dtype=np.int64)}).query("u != v")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -72,14 +85,22 @@ def _state(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has an edge (u, v of longs); component = smallest node.
 
-    Batches of edges are first joined by union-find inside each task, then stars are grown and
-    flattened (large star, small star) until no edge changes. Every step is an aggregate and an
-    equi-join on a node, so a node with very many edges is combined before the shuffle and its join
-    can be split; no component is gathered anywhere. Each round is written to the shared folder.
+    Edges are first dealt to tasks, ``EDGES_A_TASK`` each, and joined there by union-find; one task has then
+    found the components. Of several, stars are grown and flattened (large star, small star) until no
+    edge changes. Every step is an aggregate and an equi-join on a node, so a node with very many edges is combined
+    before the shuffle and its join can be split; no component is gathered anywhere. Each round is written
+    to the shared folder.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = stored(edges.mapInPandas(_forest, "u long, v long").distinct(), "edges")
-    before = _state(edges)
+    edges = stored(edges, "edges")
+    tasks = max(1, -(-edges.count() // EDGES_A_TASK))
+    dealt = edges.repartition(tasks).mapInPandas(_forest, "u long, v long")
+    before = (0, None)
+    if tasks == 1:
+        edges = stored(dealt, "edges")
+    else:
+        edges = stored(dealt.distinct(), "edges")
+        before = _state(edges)
     for _ in range(most_rounds):
         if before[0] == 0:
             break

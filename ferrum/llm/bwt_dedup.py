@@ -43,12 +43,14 @@ from ferrum.llm.base import discard, possible, stored
 
 _U = np.uint64
 GRAM = 20
-#: A place is one long: start (55 bits) and number of windows (8 bits).
-_RUN = 8
+#: A place is one long: start (47 bits), number of windows (8 bits), and where its anchor is from the start (8 bits).
+_RUN, _AT = 16, 8
+#: Bytes of text whose windows are keyed at a time: about 200 bytes of arrays each.
+RUN_SLICE = 1 << 18
 
 
-def _place(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return (start << _RUN) | n
+def _place(start: np.ndarray, n: np.ndarray, anchor: np.ndarray | int = 0) -> np.ndarray:
+    return (start << _RUN) | (n << _AT) | anchor
 
 
 def _tagged(docs: DataFrame) -> DataFrame:
@@ -88,7 +90,7 @@ def _runs(t: tx.Texts, length: int) -> dict[str, np.ndarray]:
     lo = where[first]
     return {"owner": owner[first], "key": gram[anchor[first]],
             "frag": tx.range_hash(sums, lo, lo + runs + length - 1) ^ tx.mix((anchor[first] - lo).astype(_U)),
-            "place": _place(start[first], runs)}
+            "place": _place(start[first], runs, anchor[first] - lo)}
 
 
 def runs(docs: DataFrame, length: int) -> DataFrame:
@@ -96,7 +98,7 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, tags = b.column("doc_id"), b.column("tag")
-            for t in tx.slices(b.column("text")):
+            for t in tx.slices(b.column("text"), RUN_SLICE):
                 r = _runs(t, length)
                 if r:
                     yield pa.RecordBatch.from_arrays(
@@ -117,7 +119,7 @@ def _fragments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 runs_ = wants[i].values
                 keys, places = runs_.field("key"), runs_.field("place")
                 p = places.to_numpy()
-                lo, n = p >> _RUN, p & 0xFF
+                lo, n = p >> _RUN, (p >> _AT) & 0xFF
                 parts = pa.array([bytes(body[x: x + y + length - 1]) for x, y in zip(lo.tolist(), n.tolist(), strict=True)], pa.binary())
                 k = len(parts)
                 yield pa.RecordBatch.from_arrays([keys, b.column("doc_id").take(pa.array(np.full(k, i))), b.column("tag").take(pa.array(np.full(k, i))),
@@ -187,24 +189,35 @@ def _refined(first: np.ndarray, after: np.ndarray, length: int) -> tuple[np.ndar
     """Suffixes ordered by ``length`` symbols, and the block of each (the place of its first member).
 
     ``first`` is the first symbol of each suffix and ``after`` the suffix without it, -1 for string ends;
-    these come first in the order, each a block of its own. Suffixes of one block keep the order in which they are given
+    these come first in the order, each a block of its own. The order begins with counting passes over the first four
+    symbols. Suffixes of one block keep the order in which they are given
     until a pass parts them. Nothing is compared: a pass goes through the suffixes in the order of what follows them
     and deals each to the next free place of its block (a counting pass); a block is cut where what follows is in
-    different blocks. What follows is one symbol later at first, and as many symbols as the order has reached after that.
+    different blocks. What follows is as many symbols later as the order has reached.
     """
     total = len(first)
     after = after.astype(np.int32)
-    ends, live = np.flatnonzero(after < 0), np.flatnonzero(after >= 0)
-    order = np.concatenate([ends, live[np.argsort(first[live], kind="stable")]]).astype(np.int32)
+    hopped = lambda hop, by: np.where(hop >= 0, by[np.maximum(hop, 0)], np.int32(-1))
+    # The first four symbols at once; 0 is a string's end and what would follow it.
+    word = np.where(after < 0, 0, first.astype(np.uint32) + 1)
+    two = hopped(after, after)
+    word = (word << 8) | np.where(after >= 0, word[np.maximum(after, 0)], 0)
+    word = (word << 16) | np.where(two >= 0, word[np.maximum(two, 0)], 0)
+    reached = min(4, length)
+    word = word.astype(np.uint32) >> np.uint32(8 * (4 - reached))
+    order = np.argsort(word.astype(np.uint16), kind="stable")
+    order = order[np.argsort((word[order] >> 16).astype(np.uint16), kind="stable")].astype(np.int32)
+    word = word[order]
     edge = np.ones(total, dtype=bool)
-    edge[len(ends) + 1:] = first[order[len(ends) + 1:]] != first[order[len(ends): -1]] if len(live) else True
+    edge[1:] = (word[1:] != word[:-1]) | (word[1:] & 0xFF == 0)  # string ends are all different
     place, block = np.empty(total, dtype=np.int32), np.empty(total, dtype=np.int32)
     spots = np.arange(total, dtype=np.int32)
     place[order] = spots
     block[order] = np.maximum.accumulate(np.where(edge, spots, 0))
     back, number, mark = np.empty(total, dtype=np.int32), np.empty(total, dtype=np.int32), np.zeros(total, dtype=bool)
-    reached, hop, open_, kept = 1, after, spots, {}
+    hop, open_ = hopped(two, two), spots
     last = length - (1 << (length.bit_length() - 1))  # the step of the pass that ends at ``length`` exactly
+    kept = {k: m for k, m in ((1, after), (2, two)) if last & k}
     while reached < length:
         if last & reached:
             kept[reached] = hop
@@ -232,7 +245,7 @@ def _refined(first: np.ndarray, after: np.ndarray, length: int) -> tuple[np.ndar
         block[mine] = np.maximum.accumulate(np.where(new, open_, 0))
         reached += min(reached, length - reached)
         if reached < length:
-            hop = np.where(hop >= 0, hop[np.maximum(hop, 0)], np.int32(-1))
+            hop = hopped(hop, hop)
     return order, block
 
 
@@ -268,8 +281,30 @@ def repeated_windows(strings: list[bytes], length: int, shards: int = 4) -> list
     return np.split(pairs, np.flatnonzero(np.diff(block[live])) + 1) if len(pairs) else []
 
 
+def _meeting(part: pd.DataFrame, length: int) -> pd.DataFrame:
+    """The fragments that may share a window with another one of their key.
+
+    Equal windows have their anchor at one place, so they agree on what stands around it: of the ``length - GRAM`` other
+    bytes half at least are on one side of the anchor. Fragments that agree with no other one on that many bytes left or right
+    of the anchor share nothing.
+    """
+    half = -(-(length - GRAM) // 2)
+    buf = np.frombuffer(b"".join(part["bytes"]), dtype=np.uint8)
+    size = part["bytes"].str.len().to_numpy()
+    hi = np.cumsum(size)
+    lo = hi - size
+    at = lo + (part["place"].to_numpy(dtype=np.int64) & 0xFF)
+    sums, found = tx.prefix_sums(buf), np.zeros(len(part), dtype=bool)
+    for a, b in ((at - half, at), (at + GRAM, at + GRAM + half)):
+        has = np.flatnonzero((a >= lo) & (b <= hi))
+        side = pd.DataFrame({"key": part["key"].to_numpy()[has], "side": tx.range_hash(sums, a[has], b[has])})
+        found[has[side.duplicated(keep=False).to_numpy()]] = True
+    return part[found].reset_index(drop=True)
+
+
 def _later(part: pd.DataFrame, length: int) -> pa.RecordBatch:
     """Places (windows that start earlier elsewhere) among the fragments of some whole keys."""
+    part = _meeting(part, length)
     known = part["doc_id"].notna().to_numpy()
     ids, tag = part["doc_id"].fillna(0).to_numpy(dtype=np.int64), part["tag"].to_numpy(dtype=np.int64)
     start = part["place"].to_numpy(dtype=np.int64) >> _RUN
@@ -380,7 +415,7 @@ def repeats(docs: DataFrame, length: int = 100, most: int = 4096) -> DataFrame:
 def _cut(body: bytes, places: list[int], length: int) -> tuple[int, int, bytes]:
     """(bytes removed, maximal spans, what is left) of one text."""
     spans: list[list[int]] = []
-    for lo, hi in sorted({(p >> _RUN, (p >> _RUN) + (p & 0xFF) + length - 1) for p in places}):
+    for lo, hi in sorted({(p >> _RUN, (p >> _RUN) + ((p >> _AT) & 0xFF) + length - 1) for p in places}):
         if spans and lo <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], hi)
         else:

@@ -118,3 +118,28 @@ def test_sets_of_lines_on_both_sides_of_the_key(first):
     n = lambda x: int(often[x & ((1 << RARITY_BITS) - 1)])
     want = sorted({(k, n(x), x >> 40, x) for k, x in zip(line.tolist(), h.tolist(), strict=True)})
     assert list(zip(*got, strict=True)) == [(k, x, c) for k, c, _, x in want]
+
+
+def test_fragments_that_meet_nothing_share_no_window():
+    """What is left out before the merge shares no window: on texts that agree around an anchor by any number of bytes."""
+    import pandas as pd
+    import pyarrow as pa
+
+    from ferrum.llm import text as tx
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    for n in (100, 61):
+        core = letters(n)
+        texts = [letters(rng.randint(0, 90)) + core[rng.randint(0, 60): rng.randint(40, n)] + letters(rng.randint(0, 90)) for _ in range(60)] + [core + letters(9)] * 2
+        t = next(tx.slices(pa.array(texts)))
+        r = bwt_dedup._runs(t, n)
+        start, size = r["place"] >> 16, (r["place"] >> 8) & 0xFF
+        part = pd.DataFrame({"key": r["key"], "place": r["place"], "bytes": [texts[o].encode()[s: s + k + n - 1] for o, s, k in zip(r["owner"], start, size, strict=True)]})
+        kept = bwt_dedup._meeting(part, n)
+        left = {(k, b) for k, b in zip(part["key"], part["bytes"], strict=True)} - {(k, b) for k, b in zip(kept["key"], kept["bytes"], strict=True)}
+        windows = {}
+        for i, b in enumerate(part["bytes"]):
+            for k in range(len(b) - n + 1):
+                windows.setdefault((part["key"][i], b[k: k + n]), set()).add(i)
+        shared = {(part["key"][i], part["bytes"][i]) for v in windows.values() if len(v) > 1 for i in v}
+        assert not left & shared and shared and left
