@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrum.llm import text as tx
-from ferrum.llm.base import RARITY_BITS, connected_components, rarity, stored
+from ferrum.llm.base import RARITY_BITS, connected_components, possible, rarity, stored
 
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
@@ -135,6 +135,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     names=["node", "items"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = possible(texts.where("doc_id IS NOT NULL"), ids.select(F.col("node").alias("doc_id")), "doc_id")
     texts = texts.join(ids.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     return texts.mapInArrow(run, "node long, items array<long>")
 
@@ -201,11 +202,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                     rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
     marks = stored(sketch(docs, width, bands, rows), "near-marks")
-    classes = marks.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("node")).where("node IS NOT NULL")
-    classes = stored(classes, "near-classes")
-    reps = marks.where("n_shingles > 0").join(
-        classes, (marks.a == classes.a) & (marks.b == classes.b) & (marks.doc_id == classes.node), "left_semi")
-    spots = reps.select(F.col("doc_id").alias("node"), F.explode("buckets").alias("bucket")).distinct()
+    # Equal sets have equal buckets, so any of them speaks for the class.
+    classes = marks.where("n_shingles > 0").groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"))
+    classes = stored(classes.where("node IS NOT NULL"), "near-classes")
+    spots = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = spots.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     spots = stored(spots.join(shared.select("bucket", "low"), "bucket"), "near-spots")
     sets = stored(_full_sets(docs, spots, width), "near-sets")
@@ -214,18 +214,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     links = stored(_links(stars, sets, percent), "near-links")
     parts = stored(connected_components(links), "near-parts")
     here = _open(spots, parts)
-    hub = here.where(F.xxhash64("node") == F.col("pick")).select(
-        "bucket", F.col("node").alias("v"), F.col("component").alias("other"))
-    stars = here.select("bucket", F.col("node").alias("u"), "component").join(hub, "bucket").where(
-        "component <> other").groupBy("u").agg(F.min("v").alias("v"))
-    links = stored(links.unionByName(_links(stars, sets, percent)), "near-links")
-    parts = stored(connected_components(links), "near-parts")
-    rest = _open(spots, parts).groupBy("node").agg(F.min("component").alias("component"))
-    more = stored(_links(_prefix_pairs(sets.join(rest, "node"), percent), sets, percent), "near-links")
-    if not more.isEmpty():
-        parts = stored(connected_components(links.unionByName(more)), "near-parts")
-
-    marked = marks.select("doc_id", "n_shingles", "a", "b").join(classes, ["a", "b"], "left").join(parts, "node", "left")
+    if not here.isEmpty():
+        hub = here.where(F.xxhash64("node") == F.col("pick")).select(
+            "bucket", F.col("node").alias("v"), F.col("component").alias("other"))
+        stars = here.select("bucket", F.col("node").alias("u"), "component").join(hub, "bucket").where(
+            "component <> other").groupBy("u").agg(F.min("v").alias("v"))
+        more = stored(_links(stars, sets, percent), "near-links")
+        if not more.isEmpty():
+            links = stored(links.unionByName(more), "near-links")
+            parts = stored(connected_components(links), "near-parts")
+            here = _open(spots, parts)
+        rest = here.groupBy("node").agg(F.min("component").alias("component"))
+        more = stored(_links(_prefix_pairs(sets.join(rest, "node"), percent), sets, percent), "near-links")
+        if not more.isEmpty():
+            parts = stored(connected_components(links.unionByName(more)), "near-parts")
+
+    marked = marks.select("doc_id", "n_shingles", "a", "b").join(classes.drop("buckets"), ["a", "b"], "left").join(parts, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc_id")).otherwise(F.col("doc_id"))
     return marked.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
