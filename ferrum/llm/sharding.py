@@ -158,17 +158,18 @@ def reshard(docs: DataFrame, old_shards: int, new_shards: int) -> DataFrame:
                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
-def rewrite_affected(docs: DataFrame, old: Column, old_shards: int, new_shards: int, path: str) -> DataFrame:
-    """Write the files of every new shard that gains or loses rows under ``path/shard=N``.
+def rewritten(docs: DataFrame, old: Column, old_shards: int, new_shards: int, path: str) -> DataFrame:
+    """``assign``, and the files of every new shard that gains or loses rows, written under ``path/shard=N``.
 
-    Shards whose rows all stay are not written. Returns (shard, affected) for each new shard.
+    Returns the rows of the new layout: those of the affected shards read from their files, the others from where they are.
     """
     out = assign(docs, old, old_shards, new_shards)
     shard, was = unused(docs, "shard"), unused(docs, "old_shard")
     moved = out.where(F.col(was) != F.col(shard))
-    hit = stored(moved.select(F.col(shard).alias("hit")).union(moved.select(F.col(was).alias("hit"))).where(
-        F.col("hit") < new_shards).distinct(), "shard-hit")
-    changed = out.join(F.broadcast(hit), F.col(shard) == F.col("hit"), "left_semi")  # at most one row per shard
+    hit = stored(moved.select(F.col(shard).alias("hit_")).union(moved.select(F.col(was).alias("hit_"))).where(
+        F.col("hit_") < new_shards).distinct(), "shard-hit")  # at most one row per shard
+    on = F.col(shard) == F.col("hit_")
+    changed = out.join(F.broadcast(hit), on, "left_semi")
     changed.hint("rebalance", F.col(shard)).write.partitionBy(shard).parquet(path)
-    return docs.sparkSession.range(new_shards).select(F.col("id").cast("int").alias("shard")).join(
-        F.broadcast(hit), F.col("shard") == F.col("hit"), "left").select("shard", F.col("hit").isNotNull().alias("affected"))
+    back = docs.sparkSession.read.schema(out.schema).parquet(path)
+    return back.select(out.columns).unionByName(out.join(F.broadcast(hit), on, "left_anti"))

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -106,14 +107,17 @@ def test_shard_edges(spark, edge, empty):
 
 
 def test_only_affected_shards_are_rewritten(spark, tmp_path):
-    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x" * 20).alias("text"), (F.col("id") % 3).cast("int").alias("now"))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("x" * 20), F.col("id") + 1000).alias("text"), (F.col("id") % 3).cast("int").alias("now"))
     docs = docs.where("now < 2 OR doc_id < 200")  # shard 2 is small: it gains, nobody else gains
-    hit = {r["shard"]: r["affected"] for r in sharding.rewrite_affected(docs, F.col("now"), 3, 3, str(tmp_path / "out")).collect()}
-    assert hit == {0: True, 1: True, 2: True}
-    assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+    got = sharding.rewritten(docs, F.col("now"), 3, 3, str(tmp_path / "out"))
+    files = spark.read.parquet(str(tmp_path / "out"))
+    want = sharding.assign(docs, F.col("now"), 3, 3)
+    rows = lambda df: sorted(tuple(r) for r in df.select(want.columns).collect())
+    assert rows(files) == rows(got) == rows(want) and {r["shard"] for r in files.select("shard").distinct().collect()} == {0, 1, 2}
     level = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), (F.col("id") % 3).cast("int").alias("now"))
-    hit = sharding.rewrite_affected(level, F.col("now"), 3, 3, str(tmp_path / "none")).collect()
-    assert not any(r["affected"] for r in hit)
+    got = sharding.rewritten(level, F.col("now"), 3, 3, str(tmp_path / "none"))
+    assert rows(got) == rows(sharding.assign(level, F.col("now"), 3, 3)) and not [p for p in os.listdir(tmp_path / "none") if p.startswith("shard=")]
+    assert sharding.rewritten(level.limit(0), F.col("now"), 3, 3, str(tmp_path / "empty")).count() == 0
 
 
 def greedy(sizes, left, used, taken, gap):
