@@ -94,7 +94,7 @@ def q_load_keys_rows(spark, sf_dir):
 # --------------------------------------------------------------------------------------
 # Ledger shared by loaders, target by blocks, many ranges of a hot key.
 
-TARGET_BLOCK = 500
+TARGET_BLOCK = 10_000
 
 
 def _shared_loader(spark, sf_dir, preload=None):
