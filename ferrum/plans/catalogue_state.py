@@ -94,7 +94,7 @@ def q_load_keys_rows(spark, sf_dir):
 # --------------------------------------------------------------------------------------
 # Ledger shared by loaders, target by blocks, many ranges of a hot key.
 
-TARGET_BLOCK = 10_000
+TARGET_BLOCK, TARGET_GROUPS = 10_000, 8
 
 
 def _shared_loader(spark, sf_dir, preload=None):
@@ -111,7 +111,7 @@ def _shared_loader(spark, sf_dir, preload=None):
     store = VersionedTable(spark, f"{root}/ledger", ledger.schema)
     store.commit(0, ledger)
     first = spark.createDataFrame([], records.schema) if preload is None else preload(records)
-    create_blocked_table(spark, name, first, f"{root}/target", key="kpi", id_col="id", block_size=TARGET_BLOCK)
+    create_blocked_table(spark, name, first, f"{root}/target", key="kpi", id_col="id", block_size=TARGET_BLOCK, groups=TARGET_GROUPS)
 
     class Late(VersionedTable):
         """Its first commit comes after another loader has started its jobs."""
@@ -122,7 +122,7 @@ def _shared_loader(spark, sf_dir, preload=None):
                 self.other = jobs.start_jobs(store, registry, LEDGER_AS_OF, stale_after=LEDGER_STALE_AFTER)
             return super().commit(version, rows)
 
-    late, where = Late(spark, f"{root}/ledger", ledger.schema), {"version_root": f"{root}/target", "block_size": TARGET_BLOCK}
+    late, where = Late(spark, f"{root}/ledger", ledger.schema), {"version_root": f"{root}/target", "block_size": TARGET_BLOCK, "groups": TARGET_GROUPS}
     jobs.run_loader(late, registry, records, name, LEDGER_AS_OF, stale_after=LEDGER_STALE_AFTER, **where)
     jobs.finish_jobs(store, late.other, records, name, LEDGER_AS_OF, **where)
     return store.read()[1], spark.table(name)
@@ -145,7 +145,7 @@ def q_loader_pair(spark, sf_dir):
     SELECT * FROM P WHERE NOT EXISTS (SELECT 1 FROM D WHERE D.kpi = P.kpi AND P.id BETWEEN D.job_from_id AND D.max_id)
 """)
 def q_incremental_blocks(spark, sf_dir):
-    """The target of the loader, filled before, laid out by (kpi, id block): rows inside the loaded
+    """The target of the loader, filled before, laid out by (group of kpis, id block): rows inside the loaded
     ranges are replaced, the others stay, and only blocks that a range meets are rewritten."""
     old = lambda r: r.filter("id % 3 = 0").withColumn("event_type", F.lit("old"))
     return _shared_loader(spark, sf_dir, old)[1].select("kpi", "id", "event_type", "value")

@@ -116,7 +116,7 @@ def start_jobs(store: VersionedTable, registry: DataFrame, as_of: str, *, stale_
 
 
 def _load_actions(actions: DataFrame, records: DataFrame, target_table: str, *, version_root: str, key: str, id_col: str,
-                  batch_size: int, min_ids: int, block_size: int | None) -> DataFrame:
+                  batch_size: int, min_ids: int, block_size: int | None, groups: int | None) -> DataFrame:
     """Pull, validate and replace the ranges of ``actions`` in the target; the outcomes, written."""
     spark = records.sparkSession
     scanned = L.scan_ranges(records, actions, key=key, id_col=id_col, batch_size=batch_size).persist(StorageLevel.MEMORY_AND_DISK)
@@ -132,7 +132,7 @@ def _load_actions(actions: DataFrame, records: DataFrame, target_table: str, *,
                     .select(*records.columns))
         ranges = ok.select(F.col("kpi").alias(key), "from_id", "to_id")
         if block_size:
-            replace_ranges_in_blocks(spark, target_table, new_rows, ranges, version_root, key=key, id_col=id_col, block_size=block_size)
+            replace_ranges_in_blocks(spark, target_table, new_rows, ranges, version_root, key=key, id_col=id_col, block_size=block_size, groups=groups)
         else:
             commit_version(spark, target_table, replace_keyed_ranges(spark.table(target_table), new_rows, ranges, key=key, id_col=id_col), version_root)
     finally:
@@ -142,26 +142,27 @@ def _load_actions(actions: DataFrame, records: DataFrame, target_table: str, *,
 
 def run_loader(store: VersionedTable, registry: DataFrame, records: DataFrame, target_table: str, as_of: str, *, version_root: str,
                key: str = "kpi", id_col: str = "id", stale_after: str = L.DEFAULT_STALE_AFTER, batch_size: int = L.BATCH_SIZE,
-               min_ids: int = L.MIN_IDS, initial_from_id: int = 0, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+               min_ids: int = L.MIN_IDS, initial_from_id: int = 0, block_size: int = DEFAULT_BLOCK_SIZE, groups: int | None = None) -> DataFrame:
     """One run of the incremental loader beside others: jobs are started in a committed ledger version, their ranges
     loaded, then closed in another. Returns the newest ledger.
 
     Loaders that run at once never start the same range, nor two ranges of one KPI (``start_jobs``), so they replace
-    different (KPI, id block) partitions of the target (``blocks.create_blocked_table``). Closing touches only the jobs
+    different (KPI, id block) partitions of the target (``blocks.create_blocked_table``); where KPIs share blocks
+    (``groups``), the one that commits later replaces its ranges in the newer blocks. Closing touches only the jobs
     that this run started; a conflict there is settled by applying it to the newer ledger. A crash between the
     two leaves RUNNING rows, which a later run retries as stale; the range replace makes that idempotent.
     """
     actions = start_jobs(store, registry, as_of, stale_after=stale_after, initial_from_id=initial_from_id)
     return finish_jobs(store, actions, records, target_table, as_of, version_root=version_root, key=key, id_col=id_col,
-                       batch_size=batch_size, min_ids=min_ids, block_size=block_size)
+                       batch_size=batch_size, min_ids=min_ids, block_size=block_size, groups=groups)
 
 
 def finish_jobs(store: VersionedTable, actions: DataFrame, records: DataFrame, target_table: str, as_of: str, *, version_root: str,
                 key: str = "kpi", id_col: str = "id", batch_size: int = L.BATCH_SIZE, min_ids: int = L.MIN_IDS,
-                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                block_size: int = DEFAULT_BLOCK_SIZE, groups: int | None = None) -> DataFrame:
     """Load the ranges of started ``actions`` and close their jobs in the ledger; the newest ledger."""
     outcomes = _load_actions(actions, records, target_table, version_root=version_root, key=key, id_col=id_col,
-                             batch_size=batch_size, min_ids=min_ids, block_size=block_size)
+                             batch_size=batch_size, min_ids=min_ids, block_size=block_size, groups=groups)
     store.update(lambda version, ledger: L.close_jobs(ledger, outcomes, as_of))
     return store.read()[1]
 
@@ -170,14 +171,14 @@ def incremental_load(spark: SparkSession, registry: DataFrame, ledger: DataFrame
                      target_table: str, as_of: str, *, version_root: str, key: str = "kpi", id_col: str = "id",
                      stale_after: str = L.DEFAULT_STALE_AFTER, batch_size: int = L.BATCH_SIZE,
                      min_ids: int = L.MIN_IDS, initial_from_id: int = 0,
-                     ledger_table: str | None = None, block_size: int | None = None) -> tuple[DataFrame, DataFrame]:
+                     ledger_table: str | None = None, block_size: int | None = None, groups: int | None = None) -> tuple[DataFrame, DataFrame]:
     """One run of the incremental loader for all KPIs at once, with the ledger given as a frame (one loader at a
     time; ``run_loader`` takes a shared ledger).
 
     The target gets a new version (delete each loaded range, insert its rows)
     *before* the ledger is updated, so a crash in between re-runs the same
     ranges, which the range replace makes idempotent. With ``block_size`` the target is laid out by
-    (key, id block) and only the blocks of the loaded ranges are rewritten. With ``ledger_table`` the
+    (key, id block) or, with ``groups``, (key group, id block) and only the blocks of the loaded ranges are rewritten. With ``ledger_table`` the
     updated ledger is committed as that table's new version (the last step);
     otherwise it is returned unevaluated. Returns ``(new_ledger, target_table_frame)``.
     """
@@ -185,7 +186,7 @@ def incremental_load(spark: SparkSession, registry: DataFrame, ledger: DataFrame
                              initial_from_id=initial_from_id).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         outcomes = _load_actions(actions, records, target_table, version_root=version_root, key=key, id_col=id_col,
-                                 batch_size=batch_size, min_ids=min_ids, block_size=block_size)
+                                 batch_size=batch_size, min_ids=min_ids, block_size=block_size, groups=groups)
         new_ledger = L.close_jobs(L.apply_actions(ledger, actions, as_of), outcomes, as_of)
         if ledger_table:
             commit_version(spark, ledger_table, new_ledger, f"{version_root.rstrip('/')}-ledger")

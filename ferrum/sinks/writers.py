@@ -18,7 +18,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ferrum.sinks.versions import exclusive
+from ferrum.sinks.versions import CommitConflict, exclusive
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -231,14 +231,17 @@ def _switch_partitions(spark: SparkSession, table_name: str, cols: list[str], fo
 
 
 def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: str,
-                   partition_cols: list[str] | None = None, touched: list[dict] | None = None) -> str:
+                   partition_cols: list[str] | None = None, touched: list[dict] | None = None,
+                   seen: dict[tuple, str] | None = None) -> str:
     """Write ``df`` to a new version folder under ``root`` and point the catalog table
     ``table_name`` at it, in the table's own layout (partitions, buckets). Returns the folder.
 
     Readers see the whole old or the whole new version. With ``touched`` (partition values) ``df``
     holds the new content of those partitions only and the others keep their files; a touched
     partition without new rows goes. A partitioned table that the catalog owns the files of
-    (managed) is rewritten whole once, as the switch would move its files; it is external then.
+    (managed) is rewritten whole once, as the switch would move its files; it is external then. With
+    ``seen`` (``table_partitions`` as they were when ``df`` was derived) a partition of ``df`` or ``touched`` that
+    another commit has changed since raises ``CommitConflict`` and nothing is switched.
     """
     path = new_version_path(root)
     recover_switch(spark, table_name)
@@ -267,7 +270,11 @@ def commit_version(spark: SparkSession, table_name: str, df: DataFrame, root: st
         if touched is not None:
             gone = {tuple(None if r[c] is None else str(r[c]) for c in cols) for r in touched}
             spark.catalog.refreshTable(table_name)
-            kept = {v: f for v, f in table_partitions(spark, table_name, cols).items() if v not in gone}
+            now = table_partitions(spark, table_name, cols)
+            if seen is not None and any(now.get(v) != seen.get(v) for v in gone | set(new)):
+                remove_folders(spark, [path])
+                raise CommitConflict(f"{table_name}: another commit has changed a partition since it was read")
+            kept = {v: f for v, f in now.items() if v not in gone}
         _switch_partitions(spark, table_name, cols, {**kept, **new}, path)
     spark.catalog.refreshTable(table_name)
     return path

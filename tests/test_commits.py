@@ -300,3 +300,49 @@ def test_partitions_of_a_write_are_added_alone(spark, tmp_dir):
     parts = [r[0] for r in spark.sql("SHOW PARTITIONS added").collect()]
     assert len(parts) == 32 and not any("unlisted" in p for p in parts)
     assert spark.table("added").count() == 63 and rows(spark.table("added").filter("d = 'x/y=1' OR d IS NULL")) == [(1, "x/y=1"), (2, None)]
+
+
+def test_many_keys_share_the_blocks_of_their_group(spark, tmp_dir):
+    df = spark.range(4000).select((F.col("id") % 500).cast("string").alias("kpi"), "id", F.lit("old").alias("v"))
+    df = df.unionByName(spark.createDataFrame([("0", None, "old"), (None, 5, "old")], "kpi string, id long, v string"))
+    how = {"key": "kpi", "id_col": "id", "block_size": 1000, "groups": 3}
+    B.create_blocked_table(spark, "grouped", df, tmp_dir, **how)
+    before = W.table_partitions(spark, "grouped", ["key_group", "id_block"])
+    assert len(before) <= 3 * 5  # 500 keys: not a partition each
+    ranges = spark.createDataFrame([("7", 1500, 1900), (None, 0, 10), ("9", None, 5)], "kpi string, from_id long, to_id long")
+    new = spark.createDataFrame([("7", 1507, "new"), ("8", 3999, "extra")], "kpi string, id long, v string")
+    for _ in range(2):
+        want = rows(W.replace_keyed_ranges(spark.table("grouped").select("kpi", "id", "v"), new, ranges, key="kpi", id_col="id"))
+        hit = B.replace_ranges_in_blocks(spark, "grouped", new, ranges, tmp_dir, **how)
+        assert sorted(rows(spark.table("grouped").select("kpi", "id", "v")), key=str) == sorted(want, key=str)
+        after = W.table_partitions(spark, "grouped", ["key_group", "id_block"])
+        assert len(hit) == 2 and sum(before[k] == after[k] for k in before) == len(before) - 2
+
+
+def test_a_block_that_another_writer_changed_is_replaced_again(spark, tmp_dir, monkeypatch):
+    df = spark.range(40).select((F.col("id") % 4).cast("string").alias("kpi"), "id", F.lit("old").alias("v"))
+    how = {"key": "kpi", "id_col": "id", "block_size": 100, "groups": 1}
+    B.create_blocked_table(spark, "contended", df, tmp_dir, **how)
+    frame = lambda kpi: (spark.createDataFrame([(kpi, 8 + int(kpi), "new")], "kpi string, id long, v string"),
+                         spark.createDataFrame([(kpi, 0, 39)], "kpi string, from_id long, to_id long"))
+    commit, other = B.commit_version, []
+
+    def late(*a, **k):
+        if not other:
+            other.append(1)
+            B.replace_ranges_in_blocks(spark, "contended", *frame("1"), tmp_dir, **how)
+        return commit(*a, **k)
+    monkeypatch.setattr(B, "commit_version", late)
+    B.replace_ranges_in_blocks(spark, "contended", *frame("2"), tmp_dir, **how)
+    want = [(r["kpi"], r["id"], "old") for r in df.collect() if r["kpi"] in "03"] + [("1", 9, "new"), ("2", 10, "new")]
+    assert sorted(rows(spark.table("contended").select("kpi", "id", "v"))) == sorted(want)
+
+
+def test_the_shared_target_has_few_partitions(spark, tmp_dir):
+    from ferrum.plans import catalogue_state as S
+    events = spark.range(3000).select(F.col("id").alias("event_id"), (F.col("id") % 600).alias("user_id"), F.lit("view").alias("event_type"),
+                                      F.lit(5.0).alias("value"), F.timestamp_seconds(F.col("id") + 1704067200).alias("ts"), F.lit("{}").alias("props"))
+    events.write.parquet(f"{tmp_dir}/events.parquet")
+    spark.createDataFrame([(1, "AUTOMOBILE")], "c_custkey long, c_mktsegment string").write.parquet(f"{tmp_dir}/customer.parquet")
+    target = S._shared_loader(spark, tmp_dir, lambda r: r)[1]
+    assert target.count() >= 3000 and len(target.inputFiles()) <= 2 * S.TARGET_GROUPS
