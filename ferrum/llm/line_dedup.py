@@ -12,7 +12,8 @@ same document and a later line) is removed; pairs are judged on the input, not o
    ``n - ceil(p n / 100) + 1`` words for the longer line of a pair, ``n - ceil(2 p n / (100 + p)) + 1``
    for the shorter one. A word that occurs once is not posted. Classes meet on a word if their sizes
    allow the similarity (length filter) and enough words are left from there on (positional filter).
-   The join is an equi-join that Spark can split; words with one class are dropped before it.
+   The join is an equi-join that Spark can split; what it moves names a class by one number. A pair whose 128-bit
+   maps of words differ in more bits than the similarity leaves words to differ is not made.
 4. Surviving pairs are verified on full sets, read back from the texts.
 
 Defined results: lines without a word are never matched or removed; a null text has no lines; a
@@ -94,7 +95,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
 
 def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, tag, line, fingerprint (a, b), n and the posted words (items, at) of every line with a word."""
+    """doc_id, tag, line, fingerprint (a, b), map of words (p, q), n and the posted words (items, at) of every line with a word."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,27 +115,29 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 first_line = np.searchsorted(text_of, text_of[here])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").take(pa.array(text_of[here] + t.first)), b.column("tag").take(pa.array(text_of[here] + t.first)),
-                     pa.array((here - first_line).astype(np.int32)), *_prints(x, start), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[keep]))),
+                     pa.array((here - first_line).astype(np.int32)), *_prints(x, start), *_maps(x, start), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[keep]))),
                      pa.ListArray.from_arrays(cut, pa.array(at[keep].astype(np.int32)))],
-                    names=["doc_id", "tag", "line", "a", "b", "n", "items", "at"])
+                    names=["doc_id", "tag", "line", "a", "b", "p", "q", "n", "items", "at"])
 
-    return docs.mapInArrow(run, "doc_id long, tag long, line int, a long, b long, n int, items array<long>, at array<int>")
+    return docs.mapInArrow(run, "doc_id long, tag long, line int, a long, b long, p long, q long, n int, items array<long>, at array<int>")
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (c, d) of classes (structs of a, b) that pass prefix, length and positional filter."""
-    spots = classes.select(F.struct("a", "b").alias("cls"), "n", F.explode(F.arrays_zip("items", "at")).alias("p")).select(
-        F.col("p.items").alias("item"), "cls", "n", F.col("p.at").alias("at"))
+    """Pairs (c, d) of ids of classes that pass prefix, length and positional filter and that of the maps of words."""
+    spots = classes.select(F.col("id").alias("cls"), "n", "p", "q", F.explode(F.arrays_zip("items", "at")).alias("spot")).select(
+        F.col("spot.items").alias("item"), "cls", "n", "p", "q", F.col("spot.at").alias("at"))
     short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + 1"
-    x = spots.select("item", F.col("cls").alias("c"), F.col("n").alias("n1"), F.col("at").alias("at1"))
-    y = spots.where(short).select("item", F.col("cls").alias("d"), F.col("n").alias("n2"), F.col("at").alias("at2"))
+    x = spots.withColumnsRenamed({"cls": "c", "n": "n1", "p": "p1", "q": "q1", "at": "at1"})
+    y = spots.where(short).withColumnsRenamed({"cls": "d", "n": "n2", "p": "p2", "q": "q2", "at": "at2"})
     longer = "(n1 > n2 OR n1 = n2 AND c > d)"
     room = f"{100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
-    return x.join(y, "item").where(f"{longer} AND 100 * n2 >= {percent} * n1 AND {room}").select("c", "d").distinct()
+    # A bit in which the maps differ is a word that one set has alone.
+    alike = f"{100 + percent} * (n1 + n2 - bit_count(p1 ^ p2) - bit_count(q1 ^ q2)) >= {2 * percent} * (n1 + n2)"
+    return x.join(y, "item").where(f"{longer} AND 100 * n2 >= {percent} * n1 AND {room} AND {alike}").select("c", "d").distinct()
 
 
 def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """a, b, items: the full word sets of the wanted classes (a, b), read in a scan of the texts.
+    """id, items: the full word sets of the wanted classes (id, a, b), read in a scan of the texts.
 
     A bit filter of 2**RARITY_BITS cells keeps most other lines from the shuffle; it is made from the classes that stand in
     a pair. Lines of one class have one set, so one of each slice and then one of all is kept.
@@ -163,7 +166,7 @@ def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                                                  names=["a", "b", "items"])
 
     sets = docs.select("text").mapInArrow(run, "a long, b long, items array<long>")
-    return sets.join(wanted, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
+    return sets.join(wanted.select("a", "b", "id"), ["a", "b"]).dropDuplicates(["a", "b"]).select("id", "items")
 
 
 def _prints(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -172,6 +175,13 @@ def _prints(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
             pa.array(tx.signed(np.add.reduceat(tx.mix(x ^ _U(0x5851F42D4C957F2D)), start))))
 
 
+def _maps(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128-bit maps of word sets: a word sets the bit that its hash names."""
+    bit = x >> _U(57)
+    one = _U(1) << (bit & _U(63))
+    return tuple(pa.array(tx.signed(np.bitwise_or.reduceat(np.where(half, one, _U(0)), start))) for half in (bit < 64, bit >= 64))
+
+
 def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(removed, links) of ``docs`` (doc_id, tag, text): (doc_id, tag, line) of later matches, and (doc_id, tag, line, links) of
     the first lines of classes with the number of other classes they match."""
@@ -179,28 +189,32 @@ def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFram
     place = F.struct("doc_id", "tag", "line")
     # All lines of a class have one set and so one posting: any of them speaks for it.
     firsts = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
-                                         F.first("items").alias("items"), F.first("at").alias("at"))
-    firsts = stored(firsts, "line-classes")
+                                         *[F.first(c).alias(c) for c in ("p", "q", "items", "at")])
+    firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "line-classes")
+    again = lines.select("doc_id", "tag", "line", "a", "b").join(
+        firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).where(
+        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag")) & (F.col("line") == F.col("first.line"))))
+    again = stored(again.select("doc_id", "tag", "line"), "line-again")
+    discard(lines)
     pairs = stored(_candidates(firsts.where(F.size("items") > 0), percent), "line-pairs")
-    ends = pairs.select(F.col("c.a").alias("a"), F.col("c.b").alias("b")).union(pairs.select("d.a", "d.b")).distinct()
-    ends = stored(ends, "line-ends")
-    sets = stored(_class_sets(docs, ends), "line-sets").select(F.struct("a", "b").alias("cls"), "items")
-    x = sets.select(F.col("cls").alias("c"), F.col("items").alias("x"))
-    y = sets.select(F.col("cls").alias("d"), F.col("items").alias("y"))
+    ends = pairs.select(F.col("c").alias("id")).union(pairs.select("d")).distinct()
+    ends = stored(firsts.select("id", "a", "b", "first").join(ends, "id", "left_semi"), "line-ends")
+    discard(firsts)
+    sets = stored(_class_sets(docs, ends), "line-sets")
+    x = sets.select(F.col("id").alias("c"), F.col("items").alias("x"))
+    y = sets.select(F.col("id").alias("d"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     links = stored(pairs.join(y, "d").join(x, "c").where(
         100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("c", "d"), "line-links")
-    discard(pairs)
+    for df in (pairs, sets):
+        discard(df)
     both = links.union(links.select("d", "c"))
-    at = firsts.join(ends, ["a", "b"], "left_semi").select(F.struct("a", "b").alias("d"), F.col("first").alias("g"))
+    at = ends.select(F.col("id").alias("d"), F.col("first").alias("g"))
     found = both.join(at, "d").groupBy("c").agg(F.count("*").alias("links"), F.min("g").alias("g"))
     found = found.join(at.select(F.col("d").alias("c"), F.col("g").alias("f")), "c")
     found = stored(found, "line-found")
-    again = lines.select("doc_id", "tag", "line", "a", "b").join(
-        firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag")) & (F.col("line") == F.col("first.line"))))
-    removed = stored(again.select("doc_id", "tag", "line").union(found.where("g < f").select("f.doc_id", "f.tag", "f.line")), "line-removed")
-    for df in (lines, firsts, links):
+    removed = stored(again.union(found.where("g < f").select("f.doc_id", "f.tag", "f.line")), "line-removed")
+    for df in (again, ends, links):
         discard(df)
     return removed, found.select("f.doc_id", "f.tag", "f.line", "links")
 

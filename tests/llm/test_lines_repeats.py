@@ -143,3 +143,28 @@ def test_fragments_that_meet_nothing_share_no_window():
                 windows.setdefault((part["key"][i], b[k: k + n]), set()).add(i)
         shared = {(part["key"][i], part["bytes"][i]) for v in windows.values() if len(v) > 1 for i in v}
         assert not left & shared and shared and left
+
+
+def test_pairs_that_their_words_rule_out_are_not_read_back(spark, monkeypatch):
+    """Lines that share one rare word and few others are no pairs, and their sets are not read; similar lines all are."""
+    rng = random.Random(5)
+    often = [f"often{k}" for k in range(60)]
+    text = []
+    for k in range(300):  # a word of two lines, then nine that many lines have
+        for _ in range(2):
+            text.append(" ".join([f"rare{k}", *rng.sample(often, 9)]))
+    for k in range(20):
+        w = rng.sample(often, 10)
+        text += [" ".join(w), " ".join([*w, "more"])]
+    seen, keep = {}, line_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        seen[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    got = line_dedup.dedup(frame(spark, [(i, t, "s") for i, t in enumerate(text)])).collect()
+    sets = [set(t.split()) for t in text]
+    want = sum(100 * len(x & y) >= 80 * len(x | y) for x in sets for y in sets if x is not y)
+    assert sum(r["n_links"] for r in got) == want >= 40
+    assert seen["line-pairs"] <= want // 2 + 30
