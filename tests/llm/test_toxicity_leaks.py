@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from brute import lcs, lower, words
 from conftest import frame
 
 from ferrum.llm import decontaminate, toxicity
+from ferrum.llm import text as tx
 from ferrum.llm.base import documents, table
 from ferrum.llm.queries import op5_decontaminate, op8_toxicity
 
@@ -134,3 +137,43 @@ def test_clean_rows_that_share_the_id_of_a_leak(spark):
     assert sorted((r["doc_id"] or 0, r["contaminated"]) for r in got) == [(0, False), (0, False), (0, True), (5, False), (5, True), (6, False)]
     kept = decontaminate.clean(frame(spark, rows), bench).select("doc_id", "text").collect()
     assert {tuple(r) for r in kept} == {r[:2] for r in (rows[1], rows[2], rows[4], rows[5])}
+
+
+def _one_block(items):
+    """A block whose items are their own query passages, without a fit."""
+    bodies = {(k, 0): x for k, x in enumerate(items)}
+    hashes = [decontaminate._terms(next(tx.slices(pa.array([x]))))[1] for x in items]
+    vocabulary = np.unique(np.concatenate(hashes))
+    times = np.array([[(h == v).sum() for v in vocabulary] for h in hashes], dtype=np.int32)
+    empty = np.zeros((0, 1), dtype=np.float32)
+    return decontaminate._Block(empty, empty, empty, np.arange(len(items)), list(bodies), [h.tolist() for h in hashes], [], vocabulary, times)
+
+
+def test_a_word_counts_for_a_subsequence_as_often_as_both_have_it():
+    """Windows full of one word of an item need no subsequence; no window that reaches the share is left out."""
+    rng = random.Random(3)
+    items = [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 12))) for _ in range(6)]
+    texts = [" ".join(rng.choices("abcdefghxy", k=rng.randint(1, 30))) for _ in range(60)] + ["a " * 40, "x y"]
+    block = _one_block(items)
+    item = np.tile(np.arange(len(items)), len(texts))
+    sizes = [len(x.split()) for x in texts]
+    hi = np.repeat(np.cumsum(sizes), len(items))
+    lo = hi - np.repeat(sizes, len(items))
+    h = decontaminate._terms(next(tx.slices(pa.array([" ".join(texts)]))))[1]
+    for most in (1, 50, 1 << 20):
+        got = decontaminate._enough(block, h, item, lo, hi, 0.6, most).tolist()
+        pairs = [(x.split(), items[k].split()) for x in texts for k in range(len(items))]
+        assert got == [sum(min(x.count(w), y.count(w)) for w in set(y)) >= 0.6 * len(y) for x, y in pairs]
+        assert not [1 for (x, y), ok in zip(pairs, got, strict=True) if not ok and lcs(x, y) >= 0.6 * len(y)]
+
+
+def test_steps_that_hold_a_term(spark):
+    """``passage_counts`` against sets of words."""
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choices([f"w{j}" for j in range(30)], k=n)), "s") for k, n in enumerate([0, 1, 16, 17, 40, 333])] + [(9, None, "s")]
+    got, steps = decontaminate.passage_counts(frame(spark, rows).select("text"))
+    parts = [x[k: k + decontaminate.STEP] for _, t, _ in rows for x in [(t or "").split()] for k in range(0, len(x), decontaminate.STEP)]
+    want = np.zeros(decontaminate.TERMS, dtype=np.int64)
+    for part in parts:
+        want[np.unique(decontaminate._terms(next(tx.slices(pa.array([" ".join(part)]))))[2])] += 1
+    assert steps == len(parts) and (got == want).all()
