@@ -2,11 +2,11 @@
 
 Terms are counted under 64-bit digests; text is joined back late, for the few rows that show it.
 
-1. A scan of the texts emits (lang, digest, documents), combined per slice of text; the sums tell which
+1. A scan of the texts emits (lang, digest, documents), combined per batch of rows; the sums tell which
    digests reach ``least_docs`` documents of a language. Two terms under one digest only add up, so no
    kept term is missed.
 2. A second scan keeps the words whose digest may be kept (a bit filter of 2**FILTER_BITS cells, whatever
-   the corpus) and writes (lang, source, digest, documents, occurrences, term), combined per slice.
+   the corpus) and writes (lang, source, digest, documents, occurrences, term), combined per batch.
 3. Counting shuffles digests only. Of each digest the smallest and the largest term are taken (combined
    before their shuffle): where they differ, terms have collided, and that digest's rows are counted
    again under the terms themselves (column ``part``, which is empty everywhere else).
@@ -37,7 +37,8 @@ from ferrum.llm.base import discard, stored
 from ferrum.llm.text import Texts, signed, slices, word_hashes, words
 
 FILTER_BITS = 23
-SLICE = 4 << 20
+SLICE = 2 << 20
+ROWS = 1 << 17
 TILE = 32
 BLOCK_TERMS = 4096
 BLOCKS = 64
@@ -62,18 +63,22 @@ def _texts_of(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arr
     """Byte ranges of a buffer as strings."""
     size = ends - starts
     offs = np.concatenate([[0], np.cumsum(size)])
-    at = np.arange(offs[-1]) - np.repeat(offs[:-1] - starts, size)
+    kind = np.int32 if len(lower) < 1 << 31 else np.int64
+    at = np.arange(offs[-1], dtype=kind) - np.repeat((offs[:-1] - starts).astype(kind), size)
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(lower[at]))
 
 
 def _counter(names: list[str], bits: int, shared=None):
-    """Arrow batches of documents -> per slice, group of ``names`` and digest: documents, and with ``shared``
-    (words of the bit filter) occurrences and the term, for the digests that pass the filter."""
+    """Arrow batches of documents -> per batch, group of ``names`` and digest: documents, and with ``shared``
+    (words of the bit filter) occurrences and the term, for the digests that pass the filter. Counts are made by
+    slice, then added up over the batch's slices."""
     mask = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             code, values = _groups(batch, names)
+            parts: list[list] = []  # by slice: digest, group, documents, occurrences, place of its term; and the terms
+            terms: list[pa.Array] = []
             for raw in slices(batch.column("text"), SLICE):
                 t = Texts(raw.first, _TERM[raw.buf], raw.offs)
                 w = words(t)
@@ -86,29 +91,64 @@ def _counter(names: list[str], bits: int, shared=None):
                 if not len(here):
                     continue
                 digest, owner = digest[here], owner[here]
-                group = code[owner + t.first]
-                order = np.lexsort((owner, group, digest))
-                digest, owner, group, here = digest[order], owner[order], group[order], here[order]
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (digest[1:] != digest[:-1]) | (group[1:] != group[:-1])
-                doc = new.copy()
-                doc[1:] |= owner[1:] != owner[:-1]
+                group = code[t.first: t.first + len(t)]
+                found = pa.array(digest).dictionary_encode()
+                word = found.indices.to_numpy().astype(np.int64)
                 if shared is not None:  # a digest of several terms: one row for each of them
                     text = _texts_of(t.buf, w.starts[here], w.ends[here])
-                    if len(text.dictionary_encode().dictionary) > len(np.unique(digest)):
-                        yield from _by_text(text, digest, owner, group, values, names)
+                    if len(text.dictionary_encode().dictionary) > len(found.dictionary):
+                        yield from _by_text(text, digest, owner, group[owner], values, names)
                         continue
+                # One number for a digest and a document, documents in the order of their groups.
+                by_group = np.argsort(group, kind="stable")
+                place = np.empty(len(t), dtype=np.int64)
+                place[by_group] = np.arange(len(t))
+                key = word * len(t) + place[owner]
+                key.sort()
+                new = np.ones(len(key), dtype=bool)
+                new[1:] = key[1:] != key[:-1]
+                doc = np.flatnonzero(new)
+                term, place = np.divmod(key[doc], len(t))
+                group = group[by_group[place]]
+                new = np.ones(len(doc), dtype=bool)
+                new[1:] = (term[1:] != term[:-1]) | (group[1:] != group[:-1])
                 at = np.flatnonzero(new)
-                columns = [*values.take(pa.array(group[at])).itercolumns()]
-                columns = [c.combine_chunks() for c in columns]
-                columns += [pa.array(signed(digest[at])), pa.array(np.add.reduceat(doc.astype(np.int64), at))]
+                term = term[at]
+                parts.append([found.dictionary.to_numpy()[term], group[at], np.diff(np.append(at, len(doc))), np.diff(np.append(doc[at], len(key)))])
                 if shared is not None:
-                    columns += [pa.array(np.diff(np.append(at, len(order)))), text.take(pa.array(at))]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "digest", "docs", "n", "term"][: len(columns)])
+                    first = np.empty(len(found.dictionary), dtype=np.int64)
+                    first[word] = np.arange(len(word))  # any word of the digest
+                    terms.append(text.take(pa.array(first[term])))
+                del t, w, digest, owner, here, word, place, key, new, doc, found
+            yield from _added(parts, terms, values, names)
 
     return run
 
 
+def _added(parts: list[list], terms: list[pa.Array], values: pa.Table, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The counts of a batch's slices by digest and group; slice by slice where two of them show different terms of a digest."""
+    if not parts:
+        return
+    digest, group, docs, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    text = pa.concat_arrays(terms) if terms else None
+    found = pa.array(digest).dictionary_encode()
+    at = np.arange(len(digest))
+    if text is None or len(text.dictionary_encode().dictionary) == len(found.dictionary):
+        key = found.indices.to_numpy().astype(np.int64) * len(values) + group
+        order = np.argsort(key)
+        start = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        at = order[start]
+        docs, n = np.add.reduceat(docs[order], start), np.add.reduceat(n[order], start)
+    for a in range(0, len(at), ROWS):
+        here = pa.array(at[a: a + ROWS])
+        columns = [c.combine_chunks() for c in values.take(pa.array(group[at[a: a + ROWS]])).itercolumns()]
+        columns += [pa.array(signed(digest[at[a: a + ROWS]])), pa.array(docs[a: a + ROWS])]
+        if text is not None:
+            columns += [pa.array(n[a: a + ROWS]), text.take(here)]
+        yield pa.RecordBatch.from_arrays(columns, [*names, "digest", "docs", "n", "term"][: len(columns)])
+
+
 def _by_text(text, digest, owner, group, values: pa.Table, names: list[str]) -> Iterator[pa.RecordBatch]:
     """The counts of one slice in which digests have several terms, by term."""
     frame = pd.DataFrame({"digest": signed(digest), "term": text.to_pandas(), "g": group, "owner": owner})

@@ -1,8 +1,11 @@
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import audit, conversation
 from conftest import frame
@@ -149,3 +152,19 @@ def test_divergence_edges(spark, edge, empty):
     one = D.divergence(frame(spark, [(1, "x " * 200_000, "s")] * 12 + [(None, "x y", None)]))
     got = {tuple(r) for r in one.collect()}
     assert {r[:4] for r in got} >= {("en", "s", "pair", ""), ("en", "", "pair", "s")} and len(got) <= 4
+
+
+@pytest.mark.parametrize("bits", [64, 3])
+def test_counts_of_a_slice(bits):
+    """Documents and occurrences by group and term, repeated terms and colliding digests too."""
+    rng = random.Random(bits)
+    rows = [(rng.choice("xy"), rng.choice(["p", "q", ""]), " ".join(rng.choices(["a", "B", "b", "cc", "ddddddddddd"], k=rng.randint(0, 9)))) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["lang", "source", "text"])
+    everything = SimpleNamespace(value=np.full(1 << (D.FILTER_BITS - 6), 2**64 - 1, dtype=np.uint64))
+    got = [r for b in D._counter(["lang", "source"], bits, everything)(iter([batch])) for r in b.to_pylist()]
+    want = {}
+    for lang, source, text in rows:
+        for w in set(x := text.lower().split()):
+            n, docs = want.get((lang, source, w), (0, 0))
+            want[lang, source, w] = (n + x.count(w), docs + 1)
+    assert len(got) == len(want) and {(r["lang"], r["source"], r["term"]): (r["n"], r["docs"]) for r in got} == want
