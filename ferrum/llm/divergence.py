@@ -39,6 +39,8 @@ from ferrum.llm.text import Texts, signed, slices, word_hashes, words
 FILTER_BITS = 23
 SLICE = 2 << 20
 ROWS = 1 << 17
+#: Rows of slices that are held until they are added up, however long a batch's texts are.
+HELD = 1 << 19
 TILE = 32
 BLOCK_TERMS = 4096
 BLOCKS = 64
@@ -120,6 +122,8 @@ def _counter(names: list[str], bits: int, shared=None):
                     first[word] = np.arange(len(word))  # any word of the digest
                     terms.append(text.take(pa.array(first[term])))
                 del t, w, digest, owner, here, word, place, key, new, doc, found
+                if sum(len(x[0]) for x in parts) >= HELD:
+                    yield from _added(parts, terms, values, names)
             yield from _added(parts, terms, values, names)
 
     return run
@@ -132,6 +136,7 @@ def _added(parts: list[list], terms: list[pa.Array], values: pa.Table, names: li
     digest, group, docs, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
     text = pa.concat_arrays(terms) if terms else None
+    terms.clear()
     found = pa.array(digest).dictionary_encode()
     at = np.arange(len(digest))
     if text is None or len(text.dictionary_encode().dictionary) == len(found.dictionary):
