@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from test_mixing_sharding import check_mix, check_shards
 
 from ferrum.llm import toxicity
-from ferrum.llm.base import documents, stored, table
+from ferrum.llm.base import documents, stored, table, trim
 
 
 def test_each_stage_against_its_definition(spark, sf):
@@ -64,3 +64,11 @@ def test_stages_take_edges_and_empty_tables(spark, sf, edge, empty):
             assert docs.columns == columns or name == "shard"
         assert docs.count() == 0 if n == 0 else docs.count() > 0
         assert docs.where(F.col("slot") < 0).count() == 0
+
+
+def test_the_driver_gives_freed_native_memory_back(spark):
+    """The JVM's own command is reached where it has it; a command that it does not have is no error."""
+    has = spark.sparkContext._jvm.System.getProperty("java.version").split(".")
+    if [int(x.split("-")[0]) for x in has][:3] >= [17, 0, 9]:
+        assert "rim" in trim(spark)
+    assert trim(spark, "noSuchCommand") == ""
