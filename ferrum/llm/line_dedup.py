@@ -39,6 +39,8 @@ _U = np.uint64
 _MASK = _U((1 << RARITY_BITS) - 1)
 #: Lines that one sort key tells apart: 64 bits less 19 of the counter and 24 of the hash.
 KEY_LINES = 1 << 21
+#: Cells of the bit filter of ``_read_sets``, a power of two, whatever the corpus: 512 KB.
+CLASS_BITS = 22
 
 
 def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -136,18 +138,19 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     return x.join(y, "item").where(f"{longer} AND 100 * n2 >= {percent} * n1 AND {room} AND {alike}").select("c", "d").distinct()
 
 
-def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, items: the full word sets of the wanted classes (id, a, b), read in a scan of the texts.
+def _read_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """a, b, items: full word sets read in a scan of the texts: those of the wanted classes (id, a, b), and a few others.
 
-    A bit filter of 2**RARITY_BITS cells keeps most other lines from the shuffle; it is made from the classes that stand in
+    A bit filter of 2**CLASS_BITS cells keeps most other lines from the shuffle; it is made from the classes that stand in
     a pair. Lines of one class have one set, so one of each slice and then one of all is kept.
     """
-    size = 1 << RARITY_BITS
-    cell = F.pmod("a", F.lit(size)).cast("int")
-    shared = docs.sparkSession.sparkContext.broadcast(counters(wanted.select(cell.alias("i")).distinct().withColumn("n", F.lit(1)), size) > 0)
+    cells = 1 << CLASS_BITS
+    cell = wanted.select(F.pmod("a", F.lit(cells)).alias("cell"))
+    words = cell.groupBy(F.shiftright("cell", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 AS int))")).alias("n"))
+    shared = docs.sparkSession.sparkContext.broadcast(counters(words, cells >> 6))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.zeros(size, dtype=np.int32)
+        flat = np.zeros(1 << RARITY_BITS, dtype=np.int32)
         for b in batches:
             for t in tx.slices(b.column("text")):
                 _, _, _, line, h = _lines(t)
@@ -159,13 +162,19 @@ def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 n = np.diff(np.append(start, len(l)))
                 by = np.lexsort((other, a))
                 one = by[np.append(True, (np.diff(a[by]) != 0) | (np.diff(other[by]) != 0))]  # one line of each class
-                take = one[shared.value[a[one] % size]]
+                c = a[one] % cells
+                take = one[shared.value[c >> 6] >> (c & 63) & 1 > 0]
                 cut = np.concatenate([[0], np.cumsum(n[take])]).astype(np.int32)
                 at = np.arange(cut[-1]) - np.repeat(cut[:-1] - start[take], n[take])
                 yield pa.RecordBatch.from_arrays([pa.array(a[take]), pa.array(other[take]), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[at])))],
                                                  names=["a", "b", "items"])
 
-    sets = docs.select("text").mapInArrow(run, "a long, b long, items array<long>")
+    return docs.select("text").mapInArrow(run, "a long, b long, items array<long>")
+
+
+def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, items: the full word sets of the wanted classes (id, a, b)."""
+    sets = _read_sets(docs, wanted)
     return sets.join(wanted.select("a", "b", "id"), ["a", "b"]).dropDuplicates(["a", "b"]).select("id", "items")
 
 
@@ -232,12 +241,11 @@ def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
         links.select("doc_id", "tag", F.struct("line", "links", F.lit(False).alias("cut")).alias("m")))
     marks = marks.groupBy("doc_id", "tag").agg(F.collect_set("m").alias("marks"))
     marks = stored(marks.withColumnsRenamed({"doc_id": "id_", "tag": "tag_"}), "line-marks")
-    # Texts without a mark stay out of the shuffle.
+    # Texts without a mark stay out of the shuffle; they are told and finished in one Python worker.
     hit = marks.select(F.col("tag_").alias("tag"))
     joined = possible(docs, hit, "tag").join(
         marks, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("tag") == F.col("tag_")), "left").select("doc_id", "text", "marks")
     none = F.lit(None).cast(joined.schema["marks"].dataType).alias("marks")
-    joined = joined.unionByName(possible(docs, hit, "tag", others=True).select("doc_id", "text", none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -259,4 +267,6 @@ def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
                     [b.column("doc_id").slice(t.first, len(t)), *(pa.array(x, pa.int64()) for x in c[:3]), pa.array(c[3], pa.binary()).cast(pa.string()),
                      pa.array(c[4])], names=["doc_id", "n_lines", "n_removed", "n_links", "kept", "kept_sha256"])
 
-    return joined.mapInArrow(run, "doc_id long, n_lines long, n_removed long, n_links long, kept string, kept_sha256 string")
+    schema = "doc_id long, n_lines long, n_removed long, n_links long, kept string, kept_sha256 string"
+    return joined.mapInArrow(run, schema).union(
+        possible(docs.select("doc_id", "text", "tag", none), hit, "tag", others=True, then=run, schema=schema))

@@ -168,3 +168,33 @@ def test_pairs_that_their_words_rule_out_are_not_read_back(spark, monkeypatch):
     want = sum(100 * len(x & y) >= 80 * len(x | y) for x in sets for y in sets if x is not y)
     assert sum(r["n_links"] for r in got) == want >= 40
     assert seen["line-pairs"] <= want // 2 + 30
+
+
+def test_a_task_of_the_last_step_has_one_python_worker(spark):
+    """Texts without a mark go through one Python step, not through two in one task."""
+    got = line_dedup.dedup(frame(spark, [(i, f"alpha beta {i}\ngamma delta epsilon zeta eta {i % 2}", "s") for i in range(20)]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above, chained = [], []  # nodes from the root down to the line, joins and Python steps only; a join's inputs are other tasks
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-")
+        deep = len(line) - len(name)
+        above = [x for x in above if x[0] < deep]
+        if name.startswith("MapInArrow"):
+            chained.append(bool(above) and above[-1][1] == "MapInArrow")
+        if name.startswith(("MapInArrow", "Join")):
+            above.append((deep, name.split(" ")[0].split("(")[0]))
+    assert len(chained) >= 3 and not any(chained)
+    assert got.count() == 20
+
+
+def test_few_sets_besides_the_wanted_are_shuffled(spark):
+    """The bit filter of the class sets keeps out nearly all lines that stand in no pair, also where many do."""
+    from pyspark.sql import functions as F
+    docs = frame(spark, [(i, "\n".join(f"word{40 * i + k} other{40 * i + k}" for k in range(40)), "s") for i in range(1000)])
+    docs = docs.withColumn("tag", F.xxhash64("text"))
+    lines = line_dedup._posted(docs, line_dedup.word_counts(docs), 80).select("a", "b").distinct()
+    wanted = lines.where("pmod(b, 8) = 0").withColumn("id", F.monotonically_increasing_id()).localCheckpoint()
+    n = wanted.count()
+    assert n > 4000 and n <= line_dedup._read_sets(docs, wanted).count() <= 1.05 * n
+    sets = line_dedup._class_sets(docs, wanted)
+    assert sets.count() == n and sets.select("id").distinct().count() == n
