@@ -12,9 +12,12 @@ same document and a later line) is removed; pairs are judged on the input, not o
    ``n - ceil(p n / 100) + 1`` words for the longer line of a pair, ``n - ceil(2 p n / (100 + p)) + 1``
    for the shorter one. A word that occurs once is not posted. Classes meet on a word if their sizes
    allow the similarity (length filter) and enough words are left from there on (positional filter).
-   The join is an equi-join that Spark can split; what it moves names a class by one number. A pair whose 128-bit
-   maps of words differ in more bits than the similarity leaves words to differ is not made.
-4. Surviving pairs are verified on full sets, read back from the texts.
+   A word of very many classes is dealt to parts, of which every two meet. A pair whose 128-bit maps of words differ in
+   more bits than the similarity leaves words to differ is not made.
+4. Classes are numbered in the order of the smallest hash in their sets, so similar ones are mostly neighbours; ``BLOCK``
+   neighbours are a block. What the words show is written as pairs of blocks, each once, with a bit for each class that
+   stands in a pair, so a large group of similar lines gives a row for up to ``BLOCK``**2 pairs.
+5. The classes of two blocks are verified on full sets, read back from the texts, and counted; pairs are not written.
 
 Defined results: lines without a word are never matched or removed; a null text has no lines; a
 repeated row counts as the same document and gets the same answer as its twin; rows with one id and
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +45,19 @@ _MASK = _U((1 << RARITY_BITS) - 1)
 KEY_LINES = 1 << 21
 #: Cells of the bit filter of ``_read_sets``, a power of two, whatever the corpus: 512 KB.
 CLASS_BITS = 22
-
-
-def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end and text of each line, and (line, hash) of each word in line order."""
-    t = tx.lower(t)
+#: Classes of one block; a bit of a long each.
+BLOCK = 64
+#: Postings of one part of a word, so a group of postings that meet has twice as many at most.
+PART = 1 << 14
+#: Postings that meet in one bucket of words, besides those of a part, and pairs or words that a task compares at once.
+HELD = 1 << 17
+#: Postings that a task holds before they go to their buckets.
+SENT = 1 << 20
+
+
+def _places(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, tx.Words]:
+    """First byte, end and text of each line, and the line of each word, with the words."""
     w = tx.words(t)
-    h = tx.word_hashes(t, w)
     brk = np.flatnonzero(t.buf == 10)
     lo = np.sort(np.concatenate([t.offs[:-1], brk + 1]))
     text_of = np.repeat(np.arange(len(t)), np.diff(np.searchsorted(brk, t.offs)) + 1)
@@ -55,7 +65,14 @@ def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     last = np.append(text_of[1:] != text_of[:-1], True)
     hi = np.where(last, t.offs[text_of + 1], hi - 1)
     line = np.searchsorted(lo, w.starts, side="right") - 1
-    return lo, hi, text_of, line, h
+    return lo, hi, text_of, line, w
+
+
+def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and text of each line, and (line, hash) of each word in line order."""
+    t = tx.lower(t)
+    lo, hi, text_of, line, w = _places(t)
+    return lo, hi, text_of, line, tx.word_hashes(t, w)
 
 
 def _sorted_sets(line: np.ndarray, h: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +85,7 @@ def _sorted_sets(line: np.ndarray, h: np.ndarray, often: np.ndarray) -> tuple[np
     n = often[(h & _MASK).astype(np.int64)]
     rank = np.minimum(n, (1 << 19) - 1).astype(_U)
     key = ((line - line[:1]).astype(_U) << _U(43)) | (rank << _U(24)) | (h >> _U(40))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     k, l, x, n = key[order], line[order], h[order], n[order]
     tie = np.flatnonzero((k[1:] == k[:-1]) & (x[1:] != x[:-1]))
     if len(tie):  # different words with one key: order them by the whole hash
@@ -96,8 +113,12 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     return np.minimum(counters(counts, size), 2**31 - 1).astype(np.int32)
 
 
+PLACE = "struct<doc_id:long,tag:long,line:int>"
+
+
 def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
-    """doc_id, tag, line, fingerprint (a, b), map of words (p, q), n and the posted words (items, at) of every line with a word."""
+    """The classes of each slice of texts: smallest hash m, fingerprint (a, b), map of words (p, q), n, the posted words (items),
+    the first of them at ``at`` of the set's order, and the places of the lines."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,32 +131,177 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 start = np.flatnonzero(np.concatenate([[True], l[1:] != l[:-1]]))
                 size = np.diff(np.append(start, len(l)))
                 here = l[start]
-                at = np.arange(len(l)) - np.repeat(start, size)
-                reach = size + (-percent * size // 100) + 1
-                keep = (at < np.repeat(reach, size)) & (n > 1)
-                cut = np.concatenate([[0], np.cumsum(np.add.reduceat(keep, start))]).astype(np.int32)
+                prints = [c.to_numpy() for c in _prints(x, start)]
+                by = np.lexsort(prints[::-1])
+                new = np.append(True, (np.diff(prints[0][by]) != 0) | (np.diff(prints[1][by]) != 0))
+                one = by[new]  # a line of each class
+                alone = np.add.reduceat(n == 1, start)[one]  # words that occur once come first
+                posted = np.maximum(size[one] + (-percent * size[one] // 100) + 1 - alone, 0)
+                cut = np.concatenate([[0], np.cumsum(posted)])
+                at = np.arange(cut[-1]) + np.repeat(start[one] + alone - cut[:-1], posted)
+                owner = pa.array(text_of[here][by] + t.first)
                 first_line = np.searchsorted(text_of, text_of[here])
+                places = pa.StructArray.from_arrays([b.column("doc_id").take(owner), b.column("tag").take(owner), pa.array((here - first_line)[by].astype(np.int32))],
+                                                    names=["doc_id", "tag", "line"])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(pa.array(text_of[here] + t.first)), b.column("tag").take(pa.array(text_of[here] + t.first)),
-                     pa.array((here - first_line).astype(np.int32)), *_prints(x, start), *_maps(x, start), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[keep]))),
-                     pa.ListArray.from_arrays(cut, pa.array(at[keep].astype(np.int32)))],
-                    names=["doc_id", "tag", "line", "a", "b", "p", "q", "n", "items", "at"])
+                    [pa.array(tx.signed(np.minimum.reduceat(tx.mix(x + _U(9)), start)[one])), *(pa.array(c[one]) for c in prints), *(c.take(pa.array(one)) for c in _maps(x, start)),
+                     pa.array(size[one].astype(np.int32)), pa.array(alone.astype(np.int32)), pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(tx.signed(x[at]))),
+                     pa.ListArray.from_arrays(np.append(np.flatnonzero(new), len(by)).astype(np.int32), places)],
+                    names=["m", "a", "b", "p", "q", "n", "at", "items", "places"])
 
-    return docs.mapInArrow(run, "doc_id long, tag long, line int, a long, b long, p long, q long, n int, items array<long>, at array<int>")
+    return docs.mapInArrow(run, f"m long, a long, b long, p long, q long, n int, at int, items array<long>, places array<{PLACE}>")
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (c, d) of ids of classes that pass prefix, length and positional filter and that of the maps of words."""
-    spots = classes.select(F.col("id").alias("cls"), "n", "p", "q", F.explode(F.arrays_zip("items", "at")).alias("spot")).select(
-        F.col("spot.items").alias("item"), "cls", "n", "p", "q", F.col("spot.at").alias("at"))
-    short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + 1"
-    x = spots.withColumnsRenamed({"cls": "c", "n": "n1", "p": "p1", "q": "q1", "at": "at1"})
-    y = spots.where(short).withColumnsRenamed({"cls": "d", "n": "n2", "p": "p2", "q": "q2", "at": "at2"})
-    longer = "(n1 > n2 OR n1 = n2 AND c > d)"
-    room = f"{100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
-    # A bit in which the maps differ is a word that one set has alone.
-    alike = f"{100 + percent} * (n1 + n2 - bit_count(p1 ^ p2) - bit_count(q1 ^ q2)) >= {2 * percent} * (n1 + n2)"
-    return x.join(y, "item").where(f"{longer} AND 100 * n2 >= {percent} * n1 AND {room} AND {alike}").select("c", "d").distinct()
+def _parts(classes: DataFrame, often: np.ndarray) -> tuple[np.ndarray, int]:
+    """Into how many parts the postings of a counter's words are dealt, ``PART`` postings a part, and the number of all postings."""
+    size = 1 << RARITY_BITS
+    shared = classes.sparkSession.sparkContext.broadcast(often > PART)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size + 1, dtype=np.int64)
+        for b in batches:
+            cell = (b.column("items").flatten().to_numpy().view(_U) & _MASK).astype(np.int64)
+            total[:size] += np.bincount(cell[shared.value[cell]], minlength=size)
+            total[size] += len(cell)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
+
+    counts = classes.select("items").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).where(f"n > {PART} OR i = {size}")
+    counts = counters(counts, size + 1)
+    return np.maximum(-(-counts[:size] // PART), 1).astype(np.int32), int(counts[size])
+
+
+def _packed(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """A row for each bucket, with what it has of the columns as arrays."""
+    by = np.argsort(bucket, kind="stable")
+    start = np.flatnonzero(np.append(np.ones(min(len(by), 1), bool), np.diff(bucket[by]) != 0))
+    cut = pa.array(np.append(start, len(by)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[by][start].astype(np.int32)), *(pa.ListArray.from_arrays(cut, pa.array(c[by])) for c in columns)],
+                                      names=["bucket", *names])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of each bucket of ``_packed`` rows that are in the order of the buckets."""
+    held, now = [], None
+    for b in batches:
+        bucket = b.column("bucket").to_numpy()
+        cut = (np.flatnonzero(np.diff(bucket)) + 1).tolist()
+        for lo, hi in zip([0, *cut], [*cut, len(b)], strict=True):
+            if lo == hi:
+                continue
+            if held and bucket[lo] != now:
+                yield [np.concatenate(c) for c in zip(*held, strict=True)]
+                held = []
+            now = bucket[lo]
+            held.append([c.slice(lo, hi - lo).flatten().to_numpy() for c in b.columns[1:]])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _postings(classes: DataFrame, parts: np.ndarray, buckets: int) -> DataFrame:
+    """Arrays key, side, cls, n, at, p, q with an entry for each posted word of a class, by bucket of keys. A key is a word, or two
+    parts of it; in that of two different parts only classes of different sides meet."""
+    shared = classes.sparkSession.sparkContext.broadcast(parts)
+
+    def dealt(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        post = [np.concatenate(c) for c in zip(*held, strict=True)]
+        bucket = (post[0] >> _U(32)) % _U(buckets)
+        post[0] = tx.signed(post[0])
+        return _packed(bucket, post, ["key", "side", "cls", "n", "at", "p", "q"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, many = [], 0
+        for b in batches:
+            words = b.column("items").flatten().to_numpy().view(_U)
+            k = pc.list_value_length(b.column("items")).to_numpy()
+            owner = np.repeat(np.arange(len(b)), k)
+            cls, n, at, p, q = (b.column(c).to_numpy() for c in ("id", "n", "at", "p", "q"))
+            at = at[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(k) - k, k)
+            of = shared.value[(words & _MASK).astype(np.int64)]
+            post = np.repeat(np.arange(len(words)), of)
+            other = np.arange(len(post)) - np.repeat(np.cumsum(of) - of, of)
+            own = (tx.mix(cls.view(_U))[owner[post]] % of[post].astype(_U)).astype(np.int64)
+            both = (np.minimum(own, other) << 32 | np.maximum(own, other)).astype(_U)
+            key = np.where(of[post] > 1, tx.mix(words[post] ^ tx.mix(both + _U(1))), words[post])
+            owner = owner[post]
+            held.append([key, np.sign(own - other).astype(np.int8), cls[owner], n[owner], at[post].astype(np.int32), p[owner], q[owner]])
+            many += len(post)
+            if many >= SENT:
+                yield dealt(held)
+                held, many = [], 0
+        if many:
+            yield dealt(held)
+
+    return classes.select("id", "n", "at", "p", "q", "items").mapInArrow(
+        run, "bucket int, key array<long>, side array<byte>, cls array<long>, n array<int>, at array<int>, p array<long>, q array<long>")
+
+
+def _once(x: np.ndarray, y: np.ndarray, mx: np.ndarray, my: np.ndarray) -> list[np.ndarray]:
+    """Each pair of blocks (x, y) once, with the classes of either that some row has."""
+    by = np.lexsort((y, x))
+    x, y = x[by], y[by]
+    start = np.flatnonzero(np.append(np.ones(min(len(x), 1), bool), (np.diff(x) != 0) | (np.diff(y) != 0)))
+    if not len(start):
+        return [x, y, mx, my]
+    return [x[start], y[start], np.bitwise_or.reduceat(mx[by], start), np.bitwise_or.reduceat(my[by], start)]
+
+
+def _blocked(c: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
+    """(x, y, mx, my) of pairs of classes: each pair of blocks x <= y once, and the classes of either that stand in a pair."""
+    lo, hi = np.minimum(c, d), np.maximum(c, d)
+    x, y, mx, my = lo // BLOCK, hi // BLOCK, np.int64(1) << lo % BLOCK, np.int64(1) << hi % BLOCK
+    return _once(x, y, np.where(x == y, mx | my, mx), np.where(x == y, mx | my, my))
+
+
+def _meet(post: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of classes that meet on a key and pass length filter, positional filter and that of the maps of words."""
+    key, side, cls, n, at, p, q = post
+    by = np.lexsort((n, key))
+    key, side, cls, n, at, p, q = (c[by] for c in (key, side, cls, n.astype(np.int64), at.astype(np.int64), p, q))
+    start = np.flatnonzero(np.append(True, np.diff(key) != 0))
+    end = np.repeat(np.append(start[1:], len(key)), np.diff(np.append(start, len(key))))
+    y = np.flatnonzero(at < n + (-2 * percent * n // (100 + percent)) + 1)  # the shorter line of a pair, or either of two
+    step = 0
+    while len(y):
+        step += 1
+        y = y[y + step < end[y]]
+        y = y[100 * n[y] >= percent * n[y + step]]
+        x = y + step
+        room = (100 + percent) * np.minimum(n[x] - at[x], n[y] - at[y]) >= percent * (n[x] + n[y])
+        c, d = x[room], y[room]
+        # A bit in which the maps differ is a word that one set has alone.
+        differ = np.bitwise_count((p[c] ^ p[d]).view(_U)).astype(np.int64) + np.bitwise_count((q[c] ^ q[d]).view(_U))
+        alike = ((100 + percent) * (n[c] + n[d] - differ) >= 2 * percent * (n[c] + n[d])) & ((side[c] != side[d]) | (side[c] == 0))
+        yield cls[c[alike]], cls[d[alike]]
+
+
+def _candidates(classes: DataFrame, parts: np.ndarray, postings: int, percent: int) -> DataFrame:
+    """x, y, mx, my: pairs of blocks with the classes that pass prefix, length and positional filter and that of the maps of words."""
+    buckets, names = max(1, -(-postings // HELD)), ["x", "y", "mx", "my"]
+
+    def sent(got: list[list[np.ndarray]]) -> pa.RecordBatch:
+        pairs = _once(*(np.concatenate(c) for c in zip(*got, strict=True)))
+        return _packed((tx.mix(pairs[0].view(_U) ^ tx.mix(pairs[1].view(_U))) % _U(buckets)).astype(np.int64), pairs, names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, many = [], 0
+        for post in _unpacked(batches):
+            for c, d in _meet(post, percent):
+                got.append(_blocked(c, d))
+                many += len(got[-1][0])
+                if many > SENT:
+                    yield sent(got)
+                    got, many = [], 0
+        if many:
+            yield sent(got)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pairs in _unpacked(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _once(*pairs)], names=names)
+
+    post = _postings(classes, parts, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    met = post.mapInArrow(meet, "bucket int, " + ", ".join(f"{c} array<long>" for c in names)).repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(once, ", ".join(f"{c} long" for c in names))
 
 
 def _read_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,9 +339,82 @@ def _read_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, items: the full word sets of the wanted classes (id, a, b)."""
+    """items: the full word sets of the wanted classes (id, a, b), and what else ``wanted`` has of them."""
     sets = _read_sets(docs, wanted)
-    return sets.join(wanted.select("a", "b", "id"), ["a", "b"]).dropDuplicates(["a", "b"]).select("id", "items")
+    return sets.join(wanted, ["a", "b"]).dropDuplicates(["a", "b"]).drop("a", "b")
+
+
+def _before(i: np.ndarray, j: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+    """Whether row i stands before row j in the order of the keys."""
+    less, same = np.zeros(len(i), dtype=bool), np.ones(len(i), dtype=bool)
+    for k in keys:
+        less |= same & (k[i] < k[j])
+        same &= k[i] == k[j]
+    return less
+
+
+def _verified(blocks: DataFrame, percent: int) -> DataFrame:
+    """id, links, later: of pairs of blocks with their classes xs and ys (none where both are one block), how many others each
+    class matches among them, and whether one of these stands earlier."""
+
+    def pairs(row: np.ndarray, x: np.ndarray, n: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (i, j) in the members of the pairs to compare, ``HELD`` words at a time; members of a row stand together, those of xs first."""
+        some, ys = np.bincount(row, minlength=rows), np.bincount(row[~x], minlength=rows)
+        end = np.cumsum(some)
+        at = np.arange(len(row))
+        first = np.where(ys[row] > 0, (end - ys)[row], at + 1)
+        many = np.where(x, end[row] - first, 0)
+        words = np.cumsum(many * n)
+        cut = np.searchsorted(words, np.arange(HELD, (words[-1] if len(words) else 0) + HELD, HELD), side="right")
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(row)], strict=True):
+            if a < b:
+                i = np.repeat(at[a:b], many[a:b])
+                yield i, np.arange(len(i)) + np.repeat(first[a:b] - (np.cumsum(many[a:b]) - many[a:b]), many[a:b])
+
+    def compared(part: pa.RecordBatch) -> pa.RecordBatch | None:
+        k = [pc.list_value_length(part.column(c)).to_numpy() for c in ("xs", "ys")]
+        row = np.concatenate([np.repeat(np.arange(len(part)), c) for c in k])
+        x = np.arange(len(row)) < k[0].sum()
+        by = np.argsort(row, kind="stable")  # members of xs, then of ys, row by row
+        member = pa.concat_arrays([part.column(c).flatten() for c in ("xs", "ys")]).take(pa.array(by))
+        row, x = row[by], x[by]
+        ids = member.field("id").to_numpy()
+        n = pc.list_value_length(member.field("items")).to_numpy().astype(np.int64)
+        words, code = np.unique(member.field("items").flatten().to_numpy(), return_inverse=True)
+        begin = np.cumsum(n) - n
+        table = np.sort(np.repeat(np.arange(len(n)), n) * len(words) + code)
+        place = member.field("first")
+        doc = place.field("doc_id")
+        keys = [pc.is_valid(doc).to_numpy(zero_copy_only=False), pc.fill_null(doc, 0).to_numpy(), place.field("tag").to_numpy(), place.field("line").to_numpy()]
+        found = []
+        for i, j in pairs(row, x, n, len(part)):
+            fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[fits], j[fits]
+            size = n[i]
+            pair = np.repeat(np.arange(len(i)), size)
+            word = code[np.arange(len(pair)) + np.repeat(begin[i] - (np.cumsum(size) - size), size)]
+            want = j[pair] * len(words) + word
+            spot = np.minimum(np.searchsorted(table, want), max(len(table) - 1, 0))
+            shared = np.bincount(pair[table[spot] == want], minlength=len(i))
+            good = 100 * shared >= percent * (n[i] + n[j] - shared)
+            i, j = i[good], j[good]
+            earlier = _before(i, j, keys)
+            found.append((np.concatenate([ids[i], ids[j]]), np.concatenate([~earlier, earlier])))
+        if not found:
+            return None
+        got, later = (np.concatenate(c) for c in zip(*found, strict=True))
+        one, where, links = np.unique(got, return_inverse=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(one), pa.array(links), pa.array(np.bincount(where[later], minlength=len(one)) > 0)], names=["id", "links", "later"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            step = max(1, len(b) * 2 * HELD * 8 // max(1, b.nbytes))  # rows of about 2 * HELD words
+            for a in range(0, len(b), step):
+                got = compared(pa.RecordBatch.from_arrays([c.take(pa.array(np.arange(a, min(a + step, len(b))))) for c in b.columns], names=b.schema.names))
+                if got is not None:
+                    yield got
+
+    return blocks.mapInArrow(run, "id long, links long, later boolean").groupBy("id").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
 
 
 def _prints(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -194,37 +433,35 @@ def _maps(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
 def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(removed, links) of ``docs`` (doc_id, tag, text): (doc_id, tag, line) of later matches, and (doc_id, tag, line, links) of
     the first lines of classes with the number of other classes they match."""
-    lines = stored(_posted(docs, word_counts(docs), percent), "line-posted")
-    place = F.struct("doc_id", "tag", "line")
+    often = word_counts(docs)
+    lines = stored(_posted(docs, often, percent), "line-posted")
     # All lines of a class have one set and so one posting: any of them speaks for it.
-    firsts = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
-                                         *[F.first(c).alias(c) for c in ("p", "q", "items", "at")])
-    firsts = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-    again = lines.select("doc_id", "tag", "line", "a", "b").join(
-        firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag")) & (F.col("line") == F.col("first.line"))))
-    again = stored(again.select("doc_id", "tag", "line"), "line-again")
+    firsts = lines.repartition("m").groupBy("m", "a", "b").agg(
+        F.min(F.array_min("places")).alias("first"), F.sum(F.size("places")).alias("copies"), *[F.first(c).alias(c) for c in ("p", "q", "n", "at", "items")])
+    firsts = stored(firsts.sortWithinPartitions("m", "a", "b").withColumn("id", F.monotonically_increasing_id()), "line-classes")
+    again = lines.select("a", "b", "places").join(firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).select(
+        F.explode("places").alias("at"), "first").where("NOT (at.doc_id <=> first.doc_id AND at.tag = first.tag AND at.line = first.line)")
+    again = stored(again.select("at.doc_id", "at.tag", "at.line"), "line-again")
     discard(lines)
-    pairs = stored(_candidates(firsts.where(F.size("items") > 0), percent), "line-pairs")
-    ends = pairs.select(F.col("c").alias("id")).union(pairs.select("d")).distinct()
-    ends = stored(firsts.select("id", "a", "b", "first").join(ends, "id", "left_semi"), "line-ends")
+    pairs = stored(_candidates(firsts, *_parts(firsts, often), percent), "line-pairs")
+    block = F.expr(f"id div {BLOCK}")
+    inside = f"shiftright({{}}, cast({{}} % {BLOCK} AS int)) & 1 = 1"
+    alive = pairs.selectExpr("x AS block", "mx AS mask").union(pairs.select("y", "my")).groupBy("block").agg(F.bit_or("mask").alias("mask"))
+    ends = firsts.select("id", "a", "b", "first", block.alias("block")).join(alive, "block").where(inside.format("mask", "id"))
+    ends = stored(ends.select("id", "a", "b", "first"), "line-ends")
     discard(firsts)
-    sets = stored(_class_sets(docs, ends), "line-sets")
-    x = sets.select(F.col("id").alias("c"), F.col("items").alias("x"))
-    y = sets.select(F.col("id").alias("d"), F.col("items").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    links = stored(pairs.join(y, "d").join(x, "c").where(
-        100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("c", "d"), "line-links")
-    for df in (pairs, sets):
-        discard(df)
-    both = links.union(links.select("d", "c"))
-    at = ends.select(F.col("id").alias("d"), F.col("first").alias("g"))
-    found = both.join(at, "d").groupBy("c").agg(F.count("*").alias("links"), F.min("g").alias("g"))
-    found = found.join(at.select(F.col("d").alias("c"), F.col("g").alias("f")), "c")
-    found = stored(found, "line-found")
-    removed = stored(again.union(found.where("g < f").select("f.doc_id", "f.tag", "f.line")), "line-removed")
-    for df in (again, ends, links):
+    sets = _class_sets(docs, ends).groupBy(block.alias("block")).agg(F.collect_list(F.struct("id", "first", "items")).alias("own"))
+    sets = stored(sets, "line-sets")
+    some = lambda mask: F.expr(f"filter(own, m -> {inside.format(mask, 'm.id')})")
+    met = pairs.join(sets.withColumnRenamed("block", "y"), "y").select(
+        "x", "mx", F.when(F.col("x") < F.col("y"), some("my")).otherwise(F.slice("own", 1, 0)).alias("ys"))
+    met = met.join(sets.withColumnRenamed("block", "x"), "x").select(some("mx").alias("xs"), "ys")
+    found = _verified(met, percent).join(ends.select("id", F.col("first").alias("f")), "id")
+    found = stored(found.select("f", "links", "later"), "line-found")
+    for df in (pairs, sets, ends):
         discard(df)
+    removed = stored(again.union(found.where("later").select("f.doc_id", "f.tag", "f.line")), "line-removed")
+    discard(again)
     return removed, found.select("f.doc_id", "f.tag", "f.line", "links")
 
 
@@ -250,7 +487,7 @@ def dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t in tx.slices(b.column("text")):
-                lo, hi, text_of, line, _ = _lines(t)
+                lo, hi, text_of, line, _ = _places(t)
                 full = np.bincount(line, minlength=len(lo)) > 0
                 base = np.searchsorted(text_of, np.arange(len(t) + 1))
                 out = []

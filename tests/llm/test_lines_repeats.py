@@ -198,3 +198,43 @@ def test_few_sets_besides_the_wanted_are_shuffled(spark):
     assert n > 4000 and n <= line_dedup._read_sets(docs, wanted).count() <= 1.05 * n
     sets = line_dedup._class_sets(docs, wanted)
     assert sets.count() == n and sets.select("id").distinct().count() == n
+
+
+def near_copies(n, seed):
+    """Lines of 40 words that differ from each other in one or two of them, and some others."""
+    rng = random.Random(seed)
+    base = [f"base{k}" for k in range(40)]
+    text = []
+    for k in range(n):
+        w = list(base)
+        w[rng.randrange(40)] = f"own{k}"
+        text += [" ".join(w)] * rng.choice([1, 1, 2])
+    return text + [" ".join(rng.sample(base, 12) + [f"o{k}", f"p{k}"]) for k in range(20)]
+
+
+def test_pairs_of_a_large_group_are_not_rows(spark, monkeypatch):
+    """A group of similar lines is written as pairs of blocks, and every match of it is counted."""
+    text = near_copies(300, 6)
+    seen, keep = {}, line_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        seen[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    rows = [(i, "\n".join(text[3 * i: 3 * i + 3])) for i in range(-(-len(text) // 3))]
+    got = line_dedup.dedup(frame(spark, [(*r, "s") for r in rows])).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["n_links"], r["kept_sha256"]) for r in got} == lines(rows, 80)
+    assert sum(r["n_links"] for r in got) >= 300 * 299
+    assert max(seen.values()) < 2000
+
+
+@pytest.mark.parametrize("part", [2, 7])
+def test_words_of_many_classes_are_dealt_to_parts(spark, part, monkeypatch):
+    """Postings of one word in several parts, and several buckets and flushes in a task: no match is lost or counted twice."""
+    for name, value in (("PART", part), ("HELD", 40), ("SENT", 100)):
+        monkeypatch.setattr(line_dedup, name, value)
+    text = near_copies(40, part)
+    rows = [(i, t) for i, t in enumerate(text)]
+    got = line_dedup.dedup(frame(spark, [(*r, "s") for r in rows])).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["n_links"], r["kept_sha256"]) for r in got} == lines(rows, 80)
