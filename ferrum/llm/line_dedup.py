@@ -96,6 +96,50 @@ def _sorted_sets(line: np.ndarray, h: np.ndarray, often: np.ndarray) -> tuple[np
     return l[new], x[new], n[new]
 
 
+def _packed(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """A row for each bucket, with what it has of the columns as arrays."""
+    by = np.argsort(bucket, kind="stable")
+    start = np.flatnonzero(np.append(np.ones(min(len(by), 1), bool), np.diff(bucket[by]) != 0))
+    cut = pa.array(np.append(start, len(by)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[by][start].astype(np.int32)), *(pa.ListArray.from_arrays(cut, pa.array(c[by])) for c in columns)],
+                                      names=["bucket", *names])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of each bucket of ``_packed`` rows that are in the order of the buckets."""
+    held, now = [], None
+    for b in batches:
+        bucket = b.column("bucket").to_numpy()
+        cut = (np.flatnonzero(np.diff(bucket)) + 1).tolist()
+        for lo, hi in zip([0, *cut], [*cut, len(b)], strict=True):
+            if lo == hi:
+                continue
+            if held and bucket[lo] != now:
+                yield [np.concatenate(c) for c in zip(*held, strict=True)]
+                held = []
+            now = bucket[lo]
+            held.append([c.slice(lo, hi - lo).flatten().to_numpy() for c in b.columns[1:]])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Each value of the first column once, with the sums of the others."""
+    one, where = np.unique(columns[0], return_inverse=True)
+    return [one, *(np.bincount(where, weights=c, minlength=len(one)).astype(np.int64) for c in columns[1:])]
+
+
+def _sums(packed: DataFrame, schema: str) -> DataFrame:
+    """Each key of ``_packed`` rows (bucket, array of keys, arrays of numbers below 2**53) once, with its sums."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in _unpacked(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(c)], names=names)
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
 def word_counts(docs: DataFrame) -> np.ndarray:
     """Occurrences of words over all texts, in 2**RARITY_BITS counters."""
     size = 1 << RARITY_BITS
@@ -107,9 +151,9 @@ def word_counts(docs: DataFrame) -> np.ndarray:
                 t = tx.lower(t)
                 total += np.bincount((tx.word_hashes(t, tx.words(t)) & _MASK).astype(np.int64), minlength=size)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["i", "n"])
+        yield _packed(at >> 12, [at, total[at]], ["i", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    counts = _sums(docs.select("text").mapInArrow(run, "bucket int, i array<long>, n array<long>"), "i long, n long")
     return np.minimum(counters(counts, size), 2**31 - 1).astype(np.int32)
 
 
@@ -153,7 +197,7 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
 
 
 def _parts(classes: DataFrame, often: np.ndarray) -> tuple[np.ndarray, int]:
-    """Into how many parts the postings of a counter's words are dealt, ``PART`` postings a part, and the number of all postings."""
+    """Into how many parts the postings of a counter's words are dealt, ``PART`` postings a part, and the number of buckets for all."""
     size = 1 << RARITY_BITS
     shared = classes.sparkSession.sparkContext.broadcast(often > PART)
 
@@ -168,34 +212,7 @@ def _parts(classes: DataFrame, often: np.ndarray) -> tuple[np.ndarray, int]:
 
     counts = classes.select("items").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).where(f"n > {PART} OR i = {size}")
     counts = counters(counts, size + 1)
-    return np.maximum(-(-counts[:size] // PART), 1).astype(np.int32), int(counts[size])
-
-
-def _packed(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """A row for each bucket, with what it has of the columns as arrays."""
-    by = np.argsort(bucket, kind="stable")
-    start = np.flatnonzero(np.append(np.ones(min(len(by), 1), bool), np.diff(bucket[by]) != 0))
-    cut = pa.array(np.append(start, len(by)).astype(np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(bucket[by][start].astype(np.int32)), *(pa.ListArray.from_arrays(cut, pa.array(c[by])) for c in columns)],
-                                      names=["bucket", *names])
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of each bucket of ``_packed`` rows that are in the order of the buckets."""
-    held, now = [], None
-    for b in batches:
-        bucket = b.column("bucket").to_numpy()
-        cut = (np.flatnonzero(np.diff(bucket)) + 1).tolist()
-        for lo, hi in zip([0, *cut], [*cut, len(b)], strict=True):
-            if lo == hi:
-                continue
-            if held and bucket[lo] != now:
-                yield [np.concatenate(c) for c in zip(*held, strict=True)]
-                held = []
-            now = bucket[lo]
-            held.append([c.slice(lo, hi - lo).flatten().to_numpy() for c in b.columns[1:]])
-    if held:
-        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+    return np.maximum(-(-counts[:size] // PART), 1).astype(np.int32), max(1, -(-int(counts[size]) // HELD))
 
 
 def _postings(classes: DataFrame, parts: np.ndarray, buckets: int) -> DataFrame:
@@ -275,9 +292,9 @@ def _meet(post: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np
         yield cls[c[alike]], cls[d[alike]]
 
 
-def _candidates(classes: DataFrame, parts: np.ndarray, postings: int, percent: int) -> DataFrame:
+def _candidates(classes: DataFrame, parts: np.ndarray, buckets: int, percent: int) -> DataFrame:
     """x, y, mx, my: pairs of blocks with the classes that pass prefix, length and positional filter and that of the maps of words."""
-    buckets, names = max(1, -(-postings // HELD)), ["x", "y", "mx", "my"]
+    names = ["x", "y", "mx", "my"]
 
     def sent(got: list[list[np.ndarray]]) -> pa.RecordBatch:
         pairs = _once(*(np.concatenate(c) for c in zip(*got, strict=True)))
@@ -353,9 +370,9 @@ def _before(i: np.ndarray, j: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
     return less
 
 
-def _verified(blocks: DataFrame, percent: int) -> DataFrame:
+def _verified(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
     """id, links, later: of pairs of blocks with their classes xs and ys (none where both are one block), how many others each
-    class matches among them, and whether one of these stands earlier."""
+    class matches among them, and how many of these stand earlier."""
 
     def pairs(row: np.ndarray, x: np.ndarray, n: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places (i, j) in the members of the pairs to compare, ``HELD`` words at a time; members of a row stand together, those of xs first."""
@@ -371,7 +388,7 @@ def _verified(blocks: DataFrame, percent: int) -> DataFrame:
                 i = np.repeat(at[a:b], many[a:b])
                 yield i, np.arange(len(i)) + np.repeat(first[a:b] - (np.cumsum(many[a:b]) - many[a:b]), many[a:b])
 
-    def compared(part: pa.RecordBatch) -> pa.RecordBatch | None:
+    def compared(part: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
         k = [pc.list_value_length(part.column(c)).to_numpy() for c in ("xs", "ys")]
         row = np.concatenate([np.repeat(np.arange(len(part)), c) for c in k])
         x = np.arange(len(row)) < k[0].sum()
@@ -386,7 +403,6 @@ def _verified(blocks: DataFrame, percent: int) -> DataFrame:
         place = member.field("first")
         doc = place.field("doc_id")
         keys = [pc.is_valid(doc).to_numpy(zero_copy_only=False), pc.fill_null(doc, 0).to_numpy(), place.field("tag").to_numpy(), place.field("line").to_numpy()]
-        found = []
         for i, j in pairs(row, x, n, len(part)):
             fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             i, j = i[fits], j[fits]
@@ -399,22 +415,27 @@ def _verified(blocks: DataFrame, percent: int) -> DataFrame:
             good = 100 * shared >= percent * (n[i] + n[j] - shared)
             i, j = i[good], j[good]
             earlier = _before(i, j, keys)
-            found.append((np.concatenate([ids[i], ids[j]]), np.concatenate([~earlier, earlier])))
-        if not found:
-            return None
-        got, later = (np.concatenate(c) for c in zip(*found, strict=True))
-        one, where, links = np.unique(got, return_inverse=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(one), pa.array(links), pa.array(np.bincount(where[later], minlength=len(one)) > 0)], names=["id", "links", "later"])
+            yield _summed([np.concatenate([ids[i], ids[j]]), np.ones(2 * len(i), np.int64), np.concatenate([~earlier, earlier])])
+
+    def sent(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        got = _summed([np.concatenate(c) for c in zip(*found, strict=True)])
+        return _packed((tx.mix(got[0].view(_U)) % _U(buckets)).astype(np.int64), got, ["id", "links", "later"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, many = [], 0
         for b in batches:
             step = max(1, len(b) * 2 * HELD * 8 // max(1, b.nbytes))  # rows of about 2 * HELD words
             for a in range(0, len(b), step):
-                got = compared(pa.RecordBatch.from_arrays([c.take(pa.array(np.arange(a, min(a + step, len(b))))) for c in b.columns], names=b.schema.names))
-                if got is not None:
-                    yield got
+                for got in compared(pa.RecordBatch.from_arrays([c.take(pa.array(np.arange(a, min(a + step, len(b))))) for c in b.columns], names=b.schema.names)):
+                    found.append(got)
+                    many += len(got[0])
+                    if many > SENT:
+                        yield sent(found)
+                        found, many = [], 0
+        if many:
+            yield sent(found)
 
-    return blocks.mapInArrow(run, "id long, links long, later boolean").groupBy("id").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
+    return _sums(blocks.mapInArrow(run, "bucket int, id array<long>, links array<long>, later array<long>"), "id long, links long, later long")
 
 
 def _prints(x: np.ndarray, start: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -443,7 +464,8 @@ def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFram
         F.explode("places").alias("at"), "first").where("NOT (at.doc_id <=> first.doc_id AND at.tag = first.tag AND at.line = first.line)")
     again = stored(again.select("at.doc_id", "at.tag", "at.line"), "line-again")
     discard(lines)
-    pairs = stored(_candidates(firsts, *_parts(firsts, often), percent), "line-pairs")
+    parts, buckets = _parts(firsts, often)
+    pairs = stored(_candidates(firsts, parts, buckets, percent), "line-pairs")
     block = F.expr(f"id div {BLOCK}")
     inside = f"shiftright({{}}, cast({{}} % {BLOCK} AS int)) & 1 = 1"
     alive = pairs.selectExpr("x AS block", "mx AS mask").union(pairs.select("y", "my")).groupBy("block").agg(F.bit_or("mask").alias("mask"))
@@ -456,11 +478,11 @@ def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFram
     met = pairs.join(sets.withColumnRenamed("block", "y"), "y").select(
         "x", "mx", F.when(F.col("x") < F.col("y"), some("my")).otherwise(F.slice("own", 1, 0)).alias("ys"))
     met = met.join(sets.withColumnRenamed("block", "x"), "x").select(some("mx").alias("xs"), "ys")
-    found = _verified(met, percent).join(ends.select("id", F.col("first").alias("f")), "id")
+    found = _verified(met, buckets, percent).join(ends.select("id", F.col("first").alias("f")), "id")
     found = stored(found.select("f", "links", "later"), "line-found")
     for df in (pairs, sets, ends):
         discard(df)
-    removed = stored(again.union(found.where("later").select("f.doc_id", "f.tag", "f.line")), "line-removed")
+    removed = stored(again.union(found.where("later > 0").select("f.doc_id", "f.tag", "f.line")), "line-removed")
     discard(again)
     return removed, found.select("f.doc_id", "f.tag", "f.line", "links")
 
