@@ -70,9 +70,8 @@ def _places(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 def _lines(t: tx.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First byte, end and text of each line, and (line, hash) of each word in line order."""
-    t = tx.lower(t)
     lo, hi, text_of, line, w = _places(t)
-    return lo, hi, text_of, line, tx.word_hashes(t, w)
+    return lo, hi, text_of, line, tx.word_hashes(t, w, lowered=True)
 
 
 def _sorted_sets(line: np.ndarray, h: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,8 +147,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         total = np.zeros(size, dtype=np.int64)
         for b in batches:
             for t in tx.slices(b.column("text")):
-                t = tx.lower(t)
-                total += np.bincount((tx.word_hashes(t, tx.words(t)) & _MASK).astype(np.int64), minlength=size)
+                total += np.bincount((tx.word_hashes(t, tx.words(t), lowered=True) & _MASK).astype(np.int64), minlength=size)
         at = np.flatnonzero(total)
         yield _packed(at >> 12, [at, total[at]], ["i", "n"])
 
@@ -161,8 +159,8 @@ PLACE = "struct<doc_id:long,tag:long,line:int>"
 
 
 def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
-    """The classes of each slice of texts: smallest hash m, fingerprint (a, b), map of words (p, q), n, the posted words (items),
-    the first of them at ``at`` of the set's order, and the places of the lines."""
+    """The classes of each slice of texts: smallest hash m, fingerprint (a, b), print of a line with its repeated words (raw), map of
+    words (p, q), n, the posted words (items), the first of them at ``at`` of the set's order, and the places of the lines."""
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,6 +177,7 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 by = np.lexsort(prints[::-1])
                 new = np.append(True, (np.diff(prints[0][by]) != 0) | (np.diff(prints[1][by]) != 0))
                 one = by[new]  # a line of each class
+                raw = pa.StructArray.from_arrays([c.take(pa.array(one)) for c in _prints(h, np.flatnonzero(np.append(True, line[1:] != line[:-1])))], names=["a", "b"])
                 alone = np.add.reduceat(n == 1, start)[one]  # words that occur once come first
                 posted = np.maximum(size[one] + (-percent * size[one] // 100) + 1 - alone, 0)
                 cut = np.concatenate([[0], np.cumsum(posted)])
@@ -188,12 +187,12 @@ def _posted(docs: DataFrame, often: np.ndarray, percent: int) -> DataFrame:
                 places = pa.StructArray.from_arrays([b.column("doc_id").take(owner), b.column("tag").take(owner), pa.array((here - first_line)[by].astype(np.int32))],
                                                     names=["doc_id", "tag", "line"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tx.signed(np.minimum.reduceat(tx.mix(x + _U(9)), start)[one])), *(pa.array(c[one]) for c in prints), *(c.take(pa.array(one)) for c in _maps(x, start)),
+                    [pa.array(tx.signed(np.minimum.reduceat(tx.mix(x + _U(9)), start)[one])), *(pa.array(c[one]) for c in prints), raw, *(c.take(pa.array(one)) for c in _maps(x, start)),
                      pa.array(size[one].astype(np.int32)), pa.array(alone.astype(np.int32)), pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(tx.signed(x[at]))),
                      pa.ListArray.from_arrays(np.append(np.flatnonzero(new), len(by)).astype(np.int32), places)],
-                    names=["m", "a", "b", "p", "q", "n", "at", "items", "places"])
+                    names=["m", "a", "b", "raw", "p", "q", "n", "at", "items", "places"])
 
-    return docs.mapInArrow(run, f"m long, a long, b long, p long, q long, n int, at int, items array<long>, places array<{PLACE}>")
+    return docs.mapInArrow(run, f"m long, a long, b long, raw struct<a:long,b:long>, p long, q long, n int, at int, items array<long>, places array<{PLACE}>")
 
 
 def _parts(classes: DataFrame, often: np.ndarray) -> tuple[np.ndarray, int]:
@@ -270,6 +269,12 @@ def _blocked(c: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
     return _once(x, y, np.where(x == y, mx | my, mx), np.where(x == y, mx | my, my))
 
 
+def _alike(p: np.ndarray, q: np.ndarray, n: np.ndarray, c: np.ndarray, d: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the maps of words of the sets at c and d leave them the similarity: a bit in which they differ is a word that one has alone."""
+    differ = np.bitwise_count((p[c] ^ p[d]).view(_U)).astype(np.int64) + np.bitwise_count((q[c] ^ q[d]).view(_U))
+    return (100 + percent) * (n[c] + n[d] - differ) >= 2 * percent * (n[c] + n[d])
+
+
 def _meet(post: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of classes that meet on a key and pass length filter, positional filter and that of the maps of words."""
     key, side, cls, n, at, p, q = post
@@ -286,9 +291,7 @@ def _meet(post: list[np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np
         x = y + step
         room = (100 + percent) * np.minimum(n[x] - at[x], n[y] - at[y]) >= percent * (n[x] + n[y])
         c, d = x[room], y[room]
-        # A bit in which the maps differ is a word that one set has alone.
-        differ = np.bitwise_count((p[c] ^ p[d]).view(_U)).astype(np.int64) + np.bitwise_count((q[c] ^ q[d]).view(_U))
-        alike = ((100 + percent) * (n[c] + n[d] - differ) >= 2 * percent * (n[c] + n[d])) & ((side[c] != side[d]) | (side[c] == 0))
+        alike = _alike(p, q, n, c, d, percent) & ((side[c] != side[d]) | (side[c] == 0))
         yield cls[c[alike]], cls[d[alike]]
 
 
@@ -322,10 +325,11 @@ def _candidates(classes: DataFrame, parts: np.ndarray, buckets: int, percent: in
 
 
 def _read_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """a, b, items: full word sets read in a scan of the texts: those of the wanted classes (id, a, b), and a few others.
+    """a, b, items: full word sets read in a scan of the texts: those of the wanted lines (id, a, b), and a few others. The prints
+    (a, b) are of lines with their repeated words, so only the lines that are kept are made sets.
 
     A bit filter of 2**CLASS_BITS cells keeps most other lines from the shuffle; it is made from the classes that stand in
-    a pair. Lines of one class have one set, so one of each slice and then one of all is kept.
+    a pair. Lines of one print have one set, so one of each slice and then one of all is kept.
     """
     cells = 1 << CLASS_BITS
     cell = wanted.select(F.pmod("a", F.lit(cells)).alias("cell"))
@@ -339,17 +343,19 @@ def _read_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 _, _, _, line, h = _lines(t)
                 if not len(h):
                     continue
-                l, x, _ = _sorted_sets(line, h, flat)
-                start = np.flatnonzero(np.append(True, l[1:] != l[:-1]))
-                a, other = (p.to_numpy() for p in _prints(x, start))
-                n = np.diff(np.append(start, len(l)))
-                by = np.lexsort((other, a))
-                one = by[np.append(True, (np.diff(a[by]) != 0) | (np.diff(other[by]) != 0))]  # one line of each class
-                c = a[one] % cells
-                take = one[shared.value[c >> 6] >> (c & 63) & 1 > 0]
-                cut = np.concatenate([[0], np.cumsum(n[take])]).astype(np.int32)
-                at = np.arange(cut[-1]) - np.repeat(cut[:-1] - start[take], n[take])
-                yield pa.RecordBatch.from_arrays([pa.array(a[take]), pa.array(other[take]), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x[at])))],
+                start = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+                a, other = (p.to_numpy() for p in _prints(h, start))
+                c = a % cells
+                hit = np.flatnonzero(shared.value[c >> 6] >> (c & 63) & 1 > 0)
+                if not len(hit):
+                    continue
+                by = hit[np.lexsort((other[hit], a[hit]))]
+                one = np.sort(by[np.append(True, (np.diff(a[by]) != 0) | (np.diff(other[by]) != 0))])  # one line of each print
+                k = np.diff(np.append(start, len(h)))[one]
+                at = np.arange(k.sum()) + np.repeat(start[one] - (np.cumsum(k) - k), k)
+                l, x, _ = _sorted_sets(line[at], h[at], flat)
+                cut = np.append(np.flatnonzero(np.append(True, l[1:] != l[:-1])), len(l)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(a[one]), pa.array(other[one]), pa.ListArray.from_arrays(cut, pa.array(tx.signed(x)))],
                                                  names=["a", "b", "items"])
 
     return docs.select("text").mapInArrow(run, "a long, b long, items array<long>")
@@ -399,6 +405,7 @@ def _verified(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         n = pc.list_value_length(member.field("items")).to_numpy().astype(np.int64)
         words, code = np.unique(member.field("items").flatten().to_numpy(), return_inverse=True)
         begin = np.cumsum(n) - n
+        p, q = (m.to_numpy() for m in _maps(words[code].view(_U), begin))
         table = np.sort(np.repeat(np.arange(len(n)), n) * len(words) + code)
         place = member.field("first")
         doc = place.field("doc_id")
@@ -406,6 +413,8 @@ def _verified(blocks: DataFrame, buckets: int, percent: int) -> DataFrame:
         for i, j in pairs(row, x, n, len(part)):
             fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             i, j = i[fits], j[fits]
+            alike = _alike(p, q, n, i, j, percent)
+            i, j = i[alike], j[alike]
             size = n[i]
             pair = np.repeat(np.arange(len(i)), size)
             word = code[np.arange(len(pair)) + np.repeat(begin[i] - (np.cumsum(size) - size), size)]
@@ -458,7 +467,7 @@ def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFram
     lines = stored(_posted(docs, often, percent), "line-posted")
     # All lines of a class have one set and so one posting: any of them speaks for it.
     firsts = lines.repartition("m").groupBy("m", "a", "b").agg(
-        F.min(F.array_min("places")).alias("first"), F.sum(F.size("places")).alias("copies"), *[F.first(c).alias(c) for c in ("p", "q", "n", "at", "items")])
+        F.min(F.array_min("places")).alias("first"), F.sum(F.size("places")).alias("copies"), *[F.first(c).alias(c) for c in ("raw", "p", "q", "n", "at", "items")])
     firsts = stored(firsts.sortWithinPartitions("m", "a", "b").withColumn("id", F.monotonically_increasing_id()), "line-classes")
     again = lines.select("a", "b", "places").join(firsts.where("copies > 1").select("a", "b", "first"), ["a", "b"]).select(
         F.explode("places").alias("at"), "first").where("NOT (at.doc_id <=> first.doc_id AND at.tag = first.tag AND at.line = first.line)")
@@ -469,7 +478,7 @@ def later_lines(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFram
     block = F.expr(f"id div {BLOCK}")
     inside = f"shiftright({{}}, cast({{}} % {BLOCK} AS int)) & 1 = 1"
     alive = pairs.selectExpr("x AS block", "mx AS mask").union(pairs.select("y", "my")).groupBy("block").agg(F.bit_or("mask").alias("mask"))
-    ends = firsts.select("id", "a", "b", "first", block.alias("block")).join(alive, "block").where(inside.format("mask", "id"))
+    ends = firsts.select("id", "raw.a", "raw.b", "first", block.alias("block")).join(alive, "block").where(inside.format("mask", "id"))
     ends = stored(ends.select("id", "a", "b", "first"), "line-ends")
     discard(firsts)
     sets = _class_sets(docs, ends).groupBy(block.alias("block")).agg(F.collect_list(F.struct("id", "first", "items")).alias("own"))
